@@ -46,7 +46,7 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     bits = np.zeros(n + 60, np.uint8)
     small = ids < (1 << 60)
     bits[:n] = np.where(small, np.frexp(ids.astype(np.float64))[1], 64)
-    near = (bits[:n] < 60) & (bits[:n] > 50)  # where a float may round up to the next power of two
+    near = small & (bits[:n] > 50)  # where a float may round up to the next power of two
     if near.any():
         bits[:n][near] = [int(x).bit_length() for x in ids[near]]
     at, alive, where, chosen, block = starts.copy(), np.arange(blocks), [], [], []
