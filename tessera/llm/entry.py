@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from tessera.llm.digests import op7_canonical_digest
+from tessera.llm.mixing import op4_entropy_mix
 from tessera.llm.packing import op3_best_fit
 from tessera.llm.simple8b import op2_simple8b
 
-QUERIES = {"op2_simple8b": op2_simple8b, "op3_best_fit": op3_best_fit}
+QUERIES = {"op2_simple8b": op2_simple8b, "op3_best_fit": op3_best_fit, "op4_entropy_mix": op4_entropy_mix, "op7_canonical_digest": op7_canonical_digest}
 ORACLES: dict[str, str] = {}
