@@ -33,7 +33,7 @@ MAGIC = b"TS8B0001"
 PACKINGS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
 _COUNTS = np.array([1] + [n for n, _ in PACKINGS], np.int64)
 #: Ids in a shard at most, give or take one batch: bounds a writer's memory.
-SHARD_IDS = 8_000_000
+SHARD_IDS = 2_000_000
 
 
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -24,6 +24,12 @@ FIRST = "\udc00"
 _CODERS: dict[tuple[str, bool], Coder] = {}
 
 
+#: Bytes that byte-level vocabularies write as themselves; the others follow from code point 256 on.
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_OTHER = [b for b in range(256) if b not in _PLAIN]
+_LETTER = {b: chr(b) for b in _PLAIN} | {b: chr(256 + k) for k, b in enumerate(_OTHER)}
+
+
 class _Numbers(dict):
     """piece -> its number; a new piece gets the next number and waits in ``new``."""
 
@@ -44,13 +50,14 @@ class Coder:
     """texts -> ids of one tokenizer file; ``blank``: pieces after the first are encoded with the blank before them."""
 
     #: Pieces kept at most; the cache then starts anew. It bounds a worker's memory and changes no result.
-    MOST = 1_000_000
+    MOST = 700_000
 
     def __init__(self, path: str, blank: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok, self.blank = Tokenizer.from_file(path), " " if blank else ""
+        self.merge, self.lead = self.tok.model.tokenize, _LETTER[32] * blank
         self.special = [x.content for x in self.tok.get_added_tokens_decoder().values()]
         self.clear()
 
@@ -59,10 +66,22 @@ class Coder:
         self.start, self.size, self.ids = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), np.zeros(1 << 14, np.uint32)
         self.known = 0
 
-    def _encoded(self, pieces: list[str]) -> list[list[int]]:
-        """A piece that is kept with a mark before it opens its text, so no blank comes before it."""
-        whole = [p[1:] if self.blank and p[:1] == FIRST else self.blank + p for p in pieces]
-        return [e.ids for e in self.tok.encode_batch(whole, add_special_tokens=False)]
+    def _encoded(self, pieces: list[str]) -> dict[str, list[int]]:
+        """Letters alone are one word to the library's merge model; other pieces take its whole path. A piece that is
+        kept with a mark before it opens its text, so no blank comes before it."""
+        words = [p for p in pieces if p.isalpha()]
+        out = {p: [t.id for t in self.merge(self.lead + self._spelt(p))] for p in words}
+        rest = [p for p in pieces if p not in out]
+        whole = [p[1:] if self.blank and p[:1] == FIRST else self.blank + p for p in rest]
+        out.update(zip(rest, [e.ids for e in self.tok.encode_batch(whole, add_special_tokens=False)], strict=True))
+        return out
+
+    def _spelt(self, word: str) -> str:
+        if word.isascii():
+            return word.lower() if self.tok.normalizer else word
+        if self.tok.normalizer:
+            word = self.tok.normalizer.normalize_str(word)
+        return "".join(map(_LETTER.__getitem__, word.encode()))
 
     def _learn(self) -> None:
         """Ids for the pieces that wait: whole by the library, or those of letters and of the punctuation after them."""
@@ -70,7 +89,7 @@ class Coder:
         cut = [(p, core, p[len(core) :]) if (core := p.rstrip(_TAIL)) != p and core.isalpha() else (p, p, "") for p in new]
         have = lambda x: (n := self.at.get(x, self.known)) < self.known
         whole = list({core for _, core, _ in cut if not have(core)})
-        ids = dict(zip(whole, self._encoded(whole), strict=True))
+        ids = self._encoded(whole)
         tails = list({t for _, _, t in cut if t})
         after = dict(zip(tails, [e.ids for e in self.tok.encode_batch(tails, add_special_tokens=False)], strict=True)) | {"": []}
 
