@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from tessera.llm import cascade
 from tessera.llm.digests import op7_canonical_digest
 from tessera.llm.mixing import op4_entropy_mix
 from tessera.llm.packing import op3_best_fit
 from tessera.llm.simple8b import op2_simple8b
+from tessera.llm.toxicity import op5_compression_toxicity
 
-QUERIES = {"op2_simple8b": op2_simple8b, "op3_best_fit": op3_best_fit, "op4_entropy_mix": op4_entropy_mix, "op7_canonical_digest": op7_canonical_digest}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    "op2_simple8b": op2_simple8b,
+    "op3_best_fit": op3_best_fit,
+    "op4_entropy_mix": op4_entropy_mix,
+    "op5_compression_toxicity": op5_compression_toxicity,
+    "op6_cascade": cascade.op6_cascade,
+    "op7_canonical_digest": op7_canonical_digest,
+}
+ORACLES: dict[str, str] = {"op6_cascade": cascade.SQL}
