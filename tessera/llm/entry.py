@@ -5,6 +5,7 @@ from __future__ import annotations
 from tessera.llm import cascade
 from tessera.llm.digests import op7_canonical_digest
 from tessera.llm.mixing import op4_entropy_mix
+from tessera.llm.near_dups import op10_bottom_k
 from tessera.llm.packing import op3_best_fit
 from tessera.llm.simple8b import op2_simple8b
 from tessera.llm.toxicity import op5_compression_toxicity
@@ -16,5 +17,6 @@ QUERIES = {
     "op5_compression_toxicity": op5_compression_toxicity,
     "op6_cascade": cascade.op6_cascade,
     "op7_canonical_digest": op7_canonical_digest,
+    "op10_bottom_k": op10_bottom_k,
 }
 ORACLES: dict[str, str] = {"op6_cascade": cascade.SQL}
