@@ -64,13 +64,30 @@ def with_next(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return keyed.unionByName(guests).withColumn("next_text", F.lead("text").over(order)).where("guest = 0").select("doc_id", "text", "next_text")
 
 
+#: Bits of the table of shared digests: 4 MB, whatever the input.
+_BITS = 25
+
+
+def _maybe_shared(canon: DataFrame, many: DataFrame) -> DataFrame:
+    """Drops most texts whose digest nobody shares before they are shuffled. A bitmap of fixed size holds the hashes of
+    the shared digests, so its broadcast is bounded; texts that it lets through wrongly fall to the join that follows."""
+    slot = lambda d: F.pmod(F.xxhash64(d), F.lit(1 << _BITS)) + 1
+    at = lambda x: F.call_function("bitmap_bit_position", x)
+    block = lambda x: F.call_function("bitmap_bucket_number", x)
+    maps = many.select(slot("d").alias("x")).groupBy(block(F.col("x")).alias("block")).agg(F.bitmap_construct_agg(at(F.col("x"))).alias("map"))
+    keyed = canon.withColumn("x", slot("digest"))
+    joined = keyed.join(F.broadcast(maps), block(F.col("x")) == F.col("block"))
+    byte = F.conv(F.hex(F.expr("substring(map, cast(bitmap_bit_position(x) div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    return joined.where(byte.bitwiseAND(F.expr("shiftleft(1, cast(bitmap_bit_position(x) % 8 as int))")) != 0).select("canon", "digest")
+
+
 def number_clashes(docs: DataFrame, digests: DataFrame, scratch: Scratch) -> DataFrame:
     """(digest, sha, number) of canonical texts that share a digest with an earlier, different one: hardly ever a row."""
     many = scratch.save(digests.groupBy("digest").count().where("count > 1").select(F.col("digest").alias("d")), "many")
     canon = docs.select(canonical(F.coalesce("text", F.lit(""))).alias("canon")).withColumn("digest", digest(F.col("canon")))
-    held = canon.join(many, F.col("digest") == F.col("d"), "left_semi")
+    held = _maybe_shared(canon, many).join(many, F.col("digest") == F.col("d"), "left_semi")
     differ = scratch.save(held.groupBy("digest").agg(F.min("canon").alias("a"), F.max("canon").alias("b")).where("a <> b").select(F.col("digest").alias("d")), "differ")
-    texts = canon.join(differ, F.col("digest") == F.col("d"), "left_semi").distinct()
+    texts = _maybe_shared(canon, differ).join(differ, F.col("digest") == F.col("d"), "left_semi").distinct()
     number = F.row_number().over(Window.partitionBy("digest").orderBy("canon")) - 1
     return scratch.save(texts.withColumn("number", number).where("number > 0").select("digest", F.sha2(F.col("canon").cast("binary"), 256).alias("sha"), "number"), "clashes")
 

@@ -8,6 +8,7 @@ from tessera.llm.mixing import op4_entropy_mix
 from tessera.llm.near_dups import op10_bottom_k
 from tessera.llm.packing import op3_best_fit
 from tessera.llm.simple8b import op2_simple8b
+from tessera.llm.substrings import op9_deep_shallow
 from tessera.llm.toxicity import op5_compression_toxicity
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_compression_toxicity": op5_compression_toxicity,
     "op6_cascade": cascade.op6_cascade,
     "op7_canonical_digest": op7_canonical_digest,
+    "op9_deep_shallow": op9_deep_shallow,
     "op10_bottom_k": op10_bottom_k,
 }
 ORACLES: dict[str, str] = {"op6_cascade": cascade.SQL}
