@@ -148,6 +148,18 @@ def slot_counts(df: DataFrame, bits: int, slots) -> np.ndarray:
     return table
 
 
+def maybe_among(df: DataFrame, key, keys: DataFrame, bits: int = 25):
+    """``df`` with a column ``_among``: false proves that ``key`` is not in ``keys`` (one column). A bitmap of fixed size,
+    2**bits bits whatever the input, holds the keys' hashes, so its broadcast is bounded; DataFrame functions only."""
+    slot = lambda d: F.pmod(F.xxhash64(d), F.lit(1 << bits)) + 1
+    block = lambda x: F.call_function("bitmap_bucket_number", x)
+    maps = keys.select(slot(keys.columns[0]).alias("x")).groupBy(block(F.col("x")).alias("_block")).agg(F.bitmap_construct_agg(F.call_function("bitmap_bit_position", F.col("x"))).alias("_map"))
+    joined = df.withColumn("_x", slot(key)).join(F.broadcast(maps), block(F.col("_x")) == F.col("_block"), "left")
+    byte = F.conv(F.hex(F.expr("substring(_map, cast(bitmap_bit_position(_x) div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    bit = byte.bitwiseAND(F.expr("shiftleft(1, cast(bitmap_bit_position(_x) % 8 as int))")) != 0
+    return joined.withColumn("_among", F.coalesce(bit, F.lit(False))).drop("_x", "_block", "_map")
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Connected components of (a, b) links: (node, root), root the smallest node that is reached.
 

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, documents
+from tessera.llm.common import Scratch, documents, maybe_among
 
 _SPACE = r"[\s\x{85}\x{1680}\x{180e}\x{2028}\x{2029}]+"
 
@@ -64,21 +64,9 @@ def with_next(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return keyed.unionByName(guests).withColumn("next_text", F.lead("text").over(order)).where("guest = 0").select("doc_id", "text", "next_text")
 
 
-#: Bits of the table of shared digests: 4 MB, whatever the input.
-_BITS = 25
-
-
 def _maybe_shared(canon: DataFrame, many: DataFrame) -> DataFrame:
-    """Drops most texts whose digest nobody shares before they are shuffled. A bitmap of fixed size holds the hashes of
-    the shared digests, so its broadcast is bounded; texts that it lets through wrongly fall to the join that follows."""
-    slot = lambda d: F.pmod(F.xxhash64(d), F.lit(1 << _BITS)) + 1
-    at = lambda x: F.call_function("bitmap_bit_position", x)
-    block = lambda x: F.call_function("bitmap_bucket_number", x)
-    maps = many.select(slot("d").alias("x")).groupBy(block(F.col("x")).alias("block")).agg(F.bitmap_construct_agg(at(F.col("x"))).alias("map"))
-    keyed = canon.withColumn("x", slot("digest"))
-    joined = keyed.join(F.broadcast(maps), block(F.col("x")) == F.col("block"))
-    byte = F.conv(F.hex(F.expr("substring(map, cast(bitmap_bit_position(x) div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    return joined.where(byte.bitwiseAND(F.expr("shiftleft(1, cast(bitmap_bit_position(x) % 8 as int))")) != 0).select("canon", "digest")
+    """Drops most texts whose digest nobody shares before they are shuffled; the join that follows drops the others."""
+    return maybe_among(canon, "digest", many).where("_among").select("canon", "digest")
 
 
 def number_clashes(docs: DataFrame, digests: DataFrame, scratch: Scratch) -> DataFrame:

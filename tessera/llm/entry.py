@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tessera.llm import cascade
 from tessera.llm.digests import op7_canonical_digest
+from tessera.llm.lines import op8_prefix_join
 from tessera.llm.mixing import op4_entropy_mix
 from tessera.llm.near_dups import op10_bottom_k
 from tessera.llm.packing import op3_best_fit
@@ -18,6 +19,7 @@ QUERIES = {
     "op5_compression_toxicity": op5_compression_toxicity,
     "op6_cascade": cascade.op6_cascade,
     "op7_canonical_digest": op7_canonical_digest,
+    "op8_prefix_join": op8_prefix_join,
     "op9_deep_shallow": op9_deep_shallow,
     "op10_bottom_k": op10_bottom_k,
 }
