@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tessera.llm import cascade
+from tessera.llm.class_lm import op1_class_lm
 from tessera.llm.digests import op7_canonical_digest
 from tessera.llm.lines import op8_prefix_join
 from tessera.llm.mixing import op4_entropy_mix
@@ -13,6 +14,7 @@ from tessera.llm.substrings import op9_deep_shallow
 from tessera.llm.toxicity import op5_compression_toxicity
 
 QUERIES = {
+    "op1_class_lm": op1_class_lm,
     "op2_simple8b": op2_simple8b,
     "op3_best_fit": op3_best_fit,
     "op4_entropy_mix": op4_entropy_mix,

@@ -13,8 +13,8 @@ No list is expanded into all its pairs:
 - Then, where a list still holds several components, members outside its largest component meet the members of other
   components. Members of one component never meet. This step is what makes the links complete.
 
-Two documents of similarity 0.8 that both retain K = 32 hashes share fewer than LEAST = 12 with probability 3e-8; sets of
-up to 25 shingles are held whole, and their bound is exact.
+Two documents of similarity 0.8 that both retain K = 128 hashes share fewer than LEAST = 82 with probability 1e-5; sets of
+up to 102 shingles are held whole, and their bound is exact.
 
 Cases: a null, empty or blank text has no shingles, is its own component and kept; fewer words than a shingle make one
 shingle; a null doc_id is never linked, its component_id is null and it is kept; rows that share a doc_id are one node,
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import Scratch, WordHashes, components, documents, mixed, slot_counts, texts
 
-K, LEAST, COMMON, SLOT_BITS = 32, 12, 4, 24
+K, LEAST, COMMON, SLOT_BITS = 128, 82, 4, 24
 _WORDS = WordHashes()
 
 
@@ -134,13 +134,14 @@ def confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, perc
     both = near.join(text("a"), ["a", "th_a"]).join(text("b"), ["b", "th_b"]).select("a", "b", "text_a", "text_b")
 
     def exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for s, t in zip(texts(batch, "text_a"), texts(batch, "text_b"), strict=True):
-                x, y = shingle_set(s, width), shingle_set(t, width)
-                both = len(x & y)
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
+        for whole in batches:
+            for i in range(0, whole.num_rows, 128):
+                batch, ok = whole.slice(i, 128), []
+                for s, t in zip(texts(batch, "text_a"), texts(batch, "text_b"), strict=True):
+                    x, y = shingle_set(s, width), shingle_set(t, width)
+                    both = len(x & y)
+                    ok.append(100 * both >= percent * (len(x) + len(y) - both))
+                yield batch.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
     links = scratch.save(both.mapInArrow(exact, "a long, b long"), "links")
     scratch.drop(near, held)
