@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tessera.llm import cascade
 from tessera.llm.class_lm import op1_class_lm
 from tessera.llm.digests import op7_canonical_digest
@@ -25,4 +26,5 @@ QUERIES = {
     "op9_deep_shallow": op9_deep_shallow,
     "op10_bottom_k": op10_bottom_k,
 }
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES: dict[str, str] = {"op6_cascade": cascade.SQL}

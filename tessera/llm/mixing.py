@@ -120,3 +120,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3) -> D
 
 def op4_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def apply(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3) -> DataFrame:
+    """The rows of docs, each as many times as the mix takes it. Equal rows have equal copies, so a decision is found by
+    the columns it depends on."""
+    d = mix(docs, weights, most).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), F.col("copies").cast("int").alias("_copies")).distinct()
+    keyed = docs.withColumn("_h", F.xxhash64("text"))
+    same = keyed["doc_id"].eqNullSafe(F.col("_id")) & keyed["source"].eqNullSafe(F.col("_source")) & (keyed["_h"] == F.col("_hash"))
+    return keyed.join(d, same).withColumn("_k", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
