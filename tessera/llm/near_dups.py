@@ -9,12 +9,13 @@ No list is expanded into all its pairs:
 - A list holds only documents that retain its hash among their rarest (an order by a hashed count table of fixed size), so
   common shingles open no list unless a document has nothing rarer. Two documents that share LEAST retained hashes
   share COMMON of those lists at least.
-- First every list links its members to one leader only; two rounds with different leaders collapse groups of copies.
+- First every list links its members to one leader only: that whose retained hashes are most common, which edited copies
+  share with their source; then, among what is still apart, to another. These rounds collapse groups of copies.
 - Then, where a list still holds several components, members outside its largest component meet the members of other
   components. Members of one component never meet. This step is what makes the links complete.
 
-Two documents of similarity 0.8 that both retain K = 128 hashes share fewer than LEAST = 82 with probability 1e-5; sets of
-up to 102 shingles are held whole, and their bound is exact.
+Two documents of similarity 0.8 that both retain K = 256 hashes share fewer than LEAST = 178 with probability 3e-5; sets of
+up to 204 shingles are held whole, and their bound is exact.
 
 Cases: a null, empty or blank text has no shingles, is its own component and kept; fewer words than a shingle make one
 shingle; a null doc_id is never linked, its component_id is null and it is kept; rows that share a doc_id are one node,
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import Scratch, WordHashes, components, documents, mixed, slot_counts, texts
 
-K, LEAST, COMMON, SLOT_BITS = 128, 82, 4, 24
+K, LEAST, COMMON, SLOT_BITS = 256, 178, 4, 24
 _WORDS = WordHashes()
 
 
@@ -61,6 +62,10 @@ def needed(n: int, percent: int) -> int:
     return -(-percent * n // 100) if n <= K * percent // 100 else min(LEAST, math.ceil(K * percent / 100))
 
 
+def _needed_sql(n: str, percent: int) -> str:
+    return f"if({n} <= {K * percent // 100}, ceil({percent} * {n} / 100.0), {min(LEAST, math.ceil(K * percent / 100))})"
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, th (text hash), n, d1, d2 (digest of the shingle set), sketch (little-endian hashes, ascending)."""
 
@@ -81,7 +86,9 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
 
 def lists(reps: DataFrame, percent: int) -> DataFrame:
-    """(value, rep): the inverted lists; each class opens them for its rarest retained hashes."""
+    """(value, rep, hub, pos): the inverted lists; pos is the value's place in the class's order by rarity.
+    Each class opens lists for its rarest retained hashes. hub sums the counts of
+    all that it retains: of a group of edited copies the text they were made from has the highest."""
     slot = lambda v: (v >> np.uint64(64 - SLOT_BITS)).astype(np.int64) ^ (v & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
     values = lambda batch: np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64)
     counts = reps.sparkSession.sparkContext.broadcast(slot_counts(reps.select("sketch"), SLOT_BITS, lambda b: slot(values(b))))  # 32 MB at any input
@@ -89,19 +96,22 @@ def lists(reps: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
         for batch in batches:
-            out, rep = [], []
+            out, rep, hub, pos = [], [], [], []
             for r, n, s in zip(batch.column("rep").to_pylist(), batch.column("n").to_pylist(), batch.column("sketch").to_pylist(), strict=True):
                 v = np.frombuffer(s, np.uint64)
                 c = table[slot(v)]
                 least = needed(n, percent)
                 order = np.lexsort((v, c))[: len(v) - least + min(COMMON, least)]
-                shared = v[order[c[order] > 1]]  # a count of one proves that no other class has it
+                at = np.flatnonzero(c[order] > 1)  # a count of one proves that no other class has it
+                shared = v[order[at]]
                 out.append(shared)
+                pos.append(at)
                 rep += [r] * len(shared)
+                hub += [int(c.sum(dtype=np.int64))] * len(shared)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64)), pa.array(rep, pa.int64())], ["value", "rep"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64)), pa.array(rep, pa.int64()), pa.array(hub, pa.int64()), pa.array(np.concatenate(pos), pa.int32())], ["value", "rep", "hub", "pos"])
 
-    return reps.select("rep", "n", "sketch").mapInArrow(run, "value long, rep long")
+    return reps.select("rep", "n", "sketch").mapInArrow(run, "value long, rep long, hub long, pos int")
 
 
 def similar_sketches(a: bytes, b: bytes, n: int, m: int, percent: int) -> bool:
@@ -159,7 +169,8 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     links = None
     roots = None
     for seed in (1, 2):
-        lead = F.struct(F.xxhash64(F.lit(seed), "rep").alias("h"), F.col("rep").alias("a"))
+        first_by = -F.col("hub") if seed == 1 else F.xxhash64("rep")
+        lead = F.struct(first_by.alias("h"), F.col("rep").alias("a"))
         leaders = table.groupBy(F.col("value").alias("v")).agg(F.min(lead).alias("lead"), F.count("*").alias("many")).where("many > 1").select("v", "lead.a")
         pairs = table.join(leaders, F.col("value") == F.col("v")).where("rep <> a").select("a", F.col("rep").alias("b"))
         if roots is not None:
@@ -189,16 +200,20 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _crossing(table: DataFrame, roots: DataFrame, reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs of different components that share enough lists."""
-    known = table.join(roots, F.col("rep") == F.col("node"), "left").select("value", "rep", F.coalesce("root", "rep").alias("comp"))
+    known = table.join(roots, F.col("rep") == F.col("node"), "left").select("value", "rep", "pos", F.coalesce("root", "rep").alias("comp"))
     sizes = reps.select(F.col("rep").alias("r"), "n")
     known = scratch.save(known.join(sizes, F.col("rep") == F.col("r")).drop("r"), "placed")
     per = known.groupBy("value", "comp").agg(F.count("*").alias("many"))
     live = per.groupBy(F.col("value").alias("v")).agg(F.max(F.struct("many", "comp")).alias("x"), F.count("*").alias("comps")).where("comps > 1")
     live = known.join(live.select("v", F.col("x.comp").alias("major")), F.col("value") == F.col("v")).drop("v")
     live = scratch.save(live, "live")
-    x = live.where("comp <> major").select(F.col("value").alias("vx"), F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"))
-    y = live.select("value", F.col("rep").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"), (F.col("comp") == F.col("major")).alias("in_major"))
-    near = F.expr(f"vx = value and cx <> cy and (in_major or x < y) and 100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
+    x = live.where("comp <> major").select(F.col("value").alias("vx"), F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("pos").alias("px"))
+    y = live.select("value", F.col("rep").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"), F.col("pos").alias("py"), (F.col("comp") == F.col("major")).alias("in_major"))
+    # the lists before this one and the hashes after it bound what two classes can share
+    whole = f"ceil({percent} * (nx + ny) / {100 + percent}.0)"
+    need = f"if(nx <= {K} and ny <= {K}, {whole}, least({LEAST}, {_needed_sql('nx', percent)}, {_needed_sql('ny', percent)}))"
+    bound = f"least(least(nx, {K}) - px, least(ny, {K}) - py) + {COMMON - 1} >= {need}"
+    near = F.expr(f"vx = value and {bound} and cx <> cy and (in_major or x < y) and 100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
     pairs = x.join(y, near).groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "nx", "ny").agg(F.count("*").alias("shared"))
     few = lambda c: F.least(F.lit(COMMON), F.ceil(F.col(c) * percent / 100))
     return pairs.where(F.col("shared") >= F.least(few("nx"), few("ny"))).select("a", "b").distinct()
