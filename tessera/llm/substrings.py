@@ -161,7 +161,9 @@ def deep_shallow(strings: list[bytes], group: np.ndarray) -> tuple[np.ndarray, n
     """(order, shared): strings of one length sorted within their groups, and the bytes that each shares with the one
     before it in order (0 at a group's first). Multikey quicksort by words down to SHALLOW bytes, then blind tries."""
     n = len(strings)
-    width = len(strings[0]) if n else 0
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    width = len(strings[0])
     depth = min(SHALLOW, width) // 8 * 8
     words = np.array([np.frombuffer(s, ">u8", depth // 8) for s in strings], np.uint64).reshape(n, depth // 8)
     order = np.argsort(group, kind="stable")

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -69,6 +70,11 @@ def test_documents(spark):
     assert rows == brute(docs) and sum(r[2] for r in rows) > 0
 
 
+def test_groups_of_one_run_only():
+    batch = pa.RecordBatch.from_pylist([{"g": 1, "doc_id": 1, "th": 1, "lo": 0, "bytes": b"x" * 220, "d": 3, "top": 3, "low": 0, "n": 1}])
+    assert sum(b.num_rows for b in substrings._sorted_runs([batch])) == 0
+
+
 def test_deep_shallow_order():
     rng = random.Random(3)
     base = [bytes(rng.choice(b"ab") for _ in range(64)) for _ in range(5)]
