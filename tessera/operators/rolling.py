@@ -21,7 +21,7 @@ WARM_UP = 69
 
 
 def feature_names() -> list[str]:
-    return [*KBAR, *PRICE, *(f"{f}{n}" for f in FAMILIES for n in WINDOWS)]
+    return [*KBAR, *PRICE, *(f"{f}{n}" for n in WINDOWS for f in FAMILIES)]
 
 
 def _by(num: Column, den: Column, serve: bool) -> Column:
