@@ -28,7 +28,7 @@ from tessera.llm.common import Scratch, WordHashes, documents, maybe_among, mixe
 
 SLOT_BITS = 24
 #: A line's place in the order of all lines.
-PLACE = ("nul", "id", "rid", "line")
+PLACE = ("id", "rid", "line")
 _WORDS = WordHashes()
 
 
@@ -61,7 +61,8 @@ def _slots(h: np.ndarray) -> np.ndarray:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").isNull().cast("int").alias("nul"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.monotonically_increasing_id().alias("rid"), "text")
+    """A row without doc_id comes last."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("id"), F.monotonically_increasing_id().alias("rid"), "text")
 
 
 def _lines(keyed: DataFrame) -> DataFrame:
@@ -71,9 +72,9 @@ def _lines(keyed: DataFrame) -> DataFrame:
         for batch in batches:
             row, line, size, h = _sets(texts(batch))
             d1, d2 = _digests(size, h)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(row)) for c in PLACE[:3]), pa.array(line), pa.array(size), pa.array(d1), pa.array(d2)], [*PLACE, "n", "d1", "d2"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(row)) for c in PLACE[:2]), pa.array(line), pa.array(size, pa.int32()), pa.array(d1), pa.array(d2)], [*PLACE, "n", "d1", "d2"])
 
-    return keyed.mapInArrow(run, "nul int, id long, rid long, line int, n long, d1 long, d2 long")
+    return keyed.mapInArrow(run, "id long, rid long, line int, n int, d1 long, d2 long")
 
 
 def prefix(n: np.ndarray, percent: int) -> np.ndarray:
@@ -82,7 +83,7 @@ def prefix(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _index(keyed: DataFrame, percent: int) -> DataFrame:
-    """(w, pos) of each line's indexed words with the line's place, size, digest and bitmaps."""
+    """(w, pos) of each line's indexed words with the line's place, size n, half its set's digest d and a bitmap m."""
     hashes = lambda batch: _slots(_sets(texts(batch))[3])
     counts = keyed.sparkSession.sparkContext.broadcast(slot_counts(keyed.select("text"), SLOT_BITS, hashes))  # 32 MB at any input
 
@@ -97,19 +98,18 @@ def _index(keyed: DataFrame, percent: int) -> DataFrame:
             own = np.repeat(np.arange(len(size)), size)
             count = table[_slots(h)]
             order = np.lexsort((h, count, own))
-            one = np.uint64(1)
-            maps = [np.bitwise_or.reduceat(one << (h >> np.uint64(s) & np.uint64(63)), start).view(np.int64) for s in (0, 6)]
+            bitmap = np.bitwise_or.reduceat(np.uint64(1) << (h & np.uint64(63)), start).view(np.int64)
             # smaller sets can only be similar to equal ones, which are one class already
             at = ragged(start, np.where(size > percent // (100 - percent) - 1, prefix(size, percent), 0))
             at = at[count[order[at]] > 1]
             k, w = own[order[at]], h[order[at]]
             take = pa.array(row[k])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(w.view(np.int64)), pa.array(at - start[k]), *(batch.column(c).take(take) for c in PLACE[:3]), *(pa.array(x[k]) for x in (line, size, d1, d2, *maps))],
-                ["w", "pos", *PLACE, "n", "d1", "d2", "m1", "m2"],
+                [pa.array(w.view(np.int64)), pa.array(at - start[k], pa.int32()), *(batch.column(c).take(take) for c in PLACE[:2]), pa.array(line[k]), pa.array(size[k], pa.int32()), pa.array(d1[k]), pa.array(bitmap[k])],
+                ["w", "pos", *PLACE, "n", "d", "m"],
             )
 
-    return keyed.mapInArrow(run, "w long, pos long, nul int, id long, rid long, line int, n long, d1 long, d2 long, m1 long, m2 long")
+    return keyed.mapInArrow(run, "w long, pos int, id long, rid long, line int, n int, d long, m long")
 
 
 def _similar(percent: int) -> Column:
@@ -118,12 +118,12 @@ def _similar(percent: int) -> Column:
     length = f"100 * least(xn, yn) >= {percent} * greatest(xn, yn)"
     positional = f"least(xpos, ypos) + 1 + least(xn - xpos, yn - ypos) - 1 >= {overlap}"
     apart = f"xn + yn - 2 * {overlap}"
-    bitmap = f"bit_count(xm1 ^ ym1) <= {apart} and bit_count(xm2 ^ ym2) <= {apart}"
+    bitmap = f"bit_count(xm ^ ym) <= {apart}"
     return F.expr(f"{length} and {positional} and {bitmap}")
 
 
 def _side(x: str) -> list[Column]:
-    return [F.struct(*PLACE).alias(x), *(F.col(c).alias(f"{x}{c}") for c in ("pos", "n", "m1", "m2"))]
+    return [F.struct(*PLACE).alias(x), *(F.col(c).alias(f"{x}{c}") for c in ("pos", "n", "m"))]
 
 
 def _confirmed(pairs: DataFrame, keyed: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
@@ -155,20 +155,21 @@ def matches(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     scratch = Scratch(docs.sparkSession, "lines")
     keyed = _keyed(docs)
     lines = scratch.save(_lines(keyed), "lines")
-    index = _index(keyed, percent).groupBy("w", "pos", "n", "d1", "d2", "m1", "m2").agg(F.min(F.struct(*PLACE)).alias("p"))
-    index = scratch.save(index.select("w", "pos", "p.*", "n", "m1", "m2"), "index")
-    first = index.groupBy(F.col("w").alias("v")).agg(F.min(F.struct(*PLACE, "pos", "n", "m1", "m2")).alias("f"), F.count("*").alias("many")).where("many > 1")
+    index = _index(keyed, percent).groupBy("w", "pos", "n", "d", "m").agg(F.min(F.struct(*PLACE)).alias("p"))
+    index = scratch.save(index.select("w", "pos", "p.*", "n", "m"), "index")
+    first = index.groupBy(F.col("w").alias("v")).agg(F.min(F.struct(*PLACE, "pos", "n", "m")).alias("f"), F.count("*").alias("many")).where("many > 1")
     y = first.select("v", "f.*").select("v", *_side("y"))
     x = index.select("w", *_side("x"))
     found = _confirmed(x.join(y, F.col("w") == F.col("v")).where(F.col("y") < F.col("x")).where(_similar(percent)), keyed, percent, scratch)
     lists = scratch.save(index.join(first.select("v"), F.col("w") == F.col("v"), "left_semi"), "lists")
+    scratch.drop(index)
     done = found.select(F.col("rid").alias("r"), F.col("line").alias("l"))
     rest = lists.join(done, F.expr("rid = r and line = l"), "left_anti")
     y = lists.select(F.col("w").alias("v"), *_side("y"))
     late = rest.select("w", *_side("x")).join(y, (F.col("w") == F.col("v")) & (F.col("y") < F.col("x")) & _similar(percent))
     found = found.union(_confirmed(late, keyed, percent, scratch)).select(F.col("rid").alias("r"), F.col("line").alias("l"))
     # later members of a class, and first ones with an earlier match
-    heads = lines.groupBy(F.col("d1").alias("h1"), F.col("d2").alias("h2")).agg(F.min(F.struct("nul", "id", "rid", "line")).alias("head"))
+    heads = lines.groupBy(F.col("d1").alias("h1"), F.col("d2").alias("h2")).agg(F.min(F.struct(*PLACE)).alias("head"))
     placed = lines.join(heads, (F.col("d1") == F.col("h1")) & (F.col("d2") == F.col("h2")))
     later = placed.where(F.struct(*PLACE) > F.col("head")).select("rid", "line")
     removed = scratch.save(later.union(found).distinct(), "removed")
