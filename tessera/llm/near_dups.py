@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, WordHashes, components, documents, mixed, slot_counts, texts
+from tessera.llm.common import Scratch, WordHashes, components, documents, maybe_among, mixed, slot_counts, texts
 
 K, LEAST, COMMON, SLOT_BITS = 256, 178, 4, 24
 _WORDS = WordHashes()
@@ -126,7 +126,10 @@ def similar_sketches(a: bytes, b: bytes, n: int, m: int, percent: int) -> bool:
 
 def confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
     """The links (a, b) among candidate pairs: first by sketches, then by the full sets of the texts."""
-    side = lambda x: reps.select(F.col("rep").alias(x), F.col("th").alias(f"th_{x}"), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
+    pairs = scratch.save(pairs, "pairs")
+    # sketches and texts outside the pairs stay where they are: a bitmap of fixed size tells before the shuffle
+    some = maybe_among(reps, "rep", pairs.select("a").union(pairs.select("b"))).where("_among")
+    side = lambda x: some.select(F.col("rep").alias(x), F.col("th").alias(f"th_{x}"), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
     near = pairs.join(side("a"), "a").join(side("b"), "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
 
     def estimate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,8 +140,10 @@ def confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, perc
 
     near = scratch.save(near.mapInArrow(estimate, "a long, th_a long, b long, th_b long"), "near")
     wanted = near.select(F.col("a").alias("id"), F.col("th_a").alias("h")).union(near.select("b", "th_b")).distinct()
+    wanted = scratch.save(wanted, "wanted")
     keyed = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
-    held = keyed.join(wanted, (F.col("doc_id") == F.col("id")) & (F.col("th") == F.col("h")), "left_semi")
+    held = maybe_among(keyed, "doc_id", wanted.select("id")).where("_among").drop("_among")
+    held = held.join(wanted, (F.col("doc_id") == F.col("id")) & (F.col("th") == F.col("h")), "left_semi")
     held = scratch.save(held.dropDuplicates(["doc_id", "th"]), "texts")
     text = lambda x: held.select(F.col("doc_id").alias(x), F.col("th").alias(f"th_{x}"), F.col("text").alias(f"text_{x}"))
     both = near.join(text("a"), ["a", "th_a"]).join(text("b"), ["b", "th_b"]).select("a", "b", "text_a", "text_b")
@@ -154,7 +159,7 @@ def confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, perc
                 yield batch.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
     links = scratch.save(both.mapInArrow(exact, "a long, b long"), "links")
-    scratch.drop(near, held)
+    scratch.drop(pairs, near, wanted, held)
     return links
 
 
@@ -165,13 +170,18 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     linked = base.where("n > 0 and doc_id is not null")
     reps = linked.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "th", "n", "sketch")).alias("x"))
     reps = scratch.save(reps.select("d1", "d2", F.col("x.doc_id").alias("rep"), "x.th", "x.n", "x.sketch"), "classes")
-    table = scratch.save(lists(reps, percent), "lists")
+    members = scratch.save(base.select("doc_id", "n", "d1", "d2"), "members")
+    scratch.drop(base)
+    opened = scratch.save(lists(reps, percent), "opened")
+    shared = opened.groupBy(F.col("value").alias("v")).agg(F.count("*").alias("many")).where("many > 1").select("v")
+    table = scratch.save(opened.join(shared, F.col("value") == F.col("v"), "left_semi"), "lists")
+    scratch.drop(opened)
     links = None
     roots = None
     for seed in (1, 2):
         first_by = -F.col("hub") if seed == 1 else F.xxhash64("rep")
         lead = F.struct(first_by.alias("h"), F.col("rep").alias("a"))
-        leaders = table.groupBy(F.col("value").alias("v")).agg(F.min(lead).alias("lead"), F.count("*").alias("many")).where("many > 1").select("v", "lead.a")
+        leaders = table.groupBy(F.col("value").alias("v")).agg(F.min(lead).alias("lead")).select("v", "lead.a")
         pairs = table.join(leaders, F.col("value") == F.col("v")).where("rep <> a").select("a", F.col("rep").alias("b"))
         if roots is not None:
             pairs = _apart(pairs, roots)
@@ -182,8 +192,8 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     crossing = _crossing(table, roots, reps, percent, scratch)
     links = links.union(confirm(crossing, reps, docs, width, percent, scratch))
     # rows that share a doc_id are one node, whatever their texts
-    first = base.join(reps.select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), "rep"), (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")) & F.expr("n > 0 and doc_id is not null"), "left")
-    first = scratch.save(first.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep")), "members")
+    first = members.join(reps.select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), "rep"), (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")) & F.expr("n > 0 and doc_id is not null"), "left")
+    first = scratch.save(first.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep")), "nodes")
     repeated = first.where("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b")
     links = links.union(repeated.select("a", "b")).union(repeated.select("a", F.col("doc_id").alias("b")).where("a <> b"))
     roots = components(links, scratch)
