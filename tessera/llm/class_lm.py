@@ -1,11 +1,14 @@
 """Operator 1: a Brown class-based bigram model by exchange clustering, and the texts' probabilities under it.
 
-Words are clustered through units: a word that makes up THETA of the training tokens or more is a unit of its own; the
-others share the unit of their longest ending (three, two or one byte) that is as frequent. So there are at most
-3 / THETA + 256 units at any input, each word has one, and no word is left out. Exchange: in turn a third of the units
-move to the class that raises the class-bigram likelihood most, given all others (where the moves together do not raise
-it, the better half of them); a round that raises it no more ends the clustering. Context counts stay distributed, a row for each unit; only class tables (CLASSES squared) and the units'
-classes reach the driver.
+Words are clustered through units: a word that training holds LEAST times or more is a unit of its own; a rarer one has too
+little context and shares the unit of its longest ending (three, two or one byte) that rare words have as often. So the
+clustered vocabulary grows with the input, each word has a unit, and no word is left out. Exchange: in turn a third of the
+units move to the class that raises the class-bigram likelihood most, given all others (where the moves together do not
+raise it, the better half of them); a round that raises it no more ends the clustering.
+
+Units and contexts stay distributed: units are numbered by frequency in a table, a unit's context is a row, or several for
+one with many neighbours. Class tables (CLASSES squared) and one byte for each unit, its class, are broadcast; moves
+(17 bytes for each unit that moves) reach the driver as arrays.
 
     P(w | h) = MIX * P(class(w) | class(h)) * P(w | class(w)) + (1 - MIX) * base(w)
 
@@ -30,9 +33,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, documents, offsets, texts
+from tessera.llm.common import Scratch, documents, texts
 
-CLASSES, THETA, MIX, SHARE = 64, 1e-4, 0.95, 20.0
+CLASSES, LEAST, MIX, SHARE = 64, 10, 0.95, 20.0
+PART = 16_384  # neighbours in a row of a unit's context, about
 CHUNK_TOKENS, ROUNDS, HALVINGS = 4_000_000, 3, 4
 END = b""  # no word is empty
 
@@ -91,99 +95,124 @@ def chunks(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", rest.alias("held"), (F.col("doc_id").isNotNull() & ~rest).alias("learn"), "text").mapInArrow(run, schema)
 
 
-class Units(dict):
-    """word -> its unit, from the tables of frequent words and endings; kept for a task, bounded."""
-
-    def __init__(self, table: dict[bytes, int]):
-        self.table = table
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        t = self.table
-        n = t.get(b"=" + word)
-        for k in (3, 2, 1):
-            if n is not None:
-                break
-            n = t.get(b"-" + word[-k:]) if len(word) >= k else None
-        n = self[word] = 0 if n is None else n
-        return n
-
-
-def unit_table(vocabulary: DataFrame, total: int) -> dict[bytes, int]:
-    """Unit numbers of frequent words ('=' before them) and of endings ('-'); number 0 is for whatever is left."""
-    least = max(2.0, THETA * total)
-    rare = vocabulary.where((F.col("c") < least) & (F.col("word") != ""))
-    table = {b"=" + r["word"].encode(): r["c"] for r in vocabulary.where((F.col("c") >= least) | (F.col("word") == "")).collect()}
-    raw = rare.select(F.col("word").cast("binary").alias("w"), "c")
+def ending(k: int) -> Column:
+    """The last k bytes of a word, null if it is shorter."""
+    w = F.col("word").cast("binary")
+    return F.when(F.length(w) >= k, F.substring(w, -k, k))
+
+
+def unit_tables(vocabulary: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, int]:
+    """(word, c, unit) of frequent words, (ending, unit) of the rare ones' endings, and the number of units. They are
+    numbered from 1 by frequency; 0 is for words whose endings no rare word has."""
+    own = (F.col("c") >= LEAST) | (F.col("word") == "")
+    ends = vocabulary.where(~own).select(F.explode(F.array(*(ending(k) for k in (3, 2, 1)))).alias("ending"), "c").where("ending is not null")
+    ends = ends.groupBy("ending").agg(F.sum("c").alias("c")).where((F.col("c") >= LEAST) | (F.length("ending") == 1))
+    both = vocabulary.where(own).select("word", "c", F.lit(None).cast("binary").alias("ending")).unionByName(ends, allowMissingColumns=True)
+    ordered = scratch.save(both.orderBy(F.col("c").desc(), "word", "ending").withColumn("id", F.monotonically_increasing_id()), "ordered")
+    part, firsts, many = F.expr("shiftright(id, 33)"), [], 1
+    for r in sorted(ordered.groupBy(part.alias("part")).count().collect()):  # a row for each part of the table
+        firsts.append((r["part"], many))
+        many += r["count"]
+    first = F.broadcast(vocabulary.sparkSession.createDataFrame(firsts, "part long, first long"))
+    numbered = ordered.join(first, part == F.col("part")).withColumn("unit", F.col("first") + F.expr("id & 8589934591"))
+    return numbered.where("word is not null").select("word", "c", "unit"), numbered.where("ending is not null").select("ending", "unit"), many
+
+
+def by_ending(words: DataFrame, endings: DataFrame) -> DataFrame:
+    """``words`` with ``unit``, that of each one's longest known ending."""
+    kept = words.columns
     for k in (3, 2, 1):
-        ending = F.expr(f"substring(w, length(w) - {k - 1}, {k})")
-        sums = raw.where(f"length(w) >= {k}").groupBy(ending.alias("e")).agg(F.sum("c").alias("c"))
-        frequent = sums.where(F.col("c") >= least) if k > 1 else sums
-        got = frequent.collect()  # at most 1 / THETA rows, 256 for single bytes
-        table |= {b"-" + bytes(r["e"]): r["c"] for r in got}
-        if k > 1 and got:
-            e = vocabulary.sparkSession.createDataFrame([(bytes(r["e"]),) for r in got], "e binary")
-            raw = raw.join(F.broadcast(e), ending == F.col("e"), "left_anti")
-    ordered = sorted(table, key=lambda u: (-table[u], u))
-    return {u: i + 1 for i, u in enumerate(ordered)}
-
-
-def contexts(docs: DataFrame, table: dict[bytes, int]) -> DataFrame:
-    """(u, others, n): for each unit, the units after it (as they are) and before it (as -1 - unit) with their counts."""
-    units = docs.sparkSession.sparkContext.broadcast(table)  # at most 3 / THETA + 257 entries
-    many = len(table) + 1
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, pairs, size = Units(units.value), [], 0
-        end = unit[END]
-
-        def flush() -> pa.RecordBatch:
-            code, n = np.unique(np.concatenate(pairs), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(code // many), pa.array(code % many), pa.array(n)], ["a", "b", "n"])
-
-        for batch in batches:
-            for t in texts(batch):
-                x = np.array([end, *map(unit.__getitem__, t.lower().split()), end], np.int64)
-                pairs.append(x[:-1] * many + x[1:])
-                size += len(x)
-                if size > 4_000_000:
-                    yield flush()
-                    pairs, size = [], 0
-        if pairs:
-            yield flush()
-
-    learn = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("text")
-    pairs = learn.mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+        e = endings.where(F.length("ending") == k).select(F.col("ending").alias(f"_e{k}"), F.col("unit").alias(f"_u{k}"))
+        words = words.join(e if k == 3 else F.broadcast(e), ending(k) == F.col(f"_e{k}"), "left")  # 256 and 65,536 rows at most
+    return words.select(*kept, F.coalesce("_u3", "_u2", "_u1", F.lit(0)).alias("unit"))
+
+
+def contexts(rows: DataFrame, counted: DataFrame, placed: DataFrame, many: int, scratch: Scratch) -> DataFrame:
+    """(u, others, n, parts): for each unit, the units after it (as they are) and before it (as -1 - unit) with their
+    counts; one with many neighbours has them in several rows."""
+
+    def run(d: pa.Table, v: pa.Table) -> pa.Table:
+        if not d.num_rows:
+            return pa.table([pa.array([], pa.int64())] * 3, names=["a", "b", "n"])
+        wid, unit = v.column("wid").to_numpy(), np.zeros(v.num_rows, np.int64)
+        unit[wid] = v.column("unit").to_numpy()
+        x = np.concatenate([np.frombuffer(ids.as_py(), np.int32) for ids in d.column("ids")])  # each text ends with END
+        x = unit[np.concatenate([x[-1:], x])]
+        code, n = np.unique(x[:-1] * many + x[1:], return_counts=True)
+        return pa.table([pa.array(code // many), pa.array(code % many), pa.array(n)], names=["a", "b", "n"])
+
+    learn = rows.where(F.col("doc_id").isNotNull() & ~F.col("held")).select("own", "ids")
+    pairs = learn.groupBy("own").cogroup(counted.select("chunk", "wid", "unit").groupBy("chunk")).applyInArrow(run, "a long, b long, n long")
+    pairs = scratch.save(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
     both = pairs.select(F.col("a").alias("u"), F.col("b").alias("o"), "n").union(pairs.select("b", -1 - F.col("a"), "n"))
-    return both.groupBy("u").agg(F.collect_list(F.struct("o", "n")).alias("x")).select("u", F.col("x.o").alias("others"), F.col("x.n").alias("n"))
+    # a unit has at most twice its tokens as neighbours, so few can have many
+    large = placed.groupBy(F.col("unit").alias("u")).agg(F.sum("c").alias("c")).where(F.col("c") > PART // 2).select("u", F.expr(f"1 + 2 * c div {PART}").alias("parts"))
+    both = both.join(large, "u", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    both = both.groupBy("u", "parts", F.expr("pmod(xxhash64(o), parts)").alias("part")).agg(F.collect_list(F.struct("o", "n")).alias("x"))
+    out = scratch.save(both.select("u", F.col("x.o").alias("others"), F.col("x.n").alias("n"), "parts"), "contexts")
+    scratch.drop(pairs)
+    return out
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
+def _gains_of(own: np.ndarray, after: np.ndarray, before: np.ndarray, itself: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """_gains for several units, a row each; only cells that a unit has count."""
+    u, k = after.shape
+    each, gain = np.arange(u), np.zeros((u, k))
+    for x, y, t in ((after, before, m), (before, after, m.T)):
+        at, j = np.nonzero(x)
+        if not len(at):
+            continue
+        v, o, i = x[at, j], own[at], np.arange(len(at))
+        cells, was = t.T[j], _xlogx(t.T)[j]  # a column of t for each cell
+        s = np.flatnonzero(j == o)
+        cells[i, o] -= v
+        cells[s] -= y[at[s]]
+        cells[s, o[s]] -= itself[at[s]]
+        was[s] = _xlogx(cells[s])
+        was[i, o] = _xlogx(cells[i, o])
+        first = np.flatnonzero(np.diff(at, prepend=-1))
+        gain[at[first]] += np.add.reduceat(_xlogx(cells + v[:, None]) - was, first)
+    a, b = after.sum(1) + itself, before.sum(1) + itself
+    d, rows, cols = (np.repeat(x[None], u, 0) for x in (m.diagonal(), m.sum(1), m.sum(0)))
+    d[each, own] -= after[each, own] + before[each, own] + itself
+    rows[each, own] -= a
+    cols[each, own] -= b
+    gain += _xlogx(d + after + before + itself[:, None]) - _xlogx(d + after) - _xlogx(d + before) + _xlogx(d)
+    return gain - _xlogx(rows + a[:, None]) + _xlogx(rows) - _xlogx(cols + b[:, None]) + _xlogx(cols)
+
+
 def _gains(own: int, after: np.ndarray, before: np.ndarray, itself: float, m: np.ndarray) -> np.ndarray:
     """Log-likelihood, up to a constant, of putting a unit into each class. after / before: its counts by the class of
     the next / last unit, without itself; own: its class, which it leaves first; m: class bigrams."""
-    k = len(m)
-    m = m.copy()
-    m[own] -= after
-    m[:, own] -= before
-    m[own, own] -= itself
-    rows, cols = m.sum(1) + before, m.sum(0) + after  # the others' sums do not depend on the unit's class
-    gain = (_xlogx(m + after) - _xlogx(m)).sum(1) + (_xlogx(m.T + before) - _xlogx(m.T)).sum(1)
-    d = np.arange(k)
-    gain += _xlogx(m[d, d] + after + before + itself) - _xlogx(m[d, d] + after) - _xlogx(m[d, d] + before) + _xlogx(m[d, d])
-    total = lambda a, x: _xlogx(a + x) - _xlogx(a)
-    return gain - total(rows, after.sum() + itself) - total(cols, before.sum() + itself)
-
-
-def cluster(context: DataFrame, many: int, counts: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """(class of each unit, class bigram counts). Units start in classes by frequency rank."""
+    return _gains_of(np.array([own]), after[None].astype(float), before[None].astype(float), np.array([itself], float), m)[0]
+
+
+def _best(u: np.ndarray, own: np.ndarray, profile: np.ndarray, m: np.ndarray) -> list[np.ndarray]:
+    """(units, classes, gains) of units that another class is better for. profile: after, before and itself in a row."""
+    k, out = len(m), []
+    for i in range(0, len(u), 500):
+        p, c = profile[i : i + 500], own[i : i + 500]
+        gain = _gains_of(c, p[:, :k], p[:, k:-1], p[:, -1], m)
+        best, each = gain.argmax(1), np.arange(len(c))
+        more = gain[each, best] - gain[each, c]
+        at = np.flatnonzero(more > 1e-6)
+        out.append((u[i + at], best[at], more[at]))
+    return [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+
+
+def cluster(context: DataFrame, many: int, counts: np.ndarray | None = None, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """(class of each unit, class bigram counts). Units start in classes by frequency rank; without ``counts`` their
+    numbers are their ranks."""
     sc = context.sparkSession.sparkContext
-    where = np.zeros(many, np.int64)
-    where[np.argsort(-counts, kind="stable")] = np.arange(many) % classes
+    where = np.zeros(many, np.uint8 if classes <= 256 else np.int64)
+    where[np.arange(many) if counts is None else np.argsort(-counts, kind="stable")] = np.arange(many) % classes
+    if "parts" not in context.columns:
+        context = context.withColumn("parts", F.lit(1).cast("long"))
+    thirds = [context.where(F.expr(f"pmod(shiftright(u * 2654435761, 8), 3) = {turn}")) for turn in range(3)]
 
     def flat(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
         """(units, length of each one's list, others, counts): the lists of a batch one after another."""
@@ -191,65 +220,87 @@ def cluster(context: DataFrame, many: int, counts: np.ndarray, classes: int = CL
         size = lists.value_lengths().to_numpy(zero_copy_only=False)
         return batch.column("u").to_numpy(), size, lists.flatten().to_numpy(), batch.column("n").flatten().to_numpy().astype(np.float64)
 
-    def bigrams(c: np.ndarray) -> np.ndarray:
-        shared = sc.broadcast(c)
+    def changed(rows: DataFrame, old: np.ndarray, new: np.ndarray | None) -> np.ndarray:
+        """Class bigrams with ``old``; or with ``new``, the difference, from the contexts of the units it moves."""
+        shared = sc.broadcast((old, new))
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            c, m = shared.value, np.zeros((classes, classes))
+            (c, to), m = shared.value, np.zeros(classes * classes)
             for batch in batches:
                 u, size, o, n = flat(batch)
-                u, after = np.repeat(u, size), o >= 0
-                m += np.bincount(c[u[after]] * classes + c[o[after]], n[after], classes * classes).reshape(classes, classes)
+                u = np.repeat(u, size)
+                if to is None:
+                    s = o >= 0
+                    m += np.bincount(c[u[s]].astype(np.int64) * classes + c[o[s]], n[s], classes * classes)
+                    continue
+                next_, w = o >= 0, np.where(o >= 0, o, -1 - o)
+                # a pair of two that move counts once, with its first
+                s = (c[u] != to[u]) & (next_ | (c[w] == to[w]))
+                next_, u, w, n = next_[s], u[s], w[s], n[s]
+                a, b = np.where(next_, u, w), np.where(next_, w, u)
+                for k, sign in ((to, 1), (c, -1)):
+                    m += sign * np.bincount(k[a].astype(np.int64) * classes + k[b], n, classes * classes)
             at = np.flatnonzero(m)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(m.ravel()[at].astype(np.int64))], ["cell", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.rint(m[at]).astype(np.int64))], ["cell", "n"])
 
         m = np.zeros(classes * classes)
-        for r in context.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        for r in rows.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
             m[r["cell"]] = r["n"]
+        shared.unpersist()
         return m.reshape(classes, classes)
 
-    def better(c: np.ndarray, m: np.ndarray, turn: int) -> list:
+    def better(c: np.ndarray, m: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
+        """Units and the classes they gain most in, the largest gain first."""
         shared = sc.broadcast((c, m))
+        width = 2 * classes + 1
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             c, m = shared.value
             for batch in batches:
-                to = []
-                units, size, others, counts = flat(batch)
-                upto = offsets(size)
-                for u, a, z in zip(units.tolist(), upto[:-1], upto[1:], strict=True):
-                    if (u * 2654435761 >> 8) % 3 != turn:
-                        continue
-                    o, n = others[a:z], counts[a:z]
-                    itself = n[o == u].sum()
-                    next_, last = (o >= 0) & (o != u), (o < 0) & (o != -1 - u)
-                    after, before = np.bincount(c[o[next_]], n[next_], classes), np.bincount(c[-1 - o[last]], n[last], classes)
-                    gain = _gains(int(c[u]), after, before, itself, m)
-                    best = int(gain.argmax())
-                    if gain[best] > gain[c[u]] + 1e-6:
-                        to.append((u, best, float(gain[best] - gain[c[u]])))
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in to], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["u", "k", "gain"])
-
-        moves = context.mapInArrow(run, "u long, k long, gain double").collect()  # a row for each unit at most
-        return sorted(moves, key=lambda r: (-r["gain"], r["u"]))
+                units, size, o, n = flat(batch)
+                row = np.repeat(np.arange(len(units)), size)
+                u, next_ = units[row], o >= 0
+                w = np.where(next_, o, -1 - o)
+                itself = u == w
+                cell = np.where(itself, width - 1, np.where(next_, 0, classes) + c[w])
+                s = next_ | ~itself
+                profile = np.bincount(row[s] * width + cell[s], n[s], len(units) * width).reshape(-1, width)
+                whole = batch.column("parts").to_numpy() == 1
+                u, k, gain = _best(units[whole], c[units[whole]].astype(np.int64), profile[whole], m)
+                rest = [x.tobytes() for x in profile[~whole]]
+                cols = [[*u, *units[~whole]], [*k, *[0] * len(rest)], [*gain, *[0.0] * len(rest)], [*[None] * len(u), *rest]]
+                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds, strict=True)], ["u", "k", "gain", "profile"])
+
+        got = thirds[turn].mapInArrow(run, "u long, k long, gain double, profile binary").toArrow()
+        shared.unpersist()
+        part = np.array(got.column("profile").is_valid(), bool)
+        u, k, gain = (got.column(x).to_numpy() for x in ("u", "k", "gain"))
+        large, at = np.unique(u[part], return_inverse=True)  # those in several rows: their sum
+        profile = np.zeros((len(large), width))
+        for i, x in zip(at, got.column("profile").drop_null(), strict=True):
+            profile[i] += np.frombuffer(x.as_py())
+        more = _best(large, c[large].astype(np.int64), profile, m)
+        u, k, gain = (np.concatenate([x[~part], y]) for x, y in zip((u, k, gain), more, strict=True))
+        order = np.lexsort((u, -gain))
+        return u[order], k[order]
 
     likelihood = lambda m: _xlogx(m).sum() - _xlogx(m.sum(1)).sum() - _xlogx(m.sum(0)).sum()
-    m = bigrams(where)
+    m = changed(context, where, None)
     for _ in range(rounds):
         before, moved = likelihood(m), 0
         for turn in range(3):
-            moves = better(where, m, turn)
+            units, to = better(where, m, turn)
             for _ in range(HALVINGS):  # moves that together undo each other: the better half of them
-                if not moves:
+                if not len(units):
                     break
                 after = where.copy()
-                for r in moves:
-                    after[r["u"]] = r["k"]
-                next_ = bigrams(after)
+                after[units] = to
+                next_ = m + changed(thirds[turn], where, after)
                 if likelihood(next_) > likelihood(m):
                     where, m, moved = after, next_, moved + 1
                     break
-                moves = moves[: len(moves) // 2]
+                units, to = units[: len(units) // 2], to[: len(units) // 2]
         if not moved or likelihood(m) - before < 1e-4 * abs(before):
             break
     return where, m
@@ -263,30 +314,36 @@ def score(docs: DataFrame) -> DataFrame:
     words = table.where("word is not null").select("chunk", "wid", "word", "c")
     vocabulary = scratch.save(words.groupBy("word").agg(F.sum("c").alias("c")).where("c > 0"), "vocabulary")
     total, known = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    units = unit_table(vocabulary, total)
-    many = len(units) + 1
-    shared = spark.sparkContext.broadcast(units)
+    frequent, endings, many = unit_tables(vocabulary, scratch)
+    rare = vocabulary.where((F.col("c") < LEAST) & (F.col("word") != ""))
+    placed = scratch.save(frequent.unionByName(by_ending(rare, endings)), "placed")
+    scratch.drop(vocabulary)
+    # a word that training lacks has the class of its ending as history for the next
+    joined = words.drop("c").join(placed.select(F.col("word").alias("pw"), "c", "unit"), F.col("word") == F.col("pw"), "left").drop("pw")
+    lost = by_ending(joined.where("c is null").select("chunk", "wid", "word", F.lit(0).cast("long").alias("c")), endings)
+    counted = scratch.save(joined.where("c is not null").select("chunk", "wid", "c", "unit").unionByName(lost.drop("word")), "counted")
+    rows = table.where("ids is not null").select(F.col("chunk").alias("own"), "doc_id", "held", "ids")
+    context = contexts(rows, counted, placed, many, scratch)
+    where, m = cluster(context, many)
+    scratch.drop(context)
+    shared = spark.sparkContext.broadcast(where)  # a byte for each unit
 
-    def with_unit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit = Units(shared.value)
+    def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c, v, k = np.zeros(CLASSES), np.zeros(CLASSES, np.int64), np.arange(CLASSES)
         for batch in batches:
-            w = batch.column("word").cast(pa.binary()).to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array([unit[x] for x in w], pa.int32())], ["word", "c", "unit"])
-
-    placed = scratch.save(vocabulary.mapInArrow(with_unit, "word string, c long, unit int"), "units")
-    scratch.drop(vocabulary)
-    per = np.zeros((2, many))
-    for r in placed.groupBy("unit").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():  # a row for each unit
-        per[:, r["unit"]] = r["c"], r["v"]
-    context = scratch.save(contexts(docs, units), "contexts")
-    where, m = cluster(context, many, per[0])
-    tokens, distinct = (np.bincount(where, x, CLASSES) for x in per)
+            kind = shared.value[batch.column("unit").to_numpy()]
+            c += np.bincount(kind, batch.column("c").to_numpy(), CLASSES)
+            v += np.bincount(kind, minlength=CLASSES)
+        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(c.astype(np.int64)), pa.array(v)], ["k", "c", "v"])
+
+    tokens, distinct = np.zeros(CLASSES), np.zeros(CLASSES)
+    for r in placed.mapInArrow(sums, "k long, c long, v long").groupBy("k").agg(F.sum("c").alias("c"), F.sum("v").alias("v")).collect():
+        tokens[r["k"]], distinct[r["k"]] = r["c"], r["v"]
     share = (tokens + 1e-9) / (tokens.sum() + 1e-9 * CLASSES)
     room = tokens + 0.5 * (distinct + 1)
     step = (m + SHARE * share) / (m.sum(1, keepdims=True) + SHARE)
     whole = total + 0.5 * (known + 1)
-    model = {"where": where, "room": room, "step": step, "none": step @ (0.5 / room), "end": int(where[units.get(b"=", 0)])}
-    parts = spark.sparkContext.broadcast(model)  # class tables, and a class for each unit
+    parts = spark.sparkContext.broadcast({"where": where, "room": room, "step": step, "none": step @ (0.5 / room)})
 
     def scored(d: pa.Table, v: pa.Table) -> pa.Table:
         p, wid = parts.value, v.column("wid").to_numpy()
@@ -300,25 +357,12 @@ def score(docs: DataFrame) -> DataFrame:
         for ids in d.column("ids"):
             x = np.frombuffer(ids.as_py(), np.int32)
             k, have = kind[x], c[x] > 0
-            last = np.concatenate([[p["end"]], k[:-1]])
+            last = np.concatenate([k[-1:], k[:-1]])  # its last token is END, which is before its first too
             by_class = np.where(have, p["step"][last, k] * emit[x], p["none"][last])
             out.append((len(x), int(have.sum()), float(log_base[x].sum()), float(np.log10(MIX * by_class + (1 - MIX) * base[x]).sum())))
         cols = [np.array(x) for x in zip(*out, strict=True)]
         return pa.table([d.column("doc_id"), d.column("held"), pa.array(cols[0]), pa.array(cols[1]), pa.array(np.full(len(out), total)), pa.array(cols[2]), pa.array(cols[3])], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    # a word that training lacks has the class of its ending as history for the next
-    counted = words.join(placed.select(F.col("word").alias("pw"), F.col("c").alias("pc"), "unit"), F.col("word") == F.col("pw"), "left")
-    known_ = counted.where("pc is not null").select("chunk", "wid", F.col("pc").alias("c"), "unit")
-    lost = counted.where("pc is null").select("chunk", "wid", "word", F.lit(0).cast("long").alias("c"))
-
-    def lost_unit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit = Units(shared.value)
-        for batch in batches:
-            w = batch.column("word").cast(pa.binary()).to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("wid"), batch.column("c"), pa.array([unit[x] for x in w], pa.int32())], ["chunk", "wid", "c", "unit"])
-
-    counted = known_.unionByName(lost.mapInArrow(lost_unit, "chunk long, wid int, c long, unit int"))
-    rows = table.where("ids is not null").select(F.col("chunk").alias("own"), "doc_id", "held", "ids")
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return rows.groupBy("own").cogroup(counted.groupBy("chunk")).applyInArrow(scored, out)
 

@@ -95,3 +95,39 @@ def test_model_is_a_distribution():
     c = np.array([5, 3, 1, 2.0])
     room = c.sum() + 0.5 * (len(c) + 1)
     assert ((c + 0.5) / room).sum() + 0.5 / room == pytest.approx(1)
+
+
+def test_every_word_above_a_fixed_count_is_a_unit(spark):
+    """However small its share of the corpus is; rare words have the unit of their longest frequent ending."""
+    rows = [("the", 10**9), ("", 10**6)] + [(f"w{i}ing", class_lm.LEAST) for i in range(50)] + [(f"q{i}ed", 4) for i in range(3)] + [("x", 1)]
+    frequent, endings, many = class_lm.unit_tables(spark.createDataFrame(rows, "word string, c long"), class_lm.Scratch(spark, "t"))
+    units = {r.word: r.unit for r in frequent.collect()}
+    assert set(units) == {w for w, c in rows if c >= class_lm.LEAST} and len(set(units.values())) == 52 and units["the"] == 1
+    e = {bytes(r.ending): r.unit for r in endings.collect()}
+    assert set(e) == {b"ed", b"d", b"x"} and sorted([*units.values(), *e.values()]) == list(range(1, many))
+    words = spark.createDataFrame([("q9ed",), ("zd",), ("x",), ("é",)], "word string")
+    assert {r.word: r.unit for r in class_lm.by_ending(words, endings).collect()} == {"q9ed": e[b"ed"], "zd": e[b"d"], "x": e[b"x"], "é": 0}
+
+
+def test_contexts_are_those_of_whole_words(spark, monkeypatch):
+    """Each unit's neighbours, against a count of pairs; a unit in several rows moves as one in a single row."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.3, 60) % 40) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found, cluster = [], class_lm.cluster
+    monkeypatch.setattr(class_lm, "cluster", lambda c, many: (found.append((c.collect(), many, cluster(c, many))), found[-1][2])[1])
+    class_lm.score(docs).collect()
+    monkeypatch.setattr(class_lm, "PART", 16)
+    class_lm.score(docs).collect()
+    pairs = []
+    for rows, _, _ in found:
+        pairs.append(Counter())
+        for r in rows:
+            pairs[-1].update({(r.u, o): n for o, n in zip(r.others, r.n)})
+    held = lambda d: zlib.crc32(str(d).encode()) % 5 == 1
+    want = Counter(p for i, t in enumerate(texts) if not held(i) for x in [[b"", *tokens(t)]] for p in zip(x[:-1], x[1:]))
+    assert sum(n for (_, o), n in pairs[0].items() if o >= 0) == want.total()
+    common = Counter(w for i, t in enumerate(texts) if not held(i) for w in tokens(t))
+    assert found[0][1] > sum(c >= class_lm.LEAST for c in common.values())
+    assert pairs[0] == pairs[1] and len(found[1][0]) > len(found[0][0]) == len({r.u for r in found[0][0]})
+    assert (found[0][2][0] == found[1][2][0]).all() and (found[0][2][1] == found[1][2][1]).all()
