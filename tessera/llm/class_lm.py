@@ -4,7 +4,8 @@ Words are clustered through units: a word that training holds LEAST times or mor
 little context and shares the unit of its longest ending (three, two or one byte) that rare words have as often. So the
 clustered vocabulary grows with the input, each word has a unit, and no word is left out. Exchange: in turn a third of the
 units move to the class that raises the class-bigram likelihood most, given all others (where the moves together do not
-raise it, the better half of them); a round that raises it no more ends the clustering.
+raise it, the better half of them, down to the best one); only a round that raises it by less than TOLERANCE of its value
+ends the clustering. Class bigrams are updated from the contexts of the units that move.
 
 Units and contexts stay distributed: units are numbered by frequency in a table, a unit's context is a row, or several for
 one with many neighbours. Class tables (CLASSES squared) and one byte for each unit, its class, are broadcast; moves
@@ -26,6 +27,7 @@ they occur; an empty table gives no rows; without any training token every word
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,7 @@ from tessera.llm.common import Scratch, documents, texts
 
 CLASSES, LEAST, MIX, SHARE = 64, 10, 0.95, 20.0
 PART = 16_384  # neighbours in a row of a unit's context, about
-CHUNK_TOKENS, ROUNDS, HALVINGS = 4_000_000, 3, 4
+CHUNK_TOKENS, TOLERANCE = 4_000_000, 1e-4
 END = b""  # no word is empty
 
 
@@ -204,9 +206,9 @@ def _best(u: np.ndarray, own: np.ndarray, profile: np.ndarray, m: np.ndarray) ->
     return [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
 
 
-def cluster(context: DataFrame, many: int, counts: np.ndarray | None = None, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+def cluster(context: DataFrame, many: int, counts: np.ndarray | None = None, classes: int = CLASSES, rounds: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(class of each unit, class bigram counts). Units start in classes by frequency rank; without ``counts`` their
-    numbers are their ranks."""
+    numbers are their ranks. Without ``rounds`` the clustering ends when one raises the likelihood by less than TOLERANCE."""
     sc = context.sparkSession.sparkContext
     where = np.zeros(many, np.uint8 if classes <= 256 else np.int64)
     where[np.arange(many) if counts is None else np.argsort(-counts, kind="stable")] = np.arange(many) % classes
@@ -287,13 +289,11 @@ def cluster(context: DataFrame, many: int, counts: np.ndarray | None = None, cla
 
     likelihood = lambda m: _xlogx(m).sum() - _xlogx(m.sum(1)).sum() - _xlogx(m.sum(0)).sum()
     m = changed(context, where, None)
-    for _ in range(rounds):
+    for _ in count() if rounds is None else range(rounds):
         before, moved = likelihood(m), 0
         for turn in range(3):
             units, to = better(where, m, turn)
-            for _ in range(HALVINGS):  # moves that together undo each other: the better half of them
-                if not len(units):
-                    break
+            while len(units):  # moves that together undo each other: the better half of them, down to the best one
                 after = where.copy()
                 after[units] = to
                 next_ = m + changed(thirds[turn], where, after)
@@ -301,7 +301,7 @@ def cluster(context: DataFrame, many: int, counts: np.ndarray | None = None, cla
                     where, m, moved = after, next_, moved + 1
                     break
                 units, to = units[: len(units) // 2], to[: len(units) // 2]
-        if not moved or likelihood(m) - before < 1e-4 * abs(before):
+        if not moved or likelihood(m) - before < TOLERANCE * abs(before):
             break
     return where, m
 

@@ -131,3 +131,28 @@ def test_contexts_are_those_of_whole_words(spark, monkeypatch):
     assert found[0][1] > sum(c >= class_lm.LEAST for c in common.values())
     assert pairs[0] == pairs[1] and len(found[1][0]) > len(found[0][0]) == len({r.u for r in found[0][0]})
     assert (found[0][2][0] == found[1][2][0]).all() and (found[0][2][1] == found[1][2][1]).all()
+
+
+def test_clustering_goes_on_while_the_likelihood_rises(spark):
+    rng = np.random.default_rng(5)
+    kind, next_ = rng.integers(0, 8, 160), rng.dirichlet(np.full(8, 0.3), 8)
+    members, pairs, a = [np.flatnonzero(kind == k) for k in range(8)], Counter(), 0
+    for _ in range(20000):
+        b = int(rng.choice(members[rng.choice(8, p=next_[kind[a]])]))
+        pairs[a, b] += 1
+        a = b
+    rows = []
+    for u in range(160):
+        o = [(y, n) for (x, y), n in pairs.items() if x == u] + [(-1 - x, n) for (x, y), n in pairs.items() if y == u]
+        rows.append((u, [x for x, _ in o], [n for _, n in o]))
+    context = spark.createDataFrame(rows, "u long, others array<long>, n array<long>").repartition(2).cache()
+    counts = np.array([sum(n for (x, _), n in pairs.items() if x == u) for u in range(160)])
+    f = class_lm._xlogx
+    like = lambda m: f(m).sum() - f(m.sum(1)).sum() - f(m.sum(0)).sum()
+    where, m = class_lm.cluster(context, 160, counts, classes=8)
+    again = np.zeros((8, 8))
+    for (x, y), n in pairs.items():
+        again[where[x], where[y]] += n
+    assert (m == again).all()  # the updates add up to a recount
+    few, many = (like(class_lm.cluster(context, 160, counts, classes=8, rounds=r)[1]) for r in (3, 30))
+    assert like(m) == many > few
