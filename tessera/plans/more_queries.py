@@ -256,8 +256,11 @@ def options_atm(spark, d):
 
 @query("SELECT user_id AS sym, CAST(ts AS DATE) AS d, arg_max(value, event_id) AS value, max(event_id) AS seq FROM events GROUP BY 1, 2")
 def upsert_keep_last(spark, d):
+    """An old store, the events ingested up to the middle of the sequence, and all later ones on top of it."""
     e = t.table(spark, d, "events").select(F.col("user_id").alias("sym"), F.to_date("ts").alias("d"), "value", F.col("event_id").alias("seq"))
-    return t.upsert(t.keep_last(e.where("seq % 2 = 0"), ["sym", "d"], "seq").limit(0), t.keep_last(e, ["sym", "d"], "seq"), ["sym", "d"])
+    middle = e.agg(F.expr("min(seq) + (max(seq) - min(seq)) div 2")).first()[0]
+    old, new = (t.keep_last(e.where(side), ["sym", "d"], "seq") for side in (F.col("seq") <= F.lit(middle), F.col("seq") > F.lit(middle)))
+    return t.upsert(old, new, ["sym", "d"])
 
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, coalesce(CAST(json_extract_string(props, '$.missing') AS BIGINT), 0) AS missing FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL")

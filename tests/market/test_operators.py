@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tessera.functions import scalars
 from tessera.functions import windows as w
 from tessera.operators import asof, bars, factors, fundamentals, labels, normalize, rolling, splits, technical
+from tessera.plans import more_queries  # noqa: F401  registers its queries
+from tessera.plans.queries import QUERIES
 from tessera.sources import tables
 from tessera.streaming.bars import daily_stream
 
@@ -178,3 +180,13 @@ def test_day_bars_from_a_stream(spark, tmp_path):
     q.awaitTermination(120)
     got = [tuple(r) for r in spark.table("day_bars").orderBy("d").collect()]
     assert got[0] == ("A", D0, 1.0, 3.0, 1.0, 3.0, 3) and all(not math.isnan(r[2]) for r in got)
+
+
+def test_registered_upsert_merges_two_overlapping_sides(spark, monkeypatch):
+    sides = []
+    upsert = tables.upsert
+    monkeypatch.setattr(tables, "upsert", lambda old, new, keys: (sides.extend((old, new)), upsert(old, new, keys))[1])
+    got = {(r.sym, r.d): r.seq for r in QUERIES["upsert_keep_last"](spark, "/root/testdata/sf0.001").collect()}
+    old, new = ({(r.sym, r.d): r.seq for r in x.collect()} for x in sides)
+    assert set(old) - set(new) and set(new) - set(old) and set(old) & set(new)
+    assert got == old | new
