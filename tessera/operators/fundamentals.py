@@ -23,11 +23,13 @@ def latest_pivot(facts: DataFrame, concepts: list[str]) -> DataFrame:
     return wide.withColumns({"available": F.coalesce(F.col("filed").cast("date"), fallback), "source": source}).drop("filed")
 
 
-def carry_forward(wide: DataFrame, concepts: list[str]) -> DataFrame:
-    """Each concept's last known value in order of availability; then the last row of each availability day."""
+def carry_forward(wide: DataFrame, concepts: list[str], known: bool = False) -> DataFrame:
+    """Each concept's last known value in order of availability; then the last row of each availability day. ``known``:
+    with the day each value became available, as <concept>_known."""
     w = Window.partitionBy("sym").orderBy("available", "period_end").rowsBetween(Window.unboundedPreceding, 0)
-    filled = wide.select("sym", "available", "period_end", *(F.last(c, ignorenulls=True).over(w).alias(c) for c in concepts))
-    last = filled.groupBy("sym", "available").agg(F.max(F.struct("period_end", *concepts)).alias("x"))
+    days = [F.last(F.when(F.col(c).isNotNull(), F.col("available")), ignorenulls=True).over(w).alias(f"{c}_known") for c in concepts if known]
+    filled = wide.select("sym", "available", "period_end", *(F.last(c, ignorenulls=True).over(w).alias(c) for c in concepts), *days)
+    last = filled.groupBy("sym", "available").agg(F.max(F.struct("period_end", *filled.columns[3:])).alias("x"))
     return last.select("sym", F.col("available").alias("d"), "x.*")
 
 
@@ -42,6 +44,12 @@ def point_in_time_violations(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.when(early, 1)).alias("used_before_known"), F.count(F.when(odd, 1)).alias("known_before_end"), F.count("*").alias("n_rows"))
 
 
+def used_early(daily: DataFrame, concepts: list[str]) -> DataFrame:
+    """Rows of the daily panel with a value that became available after the row's day."""
+    early = F.greatest(*(F.col(f"{c}_known") for c in concepts)) > F.col("d")
+    return daily.agg(F.count(F.when(early, 1)).alias("used_before_known"))
+
+
 def coverage(df: DataFrame, features: list[str], universe: int) -> DataFrame:
     """Long report of the last day: known values over the universe, over the day's symbols, over symbols ever seen."""
     last = df.agg(F.max("d").alias("last"))

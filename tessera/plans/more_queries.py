@@ -65,8 +65,12 @@ def coverage_report(spark, d):
 
 @query(f"WITH {FACTS}, {CARRIED} SELECT count(CASE WHEN available > available THEN 1 END) AS used_before_known, count(CASE WHEN period_end > available THEN 1 END) AS known_before_end, count(*) AS n_rows FROM carried")
 def pit_violations(spark, d):
-    c = fundamentals.carry_forward(_wide(spark, d), ["c1", "c2", "c3"])
-    return fundamentals.point_in_time_violations(c.withColumn("available", F.col("d")))
+    """Use is checked on every day of the daily panel, in which each value has the day it became available; the rest on
+    the carried rows."""
+    carried = fundamentals.carry_forward(_wide(spark, d), ["c1", "c2", "c3"], known=True)
+    used = fundamentals.used_early(fundamentals.to_daily(carried, _calendar(spark, d)), ["c1", "c2", "c3"])
+    rest = fundamentals.point_in_time_violations(carried.withColumn("available", F.col("d"))).drop("used_before_known")
+    return used.crossJoin(rest)
 
 
 # ---- events

@@ -190,3 +190,15 @@ def test_registered_upsert_merges_two_overlapping_sides(spark, monkeypatch):
     old, new = ({(r.sym, r.d): r.seq for r in x.collect()} for x in sides)
     assert set(old) - set(new) and set(new) - set(old) and set(old) & set(new)
     assert got == old | new
+
+
+def test_leaks_in_the_daily_panel_are_counted(spark, monkeypatch):
+    run = lambda: QUERIES["pit_violations"](spark, "/root/testdata/sf0.001").first()
+    clean, to_daily = run(), fundamentals.to_daily
+    monkeypatch.setattr(fundamentals, "to_daily", lambda carried, days: to_daily(carried.withColumn("d", F.date_sub("d", 1)), days))
+    leaky = run()  # every row is used a day before it is known
+    assert clean.used_before_known == 0 < leaky.used_before_known and clean.n_rows == leaky.n_rows
+    rows = [("A", D0, day(3), 1.0, None), ("A", day(1), day(5), None, 2.0)]
+    wide = spark.createDataFrame(rows, "sym string, period_end date, available date, c1 double, c2 double")
+    last = fundamentals.carry_forward(wide, ["c1", "c2"], known=True).orderBy("d").collect()[-1]
+    assert (last.c1, last.c1_known, last.c2, last.c2_known) == (1.0, day(3), 2.0, day(5))
