@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space, as in the word pattern [^\x20\x09-\x0D]+ ; bytes.split() splits at exactly these.
@@ -15,14 +16,31 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. Only where the session names none (tests) is one set."""
+    """The folder all executors share. Where a local session names none (tests), it is one of this machine."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         where = "/tmp/tessera-shared"
-        spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
+#: While a scratch table is written: shuffle files go with the write that made them, and an Arrow batch holds 16 MB at most.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
+
+@contextmanager
+def writing(spark: SparkSession):
+    was = {k: spark.conf.get(k, None) for k in _WRITING}
+    for k, v in _WRITING.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 class Scratch:
     """Tables written to the shared folder: they cut lineage and survive lost executors.
 
@@ -37,7 +55,8 @@ class Scratch:
 
     def save(self, df: DataFrame, name: str = "t") -> DataFrame:
         to = self.path(name)
-        df.write.parquet(to)
+        with writing(self.spark):
+            df.write.parquet(to)
         out = self.spark.read.schema(df.schema).parquet(to)
         self.paths[id(out)] = (to, out)
         return out
@@ -80,6 +99,74 @@ def mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+_LETTERS = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_BASE, PIECE = 0xD6E8FEB86659FD93, 1 << 20
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the hash's base and of its inverse, n of each or more."""
+    if len(_POWERS[0]) < n:
+        for i, b in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            x = np.full(max(n, PIECE + 1), b, np.uint64)
+            x[0] = 1
+            _POWERS[i] = np.cumprod(x)
+    return _POWERS
+
+
+def _pieces(data: bytes) -> Iterator[tuple[int, int]]:
+    """Ranges of at most PIECE bytes that end at white space; a longer word stretches its own."""
+    at, n = 0, len(data)
+    while at < n:
+        end = min(at + PIECE, n)
+        if end < n:
+            space = np.flatnonzero(_SPACES[np.frombuffer(data, np.uint8, end - at, at)])
+            if len(space):
+                end = at + int(space[-1]) + 1
+            else:
+                while end < n and not _SPACES[data[end]]:
+                    end += 1
+        yield at, end
+        at = end
+
+
+def words(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, line, hash) of every word of the lower-cased texts, in order; lines are numbered within their text. A word's
+    64-bit hash is a polynomial over random letters, so all words of a block are hashed at once."""
+    data = b"\n".join(raw).lower()
+    begins = offsets(np.array([len(t) + 1 for t in raw], np.int64))[:-1]
+    at, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    with np.errstate(over="ignore"):
+        for a, b in _pieces(data):
+            x = np.frombuffer(data, np.uint8, b - a, a)
+            power, inverse = _powers(len(x) + 1)
+            word = np.zeros(len(x) + 2, bool)
+            np.logical_not(_SPACES[x], out=word[1:-1])
+            edge = np.flatnonzero(word[1:] != word[:-1])
+            start, end = edge[::2], edge[1::2]
+            upto = np.zeros(len(x) + 1, np.uint64)
+            np.cumsum(_LETTERS[x] * power[: len(x)], out=upto[1:])
+            h = (upto[end] - upto[start]) * inverse[start]
+            at.append(start + a)
+            hashes.append(mixed(h + (end - start).astype(np.uint64) * np.uint64(_BASE)))
+    at = np.concatenate(at)
+    breaks = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
+    text = np.searchsorted(begins, at, side="right") - 1
+    line = np.searchsorted(breaks, at) - np.searchsorted(breaks, begins)[text]
+    return text, line, np.concatenate(hashes)
+
+
+def blocks(raw: list[bytes], size: int = 2 << 20) -> Iterator[tuple[int, list[bytes]]]:
+    """(first, texts): consecutive texts of about ``size`` bytes together."""
+    first, held = 0, 0
+    for i, t in enumerate(raw):
+        held += len(t)
+        if held >= size or i == len(raw) - 1:
+            yield first, raw[first : i + 1]
+            first, held = i + 1, 0
+
+
 class WordHashes(dict):
     """word -> 64-bit hash, kept for the worker's life but never above a fixed number of words."""
 
@@ -98,7 +185,8 @@ class WordHashes(dict):
 
 
 def slot_counts(df: DataFrame, bits: int, slots) -> np.ndarray:
-    """A count table of fixed size, 2**bits numbers whatever the input: counts of hashed keys, saturating at 65535.
+    """A count table of fixed size, 2**bits numbers whatever the input: counts of hashed keys, exact up to 2048 and on a
+    logarithmic scale beyond, so that it orders keys by rarity at any size.
 
     ``slots(batch)`` gives an array of slot numbers for a batch. Tasks send only their filled slots, block by block.
     Each count is an upper bound of the keys' true counts, so a slot below 2 proves that its keys are alone.
@@ -119,7 +207,7 @@ def slot_counts(df: DataFrame, bits: int, slots) -> np.ndarray:
                 [
                     pa.array([b for b, _, _ in rows], pa.int32()),
                     pa.array([(s & ((1 << per) - 1)).astype(np.uint16).tobytes() for _, s, _ in rows], pa.binary()),
-                    pa.array([np.minimum(c, 65535).astype(np.uint16).tobytes() for _, _, c in rows], pa.binary()),
+                    pa.array([c.astype(np.uint32).tobytes() for _, _, c in rows], pa.binary()),
                 ],
                 ["block", "slot", "n"],
             )
@@ -138,8 +226,9 @@ def slot_counts(df: DataFrame, bits: int, slots) -> np.ndarray:
 
         out = np.zeros(1 << per, np.int64)
         for s, c in zip(pdf["slot"], pdf["n"], strict=True):
-            out[np.frombuffer(s, np.uint16)] += np.frombuffer(c, np.uint16)
-        return pd.DataFrame({"block": [key[0]], "n": [np.minimum(out, 65535).astype(np.uint16).tobytes()]})
+            out[np.frombuffer(s, np.uint16)] += np.frombuffer(c, np.uint32)
+        code = np.where(out < 2048, out, 2048 + 1024 * np.log2(np.maximum(out, 2048) / 2048))
+        return pd.DataFrame({"block": [key[0]], "n": [code.astype(np.uint16).tobytes()]})
 
     rows = df.mapInArrow(part, "block int, slot binary, n binary").groupBy("block").applyInPandas(summed, "block int, n binary").collect()
     table = np.zeros(1 << bits, np.uint16)
@@ -148,24 +237,27 @@ def slot_counts(df: DataFrame, bits: int, slots) -> np.ndarray:
     return table
 
 
-def maybe_among(df: DataFrame, key, keys: DataFrame, bits: int = 25):
-    """``df`` with a column ``_among``: false proves that ``key`` is not in ``keys`` (one column). A bitmap of fixed size,
-    2**bits bits whatever the input, holds the keys' hashes, so its broadcast is bounded; DataFrame functions only."""
+def maybe_among(df: DataFrame, key, keys: DataFrame, bits: int = 25, name: str = "_among") -> DataFrame:
+    """``df`` with a column ``name``: false proves that ``key`` is not in ``keys`` (one column). A bitmap of fixed size,
+    2**bits bits whatever the input, holds the keys' hashes, so its broadcast is bounded; with very many keys it fills and
+    keeps every row, which costs a shuffle and changes no result. DataFrame functions only."""
     slot = lambda d: F.pmod(F.xxhash64(d), F.lit(1 << bits)) + 1
-    block = lambda x: F.call_function("bitmap_bucket_number", x)
-    maps = keys.select(slot(keys.columns[0]).alias("x")).groupBy(block(F.col("x")).alias("_block")).agg(F.bitmap_construct_agg(F.call_function("bitmap_bit_position", F.col("x"))).alias("_map"))
-    joined = df.withColumn("_x", slot(key)).join(F.broadcast(maps), block(F.col("_x")) == F.col("_block"), "left")
-    byte = F.conv(F.hex(F.expr("substring(_map, cast(bitmap_bit_position(_x) div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    bit = byte.bitwiseAND(F.expr("shiftleft(1, cast(bitmap_bit_position(_x) % 8 as int))")) != 0
-    return joined.withColumn("_among", F.coalesce(bit, F.lit(False))).drop("_x", "_block", "_map")
+    number = lambda x: F.call_function("bitmap_bucket_number", x)
+    x, block, map_ = unused([*df.columns, name], "x", "block", "map")
+    maps = keys.select(slot(keys.columns[0]).alias(x)).groupBy(number(F.col(x)).alias(block)).agg(F.bitmap_construct_agg(F.call_function("bitmap_bit_position", F.col(x))).alias(map_))
+    joined = df.withColumn(x, slot(key)).join(F.broadcast(maps), number(F.col(x)) == F.col(block), "left")
+    byte = F.conv(F.hex(F.expr(f"substring({map_}, cast(bitmap_bit_position({x}) div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    bit = byte.bitwiseAND(F.expr(f"shiftleft(1, cast(bitmap_bit_position({x}) % 8 as int))")) != 0
+    return joined.withColumn(name, F.coalesce(bit, F.lit(False))).drop(x, block, map_)
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Connected components of (a, b) links: (node, root), root the smallest node that is reached.
 
-    Every round moves each node to its smallest neighbour and contracts the links; rounds grow with the logarithm of
-    a component's width. Only grouped minima and equi-joins are used, so a node with very many links needs no task
-    that sees all of them.
+    Every round moves each node to its smallest neighbour, follows these moves to their end by pointer jumping (doubling)
+    and contracts the links: only nodes below all their neighbours are left, so rounds and jumps grow with the logarithm
+    of a component's size, whatever the order of its nodes. Only grouped minima and equi-joins are used, so a node with very many links needs no task that sees
+    all of them.
     """
     nodes = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
     labels = scratch.save(nodes.withColumn("root", F.col("node")), "labels")
@@ -173,6 +265,13 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     while not live.isEmpty():
         both = live.union(live.select("b", "a"))
         parent = scratch.save(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("x"), F.least("a", "m").alias("p")), "parent")
+        while True:  # every parent is a node of a link itself, and smaller or equal
+            above = parent.select(F.col("x").alias("y"), F.col("p").alias("pp"))
+            jumped = scratch.save(parent.join(above, F.col("p") == F.col("y")).select("x", F.col("pp").alias("p"), (F.col("p") != F.col("pp")).alias("far")), "parent")
+            scratch.drop(parent)
+            parent = jumped
+            if parent.where("far").isEmpty():
+                break
         moved = labels.join(parent, labels["root"] == parent["x"], "left").select("node", F.coalesce("p", "root").alias("root"))
         pa_, pb = parent.select(F.col("x").alias("xa"), F.col("p").alias("na")), parent.select(F.col("x").alias("xb"), F.col("p").alias("nb"))
         joined = live.join(pa_, live["a"] == F.col("xa")).join(pb, live["b"] == F.col("xb"))
@@ -181,3 +280,26 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         scratch.drop(labels, live, parent)
         labels, live = labels2, live2
     return labels
+
+
+def stored(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs`` as a table whose files know their rows: a plain scan stays as it is, anything else is written first."""
+    kind = docs._jdf.queryExecution().analyzed().getClass().getSimpleName()
+    return docs if kind == "LogicalRelation" and "_metadata" not in docs.columns else scratch.save(docs, "stored")
+
+
+def row_key(docs: DataFrame) -> list[Column]:
+    """Two numbers that name a row of a stored Parquet table in every later reading: its file's hash and its place there."""
+    at = docs.metadataColumn("_metadata")
+    return [F.xxhash64(at["file_path"]), at["row_index"]]
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, with underscores before them until they clash with no column."""
+    taken, out = {c.lower() for c in columns}, []
+    for x in names:
+        while x.lower() in taken:
+            x = f"_{x}"
+        taken.add(x.lower())
+        out.append(x)
+    return out

@@ -1,52 +1,62 @@
 """Operator 8: line deduplication by an exact set-similarity join.
 
-A line is the set of its lower-cased words; lines with equal sets form a class, and the first occurrence (by doc_id, then
-place) stands for it. A line goes if an earlier one has Jaccard similarity of ``percent`` or more: later members of a class
-always do, a first one if a class that comes first earlier is similar.
-
-The join orders each set by rarity (a hashed count table of fixed size; any fixed order is exact) and indexes the prefix
-that similar sets must share a word of. A word that the table proves to be in one line only is left out. Pairs must pass
-the length and positional filters and a bitmap bound on the sets' difference; Jaccard on the words themselves verifies.
-Lists are not expanded into all pairs: first each list compares its members with its earliest line alone; only lines that
-found no earlier match then meet the other earlier members of their lists.
-
-Cases: lines without a word stay and match nothing; a null text stays null; rows of a null doc_id come last, repeated rows
-are separate (the later loses its lines); a document whose lines all go keeps an empty text; an empty table gives no rows;
-extra columns pass through. Rows are known by their place in the input, so it must be a stored table.
+A line is the set of its lower-cased words; lines with equal sets (by a 128-bit digest) form a class, which its first line
+stands for. Lines are ordered by doc_id (null last), then by their place in the text, then by row. A line goes if an
+earlier one, kept or not, has Jaccard similarity of ``percent`` or more: later members of a class always do, a first one if
+a class that comes first earlier is similar.
+
+The join counts words over classes and orders each set by rarity (a hashed count table of fixed size; any fixed order is
+exact). Each set is indexed under the words of its prefix, one of which any similar set shares; words that one class alone
+has are left out. Pairs of a list must pass the length and positional filters and a bound on the sets' difference (bits of
+parity: each word that one set lacks flips one bit at most); Jaccard on the words of the lines verifies.
+
+No list is expanded into all its pairs:
+- A line meets at most FEW earlier ones of a list. Lines that were cut short there and found no match meet all others.
+- A list of more than HOT lines is split by a second shared word, as two similar sets share one more word of a prefix that
+  is one longer; such a list by a third, and so on. Where the words shared suffice, the list's first line of each size
+  stands for all.
+
+Cases: lines without a word stay and match nothing; a null text stays null; repeated rows are separate (the later loses its
+lines); a document whose lines all go keeps an empty text; an empty table gives no rows; extra columns pass through, whatever
+their names. A frame that is not a stored Parquet table is stored first, so rows keep their keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, WordHashes, documents, maybe_among, mixed, offsets, ragged, slot_counts, texts
+from tessera.llm.common import Scratch, blocks, documents, maybe_among, mixed, offsets, ragged, row_key, slot_counts, stored, texts, unused, words
 
-SLOT_BITS = 24
-#: A line's place in the order of all lines.
-PLACE = ("id", "rid", "line")
-_WORDS = WordHashes()
+SLOT_BITS, FEW, HOT = 24, 8, 1024
+_KEYED = "id long, f long, r long"
+_INDEX = "key long, cid long, id long, line int, r long, n int, pos int, m long"
 
 
 def _sets(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, line, set size, hashes): the word sets of all lines with a word, one after another."""
-    row, line, size, words = [], [], [], []
-    for i, t in enumerate(raw):
-        for j, x in enumerate(t.lower().split(b"\n")):
-            if s := set(x.split()):
-                row.append(i)
-                line.append(j)
-                size.append(len(s))
-                words += s
-    return np.array(row, np.int64), np.array(line, np.int32), np.array(size, np.int64), _WORDS.array(words)
+    """(text, line, set size, hashes): the word sets of all lines with a word, one after another, hashes ascending."""
+    text, line, h = words(raw)
+    own = np.cumsum((np.diff(text, prepend=-1) != 0) | (np.diff(line, prepend=-1) != 0)) - 1
+    order = np.argsort((own.astype(np.uint64) << np.uint64(40)) | (h >> np.uint64(24)))
+    own_, h_ = own[order], h[order]
+    odd = (own_[1:] == own_[:-1]) & (h_[1:] < h_[:-1])  # the sort saw 40 bits of each hash
+    if odd.any():
+        order = np.lexsort((h, own))
+        own_, h_ = own[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (own_[1:] != own_[:-1]) | (h_[1:] != h_[:-1])
+    own_, h_ = own_[new], h_[new]
+    first = np.flatnonzero(np.diff(own, prepend=-1))
+    return text[first], line[first], np.bincount(own_, minlength=len(first)), h_
 
 
 def _digests(size: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128-bit digests of sets, whatever the order of their words: sums of mixed hashes, and the size."""
+    """128-bit digests of sets: sums of mixed hashes, and the size."""
     start = offsets(size)[:-1]
     out = []
     with np.errstate(over="ignore"):
@@ -56,25 +66,58 @@ def _digests(size: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _slots(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+def _heads(keyed: DataFrame) -> DataFrame:
+    """All lines with a word: place, and n, digest and word hashes (32 bits each) where no earlier line of the task has the
+    same set; the others have n 0 and a digest of their own, so no copies of a line meet before they are one for each task."""
 
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    """A row without doc_id comes last."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("id"), F.monotonically_increasing_id().alias("rid"), "text")
-
-
-def _lines(keyed: DataFrame) -> DataFrame:
-    """A row for each line with a word: its place, n (words in its set) and its set's digest."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first: dict[tuple[int, int], tuple] = {}
+        for batch in batches:
+            for at, raw in blocks(texts(batch)):
+                row, line, size, h = _sets(raw)
+                key = [batch.column(c).to_numpy()[at + row] for c in ("id", "f", "r")]
+                d1, d2 = _digests(size, h)
+                cut, packed = offsets(size), (h >> np.uint64(32)).astype(np.uint32)
+                n, held = size.astype(np.int32), []
+                places = zip(key[0].tolist(), line.tolist(), key[2].tolist(), key[1].tolist(), strict=True)
+                for i, (d, p) in enumerate(zip(zip(d1.tolist(), d2.tolist(), strict=True), places, strict=True)):
+                    if d in first and first[d] < p:
+                        n[i] = 0
+                        held.append(b"")
+                    else:
+                        first[d] = p
+                        held.append(packed[cut[i] : cut[i + 1]].tobytes())
+                if len(first) > 120_000:
+                    first.clear()
+                later = n == 0
+                d2[later] = mixed(d2[later].view(np.uint64) ^ (key[2][later] << 20 | line[later]).astype(np.uint64)).view(np.int64)
+                cols = [*key, line.astype(np.int32), n, d1, d2, pa.array(held, pa.binary())]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], ["id", "f", "r", "line", "n", "d1", "d2", "h"])
+
+    return keyed.mapInArrow(run, f"{_KEYED}, line int, n int, d1 long, d2 long, h binary")
+
+
+def _classes(heads: DataFrame) -> DataFrame:
+    """``heads`` with ``first``: whether a line stands for its class. Rows of a digest are neighbours in a sorted task."""
+    place = ["id", "line", "r", "f"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch in batches:
-            row, line, size, h = _sets(texts(batch))
-            d1, d2 = _digests(size, h)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(row)) for c in PLACE[:2]), pa.array(line), pa.array(size, pa.int32()), pa.array(d1), pa.array(d2)], [*PLACE, "n", "d1", "d2"])
+            d1, d2, n = (batch.column(c).to_numpy() for c in ("d1", "d2", "n"))
+            if not len(n):
+                continue
+            new = np.ones(len(n), bool)
+            new[1:] = (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1])
+            new[0] = last != (d1[0], d2[0])
+            last = (d1[-1], d2[-1])
+            first = new & (n > 0)
+            h = pa.array([x if k else None for x, k in zip(batch.column("h").to_pylist(), first.tolist(), strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "f", "r", "line", "n")), h, pa.array(first)], ["id", "f", "r", "line", "n", "h", "first"])
 
-    return keyed.mapInArrow(run, "id long, rid long, line int, n int, d1 long, d2 long")
+    # of a digest, lines with a set come before those (by chance of the same digest) without
+    ordered = heads.repartition("d1", "d2").sortWithinPartitions("d1", "d2", F.col("n") == 0, *place)
+    return ordered.mapInArrow(run, f"{_KEYED}, line int, n int, h binary, first boolean").withColumn("cid", F.monotonically_increasing_id())
 
 
 def prefix(n: np.ndarray, percent: int) -> np.ndarray:
@@ -82,111 +125,230 @@ def prefix(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-percent * n // 100) + 1
 
 
-def _index(keyed: DataFrame, percent: int) -> DataFrame:
-    """(w, pos) of each line's indexed words with the line's place, size n, half its set's digest d and a bitmap m."""
-    hashes = lambda batch: _slots(_sets(texts(batch))[3])
-    counts = keyed.sparkSession.sparkContext.broadcast(slot_counts(keyed.select("text"), SLOT_BITS, hashes))  # 32 MB at any input
+def _ordered(batch: pa.RecordBatch, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, hash, count) of the words of a batch's sets, each set's by rarity."""
+    size = batch.column("n").to_numpy()
+    h = np.frombuffer(b"".join(batch.column("h").to_pylist()), np.uint32)
+    own = np.repeat(np.arange(len(size), dtype=np.uint64), size)
+    count = table[h >> (32 - SLOT_BITS)]
+    order = np.sort((own << np.uint64(48)) | (count.astype(np.uint64) << np.uint64(32)) | h)  # batches have under 65,536 rows
+    return (order >> np.uint64(48)).astype(np.int64), (order & np.uint64(0xFFFFFFFF)).astype(np.int64), (order >> np.uint64(32)).astype(np.int64) & 0xFFFF
+
+
+def _index(classes: DataFrame, percent: int, counts) -> DataFrame:
+    """A row for each indexed word of each class: key (the word), its place in the set's order, n and parity bits m."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(0, whole.num_rows, 8192):
+                batch = whole.slice(i, 8192)
+                size = batch.column("n").to_numpy()
+                start = offsets(size)[:-1]
+                own, h, count = _ordered(batch, counts.value)
+                bit = np.uint64(1) << (mixed(h.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) & np.uint64(63))
+                parity = np.bitwise_xor.reduceat(bit, start).view(np.int64)
+                # smaller sets can only be similar to equal ones, which are one class already
+                at = ragged(start, np.where(size > percent // (100 - percent) - 1, prefix(size, percent), 0))
+                at = at[count[at] > 1]
+                k = own[at]
+                take = lambda c: pa.array(batch.column(c).to_numpy()[k])
+                yield pa.RecordBatch.from_arrays([pa.array(h[at]), take("cid"), take("id"), take("line"), take("r"), take("n"), pa.array((at - start[k]).astype(np.int32)), pa.array(parity[k])], [x.split()[0] for x in _INDEX.split(", ")])
+
+    return classes.select("cid", "id", "line", "r", "n", "h").mapInArrow(run, _INDEX)
+
+
+def _overlap(n: np.ndarray, percent: int) -> np.ndarray:
+    """Words that similar sets of n words together (both sizes added) share at least."""
+    return -(-percent * n // (100 + percent))
+
+
+def _meet(c: dict[str, np.ndarray], start: np.ndarray, few: int, percent: int) -> tuple[np.ndarray, ...]:
+    """(x, y, cut short): rows x of a run with earlier rows y of it that pass the filters, ``few`` for each x; or, if ``c``
+    has ``asked``, every one for the x where it is set. cut short: rows that had more earlier rows to meet. Rows of a run
+    are in the lines' order and ``start`` is the first of each one's."""
+    n, pos, m = c["n"].astype(np.int64), c["pos"].astype(np.int64), c["m"].view(np.uint64)
+    got, xs, ys, j = np.zeros(len(n), np.int64), [], [], 0
+    asked = c.get("asked")
+    live, short = np.flatnonzero((np.arange(len(n)) > start) & (True if asked is None else asked)), []
+    while len(live):
+        y = start[live] + j
+        total = n[live] + n[y]
+        need = _overlap(total, percent)
+        ok = (100 * np.minimum(n[live], n[y]) >= percent * np.maximum(n[live], n[y])) & (np.minimum(pos[live], pos[y]) + np.minimum(n[live] - pos[live], n[y] - pos[y]) >= need)
+        ok &= np.bitwise_count(m[live] ^ m[y]) <= total - 2 * need
+        ok &= c["cid"][live] != c["cid"][y]
+        xs.append(live[ok])
+        ys.append(y[ok])
+        got[live[ok]] += 1
+        j += 1
+        live = live[live > start[live] + j]
+        full = (got[live] >= few) & (asked is None)
+        short.append(live[full])
+        live = live[~full]
+    join = lambda x: np.concatenate([np.zeros(0, np.int64), *x])
+    return join(xs), join(ys), join(short)
+
+
+def _met(rows: DataFrame, percent: int, few: int, hot: int, ask: bool = False) -> DataFrame:
+    """Index rows -> (x, y) pairs of classes, x later; (key, x) of rows that were cut short; (key, x, pos) of rows in lists
+    above ``hot``. kind: 0, 1, 2. With ``ask``, rows have that column and only those where it is set look for pairs."""
+    names = [x.split()[0] for x in _INDEX.split(", ")] + ["asked"] * ask
+
+    def out(kind: int, key: np.ndarray, x: np.ndarray, y: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(key), pa.array(x), pa.array(y), pa.array(pos.astype(np.int32))], ["kind", "key", "x", "y", "pos"])
+
+    def solved(c: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        key = c["key"]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        size = np.diff(np.append(first, len(key)))
+        long = np.repeat(size > hot, size)
+        if long.any():
+            yield out(2, key[long], c["cid"][long], c["cid"][long], c["pos"][long])
+        keep = np.repeat((size > 1) & (size <= hot), size)
+        start = np.repeat(first, size)[keep] - (np.cumsum(~keep) - ~keep)[np.repeat(first, size)[keep]]
+        c = {k: v[keep] for k, v in c.items()}
+        x, y, short = _meet(c, start, few, percent)
+        pair = np.unique(np.stack([c["cid"][x], c["cid"][y]], 1), axis=0)
+        zero = np.zeros(len(pair), np.int64)
+        yield out(0, zero, pair[:, 0], pair[:, 1], zero)
+        yield out(1, c["key"][short], c["cid"][short], c["cid"][short], c["pos"][short])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = counts.value
+        held: list[dict] = []
+        n, flowing = 0, None  # the key of a list above ``hot`` that goes on
         for batch in batches:
-            row, line, size, h = _sets(texts(batch))
-            if not len(size):
+            c = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in names}
+            if flowing is not None:
+                more = int(np.searchsorted(c["key"] != flowing, True))
+                if more:
+                    yield out(2, c["key"][:more], c["cid"][:more], c["cid"][:more], c["pos"][:more])
+                c = {k: v[more:] for k, v in c.items()}
+            if not len(c["key"]):
                 continue
-            d1, d2 = _digests(size, h)
-            start = offsets(size)[:-1]
-            own = np.repeat(np.arange(len(size)), size)
-            count = table[_slots(h)]
-            order = np.lexsort((h, count, own))
-            bitmap = np.bitwise_or.reduceat(np.uint64(1) << (h & np.uint64(63)), start).view(np.int64)
-            # smaller sets can only be similar to equal ones, which are one class already
-            at = ragged(start, np.where(size > percent // (100 - percent) - 1, prefix(size, percent), 0))
-            at = at[count[order[at]] > 1]
-            k, w = own[order[at]], h[order[at]]
-            take = pa.array(row[k])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(w.view(np.int64)), pa.array(at - start[k], pa.int32()), *(batch.column(c).take(take) for c in PLACE[:2]), pa.array(line[k]), pa.array(size[k], pa.int32()), pa.array(d1[k]), pa.array(bitmap[k])],
-                ["w", "pos", *PLACE, "n", "d", "m"],
-            )
-
-    return keyed.mapInArrow(run, "w long, pos int, id long, rid long, line int, n int, d long, m long")
-
-
-def _similar(percent: int) -> Column:
-    """The length, positional and bitmap filters for a line x and an earlier one y of a list."""
-    overlap = f"ceil({percent} * (xn + yn) / {100 + percent}.0)"
-    length = f"100 * least(xn, yn) >= {percent} * greatest(xn, yn)"
-    positional = f"least(xpos, ypos) + 1 + least(xn - xpos, yn - ypos) - 1 >= {overlap}"
-    apart = f"xn + yn - 2 * {overlap}"
-    bitmap = f"bit_count(xm ^ ym) <= {apart}"
-    return F.expr(f"{length} and {positional} and {bitmap}")
-
-
-def _side(x: str) -> list[Column]:
-    return [F.struct(*PLACE).alias(x), *(F.col(c).alias(f"{x}{c}") for c in ("pos", "n", "m"))]
-
-
-def _confirmed(pairs: DataFrame, keyed: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """The places x that are similar to an earlier y, by the words of the lines."""
-    pairs = scratch.save(pairs.select("x", "y").distinct(), "pairs")
-    wanted = scratch.save(pairs.select(F.col("x.rid").alias("r"), F.col("x.line").alias("l")).union(pairs.select("y.rid", "y.line")).distinct(), "wanted")
-    some = maybe_among(keyed, "rid", wanted.select("r")).where("_among").select("rid", "text")
-    held = some.join(wanted.groupBy("r").agg(F.collect_list("l").alias("ls")), F.col("rid") == F.col("r"))
-    held = held.select("rid", F.split("text", "\n").alias("parts"), F.explode("ls").alias("line"))
-    held = scratch.save(held.select("rid", "line", F.element_at("parts", F.col("line") + 1).alias("t")), "held")
-    side = lambda x: held.select(F.col("rid").alias(f"{x}r"), F.col("line").alias(f"{x}l"), F.col("t").alias(f"{x}t"))
-    both = pairs.join(side("x"), F.expr("x.rid = xr and x.line = xl")).join(side("y"), F.expr("y.rid = yr and y.line = yl")).select("x.rid", "x.line", "xt", "yt")
+            flowing = None
+            held.append(c)
+            n += len(c["key"])
+            if n < 100_000:
+                continue
+            c = {k: np.concatenate([x[k] for x in held]) for k in names}
+            cut = int(np.searchsorted(c["key"] == c["key"][-1], True))
+            if n - cut > hot:
+                flowing, cut = c["key"][-1], n
+            if cut:
+                yield from solved({k: v[:cut] for k, v in c.items()})
+            held = [{k: v[cut:] for k, v in c.items()}] if cut < n else []
+            n -= cut
+        if n:
+            yield from solved({k: np.concatenate([x[k] for x in held]) for k in names})
+
+    ordered = rows.repartition("key").sortWithinPartitions("key", "id", "line", "r", "cid")
+    return ordered.mapInArrow(run, "kind int, key long, x long, y long, pos int")
+
+
+def _split(hot: DataFrame, classes: DataFrame, level: int, percent: int, counts, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(index rows, pairs) of lists that share ``level`` words: the rows under one more word each; pairs of lines whose
+    shared words suffice, each with the first line of every size of its list."""
+    h = hot.select("key", F.col("x").alias("c"), "pos")
+    rows = h.join(classes.select("cid", "id", "line", "r", "n", "h"), F.col("c") == F.col("cid")).drop("c")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(0, whole.num_rows, 4096):
+                batch = whole.slice(i, 4096)
+                size, pos = batch.column("n").to_numpy().astype(np.int64), batch.column("pos").to_numpy().astype(np.int64)
+                start = offsets(size)[:-1]
+                _, h, _ = _ordered(batch, counts.value)
+                bit = np.uint64(1) << (mixed(h.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) & np.uint64(63))
+                parity = np.bitwise_xor.reduceat(bit, start).view(np.int64)
+                last = np.minimum(size, prefix(size, percent) + level)
+                many = np.maximum(0, last - pos - 1)
+                at, k = ragged(start + pos + 1, many), np.repeat(np.arange(len(size)), many)
+                with np.errstate(over="ignore"):
+                    key = mixed(batch.column("key").to_numpy()[k].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + h[at].astype(np.uint64)).view(np.int64)
+                take = lambda c: pa.array(batch.column(c).to_numpy()[k])
+                yield pa.RecordBatch.from_arrays([pa.array(key), take("cid"), take("id"), take("line"), take("r"), take("n"), pa.array((at - start[k]).astype(np.int32)), pa.array(parity[k])], [x.split()[0] for x in _INDEX.split(", ")])
+
+    place = F.struct("id", "line", "r", "cid")
+    few = rows.where(f"ceil({percent} * n / 100) <= {level}").select("key", "n", place.alias("p"))
+    firsts = few.groupBy(F.col("key").alias("k"), F.col("n").alias("ny")).agg(F.min("p").alias("y"))
+    sure = few.join(firsts, F.col("key") == F.col("k")).where("p > y")
+    sure = sure.where(f"100 * least(n, ny) >= {percent} * greatest(n, ny) and ceil({percent} * (n + ny) / {100 + percent}.0) <= {level}")
+    return rows.mapInArrow(run, _INDEX), scratch.save(sure.select(F.col("p.cid").alias("x"), F.col("y.cid").alias("y")).distinct(), "sure")
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """The classes x that are similar to an earlier y, by the words of the lines: (x)."""
+    wanted = pairs.select(F.col("x").alias("c")).union(pairs.select("y")).distinct()
+    wanted = wanted.join(classes.select("cid", "f", "r", "line"), F.col("c") == F.col("cid")).select("cid", F.col("f").alias("wf"), F.col("r").alias("wr"), "line")
+    wanted = scratch.save(wanted.groupBy("wf", "wr").agg(F.collect_list(F.struct("line", "cid")).alias("ls")), "wanted")
+    some = maybe_among(docs, F.xxhash64("f", "r"), wanted.select(F.xxhash64("wf", "wr").alias("x"))).where("_among").select("f", "r", "text")
+    held = some.join(wanted, F.expr("f = wf and r = wr")).select(F.split("text", "\n").alias("parts"), F.explode("ls").alias("l"))
+    held = scratch.save(held.select("l.cid", F.element_at("parts", F.col("l.line") + 1).alias("t")), "held")
+    side = lambda s: held.select(F.col("cid").alias(f"{s}c"), F.col("t").alias(f"{s}t"))
+    both = pairs.join(side("y"), F.col("y") == F.col("yc")).select("x", "yt").join(side("x"), F.col("x") == F.col("xc")).select("x", "xt", "yt")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
             for s, t in zip(texts(batch, "xt"), texts(batch, "yt"), strict=True):
                 a, b = set(s.lower().split()), set(t.lower().split())
-                ok.append(100 * len(a & b) >= percent * len(a | b))
-            yield batch.filter(pa.array(ok, pa.bool_())).select(["rid", "line"])
+                same = len(a & b)
+                ok.append(100 * same >= percent * (len(a) + len(b) - same))
+            yield batch.filter(pa.array(ok, pa.bool_())).select(["x"])
 
-    out = scratch.save(both.mapInArrow(run, "rid long, line int").distinct(), "confirmed")
-    scratch.drop(pairs, wanted, held)
+    out = scratch.save(both.mapInArrow(run, "x long").distinct(), "confirmed")
+    scratch.drop(wanted, held)
     return out
 
 
-def matches(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """(lines, removed): all lines with a word as (rid, line), and those of them that an earlier line resembles."""
+def matches(docs: DataFrame, percent: int = 80, few: int = FEW, hot: int = HOT) -> DataFrame:
+    """(f, r, line): the removed lines of ``docs`` (id, f, r, text)."""
     scratch = Scratch(docs.sparkSession, "lines")
-    keyed = _keyed(docs)
-    lines = scratch.save(_lines(keyed), "lines")
-    index = _index(keyed, percent).groupBy("w", "pos", "n", "d", "m").agg(F.min(F.struct(*PLACE)).alias("p"))
-    index = scratch.save(index.select("w", "pos", "p.*", "n", "m"), "index")
-    first = index.groupBy(F.col("w").alias("v")).agg(F.min(F.struct(*PLACE, "pos", "n", "m")).alias("f"), F.count("*").alias("many")).where("many > 1")
-    y = first.select("v", "f.*").select("v", *_side("y"))
-    x = index.select("w", *_side("x"))
-    found = _confirmed(x.join(y, F.col("w") == F.col("v")).where(F.col("y") < F.col("x")).where(_similar(percent)), keyed, percent, scratch)
-    lists = scratch.save(index.join(first.select("v"), F.col("w") == F.col("v"), "left_semi"), "lists")
-    scratch.drop(index)
-    done = found.select(F.col("rid").alias("r"), F.col("line").alias("l"))
-    rest = lists.join(done, F.expr("rid = r and line = l"), "left_anti")
-    y = lists.select(F.col("w").alias("v"), *_side("y"))
-    late = rest.select("w", *_side("x")).join(y, (F.col("w") == F.col("v")) & (F.col("y") < F.col("x")) & _similar(percent))
-    found = found.union(_confirmed(late, keyed, percent, scratch)).select(F.col("rid").alias("r"), F.col("line").alias("l"))
-    # later members of a class, and first ones with an earlier match
-    heads = lines.groupBy(F.col("d1").alias("h1"), F.col("d2").alias("h2")).agg(F.min(F.struct(*PLACE)).alias("head"))
-    placed = lines.join(heads, (F.col("d1") == F.col("h1")) & (F.col("d2") == F.col("h2")))
-    later = placed.where(F.struct(*PLACE) > F.col("head")).select("rid", "line")
-    removed = scratch.save(later.union(found).distinct(), "removed")
-    return lines.select("rid", "line"), removed
-
-
-def dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of docs with their text but for the removed lines, and _removed, the number of these."""
-    _, removed = matches(docs, percent)
-    by = removed.groupBy(F.col("rid").alias("r")).agg(F.collect_list("line").alias("_gone"))
-    rows = maybe_among(docs.withColumn("_rid", F.monotonically_increasing_id()), "_rid", removed.select("rid"))
-    untouched = rows.where("not _among").withColumn("_removed", F.lit(0))
+    heads = scratch.save(_classes(_heads(docs)), "heads")
+    classes = heads.where("first")
+    slots = lambda b: (np.frombuffer(b"".join(b.column("h").to_pylist()), np.uint32) >> (32 - SLOT_BITS)).astype(np.int64)
+    counts = docs.sparkSession.sparkContext.broadcast(slot_counts(classes.select("h"), SLOT_BITS, slots))  # 32 MB at any input
+    index = _index(classes, percent, counts)
+    met = scratch.save(_met(index, percent, few, hot), "met")
+    pairs, asked, level = [met.where("kind = 0").select("x", "y")], [(index, met.where("kind = 1"))], 1
+    while not met.where("kind = 2").isEmpty():
+        index, sure = _split(met.where("kind = 2"), classes, level, percent, counts, scratch)
+        met = scratch.save(_met(index, percent, few, hot), "met")
+        pairs += [sure, met.where("kind = 0").select("x", "y")]
+        asked.append((index, met.where("kind = 1")))
+        level += 1
+    union = lambda frames: reduce(DataFrame.union, frames).distinct()
+    found = _confirmed(scratch.save(union(pairs), "pairs"), classes, docs, percent, scratch)
+    # lines that met FEW others of a list and found no match: all others of that list
+    rest = []
+    for rows, short in asked:
+        open_ = scratch.save(short.select(F.col("key").alias("k"), F.col("x").alias("c")).join(found.withColumnRenamed("x", "done"), F.col("c") == F.col("done"), "left_anti"), "open")
+        if not open_.isEmpty():
+            lists = rows.join(open_.select(F.col("k").alias("k1")).distinct(), F.col("key") == F.col("k1"), "left_semi")
+            lists = lists.join(open_, F.expr("key = k and cid = c"), "left").withColumn("asked", F.col("c").isNotNull()).drop("k", "c")
+            rest.append(scratch.save(_met(lists, percent, few, 1 << 62, ask=True).where("kind = 0").select("x", "y"), "rest"))
+    if rest:
+        found = found.union(_confirmed(scratch.save(union(rest), "pairs"), classes, docs, percent, scratch)).distinct()
+    near = classes.join(found, F.col("cid") == F.col("x"), "left_semi").select("f", "r", "line")
+    return scratch.save(heads.where("not first").select("f", "r", "line").union(near), "removed")
+
+
+def dedup(docs: DataFrame, percent: int = 80, few: int = FEW, hot: int = HOT, removed: str = "_removed") -> DataFrame:
+    """The rows of docs with their text but for the removed lines, and a column of the number of these."""
+    kept_columns = docs.columns
+    docs = stored(docs, Scratch(docs.sparkSession, "lines"))
+    f, r, gf, gr, gone, among = unused([*kept_columns, removed], "f", "r", "gf", "gr", "gone", "among")
+    keyed = docs.select("*", *(x.alias(n) for x, n in zip(row_key(docs), (f, r), strict=True)))
+    known = keyed.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("id"), F.col(f).alias("f"), F.col(r).alias("r"), "text")
+    by = matches(known, percent, few, hot).groupBy(F.col("f").alias(gf), F.col("r").alias(gr)).agg(F.collect_list("line").alias(gone))
+    rows = maybe_among(keyed, F.xxhash64(f, r), by.select(F.xxhash64(gf, gr).alias("x")), name=among)
+    untouched = rows.where(~F.col(among)).withColumn(removed, F.lit(0))
     parts = F.split("text", "\n")
-    kept = F.array_join(F.filter(F.transform(parts, lambda t, i: F.when(~F.array_contains("_gone", i), t)), lambda t: t.isNotNull()), "\n")
-    touched = rows.where("_among").join(by, F.col("_rid") == F.col("r"), "left")
-    touched = touched.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)).withColumn("_removed", F.greatest(F.size(F.coalesce("_gone", F.array())), F.lit(0)))
-    return untouched.select(*docs.columns, "_removed").unionByName(touched.select(*docs.columns, "_removed"))
+    kept = F.array_join(F.filter(F.transform(parts, lambda t, i: F.when(~F.array_contains(gone, i), t)), lambda t: t.isNotNull()), "\n")
+    touched = rows.where(among).join(by, (F.col(f) == F.col(gf)) & (F.col(r) == F.col(gr)), "left")
+    touched = touched.withColumn("text", F.when(F.col(gone).isNull(), F.col("text")).otherwise(kept)).withColumn(removed, F.coalesce(F.size(gone), F.lit(0)))
+    touched = touched.withColumn(removed, F.greatest(removed, F.lit(0)))
+    return untouched.select(*kept_columns, removed).unionByName(touched.select(*kept_columns, removed))
 
 
 def op8_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,32 +2,28 @@ import hashlib
 import random
 
 import pyarrow.parquet as pq
+import pytest
 
 from tessera.llm import lines
 
 
 def brute(docs):
     """(doc_id, text) in table order -> (lines, removed, text) by comparing each line with all earlier ones."""
-    order = sorted(range(len(docs)), key=lambda i: (docs[i][0] is None, docs[i][0] or 0, i))
-    seen, having, out = [], {}, {}
-    for i in order:
-        kept, n, gone = [], 0, 0
-        for x in (docs[i][1] or "").split("\n"):
-            s = frozenset(x.encode().lower().split())
-            if not s:
-                kept.append(x)
-                continue
-            n += 1
-            near = {j for w in s for j in having.get(w, ())}
-            hit = any(100 * len(s & seen[j]) >= 80 * len(s | seen[j]) for j in near)
-            gone += hit
-            if not hit:
-                kept.append(x)
-            for w in s:
-                having.setdefault(w, []).append(len(seen))
-            seen.append(s)
-        out[i] = (n, gone, None if docs[i][1] is None else "\n".join(kept))
-    return [out[i] for i in range(len(docs))]
+    parts = [(t or "").split("\n") for _, t in docs]
+    order = sorted((d is None, d or 0, j, i) for i, (d, _) in enumerate(docs) for j in range(len(parts[i])))
+    seen, having, gone, n = [], {}, set(), [0] * len(docs)
+    for _, _, j, i in order:
+        s = frozenset(parts[i][j].encode().lower().split())
+        if not s:
+            continue
+        n[i] += 1
+        if any(100 * len(s & seen[k]) >= 80 * len(s | seen[k]) for k in {k for w in s for k in having.get(w, ())}):
+            gone.add((i, j))
+        for w in s:
+            having.setdefault(w, []).append(len(seen))
+        seen.append(s)
+    kept = lambda i: "\n".join(x for j, x in enumerate(parts[i]) if (i, j) not in gone)
+    return [(n[i], sum(k == i for k, _ in gone), None if t is None else kept(i)) for i, (_, t) in enumerate(docs)]
 
 
 def test_documents(spark):
@@ -38,14 +34,14 @@ def test_documents(spark):
     assert got == want and sum(g for _, g, _, _ in want.values()) > 0
 
 
-def planted(rng):
+def planted(rng, most=50):
     word = lambda: rng.choice("abcdefg") + str(rng.randrange(90))
-    base = [[word() for _ in range(rng.randrange(1, 50))] for _ in range(12)]
+    base = [[word() for _ in range(rng.randrange(1, most))] for _ in range(12)]
     docs = []
     for _ in range(80):
         text = []
         for _ in range(rng.randrange(6)):
-            x = list(rng.choice(base)) if rng.random() < 0.7 else [word() for _ in range(rng.randrange(1, 30))]
+            x = list(rng.choice(base)) if rng.random() < 0.7 else [word() for _ in range(rng.randrange(1, max(2, most * 3 // 5)))]
             for _ in range(rng.randrange(4)):
                 x[rng.randrange(len(x))] = word()
             text.append(rng.choice(["", " ", "A "]) + " ".join(x))
@@ -56,12 +52,35 @@ def planted(rng):
     return [(i if i != 3 else None, t) for i, t in zip(ids, docs)] + [(ids[0], docs[0])]
 
 
-def test_planted_lines(spark, tmp_path):
-    docs = planted(random.Random(5))
-    spark.createDataFrame([(d, t, k, 1) for k, (d, t) in enumerate(docs)], "doc_id long, text string, line int, n int").repartition(3).write.parquet(str(tmp_path / "d"))
+@pytest.mark.parametrize(("few", "hot"), [(lines.FEW, lines.HOT), (1, lines.HOT), (2, 3)])
+def test_planted_lines(spark, tmp_path, few, hot):
+    """Also with few partners for a line, and with lists split by several shared words."""
+    docs = planted(random.Random(5), 50 if hot == lines.HOT else 8)
+    rows = [(d, t, k, 1, 2, "x", "y", 3, 4, 5) for k, (d, t) in enumerate(docs)]
+    spark.createDataFrame(rows, "doc_id long, text string, line int, n int, r int, _rid string, _gone string, _among int, f int, x int").coalesce(1).write.parquet(str(tmp_path / "d"))
     df = spark.read.parquet(str(tmp_path / "d"))
-    stored = [(r.doc_id, r.text, r.line) for r in df.collect()]
-    got = {r.line: (r._removed, r.text) for r in lines.dedup(df).collect()}
-    want = {k: (g, t) for (_, _, k), (_, g, t) in zip(stored, brute([r[:2] for r in stored]))}
-    assert got == want
+    out = lines.dedup(df, few=few, hot=hot)
+    assert out.columns == [*df.columns, "_removed"]
+    got = {r.line: (r._removed, r.text) for r in out.collect()}
+    assert got == {k: (g, t) for k, (_, g, t) in enumerate(brute(docs))}
+    assert all((r.n, r.r, r._rid, r._gone, r._among, r.f, r.x) == (1, 2, "x", "y", 3, 4, 5) for r in out.collect())
     assert lines.dedup(df.limit(0)).count() == 0
+
+
+def test_a_hot_list_whose_shared_words_suffice(spark):
+    """One short line and very many that add a word to it: lists are split down to all shared words."""
+    rng = random.Random(2)
+    docs = [(k, "is on at by to " + f"w{rng.randrange(400)}") for k in range(90)] + [(200, "is on at by to"), (7, "is on at by"), (8, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r.doc_id, r._removed) for r in lines.dedup(df, hot=4).collect())
+    assert got == sorted((d, g) for (d, _), (_, g, _) in zip(docs, brute(docs))) and sum(g for _, g in got) > 3
+
+
+def test_a_text_of_megabytes(spark):
+    rng = random.Random(3)
+    line = lambda: " ".join(f"v{rng.randrange(30000)}" for _ in range(30))
+    long = [line() for _ in range(50_000)]
+    near = long[777].rsplit(" ", 1)[0] + " other"
+    docs = [(1, "\n".join(long)), (2, near + "\nquite new words here"), (3, "x" * 3_000_000 + "\n" + long[5].upper())]
+    got = {r.doc_id: (r._removed, r.text) for r in lines.dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: (0, docs[0][1]), 2: (1, "quite new words here"), 3: (1, "x" * 3_000_000)}
