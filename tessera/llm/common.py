@@ -167,23 +167,6 @@ def blocks(raw: list[bytes], size: int = 2 << 20) -> Iterator[tuple[int, list[by
             first, held = i + 1, 0
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash, kept for the worker's life but never above a fixed number of words."""
-
-    MOST = 400_000
-
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh3_64_intdigest
-
-        if len(self) >= self.MOST:
-            self.clear()
-        h = self[word] = xxh3_64_intdigest(word)
-        return h
-
-    def array(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def slot_counts(df: DataFrame, bits: int, slots) -> np.ndarray:
     """A count table of fixed size, 2**bits numbers whatever the input: counts of hashed keys, exact up to 2048 and on a
     logarithmic scale beyond, so that it orders keys by rarity at any size.
@@ -260,28 +243,37 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     all of them.
     """
     nodes = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
-    labels = scratch.save(nodes.withColumn("root", F.col("node")), "labels")
-    live = scratch.save(edges.where("a != b").select("a", "b").distinct(), "edges")
+    live, moves = scratch.save(edges.where("a != b").select("a", "b").distinct(), "edges"), []
     while not live.isEmpty():
         both = live.union(live.select("b", "a"))
-        parent = scratch.save(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("x"), F.least("a", "m").alias("p")), "parent")
-        while True:  # every parent is a node of a link itself, and smaller or equal
-            above = parent.select(F.col("x").alias("y"), F.col("p").alias("pp"))
-            jumped = scratch.save(parent.join(above, F.col("p") == F.col("y")).select("x", F.col("pp").alias("p"), (F.col("p") != F.col("pp")).alias("far")), "parent")
+        parent = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("x"), F.least("a", "m").alias("p"))
+        parent = scratch.save(_jumped(parent), "parent")
+        while not parent.where("far").isEmpty():
+            further = scratch.save(_jumped(parent.select("x", "p")), "parent")
             scratch.drop(parent)
-            parent = jumped
-            if parent.where("far").isEmpty():
-                break
-        moved = labels.join(parent, labels["root"] == parent["x"], "left").select("node", F.coalesce("p", "root").alias("root"))
+            parent = further
+        moves.append(parent)
         pa_, pb = parent.select(F.col("x").alias("xa"), F.col("p").alias("na")), parent.select(F.col("x").alias("xb"), F.col("p").alias("nb"))
         joined = live.join(pa_, live["a"] == F.col("xa")).join(pb, live["b"] == F.col("xb"))
-        after = joined.select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).where("a != b").distinct()
-        labels2, live2 = scratch.save(moved, "labels"), scratch.save(after, "edges")
-        scratch.drop(labels, live, parent)
-        labels, live = labels2, live2
+        after = scratch.save(joined.select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).where("a != b").distinct(), "edges")
+        scratch.drop(live)
+        live = after
+    labels = nodes.withColumn("root", F.col("node"))
+    for parent in moves:
+        labels = labels.join(parent.select("x", "p"), F.col("root") == F.col("x"), "left").select("node", F.coalesce("p", "root").alias("root"))
+    labels = scratch.save(labels, "labels")
+    scratch.drop(live, *moves)
     return labels
 
 
+def _jumped(parent: DataFrame) -> DataFrame:
+    """(x, p, far): each node's ancestor four steps up; far: there may be more. Every parent is itself an x of the table."""
+    for _ in range(2):
+        above = parent.select(F.col("x").alias("y"), F.col("p").alias("pp"))
+        parent = parent.join(above, F.col("p") == F.col("y")).select("x", F.col("pp").alias("p"), (F.col("p") != F.col("pp")).alias("far"))
+    return parent
+
+
 def stored(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """``docs`` as a table whose files know their rows: a plain scan stays as it is, anything else is written first."""
     kind = docs._jdf.queryExecution().analyzed().getClass().getSimpleName()

@@ -35,7 +35,7 @@ from tessera.llm.common import Scratch, blocks, documents, maybe_among, mixed, o
 
 SLOT_BITS, FEW, HOT = 24, 8, 1024
 _KEYED = "id long, f long, r long"
-_INDEX = "key long, cid long, id long, line int, r long, n int, pos int, m long"
+_INDEX = "key long, cid long, id long, line int, r long, n int, pos int, m long, o long"
 
 
 def _sets(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -135,6 +135,14 @@ def _ordered(batch: pa.RecordBatch, table: np.ndarray) -> tuple[np.ndarray, np.n
     return (order >> np.uint64(48)).astype(np.int64), (order & np.uint64(0xFFFFFFFF)).astype(np.int64), (order >> np.uint64(32)).astype(np.int64) & 0xFFFF
 
 
+def _parity(h: np.ndarray, start: np.ndarray) -> list[pa.Array]:
+    """128 bits of each set, in two numbers: each word flips one."""
+    bit = mixed(h.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    one = np.uint64(1) << (bit & np.uint64(63))
+    high = (bit >> np.uint64(6)) & np.uint64(1)
+    return [pa.array(np.bitwise_xor.reduceat(one * (high == k), start).view(np.int64)) for k in (0, 1)]
+
+
 def _index(classes: DataFrame, percent: int, counts) -> DataFrame:
     """A row for each indexed word of each class: key (the word), its place in the set's order, n and parity bits m."""
 
@@ -145,14 +153,13 @@ def _index(classes: DataFrame, percent: int, counts) -> DataFrame:
                 size = batch.column("n").to_numpy()
                 start = offsets(size)[:-1]
                 own, h, count = _ordered(batch, counts.value)
-                bit = np.uint64(1) << (mixed(h.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) & np.uint64(63))
-                parity = np.bitwise_xor.reduceat(bit, start).view(np.int64)
+                parity = _parity(h, start)
                 # smaller sets can only be similar to equal ones, which are one class already
                 at = ragged(start, np.where(size > percent // (100 - percent) - 1, prefix(size, percent), 0))
                 at = at[count[at] > 1]
                 k = own[at]
                 take = lambda c: pa.array(batch.column(c).to_numpy()[k])
-                yield pa.RecordBatch.from_arrays([pa.array(h[at]), take("cid"), take("id"), take("line"), take("r"), take("n"), pa.array((at - start[k]).astype(np.int32)), pa.array(parity[k])], [x.split()[0] for x in _INDEX.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(h[at]), take("cid"), take("id"), take("line"), take("r"), take("n"), pa.array((at - start[k]).astype(np.int32)), *(m.take(pa.array(k)) for m in parity)], [x.split()[0] for x in _INDEX.split(", ")])
 
     return classes.select("cid", "id", "line", "r", "n", "h").mapInArrow(run, _INDEX)
 
@@ -163,11 +170,11 @@ def _overlap(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _meet(c: dict[str, np.ndarray], start: np.ndarray, few: int, percent: int) -> tuple[np.ndarray, ...]:
-    """(x, y, cut short): rows x of a run with earlier rows y of it that pass the filters, ``few`` for each x; or, if ``c``
+    """(x, y, spare, cut short): rows x of a run with earlier rows y of it that pass the filters, ``few`` for each x; or, if ``c``
     has ``asked``, every one for the x where it is set. cut short: rows that had more earlier rows to meet. Rows of a run
     are in the lines' order and ``start`` is the first of each one's."""
-    n, pos, m = c["n"].astype(np.int64), c["pos"].astype(np.int64), c["m"].view(np.uint64)
-    got, xs, ys, j = np.zeros(len(n), np.int64), [], [], 0
+    n, pos, m, o = c["n"].astype(np.int64), c["pos"].astype(np.int64), c["m"].view(np.uint64), c["o"].view(np.uint64)
+    got, xs, ys, spares, j = np.zeros(len(n), np.int64), [], [], [], 0
     asked = c.get("asked")
     live, short = np.flatnonzero((np.arange(len(n)) > start) & (True if asked is None else asked)), []
     while len(live):
@@ -175,10 +182,12 @@ def _meet(c: dict[str, np.ndarray], start: np.ndarray, few: int, percent: int) -
         total = n[live] + n[y]
         need = _overlap(total, percent)
         ok = (100 * np.minimum(n[live], n[y]) >= percent * np.maximum(n[live], n[y])) & (np.minimum(pos[live], pos[y]) + np.minimum(n[live] - pos[live], n[y] - pos[y]) >= need)
-        ok &= np.bitwise_count(m[live] ^ m[y]) <= total - 2 * need
+        spare = total - 2 * need - np.bitwise_count(m[live] ^ m[y]).astype(np.int64) - np.bitwise_count(o[live] ^ o[y])
+        ok &= spare >= 0
         ok &= c["cid"][live] != c["cid"][y]
         xs.append(live[ok])
         ys.append(y[ok])
+        spares.append(spare[ok])
         got[live[ok]] += 1
         j += 1
         live = live[live > start[live] + j]
@@ -186,11 +195,12 @@ def _meet(c: dict[str, np.ndarray], start: np.ndarray, few: int, percent: int) -
         short.append(live[full])
         live = live[~full]
     join = lambda x: np.concatenate([np.zeros(0, np.int64), *x])
-    return join(xs), join(ys), join(short)
+    return join(xs), join(ys), join(spares), join(short)
 
 
 def _met(rows: DataFrame, percent: int, few: int, hot: int, ask: bool = False) -> DataFrame:
-    """Index rows -> (x, y) pairs of classes, x later; (key, x) of rows that were cut short; (key, x, pos) of rows in lists
+    """Index rows -> (x, y, pos) pairs of classes, x later, pos the words by which they may differ more than their parity
+    bits show; (key, x) of rows that were cut short; (key, x, pos) of rows in lists
     above ``hot``. kind: 0, 1, 2. With ``ask``, rows have that column and only those where it is set look for pairs."""
     names = [x.split()[0] for x in _INDEX.split(", ")] + ["asked"] * ask
 
@@ -207,10 +217,9 @@ def _met(rows: DataFrame, percent: int, few: int, hot: int, ask: bool = False) -
         keep = np.repeat((size > 1) & (size <= hot), size)
         start = np.repeat(first, size)[keep] - (np.cumsum(~keep) - ~keep)[np.repeat(first, size)[keep]]
         c = {k: v[keep] for k, v in c.items()}
-        x, y, short = _meet(c, start, few, percent)
-        pair = np.unique(np.stack([c["cid"][x], c["cid"][y]], 1), axis=0)
-        zero = np.zeros(len(pair), np.int64)
-        yield out(0, zero, pair[:, 0], pair[:, 1], zero)
+        x, y, spare, short = _meet(c, start, few, percent)
+        pair = np.unique(np.stack([c["cid"][x], c["cid"][y], spare], 1), axis=0)
+        yield out(0, np.zeros(len(pair), np.int64), pair[:, 0], pair[:, 1], pair[:, 2])
         yield out(1, c["key"][short], c["cid"][short], c["cid"][short], c["pos"][short])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,26 +267,38 @@ def _split(hot: DataFrame, classes: DataFrame, level: int, percent: int, counts,
                 size, pos = batch.column("n").to_numpy().astype(np.int64), batch.column("pos").to_numpy().astype(np.int64)
                 start = offsets(size)[:-1]
                 _, h, _ = _ordered(batch, counts.value)
-                bit = np.uint64(1) << (mixed(h.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) & np.uint64(63))
-                parity = np.bitwise_xor.reduceat(bit, start).view(np.int64)
+                parity = _parity(h, start)
                 last = np.minimum(size, prefix(size, percent) + level)
                 many = np.maximum(0, last - pos - 1)
                 at, k = ragged(start + pos + 1, many), np.repeat(np.arange(len(size)), many)
                 with np.errstate(over="ignore"):
                     key = mixed(batch.column("key").to_numpy()[k].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + h[at].astype(np.uint64)).view(np.int64)
                 take = lambda c: pa.array(batch.column(c).to_numpy()[k])
-                yield pa.RecordBatch.from_arrays([pa.array(key), take("cid"), take("id"), take("line"), take("r"), take("n"), pa.array((at - start[k]).astype(np.int32)), pa.array(parity[k])], [x.split()[0] for x in _INDEX.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(key), take("cid"), take("id"), take("line"), take("r"), take("n"), pa.array((at - start[k]).astype(np.int32)), *(m.take(pa.array(k)) for m in parity)], [x.split()[0] for x in _INDEX.split(", ")])
 
     place = F.struct("id", "line", "r", "cid")
     few = rows.where(f"ceil({percent} * n / 100) <= {level}").select("key", "n", place.alias("p"))
     firsts = few.groupBy(F.col("key").alias("k"), F.col("n").alias("ny")).agg(F.min("p").alias("y"))
     sure = few.join(firsts, F.col("key") == F.col("k")).where("p > y")
     sure = sure.where(f"100 * least(n, ny) >= {percent} * greatest(n, ny) and ceil({percent} * (n + ny) / {100 + percent}.0) <= {level}")
-    return rows.mapInArrow(run, _INDEX), scratch.save(sure.select(F.col("p.cid").alias("x"), F.col("y.cid").alias("y")).distinct(), "sure")
+    return rows.mapInArrow(run, _INDEX), scratch.save(sure.select(F.col("p.cid").alias("x"), F.col("y.cid").alias("y"), F.lit(1 << 30).alias("pos")), "sure")
+
+
+def _confirmed(candidates: list[DataFrame], classes: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """The classes x that are similar to an earlier y, by the words of the lines: (x). The likeliest y of each x is looked
+    at first; the others only for the x that are left."""
+    pairs = scratch.save(reduce(DataFrame.union, candidates).groupBy("x", "y").agg(F.max("pos").alias("spare")), "pairs")
+    best = scratch.save(pairs.groupBy("x").agg(F.max(F.struct("spare", "y")).alias("b")).select("x", F.col("b.y").alias("y")), "best")
+    found = _verified(best, classes, docs, percent, scratch)
+    done = found.select(F.col("x").alias("done"))
+    others = pairs.select("x", "y").join(done, F.col("x") == F.col("done"), "left_anti")
+    others = others.join(best.select(F.col("x").alias("bx"), F.col("y").alias("by")), F.expr("x = bx and y = by"), "left_anti")
+    found = found.union(_verified(scratch.save(others, "others"), classes, docs, percent, scratch))
+    scratch.drop(pairs, best)
+    return found
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """The classes x that are similar to an earlier y, by the words of the lines: (x)."""
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     wanted = pairs.select(F.col("x").alias("c")).union(pairs.select("y")).distinct()
     wanted = wanted.join(classes.select("cid", "f", "r", "line"), F.col("c") == F.col("cid")).select("cid", F.col("f").alias("wf"), F.col("r").alias("wr"), "line")
     wanted = scratch.save(wanted.groupBy("wf", "wr").agg(F.collect_list(F.struct("line", "cid")).alias("ls")), "wanted")
@@ -310,15 +331,14 @@ def matches(docs: DataFrame, percent: int = 80, few: int = FEW, hot: int = HOT)
     counts = docs.sparkSession.sparkContext.broadcast(slot_counts(classes.select("h"), SLOT_BITS, slots))  # 32 MB at any input
     index = _index(classes, percent, counts)
     met = scratch.save(_met(index, percent, few, hot), "met")
-    pairs, asked, level = [met.where("kind = 0").select("x", "y")], [(index, met.where("kind = 1"))], 1
+    pairs, asked, level = [met.where("kind = 0").select("x", "y", "pos")], [(index, met.where("kind = 1"))], 1
     while not met.where("kind = 2").isEmpty():
         index, sure = _split(met.where("kind = 2"), classes, level, percent, counts, scratch)
         met = scratch.save(_met(index, percent, few, hot), "met")
-        pairs += [sure, met.where("kind = 0").select("x", "y")]
+        pairs += [sure, met.where("kind = 0").select("x", "y", "pos")]
         asked.append((index, met.where("kind = 1")))
         level += 1
-    union = lambda frames: reduce(DataFrame.union, frames).distinct()
-    found = _confirmed(scratch.save(union(pairs), "pairs"), classes, docs, percent, scratch)
+    found = _confirmed(pairs, classes, docs, percent, scratch)
     # lines that met FEW others of a list and found no match: all others of that list
     rest = []
     for rows, short in asked:
@@ -326,9 +346,9 @@ def matches(docs: DataFrame, percent: int = 80, few: int = FEW, hot: int = HOT)
         if not open_.isEmpty():
             lists = rows.join(open_.select(F.col("k").alias("k1")).distinct(), F.col("key") == F.col("k1"), "left_semi")
             lists = lists.join(open_, F.expr("key = k and cid = c"), "left").withColumn("asked", F.col("c").isNotNull()).drop("k", "c")
-            rest.append(scratch.save(_met(lists, percent, few, 1 << 62, ask=True).where("kind = 0").select("x", "y"), "rest"))
+            rest.append(scratch.save(_met(lists, percent, few, 1 << 62, ask=True).where("kind = 0").select("x", "y", "pos"), "rest"))
     if rest:
-        found = found.union(_confirmed(scratch.save(union(rest), "pairs"), classes, docs, percent, scratch)).distinct()
+        found = found.union(_confirmed(rest, classes, docs, percent, scratch))
     near = classes.join(found, F.col("cid") == F.col("x"), "left_semi").select("f", "r", "line")
     return scratch.save(heads.where("not first").select("f", "r", "line").union(near), "removed")
 
