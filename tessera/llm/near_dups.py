@@ -14,17 +14,18 @@ No list is expanded into all its pairs:
 - Then, where a list still holds several components, members outside its largest component meet the members of other
   components. Members of one component never meet. This step is what makes the links complete.
 
-Two documents of similarity 0.8 that both retain K = 256 hashes share fewer than LEAST = 178 with probability 3e-5; sets of
-up to 204 shingles are held whole, and their bound is exact.
+Sets of up to K = 256 shingles are held whole and their bound is exact, also against larger sets. Of two larger ones of
+similarity 0.8, the union's K smallest hashes hold fewer than LEAST = 160 shared ones (204.8 expected, deviation 6.4) with
+probability 1e-11.
 
 Cases: a null, empty or blank text has no shingles, is its own component and kept; fewer words than a shingle make one
 shingle; a null doc_id is never linked, its component_id is null and it is kept; rows that share a doc_id are one node,
-each with its own n_shingles; an empty table gives no rows; extra columns pass through ``keep_first`` untouched.
+each with its own n_shingles, and ``keep_first`` keeps that of least hashes (of its text, then of all columns); an empty
+table gives no rows; extra columns pass through ``keep_first`` untouched, whatever their names.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -32,38 +33,46 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, WordHashes, components, documents, maybe_among, mixed, slot_counts, texts
+from tessera.llm.common import Scratch, blocks, components, documents, maybe_among, mixed, offsets, slot_counts, texts, unused, words
 
-K, LEAST, COMMON, SLOT_BITS = 256, 178, 4, 24
-_WORDS = WordHashes()
+K, LEAST, COMMON, SLOT_BITS = 256, 160, 4, 24
 
 
-def shingle_hashes(text: bytes, width: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of ``width`` lower-cased words."""
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = _WORDS.array(words)
-    width = min(width, len(h))
-    out = np.full(len(h) - width + 1, width, np.uint64)
+def shingle_hashes(raw: list[bytes], width: int) -> list[np.ndarray]:
+    """Of each text: the sorted distinct 64-bit hashes of its shingles of ``width`` lower-cased words."""
+    text, _, h = words(raw)
+    many = np.bincount(text, minlength=len(raw))
+    start = offsets(many)
+    size = np.minimum(many, width)  # a shorter text is one shingle
     with np.errstate(over="ignore"):
-        for j in range(width):
-            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + h[j : len(h) - width + 1 + j])
-    return np.unique(out)
-
-
-def shingle_set(text: bytes, width: int) -> set:
-    words = text.lower().split()
-    return set(zip(*(words[j:] for j in range(width)), strict=False)) if len(words) >= width else {tuple(words)} if words else set()
+        out = np.repeat(size, many).astype(np.uint64)
+        for j in range(min(width, len(h))):
+            later = mixed(out[: len(h) - j] * np.uint64(0x9E3779B97F4A7C15) + h[j:])
+            within = np.repeat(size, many)[: len(h) - j] > j
+            out[: len(h) - j] = np.where(within, later, out[: len(h) - j])
+    count = np.where(many, many - size + 1, 0)
+    return [np.unique(out[a : a + n]) for a, n in zip(start.tolist(), count.tolist(), strict=False)]
+
+
+def shingle_codes(raw: list[bytes], width: int) -> list[np.ndarray]:
+    """The shingle sets of texts as sorted distinct numbers: equal in these texts if and only if the shingles are."""
+    number: dict[bytes, int] = {}
+    ids = [np.fromiter((number.setdefault(w, len(number)) for w in t.lower().split()), np.int64) for t in raw]
+    size = [min(width, len(x)) for x in ids]
+    out = [x[: len(x) - k + 1 if k else 0] for x, k in zip(ids, size, strict=True)]
+    for j in range(1, width):
+        _, code = np.unique(np.concatenate(out), return_inverse=True)  # stays below the number of words
+        cut = offsets(np.array([len(x) for x in out], np.int64))
+        out = [(code[a:b] + 1) * (len(number) + 1) + (x[j : j + b - a] + 1 if j < k else 0) for a, b, x, k in zip(cut[:-1], cut[1:], ids, size, strict=True)]
+    return [np.unique(x) for x in out]
 
 
 def needed(n: int, percent: int) -> int:
-    """Retained hashes that a document of n shingles shares with any similar one."""
-    return -(-percent * n // 100) if n <= K * percent // 100 else min(LEAST, math.ceil(K * percent / 100))
-
-
-def _needed_sql(n: str, percent: int) -> str:
-    return f"if({n} <= {K * percent // 100}, ceil({percent} * {n} / 100.0), {min(LEAST, math.ceil(K * percent / 100))})"
+    """Retained hashes that a document of n shingles shares with any similar one; above K, all but surely."""
+    if n > K:
+        return LEAST
+    others = range(-(-percent * n // 100), 100 * n // percent + 1)  # the sizes that similar sets can have
+    return min((-(-percent * (n + m) // (100 + percent)) - max(0, m - K) for m in others), default=n)
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
@@ -74,11 +83,11 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
         for batch in batches:
             n, digest, sketch = [], [], []
-            for t in texts(batch):
-                s = shingle_hashes(t, width)
-                n.append(len(s))
-                digest.append(xxh3_128_intdigest(s.tobytes()))
-                sketch.append(s[:K].tobytes())
+            for _, raw in blocks(texts(batch)):
+                for s in shingle_hashes(raw, width):
+                    n.append(len(s))
+                    digest.append(xxh3_128_intdigest(s.tobytes()))
+                    sketch.append(s[:K].tobytes())
             d = [np.array([x >> k & (2**64 - 1) for x in digest], np.uint64).view(np.int64) for k in (64, 0)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(d[0]), pa.array(d[1]), pa.array(sketch, pa.binary())], ["doc_id", "th", "n", "d1", "d2", "sketch"])
 
@@ -86,32 +95,33 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
 
 def lists(reps: DataFrame, percent: int) -> DataFrame:
-    """(value, rep, hub, pos): the inverted lists; pos is the value's place in the class's order by rarity.
-    Each class opens lists for its rarest retained hashes. hub sums the counts of
-    all that it retains: of a group of edited copies the text they were made from has the highest."""
+    """(value, rep, hub, pos, need): the inverted lists; pos is the value's place in the class's order by rarity, need the
+    hashes that the class shares with any similar one. Each class opens lists for its rarest retained hashes. hub sums the
+    counts of all that it retains: of a group of edited copies the text they were made from has the highest."""
     slot = lambda v: (v >> np.uint64(64 - SLOT_BITS)).astype(np.int64) ^ (v & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
     values = lambda batch: np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64)
     counts = reps.sparkSession.sparkContext.broadcast(slot_counts(reps.select("sketch"), SLOT_BITS, lambda b: slot(values(b))))  # 32 MB at any input
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
-        for batch in batches:
-            out, rep, hub, pos = [], [], [], []
-            for r, n, s in zip(batch.column("rep").to_pylist(), batch.column("n").to_pylist(), batch.column("sketch").to_pylist(), strict=True):
-                v = np.frombuffer(s, np.uint64)
-                c = table[slot(v)]
-                least = needed(n, percent)
-                order = np.lexsort((v, c))[: len(v) - least + min(COMMON, least)]
-                at = np.flatnonzero(c[order] > 1)  # a count of one proves that no other class has it
-                shared = v[order[at]]
-                out.append(shared)
-                pos.append(at)
-                rep += [r] * len(shared)
-                hub += [int(c.sum(dtype=np.int64))] * len(shared)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64)), pa.array(rep, pa.int64()), pa.array(hub, pa.int64()), pa.array(np.concatenate(pos), pa.int32())], ["value", "rep", "hub", "pos"])
-
-    return reps.select("rep", "n", "sketch").mapInArrow(run, "value long, rep long, hub long, pos int")
+        least = np.array([needed(n, percent) for n in range(K + 2)], np.int64)
+        for whole in batches:
+            for i in range(0, whole.num_rows, 2048):
+                batch = whole.slice(i, 2048)
+                v, n = values(batch), batch.column("n").to_numpy()
+                size = np.minimum(n, K)
+                start, own = offsets(size)[:-1], np.repeat(np.arange(len(n)), size)
+                at = np.arange(len(v)) - start[own]
+                # a sketch ascends, so order by count and place in it is order by count and value
+                key = np.sort((own << 32) | (table[slot(v)].astype(np.int64) << 16) | at)
+                count, v = (key >> 16) & 0xFFFF, v[start[own] + (key & 0xFFFF)]
+                need = least[np.minimum(n, K + 1)]
+                keep = (at < (size - need + np.minimum(COMMON, need))[own]) & (count > 1)  # a count of one: no other class has it
+                k = own[keep]
+                hub = np.bincount(own, count, len(n)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(v[keep].view(np.int64)), pa.array(batch.column("rep").to_numpy()[k]), pa.array(hub[k]), pa.array(at[keep].astype(np.int32)), pa.array(need[k].astype(np.int32))], ["value", "rep", "hub", "pos", "need"])
+
+    return reps.select("rep", "n", "sketch").mapInArrow(run, "value long, rep long, hub long, pos int, need int")
 
 
 def similar_sketches(a: bytes, b: bytes, n: int, m: int, percent: int) -> bool:
@@ -121,7 +131,7 @@ def similar_sketches(a: bytes, b: bytes, n: int, m: int, percent: int) -> bool:
     if n <= K and m <= K:
         return 100 * len(both) >= percent * (len(x) + len(y) - len(both))
     union = np.union1d(x, y)[:K]
-    return np.isin(both, union, assume_unique=True).sum() >= min(LEAST, needed(n, percent), needed(m, percent))
+    return np.searchsorted(both, union[-1], side="right") >= LEAST
 
 
 def confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
@@ -153,8 +163,8 @@ def confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, perc
             for i in range(0, whole.num_rows, 128):
                 batch, ok = whole.slice(i, 128), []
                 for s, t in zip(texts(batch, "text_a"), texts(batch, "text_b"), strict=True):
-                    x, y = shingle_set(s, width), shingle_set(t, width)
-                    both = len(x & y)
+                    x, y = shingle_codes([s, t], width)
+                    both = len(np.intersect1d(x, y, assume_unique=True))
                     ok.append(100 * both >= percent * (len(x) + len(y) - both))
                 yield batch.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
@@ -176,7 +186,6 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     shared = opened.groupBy(F.col("value").alias("v")).agg(F.count("*").alias("many")).where("many > 1").select("v")
     table = scratch.save(opened.join(shared, F.col("value") == F.col("v"), "left_semi"), "lists")
     scratch.drop(opened)
-    links = None
     roots = None
     for seed in (1, 2):
         first_by = -F.col("hub") if seed == 1 else F.xxhash64("rep")
@@ -186,21 +195,29 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         if roots is not None:
             pairs = _apart(pairs, roots)
         pairs = pairs.groupBy("a", "b").count().where(f"count >= {COMMON // 2}").select("a", "b")
-        found = confirm(pairs, reps, docs, width, percent, scratch)
-        links = found if links is None else links.union(found)
-        roots = components(links, scratch)
-    crossing = _crossing(table, roots, reps, percent, scratch)
-    links = links.union(confirm(crossing, reps, docs, width, percent, scratch))
+        roots = _joined(roots, confirm(pairs, reps, docs, width, percent, scratch), scratch)
+    roots = _joined(roots, confirm(_crossing(table, roots, reps, percent, scratch), reps, docs, width, percent, scratch), scratch)
     # rows that share a doc_id are one node, whatever their texts
     first = members.join(reps.select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), "rep"), (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")) & F.expr("n > 0 and doc_id is not null"), "left")
     first = scratch.save(first.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep")), "nodes")
     repeated = first.where("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b")
-    links = links.union(repeated.select("a", "b")).union(repeated.select("a", F.col("doc_id").alias("b")).where("a <> b"))
-    roots = components(links, scratch)
+    roots = _joined(roots, repeated.select("a", "b").union(repeated.select("a", F.col("doc_id").alias("b")).where("a <> b")), scratch)
     out = first.join(roots, F.col("rep") == F.col("node"), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("root", "rep").alias("component_id"))
 
 
+def _joined(roots: DataFrame | None, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, root) after more links: only the roots that these connect are moved."""
+    if roots is None:
+        return components(links, scratch)
+    side = lambda x: roots.select(F.col("node").alias(f"node_{x}"), F.col("root").alias(f"root_{x}"))
+    more = links.join(side("a"), F.col("a") == F.col("node_a"), "left").join(side("b"), F.col("b") == F.col("node_b"), "left")
+    more = components(more.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")), scratch)
+    new = more.select(F.col("node").alias("old"), F.col("root").alias("new"))
+    moved = roots.join(new, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root"))
+    return scratch.save(moved.union(more.join(roots, "node", "left_anti")), "roots")
+
+
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs whose ends are not in one component yet."""
     side = lambda x: roots.select(F.col("node").alias(f"node_{x}"), F.col("root").alias(f"root_{x}"))
@@ -210,30 +227,35 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _crossing(table: DataFrame, roots: DataFrame, reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs of different components that share enough lists."""
-    known = table.join(roots, F.col("rep") == F.col("node"), "left").select("value", "rep", "pos", F.coalesce("root", "rep").alias("comp"))
+    known = table.join(roots, F.col("rep") == F.col("node"), "left").select("value", "rep", "pos", "need", F.coalesce("root", "rep").alias("comp"))
     sizes = reps.select(F.col("rep").alias("r"), "n")
     known = scratch.save(known.join(sizes, F.col("rep") == F.col("r")).drop("r"), "placed")
     per = known.groupBy("value", "comp").agg(F.count("*").alias("many"))
     live = per.groupBy(F.col("value").alias("v")).agg(F.max(F.struct("many", "comp")).alias("x"), F.count("*").alias("comps")).where("comps > 1")
     live = known.join(live.select("v", F.col("x.comp").alias("major")), F.col("value") == F.col("v")).drop("v")
     live = scratch.save(live, "live")
-    x = live.where("comp <> major").select(F.col("value").alias("vx"), F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("pos").alias("px"))
-    y = live.select("value", F.col("rep").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"), F.col("pos").alias("py"), (F.col("comp") == F.col("major")).alias("in_major"))
+    x = live.where("comp <> major").select(F.col("value").alias("vx"), F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("need").alias("ex"))
+    y = live.select("value", F.col("rep").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"), F.col("pos").alias("py"), F.col("need").alias("ey"), (F.col("comp") == F.col("major")).alias("in_major"))
     # the lists before this one and the hashes after it bound what two classes can share
     whole = f"ceil({percent} * (nx + ny) / {100 + percent}.0)"
-    need = f"if(nx <= {K} and ny <= {K}, {whole}, least({LEAST}, {_needed_sql('nx', percent)}, {_needed_sql('ny', percent)}))"
+    need = f"if(nx <= {K} and ny <= {K}, {whole}, least(ex, ey))"
     bound = f"least(least(nx, {K}) - px, least(ny, {K}) - py) + {COMMON - 1} >= {need}"
     near = F.expr(f"vx = value and {bound} and cx <> cy and (in_major or x < y) and 100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
-    pairs = x.join(y, near).groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "nx", "ny").agg(F.count("*").alias("shared"))
-    few = lambda c: F.least(F.lit(COMMON), F.ceil(F.col(c) * percent / 100))
-    return pairs.where(F.col("shared") >= F.least(few("nx"), few("ny"))).select("a", "b").distinct()
+    pairs = x.join(y, near).groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "ex", "ey").agg(F.count("*").alias("shared"))
+    return pairs.where(f"shared >= least({COMMON}, ex, ey)").select("a", "b").distinct()
 
 
 def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group (that of the smallest doc_id, once), with all its columns."""
     one = groups(docs, width, percent).where("doc_id is null or doc_id = component_id")
-    ids = one.where("doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct()
-    with_id = docs.where(docs["doc_id"].isNotNull()).join(ids, docs["doc_id"] == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    columns = docs.columns
+    text_hash, row_hash, kept, best = unused(columns, "text_hash", "row_hash", "kept", "best")
+    plain = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    hashed = docs.where(docs["doc_id"].isNotNull()).withColumns({text_hash: F.xxhash64("text"), row_hash: F.xxhash64(*plain)})
+    first = hashed.groupBy(F.col("doc_id").alias(kept)).agg(F.min(F.struct(text_hash, row_hash)).alias(best))
+    first = first.join(one.where("doc_id is not null").select(F.col("doc_id").alias(kept)).distinct(), kept)
+    same = (hashed["doc_id"] == F.col(kept)) & (F.col(text_hash) == F.col(f"{best}.{text_hash}")) & (F.col(row_hash) == F.col(f"{best}.{row_hash}"))
+    with_id = hashed.join(first, same, "left_semi").dropDuplicates(["doc_id"]).select(*columns)  # only equal rows are left
     return with_id.unionByName(docs.where(docs["doc_id"].isNull()))
 
 

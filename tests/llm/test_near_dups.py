@@ -3,12 +3,20 @@ import random
 
 import pyarrow.parquet as pq
 
+from pyspark.sql import functions as F
+
 from tessera.llm import near_dups
+from tessera.llm.common import Scratch, components
+
+
+def shingle_set(text, width):
+    words = text.lower().split()
+    return set(zip(*(words[j:] for j in range(width)))) if len(words) >= width else {tuple(words)} if words else set()
 
 
 def brute(docs, width):
     """doc_id -> (shingles, component) by comparing all pairs of sets that share a shingle."""
-    sets = [(d, near_dups.shingle_set((t or "").encode(), width)) for d, t in docs]
+    sets = [(d, shingle_set((t or "").encode(), width)) for d, t in docs]
     root = {d: d for d, _ in docs}
 
     def find(x):
@@ -77,3 +85,73 @@ def test_odd_rows(spark):
     kept = near_dups.keep_first(df, 2)
     assert kept.columns == df.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "None", "None"]
     assert near_dups.groups(df.limit(0)).count() == 0
+
+
+def test_contained_sets_around_the_sketch_size(spark):
+    """Pairs of exactly 80 % and just below it, one set within the other, with the new words the rarest or not."""
+    rng, docs = random.Random(4), []
+    for n in (*range(196, 264, 4), 205, 255, 256, 257, 300, 319, 320, 321, 400, 640):
+        words = [f"{n}w{k}" for k in range(n + 1)]
+        rng.shuffle(words)
+        small = -(-80 * n // 100)
+        docs += [" ".join(words), " ".join(words[: small + 1]), " ".join(words[:small])]
+    # words that no other document has are left out of lists, so some are made common
+    docs += [" ".join(d.split()[k] for k in range(0, len(d.split()), 7)) for d in docs]
+    rows = list(enumerate(docs, 1))
+    got = near_dups.groups(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    want = brute(rows, 2)
+    assert sorted(tuple(r) for r in got) == want and len({w[2] for w in want}) < len(want) - 30
+
+
+def test_needed_is_what_sketches_of_similar_sets_share():
+    rng, k = random.Random(6), near_dups.K
+    for _ in range(300):
+        n = rng.randrange(1, 420)
+        m = rng.randrange(-(-80 * n // 100), n + 1)
+        both = max(-(-80 * (n + m) // 180), 0)
+        values = rng.sample(range(10**9), n + m - both)
+        a, b = sorted(values[:n]), sorted(values[n - both :])
+        shared = len(set(a[:k]) & set(b[:k]))
+        assert shared >= min(near_dups.needed(n, 80), near_dups.needed(m, 80))
+
+
+def test_codes_tell_shingles_apart():
+    rng = random.Random(8)
+    for width in (1, 2, 5):
+        for _ in range(50):
+            s, t = (" ".join(rng.choice("abc") for _ in range(rng.randrange(9))).encode() for _ in range(2))
+            x, y = near_dups.shingle_codes([s, t], width)
+            a, b = (shingle_set(u, width) for u in (s, t))
+            assert (len(x), len(y), len(set(x) & set(y))) == (len(a), len(b), len(a & b))
+
+
+def test_long_chains_take_few_rounds(spark):
+    class Counted(Scratch):
+        rounds = 0
+
+        def save(self, df, name="t"):
+            self.rounds += name == "edges"
+            return super().save(df, name)
+
+    for order in (list(range(500)), random.Random(1).sample(range(500), 500)):
+        scratch = Counted(spark, "chain")
+        links = spark.createDataFrame(list(zip(order, order[1:])), "a long, b long")
+        assert components(links, scratch).where("root <> 0").count() == 0 and scratch.rounds <= 10
+
+
+def test_columns_of_any_name_and_ties_of_a_doc_id(spark):
+    names = ["kept", "kept_id", "text_hash", "row_hash", "best", "rep", "n", "component_id", "_among"]
+    rows = [(d, t, *(f"{k}{c}" for c in names)) for k, (d, t) in enumerate([(1, "a b c d e f"), (1, "q r s t u v"), (1, "q r s t u v"), (2, "a b c d e f"), (3, "x y z"), (None, "x y z")])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} string" for c in names))
+    once = sorted(map(str, near_dups.keep_first(df).collect()))
+    assert near_dups.keep_first(df).columns == df.columns and sorted(map(str, near_dups.keep_first(df.orderBy(F.desc("n")).repartition(3)).collect())) == once
+    assert len(once) == 3 and set(once) <= {str(r) for r in df.collect()}
+
+
+def test_texts_of_megabytes(spark):
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(400_000)]
+    near = [w if rng.random() > 0.03 else "other" for w in words]
+    docs = [(4, " ".join(words)), (9, " ".join(near)), (11, " ".join(words[: 200_000]))]
+    got = {r.doc_id: r.component_id for r in near_dups.groups(spark.createDataFrame(docs, "doc_id long, text string"), 2).collect()}
+    assert got == {4: 4, 9: 4, 11: 11}
