@@ -5,9 +5,11 @@ Only suffixes that can repeat are sorted. Every window of LENGTH bytes has an an
 Consecutive windows of one anchor form a run; equal runs (by hash of all their bytes) are repeats and are counted before
 anything is shuffled, so a passage with very many copies is one row. Runs that share an anchor but differ are sorted:
 the bytes around the anchor by deep-shallow sorting - multikey quicksort by eight-byte words to a shallow depth, then a
-blind trie for what still agrees - and neighbours in that order tell how far a run's bytes agree with any other's. Runs are
-dealt out by their anchor and the 85 bytes before it, or the 84 after it, of which each window holds one; a group of more
-than HOT runs, which one task should not hold, is compared window by window through a grouped count instead.
+blind trie for what still agrees - and neighbours in that order tell how far a run's bytes agree with any other's.
+
+Runs are dealt out to the sorter by their anchor and the 85 bytes before it, or the 84 after it, of which each window holds
+one. A group of more than HOT runs is dealt out again by half of the bytes that are left, before or after, and so on: a
+window holds one of the two halves each time. When no byte is left, the runs of a group have one equal window each.
 
 Cases: a null or empty text and one under LENGTH bytes lose nothing; a null doc_id is kept; repeated rows are copies of
 each other, so all their windows go; an empty table gives no rows; further columns are not read. Texts are compared as
@@ -23,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, documents, mixed, offsets, texts
+from tessera.llm.common import Scratch, documents, mixed, offsets, ragged, texts
 
 LENGTH, GRAM = 200, 32
-#: Bytes before an anchor, or after its GRAM bytes, that deal out runs: one of the two lies inside each window.
-BEFORE, AFTER = 85, LENGTH - GRAM - 84
+#: Bytes of a window besides its anchor.
+ROOM = LENGTH - GRAM
 #: Fills strings up to one length; no UTF-8 text has this byte.
 PAD = b"\xff"
-SHALLOW, HOT, BLOCK = 32, 50_000, 1 << 20
+SHALLOW, HOT, BLOCK = 32, 2_000, 1 << 20
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -157,6 +159,33 @@ class BlindTrie:
         return out
 
 
+def multikey_quicksort(words: np.ndarray, order: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
+    """Sorts ``order`` (rows of ``words``) within the ranges start .. end; returns the ranges whose rows agree in all words.
+
+    Each range is split by a pivot, the median of three of its words at the range's depth, into smaller, equal and larger
+    ones; equal ones go on with the next word. All ranges take a step together."""
+    deep, depth = [], np.zeros(len(start), np.int64)
+    while len(start):
+        done = depth == words.shape[1]
+        deep += zip(start[done].tolist(), end[done].tolist(), strict=True)
+        start, end, depth = start[~done], end[~done], depth[~done]
+        if not len(start):
+            break
+        three = np.stack([words[order[i], depth] for i in (start, (start + end) // 2, end - 1)])
+        pivot = np.sort(three, axis=0)[1]
+        size = end - start
+        at, own = ragged(start, size), np.repeat(np.arange(len(start)), size)
+        w = words[order[at], depth[own]]
+        part = own * 3 + (w > pivot[own]) + (w >= pivot[own])
+        order[at] = order[at][np.argsort(part, kind="stable")]
+        many = np.bincount(part, minlength=3 * len(start)).reshape(-1, 3)
+        first = start[:, None] + np.cumsum(many, axis=1) - many
+        keep = many > 1
+        start, end = first[keep], (first + many)[keep]
+        depth = (depth[:, None] + np.array([0, 1, 0]))[keep]
+    return deep
+
+
 def deep_shallow(strings: list[bytes], group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order, shared): strings of one length sorted within their groups, and the bytes that each shares with the one
     before it in order (0 at a group's first). Multikey quicksort by words down to SHALLOW bytes, then blind tries."""
@@ -164,34 +193,25 @@ def deep_shallow(strings: list[bytes], group: np.ndarray) -> tuple[np.ndarray, n
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     width = len(strings[0])
-    depth = min(SHALLOW, width) // 8 * 8
-    words = np.array([np.frombuffer(s, ">u8", depth // 8) for s in strings], np.uint64).reshape(n, depth // 8)
+    deep = min(SHALLOW, width) // 8
+    words = np.array([np.frombuffer(s, ">u8", deep) for s in strings], np.uint64).reshape(n, deep)
     order = np.argsort(group, kind="stable")
-    shared = np.zeros(n, np.int64)
-    same = np.zeros(n, bool)  # whether a place still agrees with the one before it
-    same[1:] = group[order[1:]] == group[order[:-1]]
-    for j in range(depth // 8):
-        part = np.cumsum(~same)
-        live = same | np.append(same[1:], False)  # only runs of two or more are partitioned further
-        at = np.flatnonzero(live)
-        if not len(at):
-            break
-        w = words[order[at], j]
-        order[at] = order[at][np.lexsort((w, part[at]))]
-        w = words[order, j]
-        differ = np.zeros(n, bool)
-        differ[1:] = same[1:] & (w[1:] != w[:-1])
-        for i in np.flatnonzero(differ):
-            x = int(w[i]) ^ int(w[i - 1])
-            shared[i] = 8 * j + 8 - (x.bit_length() + 7) // 8
-        same &= ~differ
-    first = np.flatnonzero(~same)
-    for a, b in zip(first, np.append(first[1:], n), strict=True):
-        if b - a > 1:
-            own = order[a:b].copy()
-            trie = BlindTrie([strings[i] for i in own]).ordered()
-            order[a:b] = own[[i for i, _ in trie]]
-            shared[a + 1 : b] = [x for _, x in trie[1:]]
+    first = np.flatnonzero(np.append(True, group[order[1:]] != group[order[:-1]]))
+    last = np.append(first[1:], n)
+    several = last - first > 1
+    ranges = multikey_quicksort(words, order, first[several], last[several])
+    shared, live = np.zeros(n, np.int64), np.ones(n, bool)
+    live[first] = False
+    for j in range(deep):
+        x = words[order[1:], j] ^ words[order[:-1], j]
+        same = 8 - sum((x >> np.uint64(8 * k) > 0).astype(np.int64) for k in range(8))
+        shared[1:] += np.where(live[1:], same, 0)
+        live[1:] &= x == 0
+    for a, b in ranges:
+        own = order[a:b].copy()
+        trie = BlindTrie([strings[i] for i in own]).ordered()
+        order[a:b] = own[[i for i, _ in trie]]
+        shared[a + 1 : b] = [x for _, x in trie[1:]]
     return order, shared
 
 
@@ -277,7 +297,7 @@ def _pairs_only(rows: list[tuple]) -> list[tuple]:
     return [r for r, a in zip(rows, alone.tolist(), strict=True) if not a]
 
 
-def repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def repeats(docs: DataFrame, scratch: Scratch, hot: int = HOT) -> DataFrame:
     """(doc_id, th, from, to): ranges of repeated bytes; th is the text's hash. Ranges of a text may overlap."""
     table = scratch.save(_all_runs(docs), "runs")
     rep = F.struct("doc_id", "th", "lo", "d", "many")
@@ -292,27 +312,41 @@ def repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
     texts_ = docs.select("doc_id", F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("raw"))
     held = texts_.join(unlike, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("h")))
     held = held.select("doc_id", "th", "k", "n", "lo", "d", F.expr(f"substring(raw, cast(lo + 1 as int), many + {LENGTH - 1})").alias("bytes"), F.col("d").alias("top"), (F.col("d") - F.col("many") + 1).alias("low"))
-    # windows that reach BEFORE bytes before the anchor agree there; the others agree AFTER bytes behind it
-    before = F.when(F.col("top") >= BEFORE, F.struct(F.xxhash64("k", F.lit(1), F.expr(f"substring(bytes, d - {BEFORE - 1}, {BEFORE})")).alias("g"), F.greatest("low", F.lit(BEFORE)).alias("low"), F.col("top").alias("top")))
-    after = F.when(F.col("low") < BEFORE, F.struct(F.xxhash64("k", F.lit(2), F.expr(f"substring(bytes, d + {GRAM + 1}, {AFTER})")).alias("g"), F.col("low").alias("low"), F.least("top", F.lit(BEFORE - 1)).alias("top")))
-    dealt = held.withColumn("part", F.explode(F.filter(F.array(before, after), lambda x: x.isNotNull())))
-    dealt = scratch.save(dealt.select("part.g", "doc_id", "th", "lo", "bytes", "d", "part.top", "part.low", "n"), "dealt")
-    scratch.drop(kinds)
-    size = dealt.groupBy(F.col("g").alias("hg")).count()
-    hot = scratch.save(size.where(f"count > {HOT}").select("hg"), "hot")
-    usual = dealt if hot.isEmpty() else dealt.join(hot, F.col("g") == F.col("hg"), "left_anti")
-    usual = usual.repartition("g").sortWithinPartitions("g")
-    found = usual.mapInArrow(_sorted_runs, "doc_id long, th long, `from` long, `to` long")
-    out = equal.union(found)
-    return out if hot.isEmpty() else out.union(_by_window(dealt.join(hot, F.col("g") == F.col("hg"), "left_semi")))
-
-
-def _by_window(runs_: DataFrame) -> DataFrame:
-    """The same for groups of very many runs: every window's 128-bit hash is counted; nothing of a group meets in a task."""
-    at = F.expr(f"transform(sequence(low, top), x -> struct(x as x, substring(bytes, d - x + 1, {LENGTH}) as w))")
-    windows = runs_.withColumn("w", F.explode(at))
-    windows = windows.select("doc_id", "th", "n", (F.col("lo") + F.col("d") - F.col("w.x")).alias("from"), F.xxhash64(F.lit(1), "w.w").alias("w1"), F.xxhash64(F.lit(2), "w.w").alias("w2"))
-    many = windows.groupBy(F.col("w1").alias("m1"), F.col("w2").alias("m2")).agg(F.sum("n").alias("m")).where("m > 1")
+    dealt = held.select(F.col("k").alias("g"), F.lit(0).alias("a"), F.lit(0).alias("b"), "doc_id", "th", "lo", "bytes", "d", "top", "low", "n")
+    out = equal
+    while True:
+        dealt = scratch.save(_dealt(dealt), "dealt")
+        many = scratch.save(dealt.groupBy(F.col("g").alias("hg")).count().where(f"count > {hot}").select("hg"), "hot")
+        if many.isEmpty():
+            return out.union(_sorted_groups(dealt))
+        out = out.union(_sorted_groups(dealt.join(many, F.col("g") == F.col("hg"), "left_anti")))
+        dealt = dealt.join(many, F.col("g") == F.col("hg"), "left_semi")
+        out = out.union(_equal_windows(dealt.where(f"a + b = {ROOM}")))
+        dealt = dealt.where(f"a + b < {ROOM}")
+
+
+def _dealt(runs_: DataFrame) -> DataFrame:
+    """Runs of groups that agree on ``a`` bytes before the anchor and ``b`` after it, dealt out by more of them: windows
+    that reach ``m`` bytes before the anchor agree there; the others reach ROOM - m + 1 bytes behind it."""
+    m = f"(a + {ROOM} - b) div 2 + 1"
+    rows = runs_.withColumn("m", F.expr(m).cast("int"))
+    key = lambda side, bytes_: F.xxhash64("g", F.lit(side), F.expr(bytes_)).alias("g")
+    after = f"{ROOM} - m + 1"
+    left = F.when(F.col("top") >= F.col("m"), F.struct(key(1, "substring(bytes, d - m + 1, m - a)"), F.col("m").alias("a"), F.col("b").alias("b"), F.greatest("low", "m").alias("low"), F.col("top").alias("top")))
+    right = F.when(F.col("low") < F.col("m"), F.struct(key(2, f"substring(bytes, d + {GRAM + 1} + b, {after} - b)"), F.col("a").alias("a"), F.expr(after).alias("b"), F.col("low").alias("low"), F.least("top", F.expr("m - 1")).alias("top")))
+    part = rows.withColumn("part", F.explode(F.filter(F.array(left, right), lambda x: x.isNotNull())))
+    return part.select("part.g", "part.a", "part.b", "doc_id", "th", "lo", "bytes", "d", "part.top", "part.low", "n")
+
+
+def _sorted_groups(dealt: DataFrame) -> DataFrame:
+    return dealt.repartition("g").sortWithinPartitions("g").mapInArrow(_sorted_runs, "doc_id long, th long, `from` long, `to` long")
+
+
+def _equal_windows(runs_: DataFrame) -> DataFrame:
+    """Runs of groups that agree on a whole window: windows that are there twice or more, by 128 bits of hash."""
+    w = F.expr(f"substring(bytes, d - a + 1, {LENGTH})")
+    windows = runs_.select("doc_id", "th", "n", (F.col("lo") + F.col("d") - F.col("a")).alias("from"), F.xxhash64(F.lit(1), w).alias("w1"), F.xxhash64(F.lit(2), w).alias("w2"))
+    many = windows.groupBy(F.col("w1").alias("m1"), F.col("w2").alias("m2")).agg(F.count("*").alias("m")).where("m > 1")
     both = windows.where("n = 1").join(many, (F.col("w1") == F.col("m1")) & (F.col("w2") == F.col("m2")), "left_semi")
     return both.select("doc_id", "th", "from", (F.col("from") + LENGTH).alias("to"))
 
@@ -327,10 +361,10 @@ def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (the bytes that remain) of every row."""
     scratch = Scratch(docs.sparkSession, "substrings")
-    spans = scratch.save(repeats(docs, scratch), "spans")
+    spans = scratch.save(repeats(docs, scratch, hot), "spans")
     ranges = spans.groupBy(F.col("doc_id").alias("id"), F.col("th").alias("h")).agg(F.collect_set(F.struct("from", "to")).alias("spans"))
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     rows = rows.join(ranges, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("h")), "left").select("doc_id", "text", "spans.from", "spans.to")

@@ -46,12 +46,21 @@ def planted(rng):
     return list(enumerate(docs))
 
 
-@pytest.mark.parametrize("hot", [50_000, 3])
-def test_planted_passages(spark, monkeypatch, hot):
-    monkeypatch.setattr(substrings, "HOT", hot)
-    docs = planted(random.Random(hot))
+@pytest.mark.parametrize("hot", [substrings.HOT, 3])
+def test_planted_passages(spark, hot):
+    docs = planted(random.Random(hot % 1000))
     df = spark.createDataFrame([(d, t, "x") for d, t in docs], "doc_id long, text string, kept string")
-    assert got(substrings.without_repeats(df)) == brute(docs)
+    assert got(substrings.without_repeats(df, hot)) == brute(docs)
+
+
+def test_a_text_above_eight_megabytes(spark):
+    """It is looked at in parts: a passage across their border is found as well."""
+    rng = random.Random(12)
+    text = rng.randbytes(9 << 20).hex()[: 9 << 20]
+    cut = (8 << 20) - 150
+    docs = [(1, text), (2, "-" + text[cut : cut + 300] + "+"), (3, text[5000:5201] + "/"), (4, text[100:299])]
+    rows = {r[0]: r[1:4] for r in got(substrings.without_repeats(spark.createDataFrame(docs, "doc_id long, text string")))}
+    assert rows == {1: (9 << 20, 501, 2), 2: (302, 300, 1), 3: (202, 201, 1), 4: (199, 0, 0)}
 
 
 def test_odd_rows(spark):
