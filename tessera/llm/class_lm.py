@@ -39,7 +39,7 @@ from tessera.llm.common import Scratch, documents, texts
 
 CLASSES, LEAST, MIX, SHARE = 64, 10, 0.95, 20.0
 PART = 16_384  # neighbours in a row of a unit's context, about
-CHUNK_TOKENS, TOLERANCE = 4_000_000, 1e-4
+CHUNK_TOKENS, TOLERANCE = 2_000_000, 1e-4
 END = b""  # no word is empty
 
 
