@@ -139,7 +139,8 @@ def write(docs: DataFrame, to: str, tokenizer: str, end_id: int) -> DataFrame:
     def shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        where, base = fs.FileSystem.from_uri(to) if "://" in to or to.startswith("file:") else (fs.LocalFileSystem(), to)
+        uri = to.replace("s3a://", "s3://", 1)  # Hadoop's name for what pyarrow calls s3
+        where, base = fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
         part, seq, held, rows = TaskContext.get().partitionId(), 0, [], []
         code = coder(tokenizer, False)
 

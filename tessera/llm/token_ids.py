@@ -1,9 +1,10 @@
 """Token ids by the public tokenizer files, through a cache of pieces.
 
 Both vocabularies split a text at white space before any merge, so the ids of a text are the ids of its pieces one
-after another; a piece begins at the text's start or at a blank that a non-space follows. They also split letters from
-the punctuation after them. Each distinct piece is encoded once per worker by the tokenizers library; texts become
-ids by array gathers.
+after another. Where white space is dropped, a piece is what stands between ASCII white space, its ASCII letters in lower
+case as the vocabulary has them; where it is kept, a piece begins at the text's start or at a blank that a non-space
+follows. Both also split letters from the punctuation after them. Each distinct piece is encoded once per worker by the
+tokenizers library; texts become ids by array gathers.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ _CUT = re.compile(r" (?=\S)")
 _TAIL = ".,!?;:"
 #: Stands before the key of a text's first piece; a lone surrogate, so no text holds it.
 FIRST = "\udc00"
+#: Letters below this code point are letters in every version of Unicode that a library may have.
+_STABLE = "\u0530"
 _CODERS: dict[tuple[str, bool], Coder] = {}
 
 
@@ -34,9 +37,9 @@ class _Numbers(dict):
     """piece -> its number; a new piece gets the next number and waits in ``new``."""
 
     def __init__(self):
-        self.new: list[str] = []
+        self.new: list[str | bytes] = []
 
-    def __missing__(self, piece: str) -> int:
+    def __missing__(self, piece: str | bytes) -> int:
         n = self[piece] = len(self)
         self.new.append(piece)
         return n
@@ -50,7 +53,7 @@ class Coder:
     """texts -> ids of one tokenizer file; ``blank``: pieces after the first are encoded with the blank before them."""
 
     #: Pieces kept at most; the cache then starts anew. It bounds a worker's memory and changes no result.
-    MOST = 700_000
+    MOST = 1_200_000
 
     def __init__(self, path: str, blank: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -58,7 +61,8 @@ class Coder:
 
         self.tok, self.blank = Tokenizer.from_file(path), " " if blank else ""
         self.merge, self.lead = self.tok.model.tokenize, _LETTER[32] * blank
-        self.special = [x.content for x in self.tok.get_added_tokens_decoder().values()]
+        special = [x.content for x in self.tok.get_added_tokens_decoder().values()]
+        self.special = special if blank else [x.lower().encode() for x in special]
         self.clear()
 
     def clear(self) -> None:
@@ -69,25 +73,28 @@ class Coder:
     def _encoded(self, pieces: list[str]) -> dict[str, list[int]]:
         """Letters alone are one word to the library's merge model; other pieces take its whole path. A piece that is
         kept with a mark before it opens its text, so no blank comes before it."""
-        words = [p for p in pieces if p.isalpha()]
-        out = {p: [t.id for t in self.merge(self.lead + self._spelt(p))] for p in words}
+        out = {p: [t.id for t in self.merge(self.lead + w)] for p in pieces if (w := self._spelt(p))}
         rest = [p for p in pieces if p not in out]
         whole = [p[1:] if self.blank and p[:1] == FIRST else self.blank + p for p in rest]
         out.update(zip(rest, [e.ids for e in self.tok.encode_batch(whole, add_special_tokens=False)], strict=True))
         return out
 
     def _spelt(self, word: str) -> str:
+        """A word in the vocabulary's letters; empty if it, or what normalising makes of it, is more than letters."""
+        if not word.isalpha():
+            return ""
         if word.isascii():
             return word.lower() if self.tok.normalizer else word
         if self.tok.normalizer:
             word = self.tok.normalizer.normalize_str(word)
-        return "".join(map(_LETTER.__getitem__, word.encode()))
+        return "".join(map(_LETTER.__getitem__, word.encode())) if word.isalpha() and max(word) < _STABLE else ""
 
     def _learn(self) -> None:
         """Ids for the pieces that wait: whole by the library, or those of letters and of the punctuation after them."""
-        new, self.at.new = self.at.new, []
-        cut = [(p, core, p[len(core) :]) if (core := p.rstrip(_TAIL)) != p and core.isalpha() else (p, p, "") for p in new]
-        have = lambda x: (n := self.at.get(x, self.known)) < self.known
+        new, self.at.new = [p if self.blank else p.decode() for p in self.at.new], []
+        cut = [(p, core, p[len(core) :]) if (core := p.rstrip(_TAIL)) != p and self._spelt(core) else (p, p, "") for p in new]
+        key = (lambda x: x) if self.blank else str.encode
+        have = lambda x: (n := self.at.get(key(x), self.known)) < self.known
         whole = list({core for _, core, _ in cut if not have(core)})
         ids = self._encoded(whole)
         tails = list({t for _, _, t in cut if t})
@@ -96,7 +103,7 @@ class Coder:
         def of(core: str) -> list[int]:
             if core in ids:
                 return ids[core]
-            n = self.at[core]
+            n = self.at[key(core)]
             return self.ids[self.start[n] : self.start[n] + self.size[n]].tolist()
 
         got = [of(core) + after[t] for _, core, t in cut]
@@ -117,11 +124,14 @@ class Coder:
         for k, text in enumerate(texts):
             if not text:
                 continue
-            if any(s in text for s in self.special):  # the library looks for these across the whole text
+            low = text if self.blank else text.encode().lower()
+            if any(s in low for s in self.special):  # the library looks for these across the whole text
                 odd[k] = np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
                 continue
-            pieces = _CUT.split(text) if _ODD.search(text) else text.split(" ")
-            if self.blank:  # the first piece has no blank before it
+            if not self.blank:
+                pieces = low.split()
+            else:  # the first piece has no blank before it
+                pieces = _CUT.split(text) if _ODD.search(text) else text.split(" ")
                 first, pieces = pieces[0], pieces[1:]
                 if first:
                     numbers.append(self.at[FIRST + first])

@@ -1,11 +1,13 @@
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
+import pytest
 from tokenizers import Tokenizer
 
-from tessera.llm import packing, simple8b
+from tessera.llm import packing, simple8b, token_ids
 
 ROWS = [
     (5, "a  b\n\n c. it's  the", "x"),
@@ -119,3 +121,22 @@ def test_best_fit_counts():
                 fill[first + i // per] += length
         assert ranks == counts and fill.max() <= size
         assert made - sum(k * v for k, v in counts.items()) / size < 0.1 * made + 1
+
+
+@pytest.mark.parametrize(("name", "blank"), [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_ids_equal_the_library(name, blank):
+    """Every code point of the first three planes alone, within letters and before punctuation, and random mixes."""
+    code = token_ids.Coder(public_tokenizers.path(name), blank)
+
+    def same(texts):
+        ids, n = code.encode(texts)
+        want = [e.ids for e in code.tok.encode_batch(texts, add_special_tokens=False)]
+        assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == want
+
+    points = [chr(i) for i in range(0x32400) if not 0xD800 <= i < 0xE000]
+    for i in range(0, len(points), 64):
+        part = points[i : i + 64]
+        same(["ab " + " ".join(part), "".join(f"a{x}b {x}{x}. " for x in part)])
+    rng = random.Random(1)
+    some = points[:0x600] + [" ", "\n", "\t", "́", "İ", "क़", "ſ", "K", "<|endoftext|>", "<|ENDOFTEXT|>", "'s", "'LL", "\x1c", "\x85", "\xa0", " ", "　", "  "] * 40 + list("abcdefABC") * 60
+    same(["".join(rng.choice(some) for _ in range(rng.randrange(60))) for _ in range(5000)])
