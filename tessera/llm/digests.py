@@ -2,8 +2,9 @@
 
 Canonical form: NFKC (the ICU library that Spark ships, called by the SQL function ``reflect``), full case folding, NFKC
 again, runs of white space to one blank, trimmed. The digest is 128 bits of xxhash64 under two seeds. Documents with equal
-digests are then compared byte by byte: within a digest that holds different canonical texts, all but the first of them
-(in byte order) get a number after the digest, so equal fingerprints mean equal canonical texts.
+digests are then compared byte by byte, and edited texts with all others by SHA-256: within a digest that holds different
+canonical texts, all but the first of them (by SHA-256) get a number after the digest, so equal fingerprints mean equal
+canonical texts.
 
 Cases: a null text is empty; a null doc_id sorts first; rows that share a doc_id are ordered by text hash; one row alone
 is its own next document; an empty table gives no rows; further columns are not read.
@@ -70,14 +71,18 @@ def _maybe_shared(canon: DataFrame, many: DataFrame) -> DataFrame:
 
 
 def number_clashes(docs: DataFrame, digests: DataFrame, scratch: Scratch) -> DataFrame:
-    """(digest, sha, number) of canonical texts that share a digest with an earlier, different one: hardly ever a row."""
+    """(digest, sha, number) of canonical texts, edited ones too, that share a digest with a different one: hardly ever a
+    row. Texts of documents are compared byte by byte; edited texts, which are not stored, by their SHA-256."""
     many = scratch.save(digests.groupBy("digest").count().where("count > 1").select(F.col("digest").alias("d")), "many")
     canon = docs.select(canonical(F.coalesce("text", F.lit(""))).alias("canon")).withColumn("digest", digest(F.col("canon")))
     held = _maybe_shared(canon, many).join(many, F.col("digest") == F.col("d"), "left_semi")
-    differ = scratch.save(held.groupBy("digest").agg(F.min("canon").alias("a"), F.max("canon").alias("b")).where("a <> b").select(F.col("digest").alias("d")), "differ")
-    texts = _maybe_shared(canon, differ).join(differ, F.col("digest") == F.col("d"), "left_semi").distinct()
-    number = F.row_number().over(Window.partitionBy("digest").orderBy("canon")) - 1
-    return scratch.save(texts.withColumn("number", number).where("number > 0").select("digest", F.sha2(F.col("canon").cast("binary"), 256).alias("sha"), "number"), "clashes")
+    differ = held.groupBy("digest").agg(F.min("canon").alias("a"), F.max("canon").alias("b")).where("a <> b").select(F.col("digest").alias("d"))
+    both = digests.select("digest", "sha").union(digests.select("edited_digest", "edited_sha"))
+    differ = differ.union(both.groupBy("digest").agg(F.min("sha").alias("a"), F.max("sha").alias("b")).where("a <> b").select("digest"))
+    differ = scratch.save(differ.distinct(), "differ")
+    number = F.row_number().over(Window.partitionBy("digest").orderBy("sha")) - 1
+    texts = both.join(differ, F.col("digest") == F.col("d"), "left_semi").distinct()
+    return scratch.save(texts.withColumn("number", number).where("number > 0").select("digest", "sha", "number"), "clashes")
 
 
 def fingerprints(docs: DataFrame, scratch: Scratch) -> DataFrame:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD, Scratch, documents
+from tessera.llm.common import WORD, Scratch, documents, unused
 
 WEIGHTS = (5, 2, 1)
 #: Bits of a priority, and those that one descent decides.
@@ -125,7 +125,8 @@ def op4_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def apply(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3) -> DataFrame:
     """The rows of docs, each as many times as the mix takes it. Equal rows have equal copies, so a decision is found by
     the columns it depends on."""
-    d = mix(docs, weights, most).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), F.col("copies").cast("int").alias("_copies")).distinct()
-    keyed = docs.withColumn("_h", F.xxhash64("text"))
-    same = keyed["doc_id"].eqNullSafe(F.col("_id")) & keyed["source"].eqNullSafe(F.col("_source")) & (keyed["_h"] == F.col("_hash"))
-    return keyed.join(d, same).withColumn("_k", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+    i, s, x, n, h, k = unused(docs.columns, "id", "source", "hash", "copies", "h", "k")
+    d = mix(docs, weights, most).where("copies > 0").select(F.col("doc_id").alias(i), F.col("source").alias(s), F.col("text_hash").alias(x), F.col("copies").cast("int").alias(n)).distinct()
+    keyed = docs.withColumn(h, F.xxhash64("text"))
+    same = keyed["doc_id"].eqNullSafe(F.col(i)) & keyed["source"].eqNullSafe(F.col(s)) & (keyed[h] == F.col(x))
+    return keyed.join(d, same).withColumn(k, F.explode(F.sequence(F.lit(1), n))).select(*(F.col(c) for c in docs.columns))

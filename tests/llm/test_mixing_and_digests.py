@@ -107,5 +107,8 @@ def test_clashing_digests_are_told_apart(spark, monkeypatch):
     from pyspark.sql import functions as F
 
     monkeypatch.setattr(digests, "digest", lambda c: F.substring(c, 1, 1))
-    got = {r.doc_id: r.fingerprint for r in digests.fingerprints(spark.createDataFrame([(1, "ab"), (2, "AB"), (3, "ac"), (4, "b"), (5, "aa")], "doc_id long, text string"), Scratch(spark, "t")).collect()}
-    assert got == {1: "a-1", 2: "a-1", 3: "a-2", 4: "b", 5: "a"}
+    texts = ["ab", "AB", "ac", "b", "aa"]
+    rows = sorted(digests.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), Scratch(spark, "t")).collect())
+    edited = [t[: len(t) - len(t) // 2] + u[: len(t) // 2] for t, u in zip(texts, texts[1:] + texts[:1])]
+    marks = {(r.fingerprint, canon(t)) for r, t in zip(rows, texts)} | {(r.edited_fingerprint, canon(t)) for r, t in zip(rows, edited)}
+    assert len({m for m, _ in marks}) == len({c for _, c in marks}) == len(marks) >= 4 and {m[0] for m, _ in marks} == {"a", "b"}
