@@ -12,9 +12,8 @@ parity: each word that one set lacks flips one bit at most); Jaccard on the word
 
 No list is expanded into all its pairs:
 - A line meets at most FEW earlier ones of a list. Lines that were cut short there and found no match meet all others.
-- A list of more than HOT lines is split by a second shared word, as two similar sets share one more word of a prefix that
-  is one longer; such a list by a third, and so on. Where the words shared suffice, the list's first line of each size
-  stands for all.
+- In a list of more than HOT lines they meet LEAD leaders only, the first of the list, so copies with edits find their
+  source. What finds none is looked for under two words: similar sets share two words of prefixes that are one longer.
 
 Cases: lines without a word stay and match nothing; a null text stays null; repeated rows are separate (the later loses its
 lines); a document whose lines all go keeps an empty text; an empty table gives no rows; extra columns pass through, whatever
@@ -24,7 +23,6 @@ their names. A frame that is not a stored Parquet table is stored first, so rows
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import Scratch, blocks, documents, maybe_among, mixed, offsets, ragged, row_key, slot_counts, stored, texts, unused, words
 
-SLOT_BITS, FEW, HOT = 24, 8, 1024
+SLOT_BITS, FEW, HOT, LEAD = 24, 8, 1024, 64
 _KEYED = "id long, f long, r long"
 _INDEX = "key long, cid long, id long, line int, r long, n int, pos int, m long, o long"
 
@@ -169,15 +167,16 @@ def _overlap(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * n // (100 + percent))
 
 
-def _meet(c: dict[str, np.ndarray], start: np.ndarray, few: int, percent: int) -> tuple[np.ndarray, ...]:
+def _meet(c: dict[str, np.ndarray], start: np.ndarray, few: int, percent: int, since: int = 1, most: int = 1 << 62) -> tuple[np.ndarray, ...]:
     """(x, y, spare, cut short): rows x of a run with earlier rows y of it that pass the filters, ``few`` for each x; or, if ``c``
     has ``asked``, every one for the x where it is set. cut short: rows that had more earlier rows to meet. Rows of a run
-    are in the lines' order and ``start`` is the first of each one's."""
+    are in the lines' order and ``start`` is the first of each one's. Only rows from ``since`` on look for others, and only
+    among the first ``most`` of a run."""
     n, pos, m, o = c["n"].astype(np.int64), c["pos"].astype(np.int64), c["m"].view(np.uint64), c["o"].view(np.uint64)
     got, xs, ys, spares, j = np.zeros(len(n), np.int64), [], [], [], 0
     asked = c.get("asked")
-    live, short = np.flatnonzero((np.arange(len(n)) > start) & (True if asked is None else asked)), []
-    while len(live):
+    live, short = since + np.flatnonzero((np.arange(since, len(n)) > start[since:]) & (True if asked is None else asked[since:])), []
+    while len(live) and j < most:
         y = start[live] + j
         total = n[live] + n[y]
         need = _overlap(total, percent)
@@ -198,51 +197,61 @@ def _meet(c: dict[str, np.ndarray], start: np.ndarray, few: int, percent: int) -
     return join(xs), join(ys), join(spares), join(short)
 
 
-def _met(rows: DataFrame, percent: int, few: int, hot: int, ask: bool = False) -> DataFrame:
+def _met(rows: DataFrame, percent: int, few: int, hot: int, lead: int, ask: bool = False) -> DataFrame:
     """Index rows -> (x, y, pos) pairs of classes, x later, pos the words by which they may differ more than their parity
-    bits show; (key, x) of rows that were cut short; (key, x, pos) of rows in lists
-    above ``hot``. kind: 0, 1, 2. With ``ask``, rows have that column and only those where it is set look for pairs."""
+    bits show; (key, x) of rows that were cut short; (key, x, pos) of all rows in lists above ``hot``. kind: 0, 1, 2. With
+    ``ask``, rows have a column ``asked`` and those where it is set meet all earlier ones."""
     names = [x.split()[0] for x in _INDEX.split(", ")] + ["asked"] * ask
 
     def out(kind: int, key: np.ndarray, x: np.ndarray, y: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(key), pa.array(x), pa.array(y), pa.array(pos.astype(np.int32))], ["kind", "key", "x", "y", "pos"])
 
+    def pairs(c: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, spare: np.ndarray) -> pa.RecordBatch:
+        return out(0, np.zeros(len(x), np.int64), c["cid"][x], c["cid"][y], spare)
+
+    def long(c: dict[str, np.ndarray], leaders: dict[str, np.ndarray] | None) -> Iterator[pa.RecordBatch]:
+        """Rows of a list above ``hot``; its leaders, if it began before."""
+        both = {k: np.concatenate([leaders[k], c[k]]) for k in c} if leaders else c
+        since = len(leaders["key"]) if leaders else 1
+        yield pairs(both, *_meet(both, np.zeros(len(both["key"]), np.int64), few, percent, since, lead)[:3])
+        yield out(2, c["key"], c["cid"], c["cid"], c["pos"])
+
     def solved(c: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         key = c["key"]
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         size = np.diff(np.append(first, len(key)))
-        long = np.repeat(size > hot, size)
-        if long.any():
-            yield out(2, key[long], c["cid"][long], c["cid"][long], c["pos"][long])
+        for a, n in zip(first[size > hot], size[size > hot], strict=True):
+            yield from long({k: v[a : a + n] for k, v in c.items()}, None)
         keep = np.repeat((size > 1) & (size <= hot), size)
-        start = np.repeat(first, size)[keep] - (np.cumsum(~keep) - ~keep)[np.repeat(first, size)[keep]]
+        at = np.repeat(first, size)[keep]
+        start = at - (np.cumsum(~keep) - ~keep)[at]
         c = {k: v[keep] for k, v in c.items()}
-        x, y, spare, short = _meet(c, start, few, percent)
-        pair = np.unique(np.stack([c["cid"][x], c["cid"][y], spare], 1), axis=0)
-        yield out(0, np.zeros(len(pair), np.int64), pair[:, 0], pair[:, 1], pair[:, 2])
-        yield out(1, c["key"][short], c["cid"][short], c["cid"][short], c["pos"][short])
+        if len(start):
+            x, y, spare, short = _meet(c, start, few, percent)
+            yield pairs(c, x, y, spare)
+            yield out(1, c["key"][short], c["cid"][short], c["cid"][short], c["pos"][short])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
-        n, flowing = 0, None  # the key of a list above ``hot`` that goes on
+        n, leaders = 0, None  # the leaders of a list above ``hot`` that goes on
         for batch in batches:
             c = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in names}
-            if flowing is not None:
-                more = int(np.searchsorted(c["key"] != flowing, True))
+            if leaders:
+                more = int(np.searchsorted(c["key"] != leaders["key"][0], True))
                 if more:
-                    yield out(2, c["key"][:more], c["cid"][:more], c["cid"][:more], c["pos"][:more])
+                    yield from long({k: v[:more] for k, v in c.items()}, leaders)
                 c = {k: v[more:] for k, v in c.items()}
             if not len(c["key"]):
                 continue
-            flowing = None
+            leaders = None
             held.append(c)
             n += len(c["key"])
-            if n < 100_000:
+            if n < 300_000:
                 continue
             c = {k: np.concatenate([x[k] for x in held]) for k in names}
             cut = int(np.searchsorted(c["key"] == c["key"][-1], True))
             if n - cut > hot:
-                flowing, cut = c["key"][-1], n
+                leaders, cut = {k: v[cut : cut + lead] for k, v in c.items()}, n
             if cut:
                 yield from solved({k: v[:cut] for k, v in c.items()})
             held = [{k: v[cut:] for k, v in c.items()}] if cut < n else []
@@ -254,11 +263,9 @@ def _met(rows: DataFrame, percent: int, few: int, hot: int, ask: bool = False) -
     return ordered.mapInArrow(run, "kind int, key long, x long, y long, pos int")
 
 
-def _split(hot: DataFrame, classes: DataFrame, level: int, percent: int, counts, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(index rows, pairs) of lists that share ``level`` words: the rows under one more word each; pairs of lines whose
-    shared words suffice, each with the first line of every size of its list."""
-    h = hot.select("key", F.col("x").alias("c"), "pos")
-    rows = h.join(classes.select("cid", "id", "line", "r", "n", "h"), F.col("c") == F.col("cid")).drop("c")
+def _split(lists: DataFrame, classes: DataFrame, percent: int, counts) -> DataFrame:
+    """(key, x, pos, asked) of lists -> index rows, with ``asked``, under one more word of a prefix that is one longer."""
+    rows = lists.select("key", F.col("x").alias("c"), "pos", "asked").join(classes.select("cid", "id", "line", "r", "n", "h"), F.col("c") == F.col("cid"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -268,43 +275,38 @@ def _split(hot: DataFrame, classes: DataFrame, level: int, percent: int, counts,
                 start = offsets(size)[:-1]
                 _, h, _ = _ordered(batch, counts.value)
                 parity = _parity(h, start)
-                last = np.minimum(size, prefix(size, percent) + level)
-                many = np.maximum(0, last - pos - 1)
+                many = np.maximum(0, np.minimum(size, prefix(size, percent) + 1) - pos - 1)
                 at, k = ragged(start + pos + 1, many), np.repeat(np.arange(len(size)), many)
                 with np.errstate(over="ignore"):
                     key = mixed(batch.column("key").to_numpy()[k].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + h[at].astype(np.uint64)).view(np.int64)
-                take = lambda c: pa.array(batch.column(c).to_numpy()[k])
-                yield pa.RecordBatch.from_arrays([pa.array(key), take("cid"), take("id"), take("line"), take("r"), take("n"), pa.array((at - start[k]).astype(np.int32)), *(m.take(pa.array(k)) for m in parity)], [x.split()[0] for x in _INDEX.split(", ")])
+                take = lambda c: batch.column(c).take(pa.array(k))
+                yield pa.RecordBatch.from_arrays([pa.array(key), take("cid"), take("id"), take("line"), take("r"), take("n"), pa.array((at - start[k]).astype(np.int32)), *(m.take(pa.array(k)) for m in parity), take("asked")], [*(x.split()[0] for x in _INDEX.split(", ")), "asked"])
 
-    place = F.struct("id", "line", "r", "cid")
-    few = rows.where(f"ceil({percent} * n / 100) <= {level}").select("key", "n", place.alias("p"))
-    firsts = few.groupBy(F.col("key").alias("k"), F.col("n").alias("ny")).agg(F.min("p").alias("y"))
-    sure = few.join(firsts, F.col("key") == F.col("k")).where("p > y")
-    sure = sure.where(f"100 * least(n, ny) >= {percent} * greatest(n, ny) and ceil({percent} * (n + ny) / {100 + percent}.0) <= {level}")
-    return rows.mapInArrow(run, _INDEX), scratch.save(sure.select(F.col("p.cid").alias("x"), F.col("y.cid").alias("y"), F.lit(1 << 30).alias("pos")), "sure")
+    return rows.mapInArrow(run, f"{_INDEX}, asked boolean")
 
 
-def _confirmed(candidates: list[DataFrame], classes: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def _confirmed(candidates: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """The classes x that are similar to an earlier y, by the words of the lines: (x). The likeliest y of each x is looked
     at first; the others only for the x that are left."""
-    pairs = scratch.save(reduce(DataFrame.union, candidates).groupBy("x", "y").agg(F.max("pos").alias("spare")), "pairs")
+    pairs = scratch.save(candidates.groupBy("x", "y").agg(F.max("pos").alias("spare")), "pairs")
+    wanted = pairs.select(F.col("x").alias("c")).union(pairs.select("y")).distinct()
+    wanted = wanted.join(classes.select("cid", "f", "r", "line"), F.col("c") == F.col("cid")).select("cid", F.col("f").alias("wf"), F.col("r").alias("wr"), "line")
+    wanted = scratch.save(wanted.groupBy("wf", "wr").agg(F.collect_list(F.struct("line", "cid")).alias("ls")), "wanted")
+    some = maybe_among(docs, F.xxhash64("f", "r"), wanted.select(F.xxhash64("wf", "wr").alias("x"))).where("_among").select("f", "r", "text")
+    held = some.join(wanted, F.expr("f = wf and r = wr")).select(F.split("text", "\n").alias("parts"), F.explode("ls").alias("l"))
+    held = scratch.save(held.select("l.cid", F.element_at("parts", F.col("l.line") + 1).alias("t")), "held")
     best = scratch.save(pairs.groupBy("x").agg(F.max(F.struct("spare", "y")).alias("b")).select("x", F.col("b.y").alias("y")), "best")
-    found = _verified(best, classes, docs, percent, scratch)
+    found = scratch.save(_verified(best, held, percent), "confirmed")
     done = found.select(F.col("x").alias("done"))
     others = pairs.select("x", "y").join(done, F.col("x") == F.col("done"), "left_anti")
     others = others.join(best.select(F.col("x").alias("bx"), F.col("y").alias("by")), F.expr("x = bx and y = by"), "left_anti")
-    found = found.union(_verified(scratch.save(others, "others"), classes, docs, percent, scratch))
-    scratch.drop(pairs, best)
+    found = scratch.save(found.union(_verified(others, held, percent)), "confirmed")
+    scratch.drop(pairs, wanted, held, best)
     return found
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    wanted = pairs.select(F.col("x").alias("c")).union(pairs.select("y")).distinct()
-    wanted = wanted.join(classes.select("cid", "f", "r", "line"), F.col("c") == F.col("cid")).select("cid", F.col("f").alias("wf"), F.col("r").alias("wr"), "line")
-    wanted = scratch.save(wanted.groupBy("wf", "wr").agg(F.collect_list(F.struct("line", "cid")).alias("ls")), "wanted")
-    some = maybe_among(docs, F.xxhash64("f", "r"), wanted.select(F.xxhash64("wf", "wr").alias("x"))).where("_among").select("f", "r", "text")
-    held = some.join(wanted, F.expr("f = wf and r = wr")).select(F.split("text", "\n").alias("parts"), F.explode("ls").alias("l"))
-    held = scratch.save(held.select("l.cid", F.element_at("parts", F.col("l.line") + 1).alias("t")), "held")
+def _verified(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """The x of pairs whose lines (cid, t) are similar."""
     side = lambda s: held.select(F.col("cid").alias(f"{s}c"), F.col("t").alias(f"{s}t"))
     both = pairs.join(side("y"), F.col("y") == F.col("yc")).select("x", "yt").join(side("x"), F.col("x") == F.col("xc")).select("x", "xt", "yt")
 
@@ -317,12 +319,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: in
                 ok.append(100 * same >= percent * (len(a) + len(b) - same))
             yield batch.filter(pa.array(ok, pa.bool_())).select(["x"])
 
-    out = scratch.save(both.mapInArrow(run, "x long").distinct(), "confirmed")
-    scratch.drop(wanted, held)
-    return out
+    return both.mapInArrow(run, "x long").distinct()
 
 
-def matches(docs: DataFrame, percent: int = 80, few: int = FEW, hot: int = HOT) -> DataFrame:
+def matches(docs: DataFrame, percent: int = 80, few: int = FEW, hot: int = HOT, lead: int = LEAD) -> DataFrame:
     """(f, r, line): the removed lines of ``docs`` (id, f, r, text)."""
     scratch = Scratch(docs.sparkSession, "lines")
     heads = scratch.save(_classes(_heads(docs)), "heads")
@@ -330,37 +330,37 @@ def matches(docs: DataFrame, percent: int = 80, few: int = FEW, hot: int = HOT)
     slots = lambda b: (np.frombuffer(b"".join(b.column("h").to_pylist()), np.uint32) >> (32 - SLOT_BITS)).astype(np.int64)
     counts = docs.sparkSession.sparkContext.broadcast(slot_counts(classes.select("h"), SLOT_BITS, slots))  # 32 MB at any input
     index = _index(classes, percent, counts)
-    met = scratch.save(_met(index, percent, few, hot), "met")
-    pairs, asked, level = [met.where("kind = 0").select("x", "y", "pos")], [(index, met.where("kind = 1"))], 1
-    while not met.where("kind = 2").isEmpty():
-        index, sure = _split(met.where("kind = 2"), classes, level, percent, counts, scratch)
-        met = scratch.save(_met(index, percent, few, hot), "met")
-        pairs += [sure, met.where("kind = 0").select("x", "y", "pos")]
-        asked.append((index, met.where("kind = 1")))
-        level += 1
-    found = _confirmed(pairs, classes, docs, percent, scratch)
-    # lines that met FEW others of a list and found no match: all others of that list
-    rest = []
-    for rows, short in asked:
-        open_ = scratch.save(short.select(F.col("key").alias("k"), F.col("x").alias("c")).join(found.withColumnRenamed("x", "done"), F.col("c") == F.col("done"), "left_anti"), "open")
-        if not open_.isEmpty():
-            lists = rows.join(open_.select(F.col("k").alias("k1")).distinct(), F.col("key") == F.col("k1"), "left_semi")
-            lists = lists.join(open_, F.expr("key = k and cid = c"), "left").withColumn("asked", F.col("c").isNotNull()).drop("k", "c")
-            rest.append(scratch.save(_met(lists, percent, few, 1 << 62, ask=True).where("kind = 0").select("x", "y", "pos"), "rest"))
-    if rest:
-        found = found.union(_confirmed(rest, classes, docs, percent, scratch))
-    near = classes.join(found, F.col("cid") == F.col("x"), "left_semi").select("f", "r", "line")
+    met = scratch.save(_met(index, percent, few, hot, lead), "met")
+    found = _confirmed(met.where("kind = 0"), classes, docs, percent, scratch)
+    done = found.select(F.col("x").alias("done"))
+    # rows that were cut short, or met only leaders, and found no match: all others of their lists
+    rest = met.where("kind > 0").select("kind", F.col("key").alias("k"), F.col("x").alias("c")).join(done, F.col("c") == F.col("done"), "left_anti")
+    rest = scratch.save(rest, "rest")
+    short, long = (rest.where(f"kind = {k}").select("k", "c") for k in (1, 2))
+    asked = F.col("c").isNotNull().alias("asked")
+    more = []
+    if not short.isEmpty():
+        lists = index.join(short.select(F.col("k").alias("k1")).distinct(), F.col("key") == F.col("k1"), "left_semi")
+        more.append(lists.join(short, F.expr("key = k and cid = c"), "left").select(*index.columns, asked))
+    if not long.isEmpty():
+        lists = met.where("kind = 2").join(long.select(F.col("k").alias("k1")).distinct(), F.col("key") == F.col("k1"), "left_semi")
+        split = scratch.save(_split(lists.join(long, F.expr("key = k and x = c"), "left").select("key", "x", "pos", asked), classes, percent, counts), "split")
+        more.append(split.join(split.where("asked").select(F.col("key").alias("k1")).distinct(), F.col("key") == F.col("k1"), "left_semi"))
+    for lists in more:
+        others = scratch.save(_met(lists, percent, few, 1 << 62, lead, ask=True).where("kind = 0"), "others")
+        found = found.union(_confirmed(others, classes, docs, percent, scratch))
+    near = classes.join(found.distinct(), F.col("cid") == F.col("x"), "left_semi").select("f", "r", "line")
     return scratch.save(heads.where("not first").select("f", "r", "line").union(near), "removed")
 
 
-def dedup(docs: DataFrame, percent: int = 80, few: int = FEW, hot: int = HOT, removed: str = "_removed") -> DataFrame:
+def dedup(docs: DataFrame, percent: int = 80, few: int = FEW, hot: int = HOT, lead: int = LEAD, removed: str = "_removed") -> DataFrame:
     """The rows of docs with their text but for the removed lines, and a column of the number of these."""
     kept_columns = docs.columns
     docs = stored(docs, Scratch(docs.sparkSession, "lines"))
     f, r, gf, gr, gone, among = unused([*kept_columns, removed], "f", "r", "gf", "gr", "gone", "among")
     keyed = docs.select("*", *(x.alias(n) for x, n in zip(row_key(docs), (f, r), strict=True)))
     known = keyed.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("id"), F.col(f).alias("f"), F.col(r).alias("r"), "text")
-    by = matches(known, percent, few, hot).groupBy(F.col("f").alias(gf), F.col("r").alias(gr)).agg(F.collect_list("line").alias(gone))
+    by = matches(known, percent, few, hot, lead).groupBy(F.col("f").alias(gf), F.col("r").alias(gr)).agg(F.collect_list("line").alias(gone))
     rows = maybe_among(keyed, F.xxhash64(f, r), by.select(F.xxhash64(gf, gr).alias("x")), name=among)
     untouched = rows.where(~F.col(among)).withColumn(removed, F.lit(0))
     parts = F.split("text", "\n")

@@ -52,14 +52,14 @@ def planted(rng, most=50):
     return [(i if i != 3 else None, t) for i, t in zip(ids, docs)] + [(ids[0], docs[0])]
 
 
-@pytest.mark.parametrize(("few", "hot"), [(lines.FEW, lines.HOT), (1, lines.HOT), (2, 3)])
-def test_planted_lines(spark, tmp_path, few, hot):
-    """Also with few partners for a line, and with lists split by several shared words."""
-    docs = planted(random.Random(5), 50 if hot == lines.HOT else 8)
+@pytest.mark.parametrize(("few", "hot", "lead"), [(lines.FEW, lines.HOT, lines.LEAD), (1, 3, 1)])
+def test_planted_lines(spark, tmp_path, few, hot, lead):
+    """Also with one partner for a line, and with lists that are split by a second word."""
+    docs = planted(random.Random(5))
     rows = [(d, t, k, 1, 2, "x", "y", 3, 4, 5) for k, (d, t) in enumerate(docs)]
     spark.createDataFrame(rows, "doc_id long, text string, line int, n int, r int, _rid string, _gone string, _among int, f int, x int").coalesce(1).write.parquet(str(tmp_path / "d"))
     df = spark.read.parquet(str(tmp_path / "d"))
-    out = lines.dedup(df, few=few, hot=hot)
+    out = lines.dedup(df, few=few, hot=hot, lead=lead)
     assert out.columns == [*df.columns, "_removed"]
     got = {r.line: (r._removed, r.text) for r in out.collect()}
     assert got == {k: (g, t) for k, (_, g, t) in enumerate(brute(docs))}
@@ -67,12 +67,12 @@ def test_planted_lines(spark, tmp_path, few, hot):
     assert lines.dedup(df.limit(0)).count() == 0
 
 
-def test_a_hot_list_whose_shared_words_suffice(spark):
-    """One short line and very many that add a word to it: lists are split down to all shared words."""
+def test_a_hot_list_of_short_lines(spark):
+    """One short line and very many that add a word to it."""
     rng = random.Random(2)
     docs = [(k, "is on at by to " + f"w{rng.randrange(400)}") for k in range(90)] + [(200, "is on at by to"), (7, "is on at by"), (8, None)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    got = sorted((r.doc_id, r._removed) for r in lines.dedup(df, hot=4).collect())
+    got = sorted((r.doc_id, r._removed) for r in lines.dedup(df, hot=4, lead=2).collect())
     assert got == sorted((d, g) for (d, _), (_, g, _) in zip(docs, brute(docs))) and sum(g for _, g in got) > 3
 
 
