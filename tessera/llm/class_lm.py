@@ -5,11 +5,14 @@ little context and shares the unit of its longest ending (three, two or one byte
 clustered vocabulary grows with the input, each word has a unit, and no word is left out. Exchange: in turn a third of the
 units move to the class that raises the class-bigram likelihood most, given all others (where the moves together do not
 raise it, the better half of them, down to the best one); only a round that raises it by less than TOLERANCE of its value
-ends the clustering. Class bigrams are updated from the contexts of the units that move.
+ends the clustering. Which class is best is told exactly for units of more than EXACT neighbours; for rarer ones, which
+hardly change the class bigrams themselves, to first order. Whether moves are made is told by the likelihood itself. Class
+bigrams are updated from the contexts of the units that move.
 
-Units and contexts stay distributed: units are numbered by frequency in a table, a unit's context is a row, or several for
-one with many neighbours. Class tables (CLASSES squared) and one byte for each unit, its class, are broadcast; moves
-(17 bytes for each unit that moves) reach the driver as arrays.
+Units and contexts stay distributed: units are numbered by frequency in a table; contexts are packed into arrays, a row for
+each bucket of units. The units that make up LARGE of all tokens each (1 / LARGE of them at most) have theirs in several
+buckets. Class tables (CLASSES squared) and one byte for each unit, its class, are broadcast; moves (17 bytes for each unit
+that moves) reach the driver as arrays.
 
     P(w | h) = MIX * P(class(w) | class(h)) * P(w | class(w)) + (1 - MIX) * base(w)
 
@@ -35,10 +38,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, documents, texts
+from tessera.llm.common import Scratch, documents, mixed, texts
 
 CLASSES, LEAST, MIX, SHARE = 64, 10, 0.95, 20.0
-PART = 16_384  # neighbours in a row of a unit's context, about
+BUCKET, LARGE, PARTS, EXACT = 250_000, 0.001, 64, 200  # tokens in a bucket, about; see above
 CHUNK_TOKENS, TOLERANCE = 2_000_000, 1e-4
 END = b""  # no word is empty
 
@@ -129,31 +132,62 @@ def by_ending(words: DataFrame, endings: DataFrame) -> DataFrame:
     return words.select(*kept, F.coalesce("_u3", "_u2", "_u1", F.lit(0)).alias("unit"))
 
 
-def contexts(rows: DataFrame, counted: DataFrame, placed: DataFrame, many: int, scratch: Scratch) -> DataFrame:
-    """(u, others, n, parts): for each unit, the units after it (as they are) and before it (as -1 - unit) with their
-    counts; one with many neighbours has them in several rows."""
+def third(u: np.ndarray) -> np.ndarray:
+    """The turn in which a unit moves."""
+    return ((u.astype(np.uint64) * np.uint64(2654435761) >> np.uint64(8)) % np.uint64(3)).astype(np.int64)
+
+
+CONTEXT = "bucket long, third long, u binary, o binary, n binary"
+
+
+def packed(u: np.ndarray, o: np.ndarray, n: np.ndarray, bucket: np.ndarray) -> pa.Table:
+    """Rows of CONTEXT for entries of units u: others o (the unit after as it is, one before as -1 - unit), counts n."""
+    group = bucket * 3 + third(u)
+    order = np.lexsort((o, u, group))
+    group = group[order]
+    cut = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(group))
+    blob = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()) if len(group) else pa.array([], pa.binary())
+    first = group[cut[:-1]]
+    u, o, n = u[order].astype(np.int32), o[order].astype(np.int32), n[order].astype(np.int64)
+    return pa.table([pa.array(first // 3), pa.array(first % 3), *(blob(x) for x in (u, o, n))], names=["bucket", "third", "u", "o", "n"])
+
+
+def unpacked(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(u, o, n): all entries of a batch of CONTEXT rows."""
+    kinds = {"u": np.int32, "o": np.int32, "n": np.int64}
+    return tuple(np.frombuffer(b"".join(batch.column(c).to_pylist()), kind) for c, kind in kinds.items())
+
+
+def contexts(rows: DataFrame, counted: DataFrame, many: int, total: int, large: list[int], scratch: Scratch) -> DataFrame:
+    """CONTEXT rows: each unit's neighbours and their counts, in one row but for the large ones."""
+    buckets, split = 1 + total // BUCKET, np.array(large, np.int64)
 
     def run(d: pa.Table, v: pa.Table) -> pa.Table:
+        none = np.zeros(0, np.int64)
         if not d.num_rows:
-            return pa.table([pa.array([], pa.int64())] * 3, names=["a", "b", "n"])
+            return packed(none, none, none, none)
         wid, unit = v.column("wid").to_numpy(), np.zeros(v.num_rows, np.int64)
         unit[wid] = v.column("unit").to_numpy()
         x = np.concatenate([np.frombuffer(ids.as_py(), np.int32) for ids in d.column("ids")])  # each text ends with END
         x = unit[np.concatenate([x[-1:], x])]
-        code, n = np.unique(x[:-1] * many + x[1:], return_counts=True)
-        return pa.table([pa.array(code // many), pa.array(code % many), pa.array(n)], names=["a", "b", "n"])
+        code = np.sort(x[:-1] * many + x[1:])
+        first = np.flatnonzero(np.diff(code, prepend=-1))
+        a, b, n = code[first] // many, code[first] % many, np.diff(np.append(first, len(code)))
+        u, o, n = np.concatenate([a, b]), np.concatenate([b, -1 - a]), np.concatenate([n, n])
+        part = np.where(np.isin(u, split), o % PARTS, 0)
+        return packed(u, o, n, (mixed((u * PARTS + part).astype(np.uint64)) % np.uint64(buckets)).astype(np.int64))
+
+    def merged(key: tuple, g: pa.Table) -> pa.Table:
+        u, o, n = unpacked(g)
+        order = np.argsort((u.astype(np.int64) << 32) + o)
+        u, o, n = u[order], o[order], n[order]
+        first = np.flatnonzero((np.diff(u, prepend=-1) != 0) | (np.diff(o, prepend=np.int32(0)) != 0) | (np.arange(len(u)) == 0))
+        u, o, n = u[first], o[first], np.add.reduceat(n, first)
+        return packed(u, o, n, np.full(len(u), key[0].as_py()))
 
     learn = rows.where(F.col("doc_id").isNotNull() & ~F.col("held")).select("own", "ids")
-    pairs = learn.groupBy("own").cogroup(counted.select("chunk", "wid", "unit").groupBy("chunk")).applyInArrow(run, "a long, b long, n long")
-    pairs = scratch.save(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
-    both = pairs.select(F.col("a").alias("u"), F.col("b").alias("o"), "n").union(pairs.select("b", -1 - F.col("a"), "n"))
-    # a unit has at most twice its tokens as neighbours, so few can have many
-    large = placed.groupBy(F.col("unit").alias("u")).agg(F.sum("c").alias("c")).where(F.col("c") > PART // 2).select("u", F.expr(f"1 + 2 * c div {PART}").alias("parts"))
-    both = both.join(large, "u", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    both = both.groupBy("u", "parts", F.expr("pmod(xxhash64(o), parts)").alias("part")).agg(F.collect_list(F.struct("o", "n")).alias("x"))
-    out = scratch.save(both.select("u", F.col("x.o").alias("others"), F.col("x.n").alias("n"), "parts"), "contexts")
-    scratch.drop(pairs)
-    return out
+    found = learn.groupBy("own").cogroup(counted.select("chunk", "wid", "unit").groupBy("chunk")).applyInArrow(run, CONTEXT)
+    return scratch.save(found.groupBy("bucket", "third").applyInArrow(merged, CONTEXT), "contexts", "third")
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -193,34 +227,43 @@ def _gains(own: int, after: np.ndarray, before: np.ndarray, itself: float, m: np
     return _gains_of(np.array([own]), after[None].astype(float), before[None].astype(float), np.array([itself], float), m)[0]
 
 
+def _first_order(own: np.ndarray, profile: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """_gains_of to first order in the units' counts, a matrix product; profile as in _best."""
+    k, each = len(m), np.arange(len(own))
+    after, before, itself = profile[:, :k], profile[:, k:-1], profile[:, -1]
+    log = np.log(m + 1)
+    rows, cols, a, b = m.sum(1), m.sum(0), after.sum(1) + itself, before.sum(1) + itself
+    gain = after @ log.T + before @ log + itself[:, None] * log.diagonal()
+    gain -= a[:, None] * np.log(rows + 1) + b[:, None] * np.log(cols + 1)
+    stay = (after * np.log(np.maximum(m[own] - after, 0) + 1)).sum(1) + (before * np.log(np.maximum(m.T[own] - before, 0) + 1)).sum(1)
+    stay += itself * np.log(np.maximum(m[own, own] - itself, 0) + 1)
+    gain[each, own] = stay - a * np.log(np.maximum(rows[own] - a, 0) + 1) - b * np.log(np.maximum(cols[own] - b, 0) + 1)
+    return gain
+
+
 def _best(u: np.ndarray, own: np.ndarray, profile: np.ndarray, m: np.ndarray) -> list[np.ndarray]:
     """(units, classes, gains) of units that another class is better for. profile: after, before and itself in a row."""
     k, out = len(m), []
-    for i in range(0, len(u), 500):
-        p, c = profile[i : i + 500], own[i : i + 500]
-        gain = _gains_of(c, p[:, :k], p[:, k:-1], p[:, -1], m)
-        best, each = gain.argmax(1), np.arange(len(c))
-        more = gain[each, best] - gain[each, c]
-        at = np.flatnonzero(more > 1e-6)
-        out.append((u[i + at], best[at], more[at]))
+    often = profile.sum(1) > EXACT
+    for exact, those, step in ((True, np.flatnonzero(often), 500), (False, np.flatnonzero(~often), 20_000)):
+        for i in range(0, len(those), step):
+            at = those[i : i + step]
+            p, c = profile[at], own[at]
+            gain = _gains_of(c, p[:, :k], p[:, k:-1], p[:, -1], m) if exact else _first_order(c, p, m)
+            best, each = gain.argmax(1), np.arange(len(c))
+            more = gain[each, best] - gain[each, c]
+            up = np.flatnonzero(more > 1e-6)
+            out.append((u[at[up]], best[up], more[up]))
     return [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
 
 
-def cluster(context: DataFrame, many: int, counts: np.ndarray | None = None, classes: int = CLASSES, rounds: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(class of each unit, class bigram counts). Units start in classes by frequency rank; without ``counts`` their
+def cluster(context: DataFrame, many: int, counts: np.ndarray | None = None, classes: int = CLASSES, rounds: int | None = None, large: Iterable[int] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """(class of each unit, class bigram counts) from CONTEXT rows; ``large`` units may be in several. Units start in classes by frequency rank; without ``counts`` their
     numbers are their ranks. Without ``rounds`` the clustering ends when one raises the likelihood by less than TOLERANCE."""
     sc = context.sparkSession.sparkContext
     where = np.zeros(many, np.uint8 if classes <= 256 else np.int64)
     where[np.arange(many) if counts is None else np.argsort(-counts, kind="stable")] = np.arange(many) % classes
-    if "parts" not in context.columns:
-        context = context.withColumn("parts", F.lit(1).cast("long"))
-    thirds = [context.where(F.expr(f"pmod(shiftright(u * 2654435761, 8), 3) = {turn}")) for turn in range(3)]
-
-    def flat(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-        """(units, length of each one's list, others, counts): the lists of a batch one after another."""
-        lists = batch.column("others")
-        size = lists.value_lengths().to_numpy(zero_copy_only=False)
-        return batch.column("u").to_numpy(), size, lists.flatten().to_numpy(), batch.column("n").flatten().to_numpy().astype(np.float64)
+    thirds, split = [context.where(F.col("third") == turn) for turn in range(3)], np.array(sorted(large), np.int64)
 
     def changed(rows: DataFrame, old: np.ndarray, new: np.ndarray | None) -> np.ndarray:
         """Class bigrams with ``old``; or with ``new``, the difference, from the contexts of the units it moves."""
@@ -229,8 +272,7 @@ def cluster(context: DataFrame, many: int, counts: np.ndarray | None = None, cla
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             (c, to), m = shared.value, np.zeros(classes * classes)
             for batch in batches:
-                u, size, o, n = flat(batch)
-                u = np.repeat(u, size)
+                u, o, n = unpacked(batch)
                 if to is None:
                     s = o >= 0
                     m += np.bincount(c[u[s]].astype(np.int64) * classes + c[o[s]], n[s], classes * classes)
@@ -259,15 +301,17 @@ def cluster(context: DataFrame, many: int, counts: np.ndarray | None = None, cla
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             c, m = shared.value
             for batch in batches:
-                units, size, o, n = flat(batch)
-                row = np.repeat(np.arange(len(units)), size)
-                u, next_ = units[row], o >= 0
+                u, o, n = unpacked(batch)
+                if not len(u):
+                    continue
+                new = np.diff(u, prepend=-1) != 0  # a row's entries are in order of their units
+                units, row, next_ = u[new].astype(np.int64), np.cumsum(new) - 1, o >= 0
                 w = np.where(next_, o, -1 - o)
                 itself = u == w
                 cell = np.where(itself, width - 1, np.where(next_, 0, classes) + c[w])
                 s = next_ | ~itself
                 profile = np.bincount(row[s] * width + cell[s], n[s], len(units) * width).reshape(-1, width)
-                whole = batch.column("parts").to_numpy() == 1
+                whole = ~np.isin(units, split)
                 u, k, gain = _best(units[whole], c[units[whole]].astype(np.int64), profile[whole], m)
                 rest = [x.tobytes() for x in profile[~whole]]
                 cols = [[*u, *units[~whole]], [*k, *[0] * len(rest)], [*gain, *[0.0] * len(rest)], [*[None] * len(u), *rest]]
@@ -323,8 +367,9 @@ def score(docs: DataFrame) -> DataFrame:
     lost = by_ending(joined.where("c is null").select("chunk", "wid", "word", F.lit(0).cast("long").alias("c")), endings)
     counted = scratch.save(joined.where("c is not null").select("chunk", "wid", "c", "unit").unionByName(lost.drop("word")), "counted")
     rows = table.where("ids is not null").select(F.col("chunk").alias("own"), "doc_id", "held", "ids")
-    context = contexts(rows, counted, placed, many, scratch)
-    where, m = cluster(context, many)
+    large = [r["unit"] for r in placed.groupBy("unit").agg(F.sum("c").alias("c")).where(F.col("c") > LARGE * (total or 0)).collect()]  # 1 / LARGE at most
+    context = contexts(rows, counted, many, total or 0, large, scratch)
+    where, m = cluster(context, many, large=large)
     scratch.drop(context)
     shared = spark.sparkContext.broadcast(where)  # a byte for each unit
 

@@ -53,10 +53,11 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{len(self.paths)}-{name}"
 
-    def save(self, df: DataFrame, name: str = "t") -> DataFrame:
+    def save(self, df: DataFrame, name: str = "t", by: str | None = None) -> DataFrame:
+        """``by``: a column whose values get folders of their own, so a filter on it reads no others."""
         to = self.path(name)
         with writing(self.spark):
-            df.write.parquet(to)
+            df.write.parquet(to, partitionBy=by)
         out = self.spark.read.schema(df.schema).parquet(to)
         self.paths[id(out)] = (to, out)
         return out

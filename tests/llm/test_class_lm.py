@@ -13,6 +13,13 @@ def tokens(t):
     return [*(t or "").encode().lower().split(), b""]
 
 
+def context_of(spark, pairs, parts=1):
+    """CONTEXT rows for {(a, b): n}; a unit's entries in one row, or dealt over ``parts``."""
+    e = np.array([(a, b, n) for (a, b), n in pairs.items()] + [(b, -1 - a, n) for (a, b), n in pairs.items()])
+    rows = class_lm.packed(e[:, 0], e[:, 1], e[:, 2], e[:, 0] % 5 + 5 * (e[:, 1] % parts)).to_pylist()
+    return spark.createDataFrame([tuple(r.values()) for r in rows], class_lm.CONTEXT).repartition(2).cache()
+
+
 def base_scores(docs):
     held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 1
     c = Counter(w for d, t in docs if d is not None and not held(d) for w in tokens(t))
@@ -58,12 +65,8 @@ def test_exchange_finds_classes_and_raises_likelihood(spark):
         a, b = rng.integers(0, 10), rng.integers(10, 20)
         pairs[a, b] += 1
         pairs[b, rng.integers(0, 10)] += 1
-    rows = []
-    for u in range(20):
-        o = [(int(b), n) for (a, b), n in pairs.items() if a == u] + [(-1 - int(a), n) for (a, b), n in pairs.items() if b == u]
-        rows.append((u, [x for x, _ in o], [n for _, n in o]))
     counts = np.array([sum(n for (a, _), n in pairs.items() if a == u) for u in range(20)])
-    context = spark.createDataFrame(rows, "u long, others array<long>, n array<long>")
+    context = context_of(spark, pairs)
     f = class_lm._xlogx
     like = lambda m: f(m).sum() - f(m.sum(1)).sum() - f(m.sum(0)).sum()
     _, start = class_lm.cluster(context, 20, counts, classes=4, rounds=0)
@@ -115,21 +118,26 @@ def test_contexts_are_those_of_whole_words(spark, monkeypatch):
     texts = [" ".join(f"w{k}" for k in rng.zipf(1.3, 60) % 40) for _ in range(60)]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     found, cluster = [], class_lm.cluster
-    monkeypatch.setattr(class_lm, "cluster", lambda c, many: (found.append((c.collect(), many, cluster(c, many))), found[-1][2])[1])
+    monkeypatch.setattr(class_lm, "cluster", lambda c, many, large: (found.append((c.collect(), many, cluster(c, many, large=large))), found[-1][2])[1])
+    monkeypatch.setattr(class_lm, "BUCKET", 300)
+    monkeypatch.setattr(class_lm, "LARGE", 1)
     class_lm.score(docs).collect()
-    monkeypatch.setattr(class_lm, "PART", 16)
+    monkeypatch.setattr(class_lm, "LARGE", 0.02)
     class_lm.score(docs).collect()
-    pairs = []
+    pairs, units = [], []
     for rows, _, _ in found:
         pairs.append(Counter())
+        units.append([])
         for r in rows:
-            pairs[-1].update({(r.u, o): n for o, n in zip(r.others, r.n)})
+            u, o, n = (np.frombuffer(x, k) for x, k in ((r.u, np.int32), (r.o, np.int32), (r.n, np.int64)))
+            pairs[-1].update(dict(zip(zip(u.tolist(), o.tolist()), n.tolist())))
+            units[-1] += set(u.tolist())
     held = lambda d: zlib.crc32(str(d).encode()) % 5 == 1
     want = Counter(p for i, t in enumerate(texts) if not held(i) for x in [[b"", *tokens(t)]] for p in zip(x[:-1], x[1:]))
     assert sum(n for (_, o), n in pairs[0].items() if o >= 0) == want.total()
     common = Counter(w for i, t in enumerate(texts) if not held(i) for w in tokens(t))
     assert found[0][1] > sum(c >= class_lm.LEAST for c in common.values())
-    assert pairs[0] == pairs[1] and len(found[1][0]) > len(found[0][0]) == len({r.u for r in found[0][0]})
+    assert pairs[0] == pairs[1] and len(units[1]) > len(units[0]) == len(set(units[0]))
     assert (found[0][2][0] == found[1][2][0]).all() and (found[0][2][1] == found[1][2][1]).all()
 
 
@@ -141,11 +149,7 @@ def test_clustering_goes_on_while_the_likelihood_rises(spark):
         b = int(rng.choice(members[rng.choice(8, p=next_[kind[a]])]))
         pairs[a, b] += 1
         a = b
-    rows = []
-    for u in range(160):
-        o = [(y, n) for (x, y), n in pairs.items() if x == u] + [(-1 - x, n) for (x, y), n in pairs.items() if y == u]
-        rows.append((u, [x for x, _ in o], [n for _, n in o]))
-    context = spark.createDataFrame(rows, "u long, others array<long>, n array<long>").repartition(2).cache()
+    context = context_of(spark, pairs)
     counts = np.array([sum(n for (x, _), n in pairs.items() if x == u) for u in range(160)])
     f = class_lm._xlogx
     like = lambda m: f(m).sum() - f(m.sum(1)).sum() - f(m.sum(0)).sum()
