@@ -80,7 +80,8 @@ def trailing_year(quarters: DataFrame, annual: DataFrame) -> DataFrame:
 
 
 def growth(x: Column, rows: int) -> Column:
-    """Change over rows of a symbol after padding its gaps, clipped to [-0.99, 5]."""
+    """Change over rows of a symbol after padding its gaps with the last known value, clipped to [-0.99, 5]."""
     w = Window.partitionBy("sym").orderBy("d")
-    r = F.try_divide(x, F.lag(x, rows).over(w)) - 1
+    padded = lambda end: F.last(x, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, end))
+    r = F.try_divide(padded(0), padded(-rows)) - 1
     return F.when(r.isNotNull(), F.least(F.greatest(r, F.lit(-0.99)), F.lit(5.0)))

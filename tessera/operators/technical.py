@@ -42,8 +42,7 @@ def rsi(bars: DataFrame, n: int = 14) -> DataFrame:
     d = bars.select("sym", "d", "c").withColumn("dc", F.col("c") - w.lag("c"))
     d = d.withColumns({"g": w.at_least_zero(F.col("dc")), "b": w.at_least_zero(-F.col("dc"))})
     e = ewm(d, ag=("g", 1 / n), ab=("b", 1 / n))
-    x = 100 - 100 / (1 + F.try_divide("ag", "ab"))
-    x = F.when((F.col("ab") == 0) & (F.col("ag") > 0), 100.0).otherwise(x)
+    x = 100 - 100 / (1 + F.try_divide("ag", "ab"))  # null without losses
     return e.select("sym", "d", gate(x, F.col("dc"), n).alias("rsi"))
 
 
@@ -69,13 +68,15 @@ def adx(bars: DataFrame, n: int = 14) -> DataFrame:
     d = bars.withColumns({"tr": true_range(), "up": up, "down": down})
     d = d.select("sym", "d", "tr", F.when((F.col("up") > F.col("down")) & (F.col("up") > 0), F.col("up")).otherwise(0.0).alias("pdm"), F.when((F.col("down") > F.col("up")) & (F.col("down") > 0), F.col("down")).otherwise(0.0).alias("mdm"))
     e = ewm(d, a=("tr", 1 / n), p=("pdm", 1 / n), m=("mdm", 1 / n))
-    e = e.withColumns({"pdi": 100 * F.try_divide("p", "a"), "mdi": 100 * F.try_divide("m", "a")})
+    a = gate(F.col("a"), F.col("tr"), n)
+    e = e.withColumns({k: 100 * F.try_divide(gate(F.col(x), F.col(y), n), a) for k, x, y in (("pdi", "p", "pdm"), ("mdi", "m", "mdm"))})
     e = ewm(e.select("sym", "d", (100 * F.try_divide(F.abs(F.col("pdi") - F.col("mdi")), F.col("pdi") + F.col("mdi"))).alias("dx")), adx=("dx", 1 / n))
-    return e.select("sym", "d", "adx")
+    return e.select("sym", "d", gate(F.col("adx"), F.col("dx"), n).alias("adx"))
 
 
 def windowed(bars: DataFrame, n: int = 20) -> DataFrame:
-    """CCI, half-z Bollinger position, Williams %R, lag-one autocorrelation of returns: windows alone."""
+    """CCI, half-z Bollinger position, Williams %R, lag-one autocorrelation of returns (0 where they are
+    constant): windows alone."""
     tp = (F.col("h") + F.col("l") + F.col("c")) / 3
     x = bars.withColumns({"tp": tp, "r": F.try_divide("c", w.lag("c")) - 1})
     x = x.withColumns({"tps": w.rolled(F.col("tp"), n, F.collect_list), "tpm": w.mean(F.col("tp"), n), "r1": w.lag("r")})
@@ -87,16 +88,16 @@ def windowed(bars: DataFrame, n: int = 20) -> DataFrame:
         F.try_divide(F.col("tp") - F.col("tpm"), 0.015 * mad).alias("cci"),
         F.try_divide(F.col("c") - w.mean(F.col("c"), n), 2 * w.deviation(F.col("c"), n)).alias("bbp"),
         (-100 * F.try_divide(high - F.col("c"), high - low)).alias("williams_r"),
-        w.correlation(F.col("r"), F.col("r1"), n - 1).alias("autocorr"),
+        F.when(F.count(F.when(F.col("r1").isNotNull(), F.col("r"))).over(w.last_rows(n - 1)) == n - 1, F.coalesce(w.correlation(F.col("r"), F.col("r1"), n - 1), F.lit(0.0))).alias("autocorr"),
     )
 
 
 def obv_slope(bars: DataFrame) -> DataFrame:
-    """Change over five rows of the smoothed on-balance volume, relative to its size five rows ago."""
+    """Change over five rows of the smoothed on-balance volume, relative to its value, sign included, five rows ago."""
     signed = F.coalesce(F.signum(F.col("c") - w.lag("c")), F.lit(0.0)) * F.col("v")
     x = bars.select("sym", "d", signed.alias("sv")).withColumn("obv", F.sum("sv").over(w.so_far()))
     e = ewm(x, e=("obv", 2 / 21))
-    return e.select("sym", "d", F.try_divide(F.col("e") - w.lag("e", 5), F.abs(w.lag("e", 5))).alias("obv_slope"))
+    return e.select("sym", "d", F.try_divide(F.col("e") - w.lag("e", 5), w.lag("e", 5)).alias("obv_slope"))
 
 
 def sma_latest(bars: DataFrame, n: int = 50, least: int = 60) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars
@@ -14,24 +15,22 @@ from tessera.sources import tables as t
 
 
 
-def _concepts(spark, d) -> list[str]:
-    """Three event types as concepts, in order of name: a report of a row for each type."""
-    return [r[0] for r in t.table(spark, d, "events").select("event_type").distinct().orderBy("event_type").limit(3).collect()]
-
-
-FACTS = """names AS (SELECT event_type, row_number() OVER (ORDER BY event_type) AS k FROM (SELECT DISTINCT event_type FROM events)),
-facts AS (SELECT user_id AS sym, CAST(date_trunc('week', ts) AS DATE) AS period_end, ts AS filed, 'c' || k AS concept, value AS val, event_id FROM events JOIN names USING (event_type) WHERE k <= 3),
+CONCEPTS = ["c1", "c2", "c3", "c4", "c5"]
+_listed = ", ".join(CONCEPTS)
+FACTS = f"""names AS (SELECT event_type, row_number() OVER (ORDER BY event_type) AS k FROM (SELECT DISTINCT event_type FROM events)),
+facts AS (SELECT user_id AS sym, CAST(date_trunc('week', ts) AS DATE) AS period_end, ts AS filed, 'c' || k AS concept, value AS val, event_id FROM events JOIN names USING (event_type)),
 last AS (SELECT sym, period_end, concept, val, filed FROM facts WHERE val IS NOT NULL QUALIFY row_number() OVER (PARTITION BY sym, period_end, concept ORDER BY filed DESC, event_id DESC, val DESC) = 1),
-wide AS (SELECT sym, period_end, max(CASE WHEN concept = 'c1' THEN val END) AS c1, max(CASE WHEN concept = 'c2' THEN val END) AS c2, max(CASE WHEN concept = 'c3' THEN val END) AS c3, CAST(max(filed) AS DATE) AS available FROM last GROUP BY 1, 2)"""
-CARRIED = """filled AS (SELECT sym, available, period_end, last_value(c1 IGNORE NULLS) OVER a AS c1, last_value(c2 IGNORE NULLS) OVER a AS c2, last_value(c3 IGNORE NULLS) OVER a AS c3 FROM wide WINDOW a AS (PARTITION BY sym ORDER BY available, period_end)),
+wide AS (SELECT sym, period_end, {", ".join(f"max(CASE WHEN concept = '{c}' THEN val END) AS {c}" for c in CONCEPTS)}, CAST(max(filed) AS DATE) AS available FROM last GROUP BY 1, 2)"""
+CARRIED = f"""filled AS (SELECT sym, available, period_end, {", ".join(f"last_value({c} IGNORE NULLS) OVER a AS {c}" for c in CONCEPTS)} FROM wide WINDOW a AS (PARTITION BY sym ORDER BY available, period_end)),
 carried AS (SELECT * FROM filled QUALIFY row_number() OVER (PARTITION BY sym, available ORDER BY period_end DESC) = 1)"""
 
 
 def _wide(spark, d):
-    names = _concepts(spark, d)
-    facts = t.facts(spark, d).where(F.col("concept").isin(names))
-    code = F.create_map(*(F.lit(x) for i, n in enumerate(names) for x in (n, f"c{i + 1}")))
-    return fundamentals.latest_pivot(facts.withColumn("concept", code[F.col("concept")]), ["c1", "c2", "c3"])
+    """All event types as concepts, named by their place in order of name."""
+    names = t.table(spark, d, "events").select("event_type").distinct()
+    names = names.select(F.col("event_type").alias("concept"), F.concat(F.lit("c"), F.row_number().over(Window.orderBy("event_type"))).alias("code"))  # a row for each type
+    facts = t.facts(spark, d).join(F.broadcast(names), "concept").withColumn("concept", F.col("code")).drop("code")
+    return fundamentals.latest_pivot(facts, CONCEPTS)
 
 
 def _calendar(spark, d):
@@ -41,14 +40,14 @@ def _calendar(spark, d):
     return users.select("sym", F.explode(F.sequence(F.lit(days["a"]), F.lit(days["z"]))).alias("d"))
 
 
-@query(f"WITH {FACTS} SELECT sym, period_end, c1, c2, c3, available, 'filed' AS source FROM wide")
+@query(f"WITH {FACTS} SELECT sym, period_end, {_listed}, available, 'filed' AS source FROM wide")
 def eav_latest_pivot(spark, d):
     return _wide(spark, d)
 
 
-@query(f"WITH {FACTS}, {CARRIED}, days AS (SELECT DISTINCT user_id AS sym, CAST(unnest(generate_series((SELECT min(ts)::DATE FROM events), (SELECT max(ts)::DATE FROM events), INTERVAL 1 DAY)) AS DATE) AS d FROM events) SELECT x.sym, x.d, c.period_end, c.c1, c.c2, c.c3 FROM days x ASOF LEFT JOIN carried c ON x.sym = c.sym AND x.d >= c.available")
+@query(f"WITH {FACTS}, {CARRIED}, days AS (SELECT DISTINCT user_id AS sym, CAST(unnest(generate_series((SELECT min(ts)::DATE FROM events), (SELECT max(ts)::DATE FROM events), INTERVAL 1 DAY)) AS DATE) AS d FROM events) SELECT x.sym, x.d, c.period_end, {", ".join(f"c.{c}" for c in CONCEPTS)} FROM days x ASOF LEFT JOIN carried c ON x.sym = c.sym AND x.d >= c.available")
 def pit_daily(spark, d):
-    return fundamentals.to_daily(fundamentals.carry_forward(_wide(spark, d), ["c1", "c2", "c3"]), _calendar(spark, d))
+    return fundamentals.to_daily(fundamentals.carry_forward(_wide(spark, d), CONCEPTS), _calendar(spark, d))
 
 
 @query(f"WITH {FACTS}, r AS (SELECT *, c1 / nullif(c2, 0) AS q FROM wide) SELECT sym, period_end, round(CASE WHEN abs(q) <= 10 THEN q END, 6) AS ratio, coalesce(c1, c2, c3) AS value, CASE WHEN c1 IS NOT NULL THEN 'c1' WHEN c2 IS NOT NULL THEN 'c2' WHEN c3 IS NOT NULL THEN 'c3' END AS tag, CASE WHEN abs(c3) > 5 THEN c3 END AS guarded FROM r")
@@ -58,17 +57,17 @@ def safe_ratio_coalesce(spark, d):
     return rounded(_wide(spark, d).select("sym", "period_end", scalars.safe_ratio(c("c1"), c("c2"), 10).alias("ratio"), value.alias("value"), tag.alias("tag"), scalars.guard(c("c3"), 5).alias("guarded")))
 
 
-@query(f"WITH {FACTS}, n AS (SELECT count(*) AS n_today FROM wide WHERE period_end = (SELECT max(period_end) FROM wide)), e AS (SELECT count(DISTINCT sym) AS ever FROM wide), f AS (SELECT unnest(['c1', 'c2', 'c3']) AS feature), k AS (SELECT feature, count(CASE feature WHEN 'c1' THEN c1 WHEN 'c2' THEN c2 ELSE c3 END) AS n FROM f, wide WHERE period_end = (SELECT max(period_end) FROM wide) GROUP BY feature) SELECT feature, n, round(n / 200.0, 6) AS of_universe, round(n / n_today::DOUBLE, 6) AS of_today, round(n / ever::DOUBLE, 6) AS of_ever FROM k, n, e")
+@query(f"WITH {FACTS}, n AS (SELECT count(*) AS n_today FROM wide WHERE period_end = (SELECT max(period_end) FROM wide)), e AS (SELECT count(DISTINCT sym) AS ever FROM wide), f AS (SELECT unnest({CONCEPTS}) AS feature), k AS (SELECT feature, count(CASE feature {" ".join(f"WHEN '{c}' THEN {c}" for c in CONCEPTS)} END) AS n FROM f, wide WHERE period_end = (SELECT max(period_end) FROM wide) GROUP BY feature) SELECT feature, n, round(n / 200.0, 6) AS of_universe, round(n / n_today::DOUBLE, 6) AS of_today, round(n / ever::DOUBLE, 6) AS of_ever FROM k, n, e")
 def coverage_report(spark, d):
-    return rounded(fundamentals.coverage(_wide(spark, d).withColumnRenamed("period_end", "d"), ["c1", "c2", "c3"], 200))
+    return rounded(fundamentals.coverage(_wide(spark, d).withColumnRenamed("period_end", "d"), CONCEPTS, 200))
 
 
 @query(f"WITH {FACTS}, {CARRIED} SELECT count(CASE WHEN available > available THEN 1 END) AS used_before_known, count(CASE WHEN period_end > available THEN 1 END) AS known_before_end, count(*) AS n_rows FROM carried")
 def pit_violations(spark, d):
     """Use is checked on every day of the daily panel, in which each value has the day it became available; the rest on
     the carried rows."""
-    carried = fundamentals.carry_forward(_wide(spark, d), ["c1", "c2", "c3"], known=True)
-    used = fundamentals.used_early(fundamentals.to_daily(carried, _calendar(spark, d)), ["c1", "c2", "c3"])
+    carried = fundamentals.carry_forward(_wide(spark, d), CONCEPTS, known=True)
+    used = fundamentals.used_early(fundamentals.to_daily(carried, _calendar(spark, d)), CONCEPTS)
     rest = fundamentals.point_in_time_violations(carried.withColumn("available", F.col("d"))).drop("used_before_known")
     return used.crossJoin(rest)
 
@@ -128,14 +127,14 @@ def insider_net_buy(spark, d):
 SELECT sym, d, round(CASE WHEN k = 20 THEN (tp - tpm) / nullif(0.015 * list_avg(list_transform(tps, lambda v: abs(v - tpm))), 0) END, 6) + 0.0 AS cci,
   round(CASE WHEN k = 20 THEN (c - avg(c) OVER w20) / nullif(2 * stddev_samp(c) OVER w20, 0) END, 6) + 0.0 AS bbp,
   round(CASE WHEN k14 = 14 THEN -100 * (max(h) OVER w14 - c) / nullif(max(h) OVER w14 - min(l) OVER w14, 0) END, 6) + 0.0 AS williams_r,
-  round(CASE WHEN count(rb) OVER w19 = 19 THEN covar_samp(rb, r1) OVER w19 / nullif(sqrt(var_samp(rb) OVER w19 * var_samp(CASE WHEN rb IS NOT NULL THEN r1 END) OVER w19), 0) END, 6) + 0.0 AS autocorr
+  round(CASE WHEN count(rb) OVER w19 = 19 THEN coalesce(covar_samp(rb, r1) OVER w19 / nullif(sqrt(var_samp(rb) OVER w19 * var_samp(CASE WHEN rb IS NOT NULL THEN r1 END) OVER w19), 0), 0) END, 6) + 0.0 AS autocorr
 FROM y WINDOW w20 AS (PARTITION BY sym ORDER BY d ROWS 19 PRECEDING), w14 AS (PARTITION BY sym ORDER BY d ROWS 13 PRECEDING), w19 AS (PARTITION BY sym ORDER BY d ROWS 18 PRECEDING)""")
 def technical_windows(spark, d):
     return rounded(technical.windowed(t.bars_daily(spark, d)))
 
 
 def _ewm_sql(out: str, x: str, alpha: float) -> str:
-    """An exponential mean as a sum of the values so far, weighted by their distance."""
+    """An exponential mean as a fold over the values so far: alpha of the new one and the rest of what was."""
     return f"list_reduce(list({x}) OVER s, lambda a, y: {alpha} * y + {1 - alpha} * a) AS {out}"
 
 
@@ -149,7 +148,18 @@ def atr(spark, d):
     return rounded(technical.atr(t.bars_daily(spark, d)), 5)
 
 
-@query()
+_mean = lambda x, p="r", q="x": f"CASE WHEN {p}.{x} IS NULL THEN {q}.{x} ELSE {q}.{x} / 14 + {p}.{x} * 13 / 14 END AS {x}"
+#: Recursion over the rows of all symbols at once.
+RSI = f"""WITH RECURSIVE {sql.BARS}, y AS (SELECT *, row_number() OVER s AS k, c - lag(c) OVER s AS dc, h - lag(h) OVER s AS up, lag(l) OVER s - l AS dn, greatest(h - l, abs(h - lag(c) OVER s), abs(l - lag(c) OVER s)) AS a FROM bars WINDOW s AS (PARTITION BY sym ORDER BY d)),
+x AS (SELECT sym, d, k, CASE WHEN dc IS NOT NULL THEN greatest(dc, 0) END AS g, CASE WHEN dc IS NOT NULL THEN greatest(-dc, 0) END AS b, a, CASE WHEN up > dn AND up > 0 THEN up ELSE 0 END AS p, CASE WHEN dn > up AND dn > 0 THEN dn ELSE 0 END AS m, sum(coalesce(sign(dc), 0) * v) OVER (PARTITION BY sym ORDER BY d) AS o FROM y),
+r AS (SELECT * FROM x WHERE k = 1 UNION ALL SELECT x.sym, x.d, x.k, {", ".join(_mean(c) for c in "gbapm")}, x.o * 2 / 21 + r.o * 19 / 21 AS o FROM r JOIN x ON r.sym = x.sym AND x.k = r.k + 1),
+i AS (SELECT *, CASE WHEN k >= 14 THEN 100 * abs(p / nullif(a, 0) - m / nullif(a, 0)) / nullif(p / nullif(a, 0) + m / nullif(a, 0), 0) END AS dx FROM r),
+z AS (SELECT sym, k, dx FROM i WHERE k = 14 UNION ALL SELECT i.sym, i.k, {_mean("dx", "z", "i")} FROM z JOIN i ON i.sym = z.sym AND i.k = z.k + 1)
+SELECT i.sym, i.d, round(CASE WHEN i.k >= 15 THEN 100 - 100 / (1 + g / nullif(b, 0)) END, 6) + 0.0 AS rsi, round(CASE WHEN i.k >= 27 THEN z.dx END, 6) + 0.0 AS adx,
+  round((o - lag(o, 5) OVER s) / nullif(lag(o, 5) OVER s, 0), 6) + 0.0 AS obv_slope FROM i LEFT JOIN z ON i.sym = z.sym AND i.k = z.k WINDOW s AS (PARTITION BY i.sym ORDER BY i.d)"""
+
+
+@query(RSI)
 def rsi_adx_obv(spark, d):
     bars = t.bars_daily(spark, d)
     return rounded(technical.rsi(bars).join(technical.adx(bars), ["sym", "d"]).join(technical.obv_slope(bars), ["sym", "d"]))

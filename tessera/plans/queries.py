@@ -85,11 +85,11 @@ def _ahead(n: int) -> str:
     return f"round((lead(c, {n}) OVER s / c - 1) - (lead(m, {n}) OVER s / m - 1), 6) + 0.0 AS fwd_{n}d_excess"
 
 
-@query(f"""WITH {sql.BARS}, {sql.THIN}, x AS (
+@query(f"""WITH {sql.BARS}, {sql.MARKET}, x AS (
   SELECT sym, b.d, b.c, CASE WHEN date_diff('day', m.d, b.d) <= 5 THEN m.c END AS m FROM bars b ASOF LEFT JOIN mkt m ON b.d >= m.d
 ) SELECT sym, d, {', '.join(map(_ahead, (5, 20, 60)))} FROM x WINDOW s AS (PARTITION BY sym ORDER BY d)""")
 def fwd_excess_asof(spark, d):
-    return rounded(labels.excess_asof(t.bars_daily(spark, d), t.market_daily(spark, d, 7)))
+    return rounded(labels.excess_asof(t.bars_daily(spark, d), t.market_daily(spark, d)))
 
 
 @query(f"""WITH {sql.BARS}, {sql.MARKET}, m AS (SELECT d, lead(c, 60) OVER (ORDER BY d) / c - 1 AS r FROM mkt),
@@ -155,12 +155,12 @@ for _name, _op, _kw, _ok in (("asof_backward", ">=", {}, "TRUE"), ("asof_strict"
     )
 
 
-@query(f"""WITH {sql.BARS}, {sql.THIN}, x AS (SELECT sym, b.d, m.d AS md, m.c AS m FROM bars b ASOF LEFT JOIN mkt m ON b.d >= m.d),
+@query(f"""WITH {sql.BARS}, {sql.MARKET}, x AS (SELECT sym, b.d, m.d AS md, m.c AS m FROM bars b ASOF LEFT JOIN mkt m ON b.d >= m.d),
 y AS (SELECT *, count(*) OVER (PARTITION BY sym, md ORDER BY d) - max(CASE WHEN md = d THEN 1 ELSE 0 END) OVER (PARTITION BY sym, md) AS since FROM x)
 SELECT sym, d, round(CASE WHEN since <= 2 THEN m END, 6) AS m FROM y""")
 def asof_row_limit(spark, d):
     bars = t.bars_daily(spark, d).select("sym", "d")
-    return rounded(asof.asof_join(bars, t.market_daily(spark, d, 7).withColumnRenamed("c", "m"), None, rows=2))
+    return rounded(asof.asof_join(bars, t.market_daily(spark, d).withColumnRenamed("c", "m"), None, rows=2))
 
 
 @query(f"""WITH {sql.BARS}, {sql.MARKET}, x AS (

@@ -10,7 +10,6 @@ BARS = """trades AS (
   SELECT sym, d, min_by(px, k) AS o, max(px) AS h, min(px) AS l, max_by(px, k) AS c, sum(q) AS v FROM trades GROUP BY sym, d
 )"""
 MARKET = "mkt AS (SELECT CAST(l_shipdate AS DATE) AS d, avg(l_extendedprice / nullif(l_quantity, 0)) AS c FROM lineitem GROUP BY 1)"
-THIN = MARKET.replace("GROUP BY 1", "WHERE date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) % 7 <> 0 GROUP BY 1")
 PREPARED = """p AS (
   SELECT *, CAST(row_number() OVER s AS DOUBLE) AS t, lag(c) OVER s AS c1, lag(v) OVER s AS v1,
     avg(v) OVER (s ROWS 19 PRECEDING) AS usual

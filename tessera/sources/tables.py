@@ -43,10 +43,9 @@ def bars_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.select("sym", "d", F.col("first.px").alias("o"), "h", "l", F.col("last.px").alias("c"), "v")
 
 
-def market_daily(spark: SparkSession, sf_dir: str, thin: int = 0) -> DataFrame:
-    """(d, c): the mean price of a day; ``thin`` leaves out the days whose day number it divides."""
-    m = table(spark, sf_dir, "lineitem").groupBy(F.col("l_shipdate").cast("date").alias("d")).agg(F.avg(F.try_divide("l_extendedprice", "l_quantity")).alias("c"))
-    return m.where(F.datediff("d", F.lit("1970-01-01")) % thin != 0) if thin else m
+def market_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(d, c): the mean price of a day."""
+    return table(spark, sf_dir, "lineitem").groupBy(F.col("l_shipdate").cast("date").alias("d")).agg(F.avg(F.try_divide("l_extendedprice", "l_quantity")).alias("c"))
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
