@@ -11,7 +11,7 @@ has are left out. Pairs of a list must pass the length and positional filters an
 parity: each word that one set lacks flips one bit at most); Jaccard on the words of the lines verifies.
 
 No list is expanded into all its pairs:
-- A line meets at most FEW earlier ones of a list. Lines that were cut short there and found no match meet all others.
+- A line meets the FEW earlier ones of a list that may be most similar. Lines with more that found no match meet all others.
 - In a list of more than HOT lines they meet LEAD leaders only, the first of the list, so copies with edits find their
   source. What finds none is looked for under two words: similar sets share two words of prefixes that are one longer.
 
@@ -26,6 +26,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,32 +66,26 @@ def _digests(size: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _heads(keyed: DataFrame) -> DataFrame:
-    """All lines with a word: place, and n, digest and word hashes (32 bits each) where no earlier line of the task has the
-    same set; the others have n 0 and a digest of their own, so no copies of a line meet before they are one for each task."""
+    """All lines with a word: place, and n, digest and word hashes (32 bits each) where no earlier line of the batch has the
+    same set; the others have n 0 and a digest of their own, so no copies of a line meet before they are one for each
+    batch."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first: dict[tuple[int, int], tuple] = {}
         for batch in batches:
-            for at, raw in blocks(texts(batch)):
-                row, line, size, h = _sets(raw)
-                key = [batch.column(c).to_numpy()[at + row] for c in ("id", "f", "r")]
-                d1, d2 = _digests(size, h)
-                cut, packed = offsets(size), (h >> np.uint64(32)).astype(np.uint32)
-                n, held = size.astype(np.int32), []
-                places = zip(key[0].tolist(), line.tolist(), key[2].tolist(), key[1].tolist(), strict=True)
-                for i, (d, p) in enumerate(zip(zip(d1.tolist(), d2.tolist(), strict=True), places, strict=True)):
-                    if d in first and first[d] < p:
-                        n[i] = 0
-                        held.append(b"")
-                    else:
-                        first[d] = p
-                        held.append(packed[cut[i] : cut[i + 1]].tobytes())
-                if len(first) > 120_000:
-                    first.clear()
-                later = n == 0
-                d2[later] = mixed(d2[later].view(np.uint64) ^ (key[2][later] << 20 | line[later]).astype(np.uint64)).view(np.int64)
-                cols = [*key, line.astype(np.int32), n, d1, d2, pa.array(held, pa.binary())]
-                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], ["id", "f", "r", "line", "n", "d1", "d2", "h"])
+            parts = [[at + x if i == 0 else x for i, x in enumerate(_sets(raw))] for at, raw in blocks(texts(batch))]
+            if not parts:
+                continue
+            row, line, size, h = (np.concatenate(x) for x in zip(*parts, strict=True))
+            key = {c: batch.column(c).to_numpy()[row] for c in ("id", "f", "r")}
+            d1, d2 = _digests(size, h)
+            order = np.lexsort((key["f"], key["r"], line, key["id"], d2, d1))
+            later = np.zeros(len(row), bool)
+            later[order[1:]] = (d1[order[1:]] == d1[order[:-1]]) & (d2[order[1:]] == d2[order[:-1]])
+            n = np.where(later, 0, size).astype(np.int32)
+            packed = (h >> np.uint64(32)).astype(np.uint32)[np.repeat(~later, size)]
+            held = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((offsets(n.astype(np.int64)) * 4).astype(np.int32).tobytes()), pa.py_buffer(packed.tobytes())])
+            d2[later] = mixed(d2[later].view(np.uint64) ^ (key["r"][later] << 20 | line[later]).astype(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (*key.values(), line.astype(np.int32), n, d1, d2)), held], ["id", "f", "r", "line", "n", "d1", "d2", "h"])
 
     return keyed.mapInArrow(run, f"{_KEYED}, line int, n int, d1 long, d2 long, h binary")
 
@@ -110,7 +105,7 @@ def _classes(heads: DataFrame) -> DataFrame:
             new[0] = last != (d1[0], d2[0])
             last = (d1[-1], d2[-1])
             first = new & (n > 0)
-            h = pa.array([x if k else None for x, k in zip(batch.column("h").to_pylist(), first.tolist(), strict=True)], pa.binary())
+            h = pc.if_else(pa.array(first), batch.column("h"), pa.scalar(None, pa.binary()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "f", "r", "line", "n")), h, pa.array(first)], ["id", "f", "r", "line", "n", "h", "first"])
 
     # of a digest, lines with a set come before those (by chance of the same digest) without
@@ -168,33 +163,43 @@ def _overlap(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _meet(c: dict[str, np.ndarray], start: np.ndarray, few: int, percent: int, since: int = 1, most: int = 1 << 62) -> tuple[np.ndarray, ...]:
-    """(x, y, spare, cut short): rows x of a run with earlier rows y of it that pass the filters, ``few`` for each x; or, if ``c``
-    has ``asked``, every one for the x where it is set. cut short: rows that had more earlier rows to meet. Rows of a run
-    are in the lines' order and ``start`` is the first of each one's. Only rows from ``since`` on look for others, and only
-    among the first ``most`` of a run."""
+    """(x, y, spare, cut short): rows x of a run with earlier rows y of it that pass the filters: for each x the ``few`` that
+    may be most similar, or all, if ``c`` has ``asked``, for the x where it is set. spare: words by which they may differ
+    more than their parity bits show; cut short: rows that had more to meet. Rows of a run are in the lines' order and
+    ``start`` is the first of each one's. Only rows from ``since`` on look for others, and only among the first ``most``."""
     n, pos, m, o = c["n"].astype(np.int64), c["pos"].astype(np.int64), c["m"].view(np.uint64), c["o"].view(np.uint64)
-    got, xs, ys, spares, j = np.zeros(len(n), np.int64), [], [], [], 0
-    asked = c.get("asked")
-    live, short = since + np.flatnonzero((np.arange(since, len(n)) > start[since:]) & (True if asked is None else asked[since:])), []
-    while len(live) and j < most:
-        y = start[live] + j
-        total = n[live] + n[y]
+    depth, got, asked = np.arange(len(n)) - start, np.zeros(len(n), np.int64), c.get("asked")
+    look = np.flatnonzero((depth > 0) & (np.arange(len(n)) >= since) & (True if asked is None else asked))
+    look = look[np.argsort(-depth[look], kind="stable")]  # so those that have a j-th row before them come first
+    deep, first, size = -depth[look], start[look], n[look]
+    found, held = [(np.zeros(0, np.int64),) * 3], 0
+
+    def likeliest() -> list[tuple[np.ndarray, ...]]:
+        x, y, spare = (np.concatenate(k) for k in zip(*found, strict=True))
+        if asked is None and len(x):
+            order = np.lexsort((y, -spare, x))
+            x, y, spare = x[order], y[order], spare[order]
+            begin = np.flatnonzero(np.diff(x, prepend=-1))
+            keep = np.arange(len(x)) - np.repeat(begin, np.diff(np.append(begin, len(x)))) < few
+            x, y, spare = x[keep], y[keep], spare[keep]
+        return [(x, y, spare)]
+
+    for j in range(min(most, -int(deep[0]) if len(deep) else 0)):
+        y = first[: np.searchsorted(deep, -j)] + j
+        at = np.flatnonzero((percent * size[: len(y)] <= 100 * n[y]) & (percent * n[y] <= 100 * size[: len(y)]))
+        x, y = look[at], y[at]
+        total = n[x] + n[y]
         need = _overlap(total, percent)
-        ok = (100 * np.minimum(n[live], n[y]) >= percent * np.maximum(n[live], n[y])) & (np.minimum(pos[live], pos[y]) + np.minimum(n[live] - pos[live], n[y] - pos[y]) >= need)
-        spare = total - 2 * need - np.bitwise_count(m[live] ^ m[y]).astype(np.int64) - np.bitwise_count(o[live] ^ o[y])
-        ok &= spare >= 0
-        ok &= c["cid"][live] != c["cid"][y]
-        xs.append(live[ok])
-        ys.append(y[ok])
-        spares.append(spare[ok])
-        got[live[ok]] += 1
-        j += 1
-        live = live[live > start[live] + j]
-        full = (got[live] >= few) & (asked is None)
-        short.append(live[full])
-        live = live[~full]
-    join = lambda x: np.concatenate([np.zeros(0, np.int64), *x])
-    return join(xs), join(ys), join(spares), join(short)
+        spare = total - 2 * need - np.bitwise_count(m[x] ^ m[y]).astype(np.int64) - np.bitwise_count(o[x] ^ o[y])
+        ok = (spare >= 0) & (np.minimum(pos[x], pos[y]) + np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need) & (c["cid"][x] != c["cid"][y])
+        x = x[ok]
+        if len(x):
+            found.append((x, y[ok], spare[ok]))
+            got[x] += 1
+            held += len(x)
+            if held > 2_000_000 and asked is None:
+                found, held = likeliest(), 0
+    return *likeliest()[0], np.flatnonzero(got > few)
 
 
 def _met(rows: DataFrame, percent: int, few: int, hot: int, lead: int, ask: bool = False) -> DataFrame:
