@@ -42,7 +42,7 @@ from tessera.llm.common import Scratch, documents, mixed, texts
 
 CLASSES, LEAST, MIX, SHARE = 64, 10, 0.95, 20.0
 BUCKET, LARGE, PARTS, EXACT = 250_000, 0.001, 64, 200  # tokens in a bucket, about; see above
-CHUNK_TOKENS, TOLERANCE = 2_000_000, 1e-4
+CHUNK_TOKENS, TOLERANCE = 1_500_000, 1e-4
 END = b""  # no word is empty
 
 
@@ -141,15 +141,16 @@ CONTEXT = "bucket long, third long, u binary, o binary, n binary"
 
 
 def packed(u: np.ndarray, o: np.ndarray, n: np.ndarray, bucket: np.ndarray) -> pa.Table:
-    """Rows of CONTEXT for entries of units u: others o (the unit after as it is, one before as -1 - unit), counts n."""
+    """Rows of CONTEXT, a row for each bucket and third, for entries of units u: others o (the unit after as it is, one before
+    as -1 - unit), counts n. Entries of a row keep their order."""
     group = bucket * 3 + third(u)
-    order = np.lexsort((o, u, group))
+    order = np.argsort(group, kind="stable")
     group = group[order]
     cut = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(group))
-    blob = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()) if len(group) else pa.array([], pa.binary())
     first = group[cut[:-1]]
-    u, o, n = u[order].astype(np.int32), o[order].astype(np.int32), n[order].astype(np.int64)
-    return pa.table([pa.array(first // 3), pa.array(first % 3), *(blob(x) for x in (u, o, n))], names=["bucket", "third", "u", "o", "n"])
+    kinds = (u[order].astype(np.int32), o[order].astype(np.int32), n[order].astype(np.int64))
+    blobs = [pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()) for x in kinds]
+    return pa.table([pa.array(first // 3), pa.array(first % 3), *blobs], names=["bucket", "third", "u", "o", "n"])
 
 
 def unpacked(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -172,10 +173,14 @@ def contexts(rows: DataFrame, counted: DataFrame, many: int, total: int, large:
         x = unit[np.concatenate([x[-1:], x])]
         code = np.sort(x[:-1] * many + x[1:])
         first = np.flatnonzero(np.diff(code, prepend=-1))
-        a, b, n = code[first] // many, code[first] % many, np.diff(np.append(first, len(code)))
-        u, o, n = np.concatenate([a, b]), np.concatenate([b, -1 - a]), np.concatenate([n, n])
-        part = np.where(np.isin(u, split), o % PARTS, 0)
-        return packed(u, o, n, (mixed((u * PARTS + part).astype(np.uint64)) % np.uint64(buckets)).astype(np.int64))
+        n = np.diff(np.append(first, len(code)))
+        code = code[first]
+        a, b = code // many, code % many
+        out = []
+        for u, o in ((a, b), (b, -1 - a)):
+            part = np.where(np.isin(u, split), o % PARTS, 0)
+            out.append(packed(u, o, n, (mixed((u * PARTS + part).astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)))
+        return pa.concat_tables(out)
 
     def merged(key: tuple, g: pa.Table) -> pa.Table:
         u, o, n = unpacked(g)

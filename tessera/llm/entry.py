@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tessera.llm import cascade
+from tessera.llm import cascade, sql
 from tessera.llm.class_lm import op1_class_lm
 from tessera.llm.digests import op7_canonical_digest
 from tessera.llm.lines import op8_prefix_join
@@ -27,4 +27,4 @@ QUERIES = {
     "op10_bottom_k": op10_bottom_k,
 }
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLES: dict[str, str] = {"op6_cascade": cascade.SQL}
+ORACLES: dict[str, str] = {"op6_cascade": cascade.SQL, "op8_prefix_join": sql.LINES, "op9_deep_shallow": sql.PASSAGES, "op10_bottom_k": sql.NEAR}

@@ -16,6 +16,7 @@ def tokens(t):
 def context_of(spark, pairs, parts=1):
     """CONTEXT rows for {(a, b): n}; a unit's entries in one row, or dealt over ``parts``."""
     e = np.array([(a, b, n) for (a, b), n in pairs.items()] + [(b, -1 - a, n) for (a, b), n in pairs.items()])
+    e = e[np.lexsort((e[:, 1], e[:, 0]))]
     rows = class_lm.packed(e[:, 0], e[:, 1], e[:, 2], e[:, 0] % 5 + 5 * (e[:, 1] % parts)).to_pylist()
     return spark.createDataFrame([tuple(r.values()) for r in rows], class_lm.CONTEXT).repartition(2).cache()
 
