@@ -328,11 +328,12 @@ def _snaps(spark, d):
 
 
 @query(f"""WITH {SNAPS}, f AS (SELECT sym, as_of, min(fiscal_end) AS fiscal_end FROM snaps WHERE fiscal_end >= as_of GROUP BY 1, 2),
-a AS (SELECT DISTINCT sym, as_of, CAST(isodow(as_of) - 1 AS INTEGER) AS m FROM snaps), z AS (SELECT sym, as_of, CAST(as_of - greatest(m - 4, 0) + CAST(floor((least(m, 4) - 20) / 5.0) * 7 + ((least(m, 4) - 20) % 5 + 5) % 5 - least(m, 4) AS INTEGER) AS DATE) AS then FROM a),
-j AS (SELECT z.sym, z.as_of, z.then, max(s.as_of) AS lag_snap FROM z LEFT JOIN (SELECT DISTINCT sym, as_of FROM snaps) s ON s.sym = z.sym AND s.as_of <= z.then GROUP BY 1, 2, 3)
-SELECT j.sym, j.as_of, f.fiscal_end, n.eps, o.eps AS eps_lag, round((n.eps - o.eps) / nullif(abs(o.eps), 0), 6) + 0.0 AS eps_drift, CASE WHEN f.fiscal_end IS NULL THEN 'no_fy1' WHEN j.lag_snap IS NULL THEN 'no_lag_snapshot' WHEN o.eps IS NULL THEN 'no_fy1_row_at_lag' WHEN o.eps = 0 THEN 'zero_denominator' END AS reason
-FROM j LEFT JOIN f ON f.sym = j.sym AND f.as_of = j.as_of LEFT JOIN snaps n ON n.sym = j.sym AND n.as_of = j.as_of AND n.fiscal_end = f.fiscal_end LEFT JOIN snaps o ON o.sym = j.sym AND o.as_of = j.lag_snap AND o.fiscal_end = f.fiscal_end""")
+mv AS (SELECT sym, fiscal_end, as_of, eps, sum(CASE WHEN eps > p THEN 1 ELSE 0 END) OVER w AS u, sum(CASE WHEN eps < p THEN 1 ELSE 0 END) OVER w AS v FROM (SELECT *, lag(eps) OVER (PARTITION BY sym, fiscal_end ORDER BY as_of) AS p FROM snaps) WINDOW w AS (PARTITION BY sym, fiscal_end ORDER BY as_of)),
+a AS (SELECT DISTINCT sym, as_of, CAST(isodow(as_of) - 1 AS INTEGER) AS m FROM snaps), z AS (SELECT sym, as_of, CAST(as_of - greatest(m - 4, 0) + CAST(floor((least(m, 4) - 20) / 5.0) * 7 + ((least(m, 4) - 20) % 5 + 5) % 5 - least(m, 4) AS INTEGER) AS DATE) AS then,
+  CAST(as_of - greatest(m - 4, 0) + CAST(floor((least(m, 4) + 1) / 5.0) * 7 + (least(m, 4) + 1) % 5 - least(m, 4) AS INTEGER) AS DATE) AS usable_from FROM a),
+j AS (SELECT z.sym, z.as_of, z.usable_from, max(s.as_of) AS lag_snap FROM z LEFT JOIN (SELECT DISTINCT sym, as_of FROM snaps) s ON s.sym = z.sym AND s.as_of <= z.then GROUP BY 1, 2, 3),
+k AS (SELECT j.*, f.fiscal_end, n.eps, o.eps AS eps_lag, CAST(n.u - o.u AS BIGINT) AS n_up, CAST(n.v - o.v AS BIGINT) AS n_down FROM j LEFT JOIN f ON f.sym = j.sym AND f.as_of = j.as_of LEFT JOIN mv n ON n.sym = j.sym AND n.as_of = j.as_of AND n.fiscal_end = f.fiscal_end LEFT JOIN mv o ON o.sym = j.sym AND o.as_of = j.lag_snap AND o.fiscal_end = f.fiscal_end)
+SELECT sym, as_of, fiscal_end, eps, eps_lag, round((eps - eps_lag) / nullif(abs(eps_lag), 0), 6) + 0.0 AS eps_drift, n_up, n_down, round((n_up - n_down) / nullif(n_up + n_down, 0)::DOUBLE, 6) + 0.0 AS breadth,
+  CASE WHEN fiscal_end IS NULL THEN 'no_fy1' WHEN lag_snap IS NULL THEN 'no_lag_snapshot' WHEN eps_lag IS NULL THEN 'no_fy1_row_at_lag' WHEN eps_lag = 0 THEN 'zero_denominator' WHEN n_up + n_down = 0 THEN 'no_update_in_window' END AS reason, usable_from FROM k""")
 def estimate_revisions(spark, d):
-    x = revisions.revisions(_snaps(spark, d))
-    keep = F.when(F.col("reason") != "no_update_in_window", F.col("reason"))
-    return rounded(x.select("sym", "as_of", "fiscal_end", "eps", "eps_lag", "eps_drift", keep.alias("reason")))
+    return rounded(revisions.revisions(_snaps(spark, d)))
