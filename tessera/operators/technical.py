@@ -1,10 +1,11 @@
-"""Technical indicators. Exponential means are recursive, so they fold over a symbol's ordered array in the JVM; a symbol's
-history is one array (a century of days is 36,500 rows), which bounds it."""
+"""Technical indicators. Exponential means are recursive: each symbol's history is one Arrow group (a century of days is
+36,500 rows) that pandas goes through once."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tessera.functions import windows as w
 
@@ -12,26 +13,13 @@ from tessera.functions import windows as w
 def ewm(df: DataFrame, **columns: tuple[str, float]) -> DataFrame:
     """Adds exponential means: out=(column, alpha). Nulls count as a position without a value: the weight of the past
     decays over them."""
-    row = F.struct("d", *(c for c in df.columns if c not in ("sym", "d")))
-    hist = df.groupBy("sym").agg(F.array_sort(F.collect_list(row)).alias("x"))
-    fields = list(columns)
-    start = F.struct(F.array().cast("array<double>").alias("done"), F.lit(None).cast("double").alias("last"), F.lit(1.0).alias("decay"))
-
-    def fold(col: str, alpha: float) -> Column:
-        def step(acc: Column, row: Column) -> Column:
-            v, last = row[col].cast("double"), acc["last"]
-            old = acc["decay"] * (1 - alpha)
-            mixed = F.when(last.isNull(), v).otherwise((old * last + alpha * v) / (old + alpha))
-            now = F.when(v.isNull(), last).otherwise(mixed)
-            # weights of past and present are put back to one together at each value
-            decay = F.when(v.isNull() & last.isNotNull(), old).otherwise(F.lit(1.0))
-            return F.struct(F.concat(acc["done"], F.array(now)).alias("done"), now.alias("last"), decay.alias("decay"))
-
-        return F.aggregate("x", start, step, lambda a: a["done"])
-
-    out = hist.select("sym", "x", *(fold(c, a).alias(f"_{o}") for o, (c, a) in columns.items()))
-    zipped = F.explode(F.arrays_zip("x", *(f"_{o}" for o in fields))).alias("z")
-    return out.select("sym", zipped).select("sym", "z.x.*", *(F.col(f"z._{o}").alias(o) for o in fields))
+    schema = StructType([*df.schema.fields, *(StructField(o, DoubleType()) for o in columns)])
+
+    def smoothed(history):
+        history = history.sort_values("d")
+        return history.assign(**{o: history[c].astype(float).ewm(alpha=a, adjust=False).mean() for o, (c, a) in columns.items()})
+
+    return df.groupBy("sym").applyInPandas(smoothed, schema)
 
 
 def gate(x: Column, seen: Column, least: int) -> Column:
