@@ -67,6 +67,12 @@ def shingle_codes(raw: list[bytes], width: int) -> list[np.ndarray]:
     return [np.unique(x) for x in out]
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have that similarity."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def needed(n: int, percent: int) -> int:
     """Retained hashes that a document of n shingles shares with any similar one; above K, all but surely."""
     if n > K:
@@ -159,13 +165,16 @@ def confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, perc
     both = near.join(text("a"), ["a", "th_a"]).join(text("b"), ["b", "th_b"]).select("a", "b", "text_a", "text_b")
 
     def exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Hashes of the full sets tell which pairs are too far apart; the others' shingles themselves are compared."""
         for whole in batches:
-            for i in range(0, whole.num_rows, 128):
-                batch, ok = whole.slice(i, 128), []
-                for s, t in zip(texts(batch, "text_a"), texts(batch, "text_b"), strict=True):
-                    x, y = shingle_codes([s, t], width)
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    ok.append(100 * both >= percent * (len(x) + len(y) - both))
+            for i in range(0, whole.num_rows, 256):
+                batch, ok = whole.slice(i, 256), []
+                left, right = texts(batch, "text_a"), texts(batch, "text_b")
+                each = list(dict.fromkeys(left + right))
+                hashed = dict(zip(each, (h for _, raw in blocks(each) for h in shingle_hashes(raw, width)), strict=True))
+                for s, t in zip(left, right, strict=True):
+                    near = _similar(hashed[s], hashed[t], percent)
+                    ok.append(near and _similar(*shingle_codes([s, t], width), percent))
                 yield batch.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
     links = scratch.save(both.mapInArrow(exact, "a long, b long"), "links")
