@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from tessera.llm import cascade, sql
+from tessera.llm.byte_bpe import op11_byte_bpe
 from tessera.llm.class_lm import op1_class_lm
 from tessera.llm.digests import op7_canonical_digest
 from tessera.llm.lines import op8_prefix_join
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_prefix_join": op8_prefix_join,
     "op9_deep_shallow": op9_deep_shallow,
     "op10_bottom_k": op10_bottom_k,
+    "op11_byte_bpe": op11_byte_bpe,
 }
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES: dict[str, str] = {"op6_cascade": cascade.SQL, "op8_prefix_join": sql.LINES, "op9_deep_shallow": sql.PASSAGES, "op10_bottom_k": sql.NEAR}
