@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tessera.llm import cascade, negatives, sql
+from tessera.llm import cascade, negatives, ranking, sql
 from tessera.llm.byte_bpe import op11_byte_bpe
 from tessera.llm.class_lm import op1_class_lm
 from tessera.llm.digests import op7_canonical_digest
@@ -27,7 +27,8 @@ QUERIES = {
     "op9_deep_shallow": op9_deep_shallow,
     "op10_bottom_k": op10_bottom_k,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_threshold": ranking.op12_threshold,
     "op13_norm_buckets": negatives.op13_norm_buckets,
 }
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLES: dict[str, str] = {"op6_cascade": cascade.SQL, "op8_prefix_join": sql.LINES, "op9_deep_shallow": sql.PASSAGES, "op10_bottom_k": sql.NEAR, "op13_norm_buckets": negatives.SQL}
+ORACLES: dict[str, str] = {"op6_cascade": cascade.SQL, "op8_prefix_join": sql.LINES, "op9_deep_shallow": sql.PASSAGES, "op10_bottom_k": sql.NEAR, "op12_threshold": ranking.SQL, "op13_norm_buckets": negatives.SQL}
