@@ -138,11 +138,13 @@ class Index:
         self.scratch = scratch
         self.buckets = scratch.save(packed(rows, BUCKET), "buckets", by="part")
         # one row for each range partition, so bounded by a setting
-        counts = sorted(tuple(r) for r in self.buckets.groupBy("part").count().collect())
-        self.parts, self.first, at = [p for p, _ in counts], {}, 0
-        for p, n in counts:
+        counts = sorted(tuple(r) for r in self.buckets.groupBy("part").agg(F.count("*"), F.sum("n")).collect())
+        self.parts, self.first, at = [p for p, _, _ in counts], {}, 0
+        for p, n, _ in counts:
             self.first[p], at = at, at + n
         self.total = at
+        #: Buckets of the first wave: about BUCKET rows, as partitions of few rows make small buckets.
+        self.start = max(1, BUCKET * at // max(1, sum(n for *_, n in counts)))
 
     def ranked(self, low: int, high: int) -> DataFrame:
         """Buckets low .. high - 1 by norm, with their ranks; files of other partitions are not read."""
@@ -159,7 +161,7 @@ class Index:
         window = Window.partitionBy("block", "i", "w").orderBy(F.desc("score"), "id")
         q = blocks.select("block", *(F.col(c).alias("q_" + c) for c in ("n", "ids", "labels", "norms", "dim", "vectors")))
         while low < self.total:
-            high = min(self.total, max(1, low * GROWTH))
+            high = min(self.total, max(self.start, low * GROWTH))
             need = windows.select("block", "i", "w", "norm", "hi", F.col("lo").alias("need"))
             if best is not None:
                 full = best.groupBy("block", "i", "w").agg(F.count("*").alias("n"), F.min("score").alias("kth")).where(F.col("n") == most).drop("n")
