@@ -79,15 +79,6 @@ def year_on_year(x: Column, rows: int = 4) -> Column:
     return F.try_divide(x, w.lag(x, rows)) - 1
 
 
-def freshness(df: DataFrame, features: list[str], today: Column, most: int) -> DataFrame:
-    """feature, n, stale: known values, and symbols whose last one is more than ``most`` days old."""
-    last = df.groupBy("sym").agg(*(F.max(F.when(F.col(c).isNotNull(), F.col("d"))).alias(c) for c in features))
-    old = lambda c: F.count(F.when(F.datediff(today, c) > most, 1))
-    one = last.agg(*(F.struct(F.count(c).alias("n"), old(c).alias("stale")).alias(c) for c in features))
-    rows = F.explode(F.array(*(F.struct(F.lit(c).alias("feature"), F.col(f"{c}.n").alias("n"), F.col(f"{c}.stale").alias("stale")) for c in features)))
-    return one.select(rows.alias("x")).select("x.*")
-
-
 def filled_calendar(df: DataFrame, columns: list[str], rows: int) -> DataFrame:
     """Every day between a symbol's first and last; a gap takes the last known value, ``rows`` days on at most."""
     span = df.groupBy("sym").agg(F.min("d").alias("a"), F.max("d").alias("z"))

@@ -71,11 +71,6 @@ def year_on_year(spark, d):
     return x.select("sym", "d", (F.round("growth", 6) + 0.0).alias("growth"), (F.round("per_share", 9) + 0.0).alias("per_share"))
 
 
-@query(f"WITH {REPORTS}, l AS (SELECT sym, max(d) AS d FROM rep GROUP BY sym), n AS (SELECT count(*) AS n, count(CASE WHEN date_diff('day', d, DATE '1998-12-01') > 120 THEN 1 END) AS stale FROM l) SELECT unnest(['shares', 'earnings', 'book']) AS feature, n, stale FROM n")
-def feature_freshness(spark, d):
-    return panels.freshness(_reports(spark, d), ["shares", "earnings", "book"], F.lit("1998-12-01").cast("date"), 120)
-
-
 @query(f"WITH {sql.BARS}, a AS (SELECT sym, min(d) AS a, max(d) AS z FROM bars GROUP BY sym), days AS (SELECT sym, CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS d FROM a) SELECT sym, d, round(last_value(c IGNORE NULLS) OVER w, 8) AS c, round(last_value(v IGNORE NULLS) OVER w, 6) AS v FROM days LEFT JOIN bars USING (sym, d) WINDOW w AS (PARTITION BY sym ORDER BY d ROWS 3 PRECEDING)")
 def filled_calendar(spark, d):
     return _prices(panels.filled_calendar(t.bars_daily(spark, d), ["c", "v"], 3), "c")
