@@ -222,7 +222,7 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = 20, doc_id: str = "doc_id
     # every pair of a shard and a block has a key of its own
     blocks = blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(max(1, n_shards) - 1))).alias("salt"))
     each = shards.select("shard", "ids", "n", "terms", "doc", "term", "tf", F.pmod(F.xxhash64("shard"), F.lit(max(1, n_shards))).cast("int").alias("salt"))
-    pairs = each.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(1, n_blocks) - 1).cast("long")))).join(blocks, ["block", "salt"])
+    pairs = each.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(1, n_blocks) - 1).cast("long")))).join(blocks.hint("merge"), ["block", "salt"])  # their copies grow with the shards, so they are never broadcast
     found = scratch.save(pairs.drop("block", "salt", "shard").mapInArrow(_searched(k, n_docs, n_terms), _FOUND), "found")
     found = found.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
     rank = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_first("doc_id")))
