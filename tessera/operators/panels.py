@@ -10,11 +10,12 @@ from tessera.operators.asof import asof_join
 
 
 def unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    """``df`` with one row for each key; the job fails where there are more."""
+    """``df`` with one row for each key; the job fails where there are more. The check is a filter, so it runs whatever
+    columns are read."""
     rest = [c for c in df.columns if c not in keys]
     one = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(F.struct(*rest)).alias("_x"))
-    guard = F.when(F.col("_n") == 1, F.col("_x")).otherwise(F.raise_error(F.concat(F.lit("rows of one key: "), F.col("_n").cast("string"))))
-    return one.withColumn("_x", guard).select(*keys, *(F.col(f"_x.{c}").alias(c) for c in rest))
+    many = F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("rows of one key: "), F.col("_n").cast("string"))))
+    return one.where(many.cast("boolean").isNull()).select(*keys, *(F.col(f"_x.{c}").alias(c) for c in rest))
 
 
 def attach(panel: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
@@ -93,16 +94,6 @@ def missing(expected: DataFrame, actual: DataFrame, keys: list[str]) -> DataFram
     return expected.select(*keys).distinct().join(actual.select(*keys), keys, "left_anti")
 
 
-def relative(bars: DataFrame, benchmark: DataFrame, least: int = 10) -> DataFrame:
-    """Days that a symbol and the benchmark share (symbols with ``least`` of them): its close over the benchmark's, the
-    momentum over 20 and 60 of these days less the benchmark's, and both closes over their means of 50."""
-    x = bars.select("sym", "d", "c").join(benchmark.select("d", F.col("c").alias("m")), "d")
-    many = x.groupBy("sym").agg(F.count("*").alias("_n")).where(f"_n >= {least}").select("sym")
-    x = x.join(many, "sym", "left_semi")
-    gain = lambda c, n: F.try_divide(c, w.lag(c, n)) - 1
-    return x.select("sym", "d", F.try_divide("c", "m").alias("ratio"), *((gain("c", n) - gain("m", n)).alias(f"momentum_{n}") for n in (20, 60)), F.try_divide("c", w.mean(F.col("c"), 50)).alias("trend"), F.try_divide("m", w.mean(F.col("m"), 50)).alias("market_trend"))
-
-
 def option_surface(contracts: DataFrame, as_of: Column, spot: Column) -> DataFrame:
     """Per root: at-the-money volatilities of calls and puts near 30 and 60 days, the 30-day skew (put less call) and the
     term structure (60-day mean less 30-day mean; where a put is missing, the call alone)."""

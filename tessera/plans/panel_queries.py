@@ -48,13 +48,13 @@ def train_history(spark, d):
     return panels.train_history(_panel(spark, d), FEATURES)
 
 
-REPORTS = "rep AS (SELECT p_brand AS sym, CAST(date_trunc('month', l_shipdate) AS DATE) AS d, sum(l_quantity) AS shares, sum(l_extendedprice * l_discount) AS earnings, sum(l_extendedprice) AS book FROM lineitem JOIN part ON l_partkey = p_partkey WHERE month(l_shipdate) % 3 = 0 GROUP BY 1, 2)"
+REPORTS = "rep AS (SELECT p_brand AS sym, CAST(date_trunc('quarter', l_shipdate) + INTERVAL 3 MONTH AS DATE) AS d, sum(l_quantity) AS shares, sum(l_extendedprice * l_discount) AS earnings, sum(l_extendedprice) AS book FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)"
 
 
 def _reports(spark, d):
-    """What a brand sold in the last month of each quarter stands for its quarterly report."""
-    x = t.table(spark, d, "lineitem").where(F.month("l_shipdate") % 3 == 0).join(t.table(spark, d, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-    day = F.date_trunc("month", "l_shipdate").cast("date").alias("d")
+    """What a brand sold in a quarter stands for its report, known from the first day of the next quarter."""
+    x = t.table(spark, d, "lineitem").join(t.table(spark, d, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+    day = F.add_months(F.date_trunc("quarter", "l_shipdate").cast("date"), 3).alias("d")
     return x.groupBy(F.col("p_brand").alias("sym"), day).agg(F.sum("l_quantity").alias("shares"), F.sum(F.col("l_extendedprice") * F.col("l_discount")).alias("earnings"), F.sum("l_extendedprice").alias("book"))
 
 
@@ -85,14 +85,6 @@ def missing_days(spark, d):
     return panels.missing(expected, bars, ["sym", "d"])
 
 
-@query(f"""WITH {sql.BARS}, {sql.MARKET}, x AS (SELECT sym, b.d, b.c, m.c AS m FROM bars b JOIN mkt m ON b.d = m.d QUALIFY count(*) OVER (PARTITION BY sym) >= 10)
-SELECT sym, d, round(c / nullif(m, 0), 6) AS ratio, round(c / nullif(lag(c, 20) OVER s, 0) - m / nullif(lag(m, 20) OVER s, 0), 6) + 0.0 AS momentum_20, round(c / nullif(lag(c, 60) OVER s, 0) - m / nullif(lag(m, 60) OVER s, 0), 6) + 0.0 AS momentum_60,
-  round(CASE WHEN count(c) OVER w = 50 THEN c / nullif(avg(c) OVER w, 0) END, 6) AS trend, round(CASE WHEN count(m) OVER w = 50 THEN m / nullif(avg(m) OVER w, 0) END, 6) AS market_trend
-FROM x WINDOW s AS (PARTITION BY sym ORDER BY d), w AS (PARTITION BY sym ORDER BY d ROWS 49 PRECEDING)""")
-def relative_strength(spark, d):
-    return rounded(panels.relative(t.bars_daily(spark, d), t.market_daily(spark, d)))
-
-
 OPTIONS = "opt AS (SELECT p_brand AS root, DATE '2024-01-01' + CAST(p_partkey % 90 AS INTEGER) AS expiry, CASE WHEN p_size % 2 = 0 THEN 'C' ELSE 'P' END AS kind, p_retailprice AS strike, p_size / 50.0::DOUBLE AS iv FROM part)"
 _atm = lambda n: f"a{n} AS (SELECT root, kind, iv FROM opt WHERE iv > 0 AND abs(date_diff('day', DATE '2024-01-01', expiry) - {n}) <= 10 QUALIFY row_number() OVER (PARTITION BY root, kind ORDER BY abs(date_diff('day', DATE '2024-01-01', expiry) - {n}), expiry, abs(strike - 1200), strike, iv) = 1), w{n} AS (SELECT root, max(CASE WHEN kind = 'C' THEN iv END) AS call_{n}, max(CASE WHEN kind = 'P' THEN iv END) AS put_{n} FROM a{n} GROUP BY root)"
 
@@ -106,7 +98,7 @@ def option_surface(spark, d):
 
 @query("""WITH f AS (SELECT c_custkey % 40 AS k, c_custkey % 7 AS n FROM customer), s AS (SELECT CASE WHEN k = 0 THEN 'premium_restricted' WHEN k IN (1, 2) THEN 'quota_error' WHEN k = 3 THEN 'fetch_error' WHEN n = 0 THEN 'no_coverage' ELSE 'with_data' END AS status FROM f),
 x AS (SELECT count(*) AS requested, count(CASE status WHEN 'with_data' THEN 1 END) AS with_data, count(CASE status WHEN 'no_coverage' THEN 1 END) AS no_coverage, count(CASE status WHEN 'premium_restricted' THEN 1 END) AS premium_restricted, count(CASE WHEN status IN ('quota_error', 'fetch_error') THEN 1 END) AS errors FROM s)
-SELECT *, round(100 * with_data / (requested - premium_restricted)::DOUBLE, 1) AS coverage_pct, round(100 * with_data / requested::DOUBLE, 1) AS active_coverage_pct, FALSE AS passes FROM x""")
+SELECT *, round(100 * with_data / (requested - premium_restricted)::DOUBLE, 1) AS coverage_pct, round(100 * with_data / requested::DOUBLE, 1) AS active_coverage_pct, errors <= {most} AND round(100 * with_data / (requested - premium_restricted)::DOUBLE, 1) >= {floor} AS passes FROM x""")
 def fetch_summary(spark, d):
     """Answers of a vendor for each customer, as if fetched."""
     k = F.col("c_custkey") % 40
@@ -123,9 +115,11 @@ def merged_news(spark, d):
     return parsers.merged_news(e.where("id % 3 = 0"), e.where("id % 3 <> 0").withColumn("sym", F.upper("sym")))
 
 
-@query("WITH c AS (SELECT unnest(['assets', 'income']) AS concept, unnest([TRUE, FALSE]) AS instant) SELECT concept, 'CY' || y || 'Q' || q || CASE WHEN instant THEN 'I' ELSE '' END AS period FROM c, range(1994, 1999) a(y), range(1, 5) b(q)")
+@query("WITH c AS (SELECT DISTINCT p_brand AS concept, CAST(replace(p_brand, 'Brand#', '') AS BIGINT) % 2 = 0 AS instant FROM part), y AS (SELECT min(year(o_orderdate)) AS a, max(year(o_orderdate)) AS z FROM orders) SELECT concept, 'CY' || y || 'Q' || q || CASE WHEN instant THEN 'I' ELSE '' END AS period FROM c, (SELECT unnest(range(a, z + 1)) AS y FROM y), range(1, 5) b(q)")
 def fetch_plan(spark, d):
-    return parsers.fetch_plan(spark.createDataFrame([("assets", True), ("income", False)], "concept string, instant boolean"), 1994, 1998)
+    """A request for each brand and quarter of the years in which anything was ordered."""
+    concepts = t.table(spark, d, "part").select(F.col("p_brand").alias("concept"), (F.regexp_replace("p_brand", "Brand#", "").cast("long") % 2 == 0).alias("instant")).distinct()
+    return parsers.fetch_plan(concepts, t.table(spark, d, "orders").agg(F.min(F.year("o_orderdate")).alias("a"), F.max(F.year("o_orderdate")).alias("z")))
 
 
 @query("SELECT sha256(string_agg(s, ',' ORDER BY s)) AS universe_sha256, count(*) AS n FROM (SELECT DISTINCT upper(trim(p_brand)) AS s FROM part)")
