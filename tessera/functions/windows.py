@@ -95,9 +95,3 @@ def rank_top(x: Column, n: int) -> Column:
 
 def quantile(x: Column, n: int, q: float) -> Column:
     return rolled(x, n, lambda c: F.percentile(c, q))
-
-
-def compounding(x: Column, alpha: float) -> Column:
-    """Recursive exponential mean of an ordered array of doubles: the first value, then alpha * x + (1 - alpha) * last."""
-    step = lambda acc, v: F.concat(acc, F.array(F.when(F.size(acc) == 0, v).otherwise(alpha * v + (1 - alpha) * F.element_at(acc, -1))))
-    return F.aggregate(x, F.array().cast("array<double>"), step)

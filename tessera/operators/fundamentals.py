@@ -50,15 +50,15 @@ def used_early(daily: DataFrame, concepts: list[str]) -> DataFrame:
     return daily.agg(F.count(F.when(early, 1)).alias("used_before_known"))
 
 
-def coverage(df: DataFrame, features: list[str], universe: int) -> DataFrame:
-    """Long report of the last day: known values over the universe, over the day's symbols, over symbols ever seen."""
+def coverage(df: DataFrame, features: list[str], universe: DataFrame) -> DataFrame:
+    """Long report of the last day: known values over the symbols of the universe, over the day's symbols, over symbols ever seen."""
     last = df.agg(F.max("d").alias("last"))
     today = df.join(F.broadcast(last), F.col("d") == F.col("last"))
     ever = df.select("sym").distinct().agg(F.count("*").alias("ever"))
-    one = today.agg(F.count("*").alias("n_today"), *(F.count(c).alias(c) for c in features)).join(F.broadcast(ever), F.lit(True))
+    one = today.agg(F.count("*").alias("n_today"), *(F.count(c).alias(c) for c in features)).join(F.broadcast(ever), F.lit(True)).join(F.broadcast(universe.agg(F.countDistinct("sym").alias("universe"))), F.lit(True))  # one row each
     rows = F.explode(F.array(*(F.struct(F.lit(c).alias("feature"), F.col(c).alias("n")) for c in features)))
     ratio = lambda den: F.try_divide(F.col("n").cast("double"), den)
-    return one.select("n_today", "ever", rows.alias("x")).select("x.*", "n_today", "ever").select("feature", "n", (F.col("n") / F.lit(float(universe))).alias("of_universe"), ratio(F.col("n_today")).alias("of_today"), ratio(F.col("ever")).alias("of_ever"))
+    return one.select("n_today", "ever", "universe", rows.alias("x")).select("x.*", "n_today", "ever", "universe").select("feature", "n", ratio(F.col("universe")).alias("of_universe"), ratio(F.col("n_today")).alias("of_today"), ratio(F.col("ever")).alias("of_ever"))
 
 
 def derive_fourth(quarters: DataFrame, annual: DataFrame) -> DataFrame:

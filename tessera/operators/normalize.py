@@ -28,29 +28,24 @@ def percent_rank_average(df: DataFrame, column: str, out: str) -> DataFrame:
 def train_clip_z(df: DataFrame, columns: list[str], train: Column, tails: float = 0.001, most: float = 5.0) -> DataFrame:
     """Clips to the training quantiles, standardises by the clipped training mean and deviation, null to 0, clips to
     +-most. Two aggregates of one row each; they meet the panel by a broadcast of that row."""
-    t = df.where(train)
-    bounds = t.agg(*(F.percentile(c, q).alias(f"{k}_{c}") for c in columns for k, q in (("lo", tails), ("hi", 1 - tails)))).first()
+    lo, hi, mean, sd = ({c: f"_{k}_{c}" for c in columns} for k in ("lo", "hi", "mean", "sd"))
+    bounds = df.where(train).agg(*(F.percentile(c, q).alias(f"_{k}_{c}") for c in columns for k, q in (("lo", tails), ("hi", 1 - tails))))
 
-    def clipped(c: str) -> Column:
-        lo, hi = bounds[f"lo_{c}"], bounds[f"hi_{c}"]
-        usable = lo is not None and hi is not None and hi > lo
-        return F.when(F.col(c).isNotNull(), F.least(F.greatest(c, F.lit(lo)), F.lit(hi))) if usable else F.col(c)
+    def clipped(x: DataFrame) -> DataFrame:
+        x = x.join(F.broadcast(bounds), F.lit(True))  # one row
+        inside = {c: F.when((F.col(hi[c]) > F.col(lo[c])) & F.col(c).isNotNull(), F.least(F.greatest(c, lo[c]), hi[c])).otherwise(F.col(c)) for c in columns}
+        return x.withColumns(inside).select(*df.columns)
 
-    stats = t.select(*(clipped(c).alias(c) for c in columns)).agg(*(f(c).alias(f"{k}_{c}") for c in columns for k, f in (("mean", F.avg), ("sd", F.stddev_samp)))).first()
-
-    def z(c: str) -> Column:
-        mean, sd = stats[f"mean_{c}"], stats[f"sd_{c}"]
-        x = clipped(c) - F.lit(mean)
-        x = x / F.lit(sd) if sd is not None and sd > 1e-9 else x
-        return F.least(F.greatest(F.coalesce(x, F.lit(0.0)), F.lit(-most)), F.lit(most))
-
-    return df.withColumns({c: z(c) for c in columns})
+    stats = clipped(df.where(train)).agg(*(f(c).alias(f"_{k}_{c}") for c in columns for k, f in (("mean", F.avg), ("sd", F.stddev_samp))))
+    out = clipped(df).join(F.broadcast(stats), F.lit(True))
+    z = lambda c: (F.col(c) - F.col(mean[c])) / F.when(F.col(sd[c]) > 1e-9, F.col(sd[c])).otherwise(1.0)
+    return out.withColumns({c: F.least(F.greatest(F.coalesce(z(c), F.lit(0.0)), F.lit(-most)), F.lit(most)) for c in columns}).select(*df.columns)
 
 
 def robust_z(df: DataFrame, column: str, train: Column, out: str, most: float = 3.0) -> DataFrame:
-    """(x - median) / (1.4826 MAD) with both from the training rows; null to 0."""
-    med = df.where(train).agg(F.median(column)).first()[0]
-    mad = df.where(train).agg(F.median(F.abs(F.col(column) - F.lit(med)))).first()[0]
-    scale = max(1.4826 * (mad or 0.0), 1e-9)
-    x = (F.col(column) - F.lit(med)) / F.lit(scale)
-    return df.withColumn(out, F.least(F.greatest(F.coalesce(x, F.lit(0.0)), F.lit(-most)), F.lit(most)))
+    """(x - median) / (1.4826 MAD) with both from the training rows, as one-row tables that are joined; null to 0."""
+    med = F.broadcast(df.where(train).agg(F.median(column).alias("_med")))
+    mad = F.broadcast(df.where(train).join(med, F.lit(True)).agg(F.median(F.abs(F.col(column) - F.col("_med"))).alias("_mad")))
+    x = df.join(med, F.lit(True)).join(mad, F.lit(True))
+    z = (F.col(column) - F.col("_med")) / F.greatest(1.4826 * F.coalesce("_mad", F.lit(0.0)), F.lit(1e-9))
+    return x.withColumn(out, F.least(F.greatest(F.coalesce(z, F.lit(0.0)), F.lit(-most)), F.lit(most))).drop("_med", "_mad")

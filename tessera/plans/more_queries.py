@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import scalars
 from tessera.functions import windows as w
+from tessera.operators import asof
 from tessera.operators import bars as b
 from tessera.operators import events, factors, fundamentals, revisions, screen, splits, technical
 from tessera.plans import sql
@@ -35,9 +36,9 @@ def _wide(spark, d):
 
 def _calendar(spark, d):
     """Every user on every day of the events: a few thousand users by thirty days, made by exploding the array of days."""
-    days = t.table(spark, d, "events").agg(F.min(F.to_date("ts")).alias("a"), F.max(F.to_date("ts")).alias("z")).first()
+    days = t.table(spark, d, "events").agg(F.sequence(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).alias("days"))  # one row
     users = t.table(spark, d, "events").select(F.col("user_id").alias("sym")).distinct()
-    return users.select("sym", F.explode(F.sequence(F.lit(days["a"]), F.lit(days["z"]))).alias("d"))
+    return users.join(F.broadcast(days), F.lit(True)).select("sym", F.explode("days").alias("d"))
 
 
 @query(f"WITH {FACTS} SELECT sym, period_end, {_listed}, available, 'filed' AS source FROM wide")
@@ -57,12 +58,15 @@ def safe_ratio_coalesce(spark, d):
     return rounded(_wide(spark, d).select("sym", "period_end", scalars.safe_ratio(c("c1"), c("c2"), 10).alias("ratio"), value.alias("value"), tag.alias("tag"), scalars.guard(c("c3"), 5).alias("guarded")))
 
 
-@query(f"WITH {FACTS}, n AS (SELECT count(*) AS n_today FROM wide WHERE period_end = (SELECT max(period_end) FROM wide)), e AS (SELECT count(DISTINCT sym) AS ever FROM wide), f AS (SELECT unnest({CONCEPTS}) AS feature), k AS (SELECT feature, count(CASE feature {" ".join(f"WHEN '{c}' THEN {c}" for c in CONCEPTS)} END) AS n FROM f, wide WHERE period_end = (SELECT max(period_end) FROM wide) GROUP BY feature) SELECT feature, n, round(n / 200.0, 6) AS of_universe, round(n / n_today::DOUBLE, 6) AS of_today, round(n / ever::DOUBLE, 6) AS of_ever FROM k, n, e")
+@query(f"WITH {FACTS}, n AS (SELECT count(*) AS n_today FROM wide WHERE period_end = (SELECT max(period_end) FROM wide)), e AS (SELECT count(DISTINCT sym) AS ever FROM wide), f AS (SELECT unnest({CONCEPTS}) AS feature), k AS (SELECT feature, count(CASE feature {" ".join(f"WHEN '{c}' THEN {c}" for c in CONCEPTS)} END) AS n FROM f, wide WHERE period_end = (SELECT max(period_end) FROM wide) GROUP BY feature) SELECT feature, n, round(n / (SELECT count(DISTINCT c_custkey % 200) FROM customer)::DOUBLE, 6) AS of_universe, round(n / n_today::DOUBLE, 6) AS of_today, round(n / ever::DOUBLE, 6) AS of_ever FROM k, n, e")
 def coverage_report(spark, d):
-    return rounded(fundamentals.coverage(_wide(spark, d).withColumnRenamed("period_end", "d"), CONCEPTS, 200))
+    return rounded(fundamentals.coverage(_wide(spark, d).withColumnRenamed("period_end", "d"), CONCEPTS, t.table(spark, d, "customer").select((F.col("c_custkey") % 200).alias("sym"))))
 
 
-@query(f"WITH {FACTS}, {CARRIED} SELECT count(CASE WHEN available > available THEN 1 END) AS used_before_known, count(CASE WHEN period_end > available THEN 1 END) AS known_before_end, count(*) AS n_rows FROM carried")
+_DAYS = "days AS (SELECT DISTINCT user_id AS sym, CAST(unnest(generate_series((SELECT min(ts)::DATE FROM events), (SELECT max(ts)::DATE FROM events), INTERVAL 1 DAY)) AS DATE) AS d FROM events)"
+
+
+@query(f"WITH {FACTS}, {CARRIED}, {_DAYS}, j AS (SELECT x.d, c.available FROM days x ASOF LEFT JOIN carried c ON x.sym = c.sym AND x.d >= c.available) SELECT (SELECT count(CASE WHEN available > d THEN 1 END) FROM j) AS used_before_known, count(CASE WHEN period_end > available THEN 1 END) AS known_before_end, count(*) AS n_rows FROM carried")
 def pit_violations(spark, d):
     """Use is checked on every day of the daily panel, in which each value has the day it became available; the rest on
     the carried rows."""
@@ -72,6 +76,13 @@ def pit_violations(spark, d):
     return used.crossJoin(rest)
 
 
+@query(f"WITH {FACTS}, {_DAYS}, j AS (SELECT x.d, w.period_end, w.available FROM days x ASOF LEFT JOIN wide w ON x.sym = w.sym AND x.d >= w.period_end) SELECT count(CASE WHEN available > d THEN 1 END) AS used_before_known, count(CASE WHEN period_end > available THEN 1 END) AS known_before_end, count(*) AS n_rows FROM j")
+def pit_violations_naive(spark, d):
+    """What the check counts on a panel that takes values from their period on, before they were filed."""
+    naive = asof.asof_join(_calendar(spark, d), _wide(spark, d).select("sym", F.col("period_end").alias("d"), "period_end", "available"))
+    return fundamentals.point_in_time_violations(naive)
+
+
 # ---- events
 EARN = """avgp AS (SELECT avg(o_totalprice) AS m FROM orders), earn AS (SELECT o_custkey AS sym, CAST(o_orderdate AS DATE) AS d, max(o_totalprice) / m - 1 AS surprise FROM orders, avgp GROUP BY 1, 2, m)"""
 PANEL = "panel AS (SELECT DISTINCT sym, d + k AS d FROM earn, (VALUES (0), (1), (30), (70)) v(k))"
@@ -79,8 +90,9 @@ PANEL = "panel AS (SELECT DISTINCT sym, d + k AS d FROM earn, (VALUES (0), (1),
 
 def _earn(spark, d):
     o = t.table(spark, d, "orders")
-    mean = o.agg(F.avg("o_totalprice")).first()[0]
-    return o.groupBy(F.col("o_custkey").alias("sym"), F.col("o_orderdate").cast("date").alias("d")).agg((F.max("o_totalprice") / F.lit(mean) - 1).alias("surprise"))
+    most = o.groupBy(F.col("o_custkey").alias("sym"), F.col("o_orderdate").cast("date").alias("d")).agg(F.max("o_totalprice").alias("x"))
+    mean = F.broadcast(o.agg(F.avg("o_totalprice").alias("m")))  # one row
+    return most.join(mean, F.lit(True)).select("sym", "d", (F.col("x") / F.col("m") - 1).alias("surprise"))
 
 
 def _panel(spark, d):
@@ -224,10 +236,15 @@ def ingestion_watermark(spark, d):
     return t.watermark(t.bars_daily(spark, d))
 
 
-@query(f"WITH {sql.BARS} SELECT sym, count(*) AS n, count(CASE WHEN abs(c - o) / ((c + o) / 2) > 0.05 THEN 1 END) AS n_off, round(max(abs(c - o) / ((c + o) / 2)), 6) AS worst FROM bars GROUP BY sym")
+_mean_px = lambda status: f"(SELECT p_brand AS sym, CAST(l_shipdate AS DATE) AS d, avg(l_extendedprice / nullif(l_quantity, 0)) AS c FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linestatus = '{status}' GROUP BY 1, 2)"
+
+
+@query(f"WITH a AS {_mean_px('O')}, b AS {_mean_px('F')}, x AS (SELECT sym, abs(a.c - b.c) / ((a.c + b.c) / 2) AS off FROM a JOIN b USING (sym, d)) SELECT sym, count(*) AS n, count(CASE WHEN off > 0.05 THEN 1 END) AS n_off, round(max(off), 6) AS worst FROM x GROUP BY sym")
 def source_parity(spark, d):
-    bars = t.bars_daily(spark, d)
-    return rounded(b.parity(bars, bars.select("sym", "d", F.col("o").alias("c")), 0.05))
+    """Open and finished lines as two sources of the same brands' prices."""
+    x = t.table(spark, d, "lineitem").join(t.table(spark, d, "part").select("p_partkey", F.col("p_brand").alias("sym")), F.col("l_partkey") == F.col("p_partkey"))
+    of = lambda status: x.where(F.col("l_linestatus") == status).groupBy("sym", F.to_date("l_shipdate").alias("d")).agg(F.avg(F.try_divide("l_extendedprice", "l_quantity")).alias("c"))
+    return rounded(b.parity(of("O"), of("F"), 0.05))
 
 
 _row = " || '|' || ".join(["CAST(d AS VARCHAR)", *(f"CAST(CAST(round({c} * 1000) AS BIGINT) AS VARCHAR)" for c in "ohlcv")])
@@ -337,3 +354,42 @@ SELECT sym, as_of, fiscal_end, eps, eps_lag, round((eps - eps_lag) / nullif(abs(
   CASE WHEN fiscal_end IS NULL THEN 'no_fy1' WHEN lag_snap IS NULL THEN 'no_lag_snapshot' WHEN eps_lag IS NULL THEN 'no_fy1_row_at_lag' WHEN eps_lag = 0 THEN 'zero_denominator' WHEN n_up + n_down = 0 THEN 'no_update_in_window' END AS reason, usable_from FROM k""")
 def estimate_revisions(spark, d):
     return rounded(revisions.revisions(_snaps(spark, d)))
+
+
+# ---- stores and lags
+@query("SELECT sym, d, price, seq FROM (SELECT o_custkey AS sym, CAST(o_orderdate AS DATE) AS d, o_totalprice AS price, o_orderkey AS seq FROM orders) WHERE d BETWEEN DATE '1995-02-01' AND DATE '1996-03-31' QUALIFY row_number() OVER (PARTITION BY sym, d ORDER BY seq DESC, price DESC) = 1")
+def load_range(spark, d):
+    o = t.table(spark, d, "orders").select(F.col("o_custkey").alias("sym"), F.to_date("o_orderdate").alias("d"), F.col("o_totalprice").alias("price"), F.col("o_orderkey").alias("seq"))
+    return t.load_range(o, "1995-02-01", "1996-03-31")
+
+
+@query(f"WITH {sql.BARS} SELECT sym, min(d) AS first, max(d) AS last, min(d) <= DATE '1992-01-10' AND max(d) >= DATE '1998-11-25' AS fresh FROM bars GROUP BY sym")
+def stored_range(spark, d):
+    return t.freshness(t.bars_daily(spark, d), "1992-01-10", "1998-11-25")
+
+
+@query(f"WITH {sql.BARS}, cal AS (SELECT sym, d FROM bars), rel AS (SELECT sym, d, c AS x FROM bars WHERE day(d) <= 7), j AS (SELECT c.sym, c.d, r.x FROM cal c ASOF LEFT JOIN rel r ON r.sym = c.sym AND c.d >= r.d) SELECT sym, d, round(lag(x, 3) OVER (PARTITION BY sym ORDER BY d), 8) AS x FROM j")
+def release_lag(spark, d):
+    """Closes of each month's first week as releases, on all bar days, three rows later."""
+    bars = t.bars_daily(spark, d)
+    x = factors.lagged_onto(bars.select("sym", "d"), bars.where(F.dayofmonth("d") <= 7).select("sym", "d", F.col("c").alias("x")), 3)
+    return x.withColumn("x", F.round("x", 8))
+
+
+@query(f"WITH {FACTS} SELECT sym, period_end, {_listed}, available, 'filed' AS source FROM wide WHERE {' + '.join(f'CASE WHEN {c} IS NULL THEN 0 ELSE 1 END' for c in CONCEPTS)} >= 0.6 * {len(CONCEPTS)}")
+def row_coverage(spark, d):
+    return screen.row_coverage(_wide(spark, d), CONCEPTS, 0.6)
+
+
+@query("WITH u AS (SELECT DISTINCT c_custkey AS sym FROM customer), s AS (SELECT 'orders' AS source, o_custkey AS sym, max(CAST(o_orderdate AS DATE)) AS last FROM orders GROUP BY ALL UNION ALL SELECT 'events', user_id, max(CAST(ts AS DATE)) FROM events GROUP BY ALL) SELECT source, count(*) AS n, round(count(*) / (SELECT count(*) FROM u)::DOUBLE, 6) AS share, max(last) AS last FROM s JOIN u USING (sym) GROUP BY source")
+def source_coverage(spark, d):
+    o = t.table(spark, d, "orders").select(F.col("o_custkey").alias("sym"), F.to_date("o_orderdate").alias("d"))
+    e = t.table(spark, d, "events").select(F.col("user_id").alias("sym"), F.to_date("ts").alias("d"))
+    return rounded(screen.source_coverage(t.table(spark, d, "customer").select(F.col("c_custkey").alias("sym")), orders=o, events=e))
+
+
+@query("SELECT event_type AS sym, date_trunc('hour', ts) + INTERVAL 1 HOUR AS bar_close, count(*) AS n FROM events WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= TIMESTAMP '2024-01-20' GROUP BY ALL")
+def eligible_bars(spark, d):
+    """Hour bars that have closed by a session's midnight, that midnight included."""
+    x = t.table(spark, d, "events").groupBy(F.col("event_type").alias("sym"), (F.date_trunc("hour", "ts") + F.expr("INTERVAL 1 HOUR")).alias("bar_close")).agg(F.count("*").alias("n"))
+    return b.eligible(x, "2024-01-20")
