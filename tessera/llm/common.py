@@ -276,9 +276,11 @@ def _jumped(parent: DataFrame) -> DataFrame:
 
 
 def stored(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``docs`` as a table whose files know their rows: a plain scan stays as it is, anything else is written first."""
-    kind = docs._jdf.queryExecution().analyzed().getClass().getSimpleName()
-    return docs if kind == "LogicalRelation" and "_metadata" not in docs.columns else scratch.save(docs, "stored")
+    """``docs`` as a table whose files know their rows: a plain scan of Parquet stays as it is, anything else (a scan of another
+    format as well, which numbers no rows) is written first."""
+    plan = docs._jdf.queryExecution().analyzed()
+    scan = plan.getClass().getSimpleName() == "LogicalRelation" and plan.relation().getClass().getSimpleName() == "HadoopFsRelation" and plan.relation().fileFormat().toString() == "Parquet"
+    return docs if scan and "_metadata" not in docs.columns else scratch.save(docs, "stored")
 
 
 def row_key(docs: DataFrame) -> list[Column]:

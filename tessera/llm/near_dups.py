@@ -259,7 +259,8 @@ def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     one = groups(docs, width, percent).where("doc_id is null or doc_id = component_id")
     columns = docs.columns
     text_hash, row_hash, kept, best = unused(columns, "text_hash", "row_hash", "kept", "best")
-    plain = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    odd = [c for c, kind in docs.dtypes if "map<" in kind or "variant" in kind]  # these have no hash, but a text
+    plain = [F.col(c) for c in columns if c not in odd] + [F.to_json(F.struct(F.col(c))) for c in odd]
     hashed = docs.where(docs["doc_id"].isNotNull()).withColumns({text_hash: F.xxhash64("text"), row_hash: F.xxhash64(*plain)})
     first = hashed.groupBy(F.col("doc_id").alias(kept)).agg(F.min(F.struct(text_hash, row_hash)).alias(best))
     first = first.join(one.where("doc_id is not null").select(F.col("doc_id").alias(kept)).distinct(), kept)

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents, texts
+from tessera.llm.common import documents, texts, unused
 
 #: Bounds of the labelled sample, for each class.
 ROWS, BYTES = {1: 1500, 0: 3000}, 12_000_000
@@ -142,8 +142,8 @@ def sample(docs: DataFrame, labels: DataFrame) -> list[tuple[bytes, int]]:
     return out
 
 
-def score(docs: DataFrame, model: dict, keep: list[str] | None = None) -> DataFrame:
-    """Every row's columns ``keep`` and its score."""
+def score(docs: DataFrame, model: dict, keep: list[str] | None = None, name: str = SCORE) -> DataFrame:
+    """Every row's columns ``keep`` and its score, in a column ``name`` that must not be one of them."""
     keep = keep or ["doc_id"]
     fields = [f for f in docs.schema.fields if f.name in keep]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of fixed size
@@ -157,18 +157,19 @@ def score(docs: DataFrame, model: dict, keep: list[str] | None = None) -> DataFr
         for batch in batches:
             x = [_SCORERS[key].features(t) if m["base"] else (0.0, 0.0, 0.0) for t in texts(batch)]
             p = 1 / (1 + np.exp(-np.clip(_design(np.array(x)) @ np.array(m["w"]), -30, 30)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(p)], [*(f.name for f in fields), SCORE])
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(p)], [*(f.name for f in fields), name])
 
     from pyspark.sql.types import DoubleType, StructField, StructType
 
     names = [f.name for f in fields]
-    return docs.select(*dict.fromkeys([*names, "text"])).mapInArrow(run, StructType([*fields, StructField(SCORE, DoubleType())]))
+    return docs.select(*dict.fromkeys([*names, "text"])).mapInArrow(run, StructType([*fields, StructField(name, DoubleType())]))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents (all columns that the table of documents has) that score below the threshold."""
     columns = docs.columns
-    return score(docs, fit(sample(docs, labels)), columns).where(F.col(SCORE) < threshold).select(*columns)
+    (name,) = unused(columns, SCORE)
+    return score(docs, fit(sample(docs, labels)), columns, name).where(F.col(name) < threshold).select(*columns)
 
 
 def op5_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
