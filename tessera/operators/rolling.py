@@ -49,7 +49,7 @@ def shape(serve: bool = False) -> dict[str, Column]:
     }
 
 
-def _prepared(bars: DataFrame, serve: bool) -> DataFrame:
+def prepared(bars: DataFrame, serve: bool = False) -> DataFrame:
     """Adds what all windows share: row number, changes, returns, log volumes and the volume to divide by."""
     c, v, c1, v1 = F.col("c"), F.col("v").cast("double"), w.lag("c"), w.lag(F.col("v").cast("double"))
     held = F.when(v > 0, v) if serve else v
@@ -72,7 +72,7 @@ def _prepared(bars: DataFrame, serve: bool) -> DataFrame:
 
 
 def family(n: int, serve: bool = False, only: set[str] | None = None) -> dict[str, Column]:
-    """The families over n rows, from the columns that _prepared adds."""
+    """The families over n rows, from the columns that prepared() adds."""
     o = {x: F.col(x) for x in ("h", "l", "c", "v", "t", "up", "down", "dc", "dv", "ret", "rc", "lv", "lrv", "vs")}
     c, div = o["c"], F.try_divide
     full = lambda x: F.when(F.count("c").over(w.last_rows(n)) == n, x)
@@ -124,5 +124,5 @@ def features(bars: DataFrame, grain: str = "train", only: set[str] | None = None
     """sym, d and the features of every bar (``only`` some of the families). One shuffle and one sort by symbol."""
     serve = grain == "serve"
     cols = (shape(serve) if only is None else {}) | {k: x for n in sizes for k, x in family(n, serve, only).items()}
-    out = _prepared(bars, serve).select("sym", "d", "t", *(x.alias(k) for k, x in cols.items()))
+    out = prepared(bars, serve).select("sym", "d", "t", *(x.alias(k) for k, x in cols.items()))
     return (out.where(F.col("t") > WARM_UP) if serve else out).drop("t")

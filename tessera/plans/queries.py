@@ -63,9 +63,14 @@ for _name, _only, _sizes in (
     query(sql.rolling(_only, _sizes), _name)(lambda spark, d, only=_only, sizes=_sizes: rounded(rolling.features(t.bars_daily(spark, d), only=only, sizes=sizes), bump=1e-9))
 
 
-@query()
+_SHAPE = {"KMID": "(c - o) / o", "KLEN": "(h - l) / o", "KMID2": "(c - o) / span", "KUP": "(h - top) / o", "KUP2": "(h - top) / span", "KLOW": "(bottom - l) / o", "KLOW2": "(bottom - l) / span", "KSFT": "(2 * c - h - l) / o", "KSFT2": "(2 * c - h - l) / span", "OPEN0": "o / c", "HIGH0": "h / c", "LOW0": "l / c", "VWAP0": "(o + h + l + c) / 4 / c"}
+ALL_158 = [*((x, k) for k, x in _SHAPE.items()), *((x, f"{k}{n}") for n in rolling.WINDOWS for k, x in sql.family(n).items())]
+SHAPED = "qs AS (SELECT *, h - l + 1e-12 AS span, greatest(o, c) AS top, least(o, c) AS bottom FROM q)"
+
+
+@query(f"WITH {sql.BARS}, {sql.PREPARED}, {SHAPED} SELECT sym, d, {', '.join(f'round({x} + 1e-9, 6) + 0.0 AS {k}' for x, k in ALL_158)} FROM qs {sql.windows(rolling.WINDOWS)}")
 def features_158_train(spark, d):
-    return rounded(rolling.features(t.bars_daily(spark, d)))
+    return rounded(rolling.features(t.bars_daily(spark, d)), bump=1e-9)
 
 
 @query()
