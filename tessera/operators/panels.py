@@ -9,18 +9,29 @@ from tessera.functions import windows as w
 from tessera.operators.asof import asof_join
 
 
+def _counted(df: DataFrame, keys: list[str]) -> DataFrame:
+    rest = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.count("*").alias("_copies"), F.min(F.struct(*rest)).alias("_row"))
+
+
+def _once(df: DataFrame) -> DataFrame:
+    """The job fails where a key has copies. The check is a filter over the counts, so neither its columns nor the join that
+    brought them can be pruned, whatever is read afterwards."""
+    many = F.when(F.col("_copies") > 1, F.raise_error(F.concat(F.lit("rows of one key: "), F.col("_copies").cast("string"))))
+    return df.where(many.cast("boolean").isNull())
+
+
 def unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    """``df`` with one row for each key; the job fails where there are more. The check is a filter, so it runs whatever
-    columns are read."""
+    """``df`` with one row for each key; the job fails where there are more."""
     rest = [c for c in df.columns if c not in keys]
-    one = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(F.struct(*rest)).alias("_x"))
-    many = F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("rows of one key: "), F.col("_n").cast("string"))))
-    return one.where(many.cast("boolean").isNull()).select(*keys, *(F.col(f"_x.{c}").alias(c) for c in rest))
+    return _once(_counted(df, keys)).select(*keys, *(F.col(f"_row.{c}").alias(c) for c in rest))
 
 
 def attach(panel: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join that can't change the panel's rows: ``other`` must have one row for each key."""
-    return panel.join(unique(other, keys), keys, "left")
+    """Left join that can't change the panel's rows: ``other`` must have one row for each key that the panel has."""
+    rest = [c for c in other.columns if c not in keys]
+    x = _once(panel.join(_counted(other, keys), keys, "left"))
+    return x.select(*panel.columns, *(F.col(f"_row.{c}").alias(c) for c in rest))
 
 
 def split_labels(panel: DataFrame, splits: DataFrame) -> DataFrame:
