@@ -16,7 +16,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ S_END, BLANK_LAST, BLANK_MORE, SPACE_LAST, SPACE_MORE, S_LETTER, S_DIGIT, S_OTHE
 #: States: nothing open, within white space, a blank that the next piece takes, a run of one class, characters left of a suffix.
 FRESH, WITHIN, TAKEN, IN_LETTERS, IN_DIGITS, IN_OTHER, LEFT_1, LEFT_2 = range(8)
 #: Characters that are scanned together at most, but for a longer text, which is one block.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 
 @cache
@@ -138,7 +138,7 @@ class Coder:
 
     #: Pieces, and bytes of pieces, that are kept at most; the cache then starts anew, which bounds a worker's memory. Longer
     #: pieces than LONG bytes are merged one by one. None of these changes a result.
-    MOST, HELD, LONG = 1_000_000, 32 << 20, 64
+    MOST, HELD, LONG = 400_000, 16 << 20, 64
 
     def __init__(self, path: str):
         with open(path, "rb") as lines:
@@ -150,19 +150,27 @@ class Coder:
         self.length = np.fromiter(map(len, tokens), np.int64, size)
         self.begin, self.bytes = offsets(self.length)[:-1], np.frombuffer(b"".join(tokens), np.uint8)
         self.single = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
-        pairs = sorted((ranks[t[:i]] * size + ranks[t[i:]], k) for t, k in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks)
-        self.pairs, self.joint = (np.array([x[i] for x in pairs] + [last], np.int64) for i, last in enumerate((size * size, size)))
         self.clear()
 
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted numbers of all pairs of ids whose bytes together are a token, and these tokens' ids; decoding needs none."""
+        ranks, size = self.ranks, self.size
+        both = np.fromiter((x for t, k in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks for x in (ranks[t[:i]] * size + ranks[t[i:]], k)), np.int64)
+        key, joint = both[::2], both[1::2]
+        order = np.argsort(key)
+        return np.append(key[order], size * size), np.append(joint[order], size)
+
     def clear(self) -> None:
         self.at, self.used, self.kept, self.held = Numbers(), 0, 0, 0
         self.start, self.count, self.ids = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), np.zeros(1 << 14, np.int32)
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The id of two ids' bytes together, or ``size`` where there is none."""
+        pairs, joint = self.pairs
         key = a * self.size + b
-        at = np.searchsorted(self.pairs, key)
-        return np.where(self.pairs[at] == key, self.joint[at], self.size)
+        at = np.searchsorted(pairs, key)
+        return np.where(pairs[at] == key, joint[at], self.size)
 
     def merged(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the pieces, and the number of each one's: in a piece the pair of the lowest id is merged first, the
