@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.operators import equity, rolling
+from tessera.operators import equity, factors, rolling
 from tessera.plans import feed_queries, sql
-from tessera.plans.queries import ALL_158, SHAPED, query
+from tessera.plans.queries import ALL_158, SHAPED, query, rounded
 from tessera.sources import tables as t
 
 _names = [*rolling.feature_names(), *equity.FACTORS]
@@ -41,6 +41,12 @@ def equity_alpha_panel(spark, d):
     return x.withColumns({c: F.round(F.col(c) + 1e-7, 4) + 0.0 for c in [*_names, *equity.LABELS]})
 
 
+@query(f"WITH {sql.BARS}, {sql.MARKET}, {FACTORS} SELECT sym, d, round(idio_vol_market + 1e-9, 6) AS idio_vol FROM idio")
+def residual_volatility(spark, d):
+    x = factors.size_z(factors.with_market(t.bars_daily(spark, d), t.market_daily(spark, d)))
+    return rounded(x.select("sym", "d", factors.residual_deviation().alias("idio_vol")), bump=1e-9)
+
+
 # ---- with fundamentals, events and sentiment
 _sym = "'BRAND#' || (o_custkey % 25 + 1)"
 _med = lambda c: f"coalesce({c}, median({c}) OVER x, 0)"

@@ -196,12 +196,6 @@ def market_factors(spark, d):
     return rounded(x.select("sym", "d", factors.momentum().alias("mom_12_1"), factors.market_beta().alias("beta"), factors.variance().alias("variance"), F.col("z").alias("size_z"), factors.macro_beta().alias("beta_prior")))
 
 
-@query()
-def residual_volatility(spark, d):
-    x = factors.size_z(factors.with_market(t.bars_daily(spark, d), t.market_daily(spark, d)))
-    return rounded(x.select("sym", "d", factors.residual_deviation().alias("idio_vol")))
-
-
 _rz = lambda x: f"CASE WHEN count({x}) OVER w >= 15 THEN ({x} - avg({x}) OVER w) / nullif(stddev_samp({x}) OVER w, 0) END"
 
 

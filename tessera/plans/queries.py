@@ -73,9 +73,25 @@ def features_158_train(spark, d):
     return rounded(rolling.features(t.bars_daily(spark, d)), bump=1e-9)
 
 
-@query()
+def _serve(x: str, name: str) -> str:
+    """A feature in the serving grain: ties take the highest rank, constant legs give 0, as do bars without a price."""
+    kind = name.rstrip("0123456789")
+    n = int(name[len(kind) :] or 0)
+    full = lambda y: sql.gated(y, "c", n)
+    if kind == "RANK":
+        return full(f"len(list_filter(list(c) OVER w{n}, lambda y: y <= c)) / {float(n)}")
+    if kind in ("CORR", "CORD"):
+        return f"coalesce({x}, {full('0.0')})"
+    zero = next((k for k in "oc" if name in _SHAPE and x.endswith(f"/ {k}")), None)
+    return f"CASE WHEN {zero} = 0 THEN 0 ELSE {x} END" if zero else x
+
+
+_PREPARED = sql.PREPARED.replace("avg(v) OVER (s ROWS 19 PRECEDING)", "avg(CASE WHEN v > 0 THEN v END) OVER (s ROWS 19 PRECEDING)").replace("ln(v + 1)", "ln(greatest(v, 0) + 1)")
+
+
+@query(f"WITH {sql.BARS}, {_PREPARED}, {SHAPED}, f AS (SELECT sym, d, t, {', '.join(f'round({_serve(x, k)} + 1e-9, 6) + 0.0 AS {k}' for x, k in ALL_158)} FROM qs {sql.windows(rolling.WINDOWS)}) SELECT * EXCLUDE (t) FROM f WHERE t > 69")
 def features_158_serve(spark, d):
-    return rounded(rolling.features(t.bars_daily(spark, d), "serve"))
+    return rounded(rolling.features(t.bars_daily(spark, d), "serve"), bump=1e-9)
 
 
 _rank = sql.gated("len(list_filter(list(c) OVER w20, lambda y: y <= c)) / 20.0", "c", 20)
