@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -69,6 +71,22 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def tidied(run):
+    """``run``, a function for mapInArrow, that gives what its task has freed back to the system at the end. Workers live on for
+    other stages, and Arrow's pool and the allocator would keep it there."""
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # another system's library may lack it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return task
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -214,7 +232,7 @@ def slot_counts(df: DataFrame, bits: int, slots) -> np.ndarray:
         code = np.where(out < 2048, out, 2048 + 1024 * np.log2(np.maximum(out, 2048) / 2048))
         return pd.DataFrame({"block": [key[0]], "n": [code.astype(np.uint16).tobytes()]})
 
-    rows = df.mapInArrow(part, "block int, slot binary, n binary").groupBy("block").applyInPandas(summed, "block int, n binary").collect()
+    rows = df.mapInArrow(tidied(part), "block int, slot binary, n binary").groupBy("block").applyInPandas(summed, "block int, n binary").collect()
     table = np.zeros(1 << bits, np.uint16)
     for r in rows:
         table[r["block"] << per : (r["block"] + 1) << per] = np.frombuffer(r["n"], np.uint16)

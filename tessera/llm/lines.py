@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, blocks, documents, maybe_among, mixed, offsets, ragged, row_key, slot_counts, stored, texts, unused, words
+from tessera.llm.common import Scratch, blocks, documents, maybe_among, mixed, offsets, ragged, row_key, slot_counts, stored, texts, tidied, unused, words
 
 SLOT_BITS, FEW, HOT, LEAD = 24, 8, 1024, 64
 _KEYED = "id long, f long, r long"
@@ -87,7 +87,7 @@ def _heads(keyed: DataFrame) -> DataFrame:
             d2[later] = mixed(d2[later].view(np.uint64) ^ (key["r"][later] << 20 | line[later]).astype(np.uint64)).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (*key.values(), line.astype(np.int32), n, d1, d2)), held], ["id", "f", "r", "line", "n", "d1", "d2", "h"])
 
-    return keyed.mapInArrow(run, f"{_KEYED}, line int, n int, d1 long, d2 long, h binary")
+    return keyed.mapInArrow(tidied(run), f"{_KEYED}, line int, n int, d1 long, d2 long, h binary")
 
 
 def _classes(heads: DataFrame) -> DataFrame:
@@ -110,7 +110,7 @@ def _classes(heads: DataFrame) -> DataFrame:
 
     # of a digest, lines with a set come before those (by chance of the same digest) without
     ordered = heads.repartition("d1", "d2").sortWithinPartitions("d1", "d2", F.col("n") == 0, *place)
-    return ordered.mapInArrow(run, f"{_KEYED}, line int, n int, h binary, first boolean").withColumn("cid", F.monotonically_increasing_id())
+    return ordered.mapInArrow(tidied(run), f"{_KEYED}, line int, n int, h binary, first boolean").withColumn("cid", F.monotonically_increasing_id())
 
 
 def prefix(n: np.ndarray, percent: int) -> np.ndarray:
@@ -154,7 +154,7 @@ def _index(classes: DataFrame, percent: int, counts) -> DataFrame:
                 take = lambda c: pa.array(batch.column(c).to_numpy()[k])
                 yield pa.RecordBatch.from_arrays([pa.array(h[at]), take("cid"), take("id"), take("line"), take("r"), take("n"), pa.array((at - start[k]).astype(np.int32)), *(m.take(pa.array(k)) for m in parity)], [x.split()[0] for x in _INDEX.split(", ")])
 
-    return classes.select("cid", "id", "line", "r", "n", "h").mapInArrow(run, _INDEX)
+    return classes.select("cid", "id", "line", "r", "n", "h").mapInArrow(tidied(run), _INDEX)
 
 
 def _overlap(n: np.ndarray, percent: int) -> np.ndarray:
@@ -265,7 +265,7 @@ def _met(rows: DataFrame, percent: int, few: int, hot: int, lead: int, ask: bool
             yield from solved({k: np.concatenate([x[k] for x in held]) for k in names})
 
     ordered = rows.repartition("key").sortWithinPartitions("key", "id", "line", "r", "cid")
-    return ordered.mapInArrow(run, "kind int, key long, x long, y long, pos int")
+    return ordered.mapInArrow(tidied(run), "kind int, key long, x long, y long, pos int")
 
 
 def _split(lists: DataFrame, classes: DataFrame, percent: int, counts) -> DataFrame:
@@ -287,7 +287,7 @@ def _split(lists: DataFrame, classes: DataFrame, percent: int, counts) -> DataFr
                 take = lambda c: batch.column(c).take(pa.array(k))
                 yield pa.RecordBatch.from_arrays([pa.array(key), take("cid"), take("id"), take("line"), take("r"), take("n"), pa.array((at - start[k]).astype(np.int32)), *(m.take(pa.array(k)) for m in parity), take("asked")], [*(x.split()[0] for x in _INDEX.split(", ")), "asked"])
 
-    return rows.mapInArrow(run, f"{_INDEX}, asked boolean")
+    return rows.mapInArrow(tidied(run), f"{_INDEX}, asked boolean")
 
 
 def _confirmed(candidates: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
@@ -324,7 +324,7 @@ def _verified(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
                 ok.append(100 * same >= percent * (len(a) + len(b) - same))
             yield batch.filter(pa.array(ok, pa.bool_())).select(["x"])
 
-    return both.mapInArrow(run, "x long").distinct()
+    return both.mapInArrow(tidied(run), "x long").distinct()
 
 
 def matches(docs: DataFrame, percent: int = 80, few: int = FEW, hot: int = HOT, lead: int = LEAD) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, blocks, components, documents, maybe_among, mixed, offsets, slot_counts, texts, unused, words
+from tessera.llm.common import Scratch, blocks, components, documents, maybe_among, mixed, offsets, slot_counts, texts, tidied, unused, words
 
 K, LEAST, COMMON, SLOT_BITS = 256, 160, 4, 24
 
@@ -97,7 +97,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
             d = [np.array([x >> k & (2**64 - 1) for x in digest], np.uint64).view(np.int64) for k in (64, 0)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(d[0]), pa.array(d[1]), pa.array(sketch, pa.binary())], ["doc_id", "th", "n", "d1", "d2", "sketch"])
 
-    return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, "doc_id long, th long, n long, d1 long, d2 long, sketch binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(tidied(run), "doc_id long, th long, n long, d1 long, d2 long, sketch binary")
 
 
 def lists(reps: DataFrame, percent: int) -> DataFrame:
@@ -127,7 +127,7 @@ def lists(reps: DataFrame, percent: int) -> DataFrame:
                 hub = np.bincount(own, count, len(n)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(v[keep].view(np.int64)), pa.array(batch.column("rep").to_numpy()[k]), pa.array(hub[k]), pa.array(at[keep].astype(np.int32)), pa.array(need[k].astype(np.int32))], ["value", "rep", "hub", "pos", "need"])
 
-    return reps.select("rep", "n", "sketch").mapInArrow(run, "value long, rep long, hub long, pos int, need int")
+    return reps.select("rep", "n", "sketch").mapInArrow(tidied(run), "value long, rep long, hub long, pos int, need int")
 
 
 def similar_sketches(a: bytes, b: bytes, n: int, m: int, percent: int) -> bool:
@@ -154,7 +154,7 @@ def confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, perc
             ok = [similar_sketches(*x, percent) for x in zip(c["s_a"], c["s_b"], c["n_a"], c["n_b"], strict=True)]
             yield batch.filter(pa.array(ok, pa.bool_())).select(["a", "th_a", "b", "th_b"])
 
-    near = scratch.save(near.mapInArrow(estimate, "a long, th_a long, b long, th_b long"), "near")
+    near = scratch.save(near.mapInArrow(tidied(estimate), "a long, th_a long, b long, th_b long"), "near")
     wanted = near.select(F.col("a").alias("id"), F.col("th_a").alias("h")).union(near.select("b", "th_b")).distinct()
     wanted = scratch.save(wanted, "wanted")
     keyed = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
@@ -177,7 +177,7 @@ def confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, perc
                     ok.append(near and _similar(*shingle_codes([s, t], width), percent))
                 yield batch.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
-    links = scratch.save(both.mapInArrow(exact, "a long, b long"), "links")
+    links = scratch.save(both.mapInArrow(tidied(exact), "a long, b long"), "links")
     scratch.drop(pairs, near, wanted, held)
     return links
 
