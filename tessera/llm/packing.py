@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, documents, offsets, ragged
+from tessera.llm.common import Scratch, documents, offsets, ragged, tidied
 from tessera.llm.token_ids import coder, with_end
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, shard int, local long"
@@ -53,7 +53,7 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame:
                 columns = [batch.column("doc_id").take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(np.full(len(doc), shard), pa.int32()), pa.array(local)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32", "shard", "local"])
 
-    return docs.select("doc_id", "text").mapInArrow(pieces, PIECES)
+    return docs.select("doc_id", "text").mapInArrow(tidied(pieces), PIECES)
 
 
 def best_fit(counts: dict[int, int], size: int) -> tuple[list[tuple[int, int, int, int, int, int]], int]:

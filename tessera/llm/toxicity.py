@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents, texts, unused
+from tessera.llm.common import documents, texts, tidied, unused
 
 #: Bounds of the labelled sample, for each class.
 ROWS, BYTES = {1: 1500, 0: 3000}, 12_000_000
@@ -162,7 +162,7 @@ def score(docs: DataFrame, model: dict, keep: list[str] | None = None, name: str
     from pyspark.sql.types import DoubleType, StructField, StructType
 
     names = [f.name for f in fields]
-    return docs.select(*dict.fromkeys([*names, "text"])).mapInArrow(run, StructType([*fields, StructField(name, DoubleType())]))
+    return docs.select(*dict.fromkeys([*names, "text"])).mapInArrow(tidied(run), StructType([*fields, StructField(name, DoubleType())]))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
