@@ -22,7 +22,9 @@ their names. A frame that is not a stored Parquet table is stored first, so rows
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -204,7 +206,7 @@ def _meet(c: dict[str, np.ndarray], start: np.ndarray, few: int, percent: int, s
 
 def _met(rows: DataFrame, percent: int, few: int, hot: int, lead: int, ask: bool = False) -> DataFrame:
     """Index rows -> (x, y, pos) pairs of classes, x later, pos the words by which they may differ more than their parity
-    bits show; (key, x) of rows that were cut short; (key, x, pos) of all rows in lists above ``hot``. kind: 0, 1, 2. With
+    bits show; (key, x, y, pos) of rows that were cut short, y their size; the same of all rows in lists above ``hot``. kind: 0, 1, 2. With
     ``ask``, rows have a column ``asked`` and those where it is set meet all earlier ones."""
     names = [x.split()[0] for x in _INDEX.split(", ")] + ["asked"] * ask
 
@@ -219,7 +221,7 @@ def _met(rows: DataFrame, percent: int, few: int, hot: int, lead: int, ask: bool
         both = {k: np.concatenate([leaders[k], c[k]]) for k in c} if leaders else c
         since = len(leaders["key"]) if leaders else 1
         yield pairs(both, *_meet(both, np.zeros(len(both["key"]), np.int64), few, percent, since, lead)[:3])
-        yield out(2, c["key"], c["cid"], c["cid"], c["pos"])
+        yield out(2, c["key"], c["cid"], c["n"].astype(np.int64), c["pos"])
 
     def solved(c: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         key = c["key"]
@@ -234,7 +236,7 @@ def _met(rows: DataFrame, percent: int, few: int, hot: int, lead: int, ask: bool
         if len(start):
             x, y, spare, short = _meet(c, start, few, percent)
             yield pairs(c, x, y, spare)
-            yield out(1, c["key"][short], c["cid"][short], c["cid"][short], c["pos"][short])
+            yield out(1, c["key"][short], c["cid"][short], c["n"][short].astype(np.int64), c["pos"][short])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -268,6 +270,19 @@ def _met(rows: DataFrame, percent: int, few: int, hot: int, lead: int, ask: bool
     return ordered.mapInArrow(tidied(run), "kind int, key long, x long, y long, pos int")
 
 
+def _size_class(percent: int):
+    """Sizes of similar sets are in the same or in neighbouring classes: a class spans a little more than their largest ratio."""
+    return F.floor(F.ln("n") / (math.log(100 / percent) * (1 + 1e-9))).cast("int")
+
+
+def _near_asked(rows: DataFrame, asked: DataFrame, percent: int) -> DataFrame:
+    """The rows (key, n) of lists that may hold a similar set of one of ``asked`` (key, n): told in the task that makes them, by a
+    bitmap, so the rest of a list is neither written nor shuffled."""
+    wanted = asked.select("key", F.explode(F.array(*(_size_class(percent) + F.lit(k) for k in (-1, 0, 1)))).alias("size"))
+    found = maybe_among(rows, F.xxhash64("key", _size_class(percent)), wanted.select(F.xxhash64("key", "size").alias("near")), name="_near")
+    return found.where("_near").drop("_near")
+
+
 def _split(lists: DataFrame, classes: DataFrame, percent: int, counts) -> DataFrame:
     """(key, x, pos, asked) of lists -> index rows, with ``asked``, under one more word of a prefix that is one longer."""
     rows = lists.select("key", F.col("x").alias("c"), "pos", "asked").join(classes.select("cid", "id", "line", "r", "n", "h"), F.col("c") == F.col("cid"))
@@ -339,20 +354,21 @@ def matches(docs: DataFrame, percent: int = 80, few: int = FEW, hot: int = HOT,
     found = _confirmed(met.where("kind = 0"), classes, docs, percent, scratch)
     done = found.select(F.col("x").alias("done"))
     # rows that were cut short, or met only leaders, and found no match: all others of their lists
-    rest = met.where("kind > 0").select("kind", F.col("key").alias("k"), F.col("x").alias("c")).join(done, F.col("c") == F.col("done"), "left_anti")
+    rest = met.where("kind > 0").select("kind", "key", F.col("x").alias("c"), "pos", F.col("y").alias("n")).join(done, F.col("c") == F.col("done"), "left_anti")
     rest = scratch.save(rest, "rest")
-    short, long = (rest.where(f"kind = {k}").select("k", "c") for k in (1, 2))
-    asked = F.col("c").isNotNull().alias("asked")
+    short, long = (rest.where(f"kind = {k}") for k in (1, 2))
     more = []
     if not short.isEmpty():
-        lists = index.join(short.select(F.col("k").alias("k1")).distinct(), F.col("key") == F.col("k1"), "left_semi")
-        more.append(lists.join(short, F.expr("key = k and cid = c"), "left").select(*index.columns, asked))
+        lists = _near_asked(index, short.select("key", "n"), percent)
+        lists = lists.join(short.select(F.col("key").alias("k"), "c"), F.expr("key = k and cid = c"), "left")
+        more.append(lists.select(*index.columns, F.col("c").isNotNull().alias("asked")))
     if not long.isEmpty():
-        lists = met.where("kind = 2").join(long.select(F.col("k").alias("k1")).distinct(), F.col("key") == F.col("k1"), "left_semi")
-        split = scratch.save(_split(lists.join(long, F.expr("key = k and x = c"), "left").select("key", "x", "pos", asked), classes, percent, counts), "split")
-        more.append(split.join(split.where("asked").select(F.col("key").alias("k1")).distinct(), F.col("key") == F.col("k1"), "left_semi"))
-    for lists in more:
-        others = scratch.save(_met(lists, percent, few, 1 << 62, lead, ask=True).where("kind = 0"), "others")
+        asking = scratch.save(_split(long.select("key", F.col("c").alias("x"), "pos", F.lit(True).alias("asked")), classes, percent, counts), "asking")
+        lists = _near_asked(met.where("kind = 2").select("key", "x", "pos", F.col("y").alias("n")), long.select("key", "n"), percent)
+        split = _split(lists.select("key", "x", "pos", F.lit(False).alias("asked")), classes, percent, counts)
+        more += [_near_asked(split, asking.select("key", "n"), percent), asking]
+    if more:
+        others = scratch.save(_met(reduce(DataFrame.union, more), percent, few, 1 << 62, lead, ask=True).where("kind = 0"), "others")
         found = found.union(_confirmed(others, classes, docs, percent, scratch))
     near = classes.join(found.distinct(), F.col("cid") == F.col("x"), "left_semi").select("f", "r", "line")
     return scratch.save(heads.where("not first").select("f", "r", "line").union(near), "removed")
