@@ -27,6 +27,11 @@ def unique(df: DataFrame, keys: list[str]) -> DataFrame:
     return _once(_counted(df, keys)).select(*keys, *(F.col(f"_row.{c}").alias(c) for c in rest))
 
 
+def single(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df``, whose keys are distinct; the job fails where one is not. Rows are counted beside each other, not packed."""
+    return _once(df.withColumn("_copies", F.count("*").over(Window.partitionBy(*keys)))).select(*df.columns)
+
+
 def attach(panel: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Left join that can't change the panel's rows: ``other`` must have one row for each key that the panel has."""
     rest = [c for c in other.columns if c not in keys]
