@@ -11,7 +11,7 @@ from tessera.plans.queries import ORACLES, query, rounded
 from tessera.sources import tables as t
 
 # ---- a panel of bar shapes and excess labels under a contract, and a list of some brands
-_shape = list(rolling.shape())
+_shape = rolling.feature_names()[:13]  # the bar shapes, which no window makes
 COLUMNS = corpus.contract(_shape, family=[])
 _labels = ", ".join(equity.LABELS)
 PANEL = f"""shape AS ({ORACLES['kbar_price']}), lab AS ({ORACLES['fwd_excess_asof']}),
