@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 def reconstructed(calendar: DataFrame, splits: DataFrame) -> DataFrame:
     """(sym, d) with the product of the ratios of all splits that come later: a running product from the end, one
-    stream per symbol, no join of days with splits."""
+    stream per symbol, no join of days with splits. The ratios are multiplied, as logarithms would lose digits with many splits."""
     days = calendar.select("sym", "d", F.lit(1.0).alias("ratio"), F.lit(1).alias("is_day"))
     both = days.unionByName(splits.select("sym", "d", "ratio", F.lit(0).alias("is_day")))
     later = Window.partitionBy("sym").orderBy(F.col("d").desc(), F.col("is_day").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn("factor", F.exp(F.sum(F.ln("ratio")).over(later))).where("is_day = 1").select("sym", "d", "factor")
+    return both.withColumn("factor", F.product("ratio").over(later)).where("is_day = 1").select("sym", "d", "factor")
 
 
 def _merged(levels: list[list], least: int, dates: set) -> list[list]:

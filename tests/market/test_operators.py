@@ -145,6 +145,15 @@ def test_measured_factor_steps(spark):
     assert {round(r.factor, 6) for r in splits.measured(blip, none).collect()} == {1.0} and not splits.measured(blip, none).first().ok
 
 
+def test_factor_of_many_splits_is_their_product(spark):
+    first = dt.date(2000, 1, 1)
+    ratios = [0.5] * 45 + [2.0] * 40  # the earliest day stands before all of them
+    rows = [("A", first + dt.timedelta(k + 1), r) for k, r in enumerate(ratios)]
+    days = spark.createDataFrame([("A", first + dt.timedelta(k)) for k in range(86)], "sym string, d date")
+    out = splits.reconstructed(days, spark.createDataFrame(rows, "sym string, d date, ratio double")).orderBy("d").collect()
+    assert [r.factor for r in out] == [math.prod(ratios[k:]) for k in range(86)]
+
+
 def test_scalars(spark):
     df = spark.createDataFrame([(1.0, 0.0, "btc/usd ", "BRK.B", "AAPL  240119C00150000"), (1.0, -2.0, "x", "ABC", "bad"), (1e9, 1.0, None, None, None)], "a double, b double, p string, s string, o string")
     got = df.select(scalars.safe_ratio(F.col("a"), F.col("b")).alias("r"), scalars.pair_slug(F.col("p")).alias("p"), scalars.class_suffix(F.col("s")).alias("s"), scalars.option_symbol(F.col("o")).alias("o")).collect()
