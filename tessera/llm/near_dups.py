@@ -1,20 +1,26 @@
 """Operator 10: near duplicates by bottom-k sketches from one hash function.
 
 A document's sketch is the K smallest 64-bit hashes of its distinct shingles. Documents with equal shingle sets become one
-class first. Inverted lists of retained hashes give candidate pairs; the sketch of a pair's union estimates its
+class first. Inverted lists of parts of sketches give candidate pairs; the sketch of a pair's union estimates its
 similarity and filters; the exact Jaccard of the full sets, from the texts, confirms every link. Components of links are the
 groups.
 
+A list is known by several retained hashes that stand together, not by one, so that few texts meet by chance and lists
+with more than one member grow with the similar texts, not with the square of the input:
+- A set of up to K shingles is held whole. Two similar ones of a range of sizes differ in d hashes at most, so when all are dealt to
+  slots, d slots at most differ, and of the d + COMMON slots that come first in one order of contents, COMMON are the same in
+  both (one, of very small sets). Each set opens a list for each of these, in every range that it can be in. This is exact.
+- Where one of two sets may be larger, a list holds the hashes from one mark (every third hash is one) to the next. Two sets of
+  similarity 0.8 have 119 marks and differences, in any order, where their sketches overlap; fewer than COMMON lists in common take that marks
+  hardly ever follow each other there, a probability of 1e-13.
+
 No list is expanded into all its pairs:
-- A list holds only documents that retain its hash among their rarest (an order by a hashed count table of fixed size), so
-  common shingles open no list unless a document has nothing rarer. Two documents that share LEAST retained hashes
-  share COMMON of those lists at least.
-- First every list links its members to one leader only: that whose retained hashes are most common, which edited copies
+- First every list links its members to one leader only: that whose lists have most members, which edited copies
   share with their source; then, among what is still apart, to another. These rounds collapse groups of copies.
 - Then, where a list still holds several components, members outside its largest component meet the members of other
   components. Members of one component never meet. This step is what makes the links complete.
 
-Sets of up to K = 256 shingles are held whole and their bound is exact, also against larger sets. Of two larger ones of
+Sets of up to K = 256 shingles are compared whole. Of two larger ones of
 similarity 0.8, the union's K smallest hashes hold fewer than LEAST = 160 shared ones (204.8 expected, deviation 6.4) with
 probability 1e-11.
 
@@ -30,12 +36,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, blocks, components, documents, maybe_among, mixed, offsets, slot_counts, texts, tidied, unused, words
+from tessera.llm.common import Scratch, blocks, components, documents, maybe_among, mixed, offsets, texts, tidied, unused, words
 
-K, LEAST, COMMON, SLOT_BITS = 256, 160, 4, 24
+K, LEAST, COMMON, MARKS = 256, 160, 2, 3
 
 
 def shingle_hashes(raw: list[bytes], width: int) -> list[np.ndarray]:
@@ -100,34 +106,81 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(tidied(run), "doc_id long, th long, n long, d1 long, d2 long, sketch binary")
 
 
-def lists(reps: DataFrame, percent: int) -> DataFrame:
-    """(value, rep, hub, pos, need): the inverted lists; pos is the value's place in the class's order by rarity, need the
-    hashes that the class shares with any similar one. Each class opens lists for its rarest retained hashes. hub sums the
-    counts of all that it retains: of a group of edited copies the text they were made from has the highest."""
-    slot = lambda v: (v >> np.uint64(64 - SLOT_BITS)).astype(np.int64) ^ (v & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
-    values = lambda batch: np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64)
-    counts = reps.sparkSession.sparkContext.broadcast(slot_counts(reps.select("sketch"), SLOT_BITS, lambda b: slot(values(b))))  # 32 MB at any input
+def ranges(percent: int) -> list[tuple[int, int, int]]:
+    """(least, most, d) of ranges of sizes up to K: two similar sets of up to K are both in one of them, and sets of one that are
+    similar differ in d hashes at most."""
+    out, low = [], 1
+    while low <= K:
+        after = max(low + 1, -(-low * 7 // 5))  # the smaller set's size is below
+        most = min(K, 100 * (after - 1) // percent)
+        differ = max(n - 2 * -(-percent * n // (100 + percent)) for n in range(2 * low, min(after - 1, K) + most + 1))
+        if differ > 0:  # else similar sets are equal
+            out.append((low, most, differ))
+        low = after
+    return out
+
+
+def common(differ: int) -> int:
+    """Lists that two sets of up to K share at least, if they differ in so many hashes at most."""
+    return COMMON if differ > 3 else 1
+
+
+def list_keys(v: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, key) of the lists that sketches open: ``v`` holds the hashes one sketch after another, ascending, n the sizes of
+    the sets."""
+    size = np.minimum(n, K)
+    own, owners, keys = np.repeat(np.arange(len(n)), size), [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    with np.errstate(over="ignore"):
+        h = mixed(v ^ np.uint64(0x5DEECE66D))
+        for j, (low, most, differ) in enumerate(ranges(percent), 1):
+            those = ((n >= low) & (n <= most))[own]
+            if not those.any():
+                continue
+            slots, most_of = differ + common(differ) + 1 + differ // 4, differ + common(differ)
+            slot = (v[those] % np.uint64(slots)).astype(np.int64)
+            each, at = np.unique(own[those], return_inverse=True)
+            cell = at * slots + slot
+            many = np.bincount(cell, minlength=len(each) * slots)
+            digest = np.zeros(len(each) * slots, np.uint64)
+            np.add.at(digest, cell, h[those])
+            name = mixed(np.tile(np.arange(slots, dtype=np.uint64) << np.uint64(8), len(each)) + np.uint64(j))
+            key = mixed(mixed(digest + many.astype(np.uint64)) ^ name).reshape(-1, slots)
+            # those of most hashes first, any order of contents will do: few texts share several by chance
+            order = np.lexsort((key, -many.reshape(-1, slots)), axis=1)[:, :most_of]
+            owners.append(np.repeat(each, most_of))
+            keys.append(np.take_along_axis(key, order, 1).ravel())
+        mark = np.flatnonzero((h % np.uint64(MARKS) == 0) & (n >= -(-percent * (K + 1) // 100))[own])
+        a, b = mark[:-1], mark[1:]
+        a, b = (x[own[a] == own[b]] for x in (a, b))
+        upto = np.zeros(len(h) + 1, np.uint64)
+        np.cumsum(h, out=upto[1:])
+        owners.append(own[a])
+        keys.append(mixed(upto[b + 1] - upto[a]))
+    return np.concatenate(owners), np.concatenate(keys)
+
+
+def lists(reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(value, rep, n, need, hub): the inverted lists of more than one class. hub sums the members of all lists of the class: of a
+    group of edited copies the text they were made from has the highest."""
+
+    differ = np.array([max((d for low, most, d in ranges(percent) if low <= n), default=0) for n in range(K + 2)])
+    least = np.array([common(d) for d in differ], np.int32)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = counts.value
-        least = np.array([needed(n, percent) for n in range(K + 2)], np.int64)
         for whole in batches:
             for i in range(0, whole.num_rows, 2048):
                 batch = whole.slice(i, 2048)
-                v, n = values(batch), batch.column("n").to_numpy()
-                size = np.minimum(n, K)
-                start, own = offsets(size)[:-1], np.repeat(np.arange(len(n)), size)
-                at = np.arange(len(v)) - start[own]
-                # a sketch ascends, so order by count and place in it is order by count and value
-                key = np.sort((own << 32) | (table[slot(v)].astype(np.int64) << 16) | at)
-                count, v = (key >> 16) & 0xFFFF, v[start[own] + (key & 0xFFFF)]
-                need = least[np.minimum(n, K + 1)]
-                keep = (at < (size - need + np.minimum(COMMON, need))[own]) & (count > 1)  # a count of one: no other class has it
-                k = own[keep]
-                hub = np.bincount(own, count, len(n)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(v[keep].view(np.int64)), pa.array(batch.column("rep").to_numpy()[k]), pa.array(hub[k]), pa.array(at[keep].astype(np.int32)), pa.array(need[k].astype(np.int32))], ["value", "rep", "hub", "pos", "need"])
-
-    return reps.select("rep", "n", "sketch").mapInArrow(tidied(run), "value long, rep long, hub long, pos int, need int")
+                n, rep = batch.column("n").to_numpy(), batch.column("rep").to_numpy()
+                own, key = list_keys(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64), n, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(rep[own]), pa.array(n[own]), pa.array(least[np.minimum(n, K + 1)][own])], ["value", "rep", "n", "need"])
+
+    opened = reps.select("rep", "n", "sketch").mapInArrow(tidied(run), "value long, rep long, n long, need int")
+    shared = opened.withColumn("many", F.count("*").over(Window.partitionBy("value"))).where("many > 1")
+    shared = scratch.save(shared, "shared")
+    hubs = shared.groupBy(F.col("rep").alias("r")).agg(F.sum("many").alias("hub"))
+    out = scratch.save(shared.join(hubs, F.col("rep") == F.col("r")).select("value", "rep", "n", "need", "hub"), "lists")
+    scratch.drop(shared)
+    return out
 
 
 def similar_sketches(a: bytes, b: bytes, n: int, m: int, percent: int) -> bool:
@@ -136,6 +189,8 @@ def similar_sketches(a: bytes, b: bytes, n: int, m: int, percent: int) -> bool:
     both = np.intersect1d(x, y, assume_unique=True)
     if n <= K and m <= K:
         return 100 * len(both) >= percent * (len(x) + len(y) - len(both))
+    if len(both) < min(needed(n, percent), needed(m, percent)):
+        return False
     union = np.union1d(x, y)[:K]
     return np.searchsorted(both, union[-1], side="right") >= LEAST
 
@@ -191,21 +246,18 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     reps = scratch.save(reps.select("d1", "d2", F.col("x.doc_id").alias("rep"), "x.th", "x.n", "x.sketch"), "classes")
     members = scratch.save(base.select("doc_id", "n", "d1", "d2"), "members")
     scratch.drop(base)
-    opened = scratch.save(lists(reps, percent), "opened")
-    shared = opened.groupBy(F.col("value").alias("v")).agg(F.count("*").alias("many")).where("many > 1").select("v")
-    table = scratch.save(opened.join(shared, F.col("value") == F.col("v"), "left_semi"), "lists")
-    scratch.drop(opened)
+    table = lists(reps, percent, scratch)
     roots = None
     for seed in (1, 2):
         first_by = -F.col("hub") if seed == 1 else F.xxhash64("rep")
-        lead = F.struct(first_by.alias("h"), F.col("rep").alias("a"))
-        leaders = table.groupBy(F.col("value").alias("v")).agg(F.min(lead).alias("lead")).select("v", "lead.a")
-        pairs = table.join(leaders, F.col("value") == F.col("v")).where("rep <> a").select("a", F.col("rep").alias("b"))
+        lead = F.struct(first_by.alias("h"), F.col("rep").alias("a"), F.col("n").alias("m"))
+        leaders = table.groupBy(F.col("value").alias("v")).agg(F.min(lead).alias("lead")).select("v", "lead.a", "lead.m")
+        pairs = table.join(leaders, F.col("value") == F.col("v")).where(f"rep <> a and 100 * least(n, m) >= {percent} * greatest(n, m)").select("a", F.col("rep").alias("b"))
         if roots is not None:
             pairs = _apart(pairs, roots)
-        pairs = pairs.groupBy("a", "b").count().where(f"count >= {COMMON // 2}").select("a", "b")
+        pairs = pairs.groupBy("a", "b").count().where(f"count >= {COMMON}").select("a", "b")
         roots = _joined(roots, confirm(pairs, reps, docs, width, percent, scratch), scratch)
-    roots = _joined(roots, confirm(_crossing(table, roots, reps, percent, scratch), reps, docs, width, percent, scratch), scratch)
+    roots = _joined(roots, confirm(_crossing(table, roots, percent, scratch), reps, docs, width, percent, scratch), scratch)
     # rows that share a doc_id are one node, whatever their texts
     first = members.join(reps.select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), "rep"), (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")) & F.expr("n > 0 and doc_id is not null"), "left")
     first = scratch.save(first.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep")), "nodes")
@@ -234,24 +286,19 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return out.where("coalesce(root_a, a) <> coalesce(root_b, b)").select("a", "b")
 
 
-def _crossing(table: DataFrame, roots: DataFrame, reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def _crossing(table: DataFrame, roots: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs of different components that share enough lists."""
-    known = table.join(roots, F.col("rep") == F.col("node"), "left").select("value", "rep", "pos", "need", F.coalesce("root", "rep").alias("comp"))
-    sizes = reps.select(F.col("rep").alias("r"), "n")
-    known = scratch.save(known.join(sizes, F.col("rep") == F.col("r")).drop("r"), "placed")
+    known = table.join(roots, F.col("rep") == F.col("node"), "left").select("value", "rep", "n", "need", F.coalesce("root", "rep").alias("comp"))
+    known = scratch.save(known, "placed")
     per = known.groupBy("value", "comp").agg(F.count("*").alias("many"))
     live = per.groupBy(F.col("value").alias("v")).agg(F.max(F.struct("many", "comp")).alias("x"), F.count("*").alias("comps")).where("comps > 1")
     live = known.join(live.select("v", F.col("x.comp").alias("major")), F.col("value") == F.col("v")).drop("v")
     live = scratch.save(live, "live")
-    x = live.where("comp <> major").select(F.col("value").alias("vx"), F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("need").alias("ex"))
-    y = live.select("value", F.col("rep").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"), F.col("pos").alias("py"), F.col("need").alias("ey"), (F.col("comp") == F.col("major")).alias("in_major"))
-    # the lists before this one and the hashes after it bound what two classes can share
-    whole = f"ceil({percent} * (nx + ny) / {100 + percent}.0)"
-    need = f"if(nx <= {K} and ny <= {K}, {whole}, least(ex, ey))"
-    bound = f"least(least(nx, {K}) - px, least(ny, {K}) - py) + {COMMON - 1} >= {need}"
-    near = F.expr(f"vx = value and {bound} and cx <> cy and (in_major or x < y) and 100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
-    pairs = x.join(y, near).groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "ex", "ey").agg(F.count("*").alias("shared"))
-    return pairs.where(f"shared >= least({COMMON}, ex, ey)").select("a", "b").distinct()
+    x = live.where("comp <> major").select(F.col("value").alias("vx"), F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("need").alias("ex"))
+    y = live.select("value", F.col("rep").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"), F.col("need").alias("ey"), (F.col("comp") == F.col("major")).alias("in_major"))
+    near = F.expr(f"vx = value and cx <> cy and (in_major or x < y) and 100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
+    pairs = x.join(y, near).groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("ex", "ey")).alias("need"))
+    return pairs.where("shared >= need").select("a", "b")
 
 
 def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

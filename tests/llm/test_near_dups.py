@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import numpy as np
 import pyarrow.parquet as pq
 
 from pyspark.sql import functions as F
@@ -156,3 +157,36 @@ def test_texts_of_megabytes(spark):
     docs = [(4, " ".join(words)), (9, " ".join(near)), (11, " ".join(words[: 200_000]))]
     got = {r.doc_id: r.component_id for r in near_dups.groups(spark.createDataFrame(docs, "doc_id long, text string"), 2).collect()}
     assert got == {4: 4, 9: 4, 11: 11}
+
+
+def test_texts_that_share_single_shingles_meet_in_few_lists(spark, monkeypatch):
+    """Every pair of words stands in five texts or so: lists of single hashes would all have several members."""
+    held = {}
+
+    class Counted(Scratch):
+        def save(self, df, name="t", by=None):
+            out = super().save(df, name, by)
+            held[name] = held.get(name, 0) + out.count()
+            return out
+
+    monkeypatch.setattr(near_dups, "Scratch", Counted)
+    rng = random.Random(12)
+    docs = [" ".join(f"w{rng.randrange(150)}" for _ in range(rng.choice((120, 280, 400)))) for _ in range(400)]
+    got = near_dups.groups(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), 2).collect()
+    assert all(r.doc_id == r.component_id for r in got)
+    assert held["lists"] < 4_000  # of 30,000 opened
+
+
+def test_similar_sketches_share_a_list():
+    rng, k = random.Random(13), near_dups.K
+    for i in range(600):
+        n = rng.randrange(4, 256) if i % 2 else rng.randrange(190, 2000)
+        m = rng.randrange(n, 100 * n // 80 + 1)
+        both = -(-80 * (n + m) // 180)
+        if both > n:
+            continue
+        values = [rng.getrandbits(64) for _ in range(n + m - both)]
+        sets = [np.array(sorted(x), np.uint64) for x in (values[:n], values[n - both :])]
+        own, key = near_dups.list_keys(np.concatenate([x[:k] for x in sets]), np.array([n, m]), 80)
+        shared = len(set(key[own == 0].tolist()) & set(key[own == 1].tolist()))
+        assert n == m == both or shared >= (1 if n < 24 else near_dups.COMMON)
