@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, documents, mixed, texts
+from tessera.llm.common import Scratch, documents, give_back, mixed, texts, tidied
 
 CLASSES, LEAST, MIX, SHARE = 64, 10, 0.95, 20.0
 BUCKET, LARGE, PARTS, EXACT = 250_000, 0.001, 64, 200  # tokens in a bucket, about; see above
@@ -97,7 +97,7 @@ def chunks(docs: DataFrame) -> DataFrame:
             yield flush()
 
     rest = held_out(F.col("doc_id"))
-    return docs.select("doc_id", rest.alias("held"), (F.col("doc_id").isNotNull() & ~rest).alias("learn"), "text").mapInArrow(run, schema)
+    return docs.select("doc_id", rest.alias("held"), (F.col("doc_id").isNotNull() & ~rest).alias("learn"), "text").mapInArrow(tidied(run), schema)
 
 
 def ending(k: int) -> Column:
@@ -164,6 +164,7 @@ def contexts(rows: DataFrame, counted: DataFrame, many: int, total: int, large:
     buckets, split = 1 + total // BUCKET, np.array(large, np.int64)
 
     def run(d: pa.Table, v: pa.Table) -> pa.Table:
+        give_back()  # of the chunk before; the worker goes on with the next
         none = np.zeros(0, np.int64)
         if not d.num_rows:
             return packed(none, none, none, none)
@@ -183,6 +184,7 @@ def contexts(rows: DataFrame, counted: DataFrame, many: int, total: int, large:
         return pa.concat_tables(out)
 
     def merged(key: tuple, g: pa.Table) -> pa.Table:
+        give_back()
         u, o, n = unpacked(g)
         order = np.argsort((u.astype(np.int64) << 32) + o)
         u, o, n = u[order], o[order], n[order]

@@ -71,6 +71,14 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def give_back() -> None:
+    """What this worker has freed goes back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # another system's library may lack it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def tidied(run):
     """``run``, a function for mapInArrow, that gives what its task has freed back to the system at the end. Workers live on for
     other stages, and Arrow's pool and the allocator would keep it there."""
@@ -79,10 +87,7 @@ def tidied(run):
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with suppress(OSError, AttributeError):  # another system's library may lack it
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return task
 
