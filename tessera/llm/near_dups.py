@@ -11,14 +11,19 @@ with more than one member grow with the similar texts, not with the square of th
   slots, d slots at most differ, and of the d + COMMON slots that come first in one order of contents, COMMON are the same in
   both (one, of very small sets). Each set opens a list for each of these, in every range that it can be in. This is exact.
 - Where one of two sets may be larger, a list holds the hashes from one mark (every third hash is one) to the next. Two sets of
-  similarity 0.8 have 119 marks and differences, in any order, where their sketches overlap; fewer than COMMON lists in common take that marks
-  hardly ever follow each other there, a probability of 1e-13.
+  similarity 0.8 have 119 marks and differences, in any order, where their sketches overlap; fewer than two lists in common take that marks
+  hardly ever follow each other there, a probability of 1e-12.
 
 No list is expanded into all its pairs:
 - First every list links its members to one leader only: that whose lists have most members, which edited copies
   share with their source; then, among what is still apart, to another. These rounds collapse groups of copies.
 - Then, where a list still holds several components, members outside its largest component meet the members of other
-  components. Members of one component never meet. This step is what makes the links complete.
+  components. Members of one component never meet. This step is what makes the links complete. Similar sets share one list
+  more than they need to, so that of each set the list of most members is left out.
+- In a list of more than HOT members of which one component has half, all are held against the text of that component with most
+  in common with others, its leader. A set that is similar to the leader is linked to it. Any other differs from the leader
+  by more than it may differ from a similar set, so the two share some of these differences: rare ones, by the prefix filter
+  on the differences. Copies with edits of their own hardly ever do, so the edited copies of a text do not all meet.
 
 Sets of up to K = 256 shingles are compared whole. Of two larger ones of
 similarity 0.8, the union's K smallest hashes hold fewer than LEAST = 160 shared ones (204.8 expected, deviation 6.4) with
@@ -33,6 +38,7 @@ table gives no rows; extra columns pass through ``keep_first`` untouched, whatev
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +47,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import Scratch, blocks, components, documents, maybe_among, mixed, offsets, texts, tidied, unused, words
 
-K, LEAST, COMMON, MARKS = 256, 160, 2, 3
+K, LEAST, COMMON, MARKS, HOT = 256, 160, 3, 3, 32
 
 
 def shingle_hashes(raw: list[bytes], width: int) -> list[np.ndarray]:
@@ -128,6 +134,12 @@ def common(differ: int) -> int:
 def list_keys(v: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(owner, key) of the lists that sketches open: ``v`` holds the hashes one sketch after another, ascending, n the sizes of
     the sets."""
+    by_slots, by_marks = slot_keys(v, n, percent), mark_keys(v, n, percent)
+    return np.concatenate([by_slots[0], by_marks[0]]), np.concatenate([by_slots[1], by_marks[1]])
+
+
+def slot_keys(v: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The lists of sets of up to K, by their slots."""
     size = np.minimum(n, K)
     own, owners, keys = np.repeat(np.arange(len(n)), size), [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     with np.errstate(over="ignore"):
@@ -149,36 +161,41 @@ def list_keys(v: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, n
             order = np.lexsort((key, -many.reshape(-1, slots)), axis=1)[:, :most_of]
             owners.append(np.repeat(each, most_of))
             keys.append(np.take_along_axis(key, order, 1).ravel())
+    return np.concatenate(owners), np.concatenate(keys)
+
+
+def mark_keys(v: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The lists for pairs with a set above K, by the hashes between marks."""
+    own = np.repeat(np.arange(len(n)), np.minimum(n, K))
+    with np.errstate(over="ignore"):
+        h = mixed(v ^ np.uint64(0x5DEECE66D))
         mark = np.flatnonzero((h % np.uint64(MARKS) == 0) & (n >= -(-percent * (K + 1) // 100))[own])
         a, b = mark[:-1], mark[1:]
         a, b = (x[own[a] == own[b]] for x in (a, b))
         upto = np.zeros(len(h) + 1, np.uint64)
         np.cumsum(h, out=upto[1:])
-        owners.append(own[a])
-        keys.append(mixed(upto[b + 1] - upto[a]))
-    return np.concatenate(owners), np.concatenate(keys)
+        return own[a], mixed(upto[b + 1] - upto[a])
 
 
 def lists(reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """(value, rep, n, need, hub): the inverted lists of more than one class. hub sums the members of all lists of the class: of a
+    """(value, rep, n, marks, hub): the inverted lists of more than one class. marks: a list by marks; hub sums the members of all lists of the class: of a
     group of edited copies the text they were made from has the highest."""
 
-    differ = np.array([max((d for low, most, d in ranges(percent) if low <= n), default=0) for n in range(K + 2)])
-    least = np.array([common(d) for d in differ], np.int32)
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for i in range(0, whole.num_rows, 2048):
                 batch = whole.slice(i, 2048)
                 n, rep = batch.column("n").to_numpy(), batch.column("rep").to_numpy()
-                own, key = list_keys(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64), n, percent)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(rep[own]), pa.array(n[own]), pa.array(least[np.minimum(n, K + 1)][own])], ["value", "rep", "n", "need"])
+                v = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64)
+                for marks, keys in enumerate((slot_keys, mark_keys)):
+                    own, key = keys(v, n, percent)
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(rep[own]), pa.array(n[own]), pa.array(np.full(len(own), bool(marks)))], ["value", "rep", "n", "marks"])
 
-    opened = reps.select("rep", "n", "sketch").mapInArrow(tidied(run), "value long, rep long, n long, need int")
+    opened = reps.select("rep", "n", "sketch").mapInArrow(tidied(run), "value long, rep long, n long, marks boolean")
     shared = opened.withColumn("many", F.count("*").over(Window.partitionBy("value"))).where("many > 1")
     shared = scratch.save(shared, "shared")
     hubs = shared.groupBy(F.col("rep").alias("r")).agg(F.sum("many").alias("hub"))
-    out = scratch.save(shared.join(hubs, F.col("rep") == F.col("r")).select("value", "rep", "n", "need", "hub"), "lists")
+    out = scratch.save(shared.join(hubs, F.col("rep") == F.col("r")).select("value", "rep", "n", "marks", "hub"), "lists")
     scratch.drop(shared)
     return out
 
@@ -257,7 +274,7 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
             pairs = _apart(pairs, roots)
         pairs = pairs.groupBy("a", "b").count().where(f"count >= {COMMON}").select("a", "b")
         roots = _joined(roots, confirm(pairs, reps, docs, width, percent, scratch), scratch)
-    roots = _joined(roots, confirm(_crossing(table, roots, percent, scratch), reps, docs, width, percent, scratch), scratch)
+    roots = _joined(roots, confirm(_crossing(table, roots, reps, percent, scratch), reps, docs, width, percent, scratch), scratch)
     # rows that share a doc_id are one node, whatever their texts
     first = members.join(reps.select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), "rep"), (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")) & F.expr("n > 0 and doc_id is not null"), "left")
     first = scratch.save(first.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep")), "nodes")
@@ -286,19 +303,81 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return out.where("coalesce(root_a, a) <> coalesce(root_b, b)").select("a", "b")
 
 
-def _crossing(table: DataFrame, roots: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def _crossing(table: DataFrame, roots: DataFrame, reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs of different components that share enough lists."""
-    known = table.join(roots, F.col("rep") == F.col("node"), "left").select("value", "rep", "n", "need", F.coalesce("root", "rep").alias("comp"))
+    known = table.join(roots, F.col("rep") == F.col("node"), "left").select("value", "rep", "n", "marks", "hub", F.coalesce("root", "rep").alias("comp"))
     known = scratch.save(known, "placed")
     per = known.groupBy("value", "comp").agg(F.count("*").alias("many"))
-    live = per.groupBy(F.col("value").alias("v")).agg(F.max(F.struct("many", "comp")).alias("x"), F.count("*").alias("comps")).where("comps > 1")
-    live = known.join(live.select("v", F.col("x.comp").alias("major")), F.col("value") == F.col("v")).drop("v")
-    live = scratch.save(live, "live")
-    x = live.where("comp <> major").select(F.col("value").alias("vx"), F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("need").alias("ex"))
-    y = live.select("value", F.col("rep").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"), F.col("need").alias("ey"), (F.col("comp") == F.col("major")).alias("in_major"))
-    near = F.expr(f"vx = value and cx <> cy and (in_major or x < y) and 100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
-    pairs = x.join(y, near).groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("ex", "ey")).alias("need"))
-    return pairs.where("shared >= need").select("a", "b")
+    live = per.groupBy(F.col("value").alias("v")).agg(F.max(F.struct("many", "comp")).alias("x"), F.count("*").alias("comps"), F.sum("many").alias("all")).where("comps > 1")
+    live = known.join(live.select("v", F.col("x.comp").alias("major"), "all", F.expr(f"all > {HOT} and 2 * x.many >= all").alias("led")), F.col("value") == F.col("v")).drop("v")
+    live = scratch.save(live.withColumn("led", F.expr("led and not marks")), "live")
+    scratch.drop(known)
+    led, rest = _beside_leaders(live.where("led"), reps, percent, scratch), live.where("not led")
+    # sets of ``solid`` or more share COMMON lists with similar ones of ``solid`` or more, two if by marks: one can be left out
+    solid = min((low for low, _, d in ranges(percent) if common(d) == COMMON), default=K + 1)
+    most = rest.where(f"marks or {percent} * n > 100 * {solid - 1}").groupBy(F.col("rep").alias("r"), "marks").agg(F.max(F.struct("all", "value")).alias("x"))
+    rest = scratch.save(rest.join(most.select("r", F.col("x.value").alias("v")), F.expr("rep = r and value = v"), "left_anti"), "rest")
+    x = rest.where("comp <> major").select(F.col("value").alias("vx"), F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"))
+    y = rest.select("value", F.col("rep").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"), "marks", (F.col("comp") == F.col("major")).alias("in_major"))
+    near = F.expr(f"vx = value and cx <> cy and (in_major or x < y) and 100 * least(nx, ny) >= {percent} * greatest(nx, ny) and (not marks or greatest(nx, ny) > {K})")
+    need = F.expr(f"if(marks or least(nx, ny) < {solid}, 1, {COMMON - 1})")
+    pairs = x.join(y, near).groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("shared"), F.min(need).alias("need"))
+    pairs = pairs.where("shared >= need").select("a", "b")
+    return pairs if led is None else pairs.union(led).distinct()
+
+
+def apart(n, m, percent: int):
+    """Hashes by which similar sets of n and m differ at most."""
+    return n + m - 2 * -(-percent * (n + m) // (100 + percent))
+
+
+@lru_cache(1 << 16)
+def prefixes(n: int, d: int, lead: int, percent: int) -> tuple[int, int]:
+    """Of a set of n that differs in d hashes from its leader, a set of ``lead``: how many of the d, the rarest, have one in
+    common with a similar set. First for a set that is not similar to the leader and any other; then for any set, and others
+    that are not similar to the leader."""
+    m = np.arange(-(-percent * n // 100), min(K, 100 * n // percent) + 1)  # the sizes that similar sets can have
+    most = apart(n, m, percent)
+    other = np.maximum(abs(m - lead), d - most)  # the other's differences from the leader at least
+    far = np.maximum(other, apart(m, lead, percent) + 1)
+    # similar sets share half of what they differ from the leader in beyond ``most``
+    return tuple(d + 1 - max(1, int(np.min(-(-(d + x - most) // 2)))) for x in (other, far))
+
+
+def _beside_leaders(led: DataFrame, reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame | None:
+    """Pairs (a, b) among the members of lists (all of sets up to K) that one component leads: all that are similar and in
+    different components, or become so by a link to a leader. None if there are no such lists."""
+    members = scratch.save(led.groupBy("major", "rep").agg(F.first("n").alias("n"), F.first("comp").alias("comp"), F.first("hub").alias("hub")), "led")
+    if members.isEmpty():
+        return None
+    some = maybe_among(reps, "rep", members.select("rep").distinct()).where("_among").select(F.col("rep").alias("r"), "sketch")
+    own = members.join(some, F.col("rep") == F.col("r")).select("major", "rep", "n", "comp", "hub", "sketch")
+    leaders = own.where("comp = major").groupBy(F.col("major").alias("of")).agg(F.max(F.struct("hub", "rep", "n", "sketch")).alias("l"))
+    both = own.join(leaders.select("of", F.col("l.rep").alias("lead"), F.col("l.n").alias("m"), F.col("l.sketch").alias("other")), F.col("major") == F.col("of"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c = {x: batch.column(x).to_pylist() for x in ("n", "m", "sketch", "other")}
+            differ = [np.setxor1d(*(np.frombuffer(x, np.int64) for x in pair), assume_unique=True) for pair in zip(c["sketch"], c["other"], strict=True)]
+            d = [len(x) for x in differ]
+            far = [k > apart(n, m, percent) for k, n, m in zip(d, c["n"], c["m"], strict=True)]
+            first = [prefixes(n, k, m, percent) for n, k, m in zip(c["n"], d, c["m"], strict=True)]
+            columns = [pa.array(far, pa.bool_()), pa.array(d, pa.int64()), *(pa.array([x[j] for x in first], pa.int64()) for j in (0, 1)), pa.array(differ, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("major", "rep", "comp", "n", "lead")), *columns], ["major", "rep", "comp", "n", "lead", "far", "d", "px", "py", "es"])
+
+    found = both.select("major", "rep", "comp", "n", "lead", "m", "sketch", "other").mapInArrow(tidied(run), "major long, rep long, comp long, n long, lead long, far boolean, d long, px long, py long, es array<long>")
+    found = scratch.save(found, "differing")
+    each = found.select("major", "rep", "comp", "n", "far", "d", "px", "py", F.explode("es").alias("e"))
+    counts = each.groupBy(F.col("major").alias("mc"), F.col("e").alias("ec")).agg(F.count("*").alias("many")).where("many > 1")  # the others are met by none
+    by = Window.partitionBy("major", "rep")
+    place = F.row_number().over(by.orderBy("many", "e")) + F.col("d") - F.count("*").over(by)
+    held = each.join(counts, F.expr("major = mc and e = ec")).withColumn("place", place).where("place <= if(far, greatest(px, py), py)")
+    held = scratch.save(held.select("major", "e", "rep", "comp", "n", "far", "place", "px", "py"), "held")
+    x = held.where("far and place <= px").select(F.col("major").alias("gx"), F.col("e").alias("ex"), F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"))
+    y = held.where("place <= py").select("major", "e", F.col("rep").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"), F.col("far").alias("fy"))
+    near = F.expr(f"gx = major and ex = e and cx <> cy and (not fy or x < y) and 100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
+    pairs = x.join(y, near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return pairs.union(found.where("not far and comp <> major").select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b"))).distinct()
 
 
 def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

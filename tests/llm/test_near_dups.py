@@ -190,3 +190,50 @@ def test_similar_sketches_share_a_list():
         own, key = near_dups.list_keys(np.concatenate([x[:k] for x in sets]), np.array([n, m]), 80)
         shared = len(set(key[own == 0].tolist()) & set(key[own == 1].tolist()))
         assert n == m == both or shared >= (1 if n < 24 else near_dups.COMMON)
+
+
+def test_edited_copies_beyond_the_limit_do_not_all_meet(spark, monkeypatch):
+    """A group around one text, copies that are too far from it, and copies of its members that are similar to these alone."""
+    held = {}
+
+    class Counted(Scratch):
+        def save(self, df, name="t", by=None):
+            out = super().save(df, name, by)
+            held[name] = held.get(name, 0) + out.count()
+            return out
+
+    monkeypatch.setattr(near_dups, "Scratch", Counted)
+    rng, base, docs = random.Random(15), [f"w{k}" for k in range(100)], []
+
+    def edited(words, many):
+        at = set(rng.sample(range(100), many))
+        return [f"x{rng.getrandbits(40)}" if k in at else w for k, w in enumerate(words)]
+
+    close = [edited(base, rng.randrange(1, 6)) for _ in range(200)]
+    docs = [base, *close, *(edited(base, rng.randrange(6, 12)) for _ in range(150)), *(edited(rng.choice(close), rng.randrange(3, 6)) for _ in range(60))]
+    docs += [edited(rng.choice(docs[-60:]), 4) for _ in range(20)]
+    rng.shuffle(docs)
+    rows = [(k, " ".join(t)) for k, t in enumerate(docs)]
+    got = near_dups.groups(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    want = brute(rows, 2)
+    assert sorted(tuple(r) for r in got) == want and len({w[2] for w in want}) > 50
+    assert held["pairs"] < 10 * len(docs)
+
+
+def test_prefixes_of_similar_sets_meet():
+    """Two similar sets, one of them not similar to their leader: their first differences from it have one in common."""
+    rng, seen = random.Random(16), 0
+    for _ in range(4000):
+        n = rng.randrange(8, 220)
+        lead = set(range(n))
+        edit = lambda s, k: s - set(rng.sample(sorted(s), min(len(s) - 1, k // 2))) | {rng.randrange(n, 4 * n) for _ in range(k - k // 2)}
+        y = edit(lead, rng.randrange(0, n // 3 + 2))
+        x = edit(y, rng.randrange(1, n // 6 + 3))
+        if 100 * len(x & y) < 80 * len(x | y) or 100 * len(x & lead) >= 80 * len(x | lead) or max(len(x), len(y)) > near_dups.K:
+            continue
+        seen += 1
+        order = lambda s: sorted(s, key=lambda e: (e * 7919) % 10007)
+        dx, dy = order(x ^ lead), order(y ^ lead)
+        px, py = near_dups.prefixes(len(x), len(dx), n, 80)[0], near_dups.prefixes(len(y), len(dy), n, 80)[1]
+        assert set(dx[:px]) & set(dy[:py])
+    assert seen > 200
