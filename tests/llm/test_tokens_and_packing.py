@@ -140,3 +140,20 @@ def test_ids_equal_the_library(name, blank):
     rng = random.Random(1)
     some = points[:0x600] + [" ", "\n", "\t", "́", "İ", "क़", "ſ", "K", "<|endoftext|>", "<|ENDOFTEXT|>", "'s", "'LL", "\x1c", "\x85", "\xa0", " ", "　", "  "] * 40 + list("abcdefABC") * 60
     same(["".join(rng.choice(some) for _ in range(rng.randrange(60))) for _ in range(5000)])
+
+
+def test_pieces_met_often_stay_and_the_cache_is_bounded():
+    rng = random.Random(21)
+    often = [f"of{chr(97 + k)}" for k in range(20)]
+    for name, blank in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        code = token_ids.Coder(public_tokenizers.path(name), blank)
+        code.MOST, held, learned = 100, [], []
+        encoded = code._encoded
+        code._encoded = lambda pieces, f=encoded, to=learned: to.extend(pieces) or f(pieces)
+        for k in range(30):
+            texts = [" ".join(rng.choice(often) if j % 3 else f"é{chr(97 + rng.randrange(26))}È{rng.choice('.,x')}{rng.randrange(9**6)}" for j in range(60)) for _ in range(2)] + ["İstanbul ſtraße ﬁx", "été ÉTÉ"]
+            ids, lengths = code.encode(texts)
+            want = [e.ids for e in code.tok.encode_batch(texts, add_special_tokens=False)]
+            assert ids.tolist() == [i for x in want for i in x] and lengths.tolist() == list(map(len, want))
+            held.append(len(code.at))
+        assert max(held) < 100 + 3 * 60 and all(sum(p == w for p in learned) <= 2 for w in often)
