@@ -24,14 +24,16 @@ from pyspark.sql import functions as F
 from tessera.llm.common import Scratch, documents, offsets, ragged, tidied
 from tessera.llm.token_ids import coder, with_end
 
+#: Distinct pieces of text that a worker keeps the ids of: about 180 MB for a million, no result depends on it.
+HELD = 1_200_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, shard int, local long"
 
 
-def cut(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame:
+def cut(docs: DataFrame, tokenizer: str, end_id: int, size: int, held: int = HELD) -> DataFrame:
     """The pieces of each document, numbered within (shard, length); a shard is a task's partition."""
 
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, shard, seen = coder(tokenizer, True), TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
+        code, shard, seen = coder(tokenizer, True, held), TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
         for whole in batches:
             for i in range(0, whole.num_rows, 1024):
                 batch = whole.slice(i, 1024)
@@ -122,10 +124,10 @@ def _frames(f):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int = 1024) -> DataFrame:
-    """Every piece of every document with its sequence and place."""
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int = 1024, held: int = HELD) -> DataFrame:
+    """Every piece of every document with its sequence and place. A smaller ``held`` takes less memory and more time."""
     scratch = Scratch(docs.sparkSession, "packing")
-    pieces = scratch.save(cut(docs, tokenizer, end_id, size), "pieces")
+    pieces = scratch.save(cut(docs, tokenizer, end_id, size, held), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # a row for each length
     slots, _ = best_fit(counts, size)
     if not slots:

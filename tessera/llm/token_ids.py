@@ -166,10 +166,11 @@ class Coder:
         return ids, lengths
 
 
-def coder(path: str, blank: bool) -> Coder:
-    """The worker's own coder for a file, kept between tasks."""
+def coder(path: str, blank: bool, most: int = Coder.MOST) -> Coder:
+    """The worker's own coder for a file, kept between tasks. It holds ``most`` pieces, about."""
     if (path, blank) not in _CODERS:
         _CODERS[path, blank] = Coder(path, blank)
+    _CODERS[path, blank].MOST = most
     return _CODERS[path, blank]
 
 

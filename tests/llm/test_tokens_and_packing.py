@@ -157,3 +157,10 @@ def test_pieces_met_often_stay_and_the_cache_is_bounded():
             assert ids.tolist() == [i for x in want for i in x] and lengths.tolist() == list(map(len, want))
             held.append(len(code.at))
         assert max(held) < 100 + 3 * 60 and all(sum(p == w for p in learned) <= 2 for w in often)
+
+
+def test_packing_does_not_depend_on_the_pieces_held(spark):
+    docs = spark.createDataFrame([(k, " ".join(f"w{k * j % 97} é{j}" for j in range(k * 20))) for k in range(60)], "doc_id long, text string").repartition(2)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    few, many = (sorted(map(tuple, packing.cut(docs, path, 2, 1024, held).select("doc_id", "piece", "start", "length", "ids_crc32").collect())) for held in (20, packing.HELD))
+    assert few == many
