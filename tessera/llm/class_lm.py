@@ -361,8 +361,8 @@ def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     scratch = Scratch(docs.sparkSession, "lm")
     spark = docs.sparkSession
-    table = scratch.save(chunks(docs), "chunks")
-    words = table.where("word is not null").select("chunk", "wid", "word", "c")
+    table = scratch.save(chunks(docs).withColumn("kind", F.when(F.col("word").isNull(), 0).otherwise(1)), "chunks", "kind")
+    words = table.where("kind = 1").select("chunk", "wid", "word", "c")
     vocabulary = scratch.save(words.groupBy("word").agg(F.sum("c").alias("c")).where("c > 0"), "vocabulary")
     total, known = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     frequent, endings, many = unit_tables(vocabulary, scratch)
@@ -373,7 +373,8 @@ def score(docs: DataFrame) -> DataFrame:
     joined = words.drop("c").join(placed.select(F.col("word").alias("pw"), "c", "unit"), F.col("word") == F.col("pw"), "left").drop("pw")
     lost = by_ending(joined.where("c is null").select("chunk", "wid", "word", F.lit(0).cast("long").alias("c")), endings)
     counted = scratch.save(joined.where("c is not null").select("chunk", "wid", "c", "unit").unionByName(lost.drop("word")), "counted")
-    rows = table.where("ids is not null").select(F.col("chunk").alias("own"), "doc_id", "held", "ids")
+    scratch.drop(table, part="kind=1")  # the words are numbers from here on
+    rows = table.where("kind = 0").select(F.col("chunk").alias("own"), "doc_id", "held", "ids")
     large = [r["unit"] for r in placed.groupBy("unit").agg(F.sum("c").alias("c")).where(F.col("c") > LARGE * (total or 0)).collect()]  # 1 / LARGE at most
     context = contexts(rows, counted, many, total or 0, large, scratch)
     where, m = cluster(context, many, large=large)

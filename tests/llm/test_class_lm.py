@@ -1,4 +1,5 @@
 import math
+import os
 import zlib
 from collections import Counter
 
@@ -161,3 +162,15 @@ def test_clustering_goes_on_while_the_likelihood_rises(spark):
     assert (m == again).all()  # the updates add up to a recount
     few, many = (like(class_lm.cluster(context, 160, counts, classes=8, rounds=r)[1]) for r in (3, 30))
     assert like(m) == many > few
+
+
+def test_words_of_chunks_leave_the_disk_before_contexts(spark, monkeypatch):
+    made, contexts = [], class_lm.contexts
+
+    def watched(rows, *args):
+        made.append({p.rsplit("/", 2)[-2] for p in rows.inputFiles() if os.path.exists(p.removeprefix("file://"))} | {d for p in rows.inputFiles() for d in os.listdir(os.path.dirname(os.path.dirname(p.removeprefix("file://"))))})
+        return contexts(rows, *args)
+
+    monkeypatch.setattr(class_lm, "contexts", watched)
+    docs = spark.createDataFrame([(k, f"a b w{k % 7} a") for k in range(40)], "doc_id long, text string")
+    assert class_lm.score(docs).count() == 40 and "kind=0" in made[0] and "kind=1" not in made[0]
