@@ -361,7 +361,7 @@ def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     scratch = Scratch(docs.sparkSession, "lm")
     spark = docs.sparkSession
-    table = scratch.save(chunks(docs).withColumn("kind", F.when(F.col("word").isNull(), 0).otherwise(1)), "chunks", "kind")
+    table = scratch.save(chunks(docs).withColumn("kind", F.when(F.col("word").isNull(), 0).otherwise(1)), "chunks", "kind", at_once=2)
     words = table.where("kind = 1").select("chunk", "wid", "word", "c")
     vocabulary = scratch.save(words.groupBy("word").agg(F.sum("c").alias("c")).where("c > 0"), "vocabulary")
     total, known = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()

@@ -27,15 +27,15 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
-#: While a scratch table is written: shuffle files go with the write that made them, an Arrow batch holds 16 MB at most, and up to
-#: three folders are written side by side, without a sort.
-_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20), "spark.sql.maxConcurrentOutputFileWriters": "3"}
+#: While a scratch table is written: shuffle files go with the write that made them, and an Arrow batch holds 16 MB at most.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 
 
 @contextmanager
-def writing(spark: SparkSession):
-    was = {k: spark.conf.get(k, None) for k in _WRITING}
-    for k, v in _WRITING.items():
+def writing(spark: SparkSession, at_once: int = 0):
+    conf = _WRITING | {"spark.sql.maxConcurrentOutputFileWriters": str(at_once)}
+    was = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
         spark.conf.set(k, v)
     try:
         yield
@@ -56,10 +56,11 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{len(self.paths)}-{name}"
 
-    def save(self, df: DataFrame, name: str = "t", by: str | None = None) -> DataFrame:
-        """``by``: a column whose values get folders of their own, so a filter on it reads no others."""
+    def save(self, df: DataFrame, name: str = "t", by: str | None = None, at_once: int = 0) -> DataFrame:
+        """``by``: a column whose values get folders of their own, so a filter on it reads no others; up to ``at_once`` of them are
+        written side by side, without a sort."""
         to = self.path(name)
-        with writing(self.spark):
+        with writing(self.spark, at_once):
             df.write.parquet(to, partitionBy=by)
         out = self.spark.read.schema(df.schema).parquet(to)
         self.paths[id(out)] = (to, out)
