@@ -21,7 +21,7 @@ the mass of unknown words; an unknown word has the sum of that mass over all cla
 the V known words and one unknown. base is the smoothed unigram estimate.
 
 Exact counts of words reach the tokens without a join of tokens: texts become chunks of word numbers, each chunk's distinct
-words are joined to their counts, and each chunk meets its own counts again.
+words are joined to their counts and packed into one row, and each chunk meets its own counts again.
 
 Cases: a null or empty text is one end token; a null doc_id is scored and not learned from; repeated rows count as often as
 they occur; an empty table gives no rows; without any training token every word is unknown; further columns are not read.
@@ -144,7 +144,7 @@ def packed(u: np.ndarray, o: np.ndarray, n: np.ndarray, bucket: np.ndarray) -> p
     """Rows of CONTEXT, a row for each bucket and third, for entries of units u: others o (the unit after as it is, one before
     as -1 - unit), counts n. Entries of a row keep their order."""
     group = bucket * 3 + third(u)
-    order = np.argsort(group, kind="stable")
+    order = np.argsort(group.astype(np.uint16) if len(group) and group.max() < 1 << 16 else group, kind="stable")  # by digits if it can
     group = group[order]
     cut = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(group))
     first = group[cut[:-1]]
@@ -153,6 +153,30 @@ def packed(u: np.ndarray, o: np.ndarray, n: np.ndarray, bucket: np.ndarray) -> p
     return pa.table([pa.array(first // 3), pa.array(first % 3), *blobs], names=["bucket", "third", "u", "o", "n"])
 
 
+SLIM = "bucket long, third long, e binary"
+
+
+def slim(t: pa.Table) -> pa.Table:
+    """CONTEXT rows whose entries are in order of their units, as they are shuffled: what u grows by, o and n, byte by byte of their
+    32 bits, so that equal bytes stand together and the shuffle's compression finds them."""
+    out = []
+    for kinds in zip(t.column("u"), t.column("o"), t.column("n"), strict=True):
+        u, o, n = (np.frombuffer(x.as_py(), k) for x, k in zip(kinds, (np.int32, np.int32, np.int64), strict=True))
+        e = np.stack([np.diff(u, prepend=np.int32(0)), o, n.astype(np.int32)])  # a chunk's counts are below 2**31
+        out.append(e.view(np.uint8).reshape(3, -1, 4).transpose(0, 2, 1).tobytes())
+    return pa.table([t.column("bucket"), t.column("third"), pa.array(out, pa.binary())], names=["bucket", "third", "e"])
+
+
+def unslimmed(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(u, o, n): all entries of SLIM rows."""
+    each = [np.ascontiguousarray(np.frombuffer(x.as_py(), np.uint8).reshape(3, 4, -1).transpose(0, 2, 1)).view(np.int32)[..., 0] for x in t.column("e")]
+    u, o, n = (np.concatenate([x[i] for x in each]) for i in range(3))
+    many = np.array([x.shape[1] for x in each])
+    upto = np.cumsum(u, dtype=np.int64)
+    start = np.cumsum(many) - many
+    return (upto - np.repeat(upto[start] - u[start], many)).astype(np.int32), o, n.astype(np.int64)
+
+
 def unpacked(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(u, o, n): all entries of a batch of CONTEXT rows."""
     kinds = {"u": np.int32, "o": np.int32, "n": np.int64}
@@ -167,9 +191,8 @@ def contexts(rows: DataFrame, counted: DataFrame, many: int, total: int, large:
         give_back()  # of the chunk before; the worker goes on with the next
         none = np.zeros(0, np.int64)
         if not d.num_rows:
-            return packed(none, none, none, none)
-        wid, unit = v.column("wid").to_numpy(), np.zeros(v.num_rows, np.int64)
-        unit[wid] = v.column("unit").to_numpy()
+            return slim(packed(none, none, none, none))
+        unit = np.frombuffer(v.column("unit")[0].as_py(), np.int32).astype(np.int64)
         x = np.concatenate([np.frombuffer(ids.as_py(), np.int32) for ids in d.column("ids")])  # each text ends with END
         x = unit[np.concatenate([x[-1:], x])]
         code = np.sort(x[:-1] * many + x[1:])
@@ -178,14 +201,15 @@ def contexts(rows: DataFrame, counted: DataFrame, many: int, total: int, large:
         code = code[first]
         a, b = code // many, code % many
         out = []
-        for u, o in ((a, b), (b, -1 - a)):
+        back = np.argsort(b * many + a)
+        for u, o, n in ((a, b, n), (b[back], -1 - a[back], n[back])):
             part = np.where(np.isin(u, split), o % PARTS, 0)
-            out.append(packed(u, o, n, (mixed((u * PARTS + part).astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)))
+            out.append(slim(packed(u, o, n, (mixed((u * PARTS + part).astype(np.uint64)) % np.uint64(buckets)).astype(np.int64))))
         return pa.concat_tables(out)
 
     def merged(key: tuple, g: pa.Table) -> pa.Table:
         give_back()
-        u, o, n = unpacked(g)
+        u, o, n = unslimmed(g)
         order = np.argsort((u.astype(np.int64) << 32) + o)
         u, o, n = u[order], o[order], n[order]
         first = np.flatnonzero((np.diff(u, prepend=-1) != 0) | (np.diff(o, prepend=np.int32(0)) != 0) | (np.arange(len(u)) == 0))
@@ -193,8 +217,20 @@ def contexts(rows: DataFrame, counted: DataFrame, many: int, total: int, large:
         return packed(u, o, n, np.full(len(u), key[0].as_py()))
 
     learn = rows.where(F.col("doc_id").isNotNull() & ~F.col("held")).select("own", "ids")
-    found = learn.groupBy("own").cogroup(counted.select("chunk", "wid", "unit").groupBy("chunk")).applyInArrow(run, CONTEXT)
-    return scratch.save(found.groupBy("bucket", "third").applyInArrow(merged, CONTEXT), "contexts", "third")
+    found = learn.groupBy("own").cogroup(counted.select("chunk", "unit").groupBy("chunk")).applyInArrow(run, SLIM)
+    return scratch.save(found.groupBy("bucket", "third").applyInArrow(merged, CONTEXT), "contexts", "third", codec="zstd")
+
+
+def by_chunk(counted: DataFrame) -> DataFrame:
+    """(chunk, c, unit): the counts and units of a chunk's words, by their numbers, in one row of arrays."""
+
+    def run(key: tuple, g: pa.Table) -> pa.Table:
+        wid = g.column("wid").to_numpy()
+        c, unit = np.zeros(len(wid), np.int64), np.zeros(len(wid), np.int32)
+        c[wid], unit[wid] = g.column("c").to_numpy(), g.column("unit").to_numpy()
+        return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([c.tobytes()], pa.binary()), pa.array([unit.tobytes()], pa.binary())], names=["chunk", "c", "unit"])
+
+    return counted.groupBy("chunk").applyInArrow(run, "chunk long, c binary, unit binary")
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -372,8 +408,10 @@ def score(docs: DataFrame) -> DataFrame:
     # a word that training lacks has the class of its ending as history for the next
     joined = words.drop("c").join(placed.select(F.col("word").alias("pw"), "c", "unit"), F.col("word") == F.col("pw"), "left").drop("pw")
     lost = by_ending(joined.where("c is null").select("chunk", "wid", "word", F.lit(0).cast("long").alias("c")), endings)
-    counted = scratch.save(joined.where("c is not null").select("chunk", "wid", "c", "unit").unionByName(lost.drop("word")), "counted")
+    numbered = scratch.save(joined.where("c is not null").select("chunk", "wid", "c", "unit").unionByName(lost.drop("word")), "numbered")
     scratch.drop(table, part="kind=1")  # the words are numbers from here on
+    counted = scratch.save(by_chunk(numbered), "counted", codec="zstd")
+    scratch.drop(numbered)
     rows = table.where("kind = 0").select(F.col("chunk").alias("own"), "doc_id", "held", "ids")
     large = [r["unit"] for r in placed.groupBy("unit").agg(F.sum("c").alias("c")).where(F.col("c") > LARGE * (total or 0)).collect()]  # 1 / LARGE at most
     context = contexts(rows, counted, many, total or 0, large, scratch)
@@ -399,10 +437,9 @@ def score(docs: DataFrame) -> DataFrame:
     parts = spark.sparkContext.broadcast({"where": where, "room": room, "step": step, "none": step @ (0.5 / room)})
 
     def scored(d: pa.Table, v: pa.Table) -> pa.Table:
-        p, wid = parts.value, v.column("wid").to_numpy()
-        c, unit = np.zeros(len(wid)), np.zeros(len(wid), np.int64)
-        c[wid], unit[wid] = v.column("c").to_numpy(), v.column("unit").to_numpy()
-        kind = p["where"][unit]
+        p = parts.value
+        c = np.frombuffer(v.column("c")[0].as_py(), np.int64).astype(float)
+        kind = p["where"][np.frombuffer(v.column("unit")[0].as_py(), np.int32)]
         base = (c + 0.5) / whole
         emit = (c + 0.5) / p["room"][kind]
         log_base = np.log10(base)

@@ -56,12 +56,12 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{len(self.paths)}-{name}"
 
-    def save(self, df: DataFrame, name: str = "t", by: str | None = None, at_once: int = 0) -> DataFrame:
+    def save(self, df: DataFrame, name: str = "t", by: str | None = None, at_once: int = 0, codec: str | None = None) -> DataFrame:
         """``by``: a column whose values get folders of their own, so a filter on it reads no others; up to ``at_once`` of them are
-        written side by side, without a sort."""
+        written side by side, without a sort. ``codec``: another compression than the session's."""
         to = self.path(name)
         with writing(self.spark, at_once):
-            df.write.parquet(to, partitionBy=by)
+            df.write.parquet(to, partitionBy=by, compression=codec)
         out = self.spark.read.schema(df.schema).parquet(to)
         self.paths[id(out)] = (to, out)
         return out

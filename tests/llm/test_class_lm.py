@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -174,3 +175,35 @@ def test_words_of_chunks_leave_the_disk_before_contexts(spark, monkeypatch):
     monkeypatch.setattr(class_lm, "contexts", watched)
     docs = spark.createDataFrame([(k, f"a b w{k % 7} a") for k in range(40)], "doc_id long, text string")
     assert class_lm.score(docs).count() == 40 and "kind=0" in made[0] and "kind=1" not in made[0]
+
+
+def test_chunks_meet_their_counts_in_one_row(spark, monkeypatch):
+    """The words of a chunk are shuffled once, not again for its contexts and its scores."""
+    made, contexts = [], class_lm.contexts
+
+    def watched(rows, counted, *args):
+        made.append((rows.select("own").distinct().count(), counted.collect()))
+        return contexts(rows, counted, *args)
+
+    monkeypatch.setattr(class_lm, "contexts", watched)
+    monkeypatch.setattr(class_lm, "CHUNK_TOKENS", 30)
+    docs = [(k, f"a b w{k % 7} a") for k in range(600)]
+    check(class_lm.score(spark.createDataFrame(docs, "doc_id long, text string")).collect(), docs)
+    chunks, counted = made[0]
+    assert len(counted) == chunks > 1
+    assert all(len(r.c) == 2 * len(r.unit) for r in counted)
+
+
+def test_shuffled_entries_keep_their_values_and_are_small():
+    rng = np.random.default_rng(4)
+    u = np.sort(rng.zipf(1.2, 200_000) % 50_000)
+    o = -1 - rng.integers(0, 50_000, len(u))
+    o = o[np.lexsort((o, u))]
+    n = np.minimum(rng.zipf(2.5, len(u)), (1 << 31) - 1)
+    rows = class_lm.packed(u, o, n, u % 11)
+    thin = class_lm.slim(rows)
+    assert thin.select(["bucket", "third"]).equals(rows.select(["bucket", "third"]))
+    for x, y in zip(class_lm.unslimmed(thin), class_lm.unpacked(rows), strict=True):
+        assert x.dtype == y.dtype and (x == y).all()
+    lz4 = lambda t: sum(len(pa.compress(x.as_py(), "lz4", asbytes=True)) for c in t.columns[2:] for x in c)
+    assert lz4(thin) < 0.75 * lz4(rows)
