@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import Scratch, blocks, documents, maybe_among, mixed, offsets, ragged, row_key, slot_counts, stored, texts, tidied, unused, words
 
-SLOT_BITS, FEW, HOT, LEAD = 24, 8, 1024, 64
+SLOT_BITS, ASKED_BITS, FEW, HOT, LEAD = 24, 25, 8, 1024, 64
 _KEYED = "id long, f long, r long"
 _INDEX = "key long, cid long, id long, line int, r long, n int, pos int, m long, o long"
 
@@ -138,8 +138,9 @@ def _parity(h: np.ndarray, start: np.ndarray) -> list[pa.Array]:
     return [pa.array(np.bitwise_xor.reduceat(one * (high == k), start).view(np.int64)) for k in (0, 1)]
 
 
-def _index(classes: DataFrame, percent: int, counts) -> DataFrame:
-    """A row for each indexed word of each class: key (the word), its place in the set's order, n and parity bits m."""
+def _index(classes: DataFrame, percent: int, counts, asked=None) -> DataFrame:
+    """A row for each indexed word of each class: key (the word), its place in the set's order, n and parity bits m. With
+    ``asked``, a bitmap of _asked_bits, only those that it may hold."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -148,13 +149,18 @@ def _index(classes: DataFrame, percent: int, counts) -> DataFrame:
                 size = batch.column("n").to_numpy()
                 start = offsets(size)[:-1]
                 own, h, count = _ordered(batch, counts.value)
-                parity = _parity(h, start)
                 # smaller sets can only be similar to equal ones, which are one class already
                 at = ragged(start, np.where(size > percent // (100 - percent) - 1, prefix(size, percent), 0))
                 at = at[count[at] > 1]
+                if asked is not None:
+                    at = at[_held(asked.value, _asked_slots(h[at], _class_of(size[own[at]], percent)))]
+                if not len(at):
+                    continue
                 k = own[at]
+                those, own_ = np.unique(k, return_inverse=True)  # the sets that have rows
+                parity = _parity(h[ragged(start[those], size[those])], offsets(size[those])[:-1])
                 take = lambda c: pa.array(batch.column(c).to_numpy()[k])
-                yield pa.RecordBatch.from_arrays([pa.array(h[at]), take("cid"), take("id"), take("line"), take("r"), take("n"), pa.array((at - start[k]).astype(np.int32)), *(m.take(pa.array(k)) for m in parity)], [x.split()[0] for x in _INDEX.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(h[at]), take("cid"), take("id"), take("line"), take("r"), take("n"), pa.array((at - start[k]).astype(np.int32)), *(m.take(pa.array(own_)) for m in parity)], [x.split()[0] for x in _INDEX.split(", ")])
 
     return classes.select("cid", "id", "line", "r", "n", "h").mapInArrow(tidied(run), _INDEX)
 
@@ -275,6 +281,38 @@ def _size_class(percent: int):
     return F.floor(F.ln("n") / (math.log(100 / percent) * (1 + 1e-9))).cast("int")
 
 
+def _class_of(n: np.ndarray, percent: int) -> np.ndarray:
+    """_size_class of sizes in an array."""
+    return np.floor(np.log(n) / (math.log(100 / percent) * (1 + 1e-9))).astype(np.int64)
+
+
+def _asked_slots(key: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """The bits of words and size classes in the bitmap of _asked_bits."""
+    with np.errstate(over="ignore"):
+        return (mixed(key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + kind.astype(np.uint64)) >> np.uint64(64 - ASKED_BITS)).astype(np.int64)
+
+
+def _held(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+
+def _asked_bits(asked: DataFrame, percent: int) -> np.ndarray:
+    """A bitmap of 2**ASKED_BITS bits, 4 MB whatever the input: the words of ``asked`` (key, n) with the size classes that similar
+    sets may have. With very many of them it fills and keeps every row, which costs a shuffle and changes no result."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, kind = batch.column("key").to_numpy(), _class_of(batch.column("n").to_numpy(), percent)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([_asked_slots(key, kind + k) for k in (-1, 0, 1)]) + 1)], ["slot"])
+
+    number, place = (F.call_function(f"bitmap_{x}", F.col("slot")) for x in ("bucket_number", "bit_position"))
+    maps = asked.select("key", "n").mapInArrow(tidied(run), "slot long").groupBy(number.alias("block")).agg(F.bitmap_construct_agg(place).alias("map"))
+    out = np.zeros(1 << (ASKED_BITS - 12 - 3), "V4096")  # a row for each block of 4096 bytes
+    for r in maps.collect():
+        out[r["block"] - 1] = bytes(r["map"])
+    return out.view(np.uint8)
+
+
 def _near_asked(rows: DataFrame, asked: DataFrame, percent: int) -> DataFrame:
     """The rows (key, n) of lists that may hold a similar set of one of ``asked`` (key, n): told in the task that makes them, by a
     bitmap, so the rest of a list is neither written nor shuffled."""
@@ -359,7 +397,8 @@ def matches(docs: DataFrame, percent: int = 80, few: int = FEW, hot: int = HOT,
     short, long = (rest.where(f"kind = {k}") for k in (1, 2))
     more = []
     if not short.isEmpty():
-        lists = _near_asked(index, short.select("key", "n"), percent)
+        # the rest of a list is told where its rows are made, so it leaves no task
+        lists = _index(classes, percent, counts, docs.sparkSession.sparkContext.broadcast(_asked_bits(short, percent)))
         lists = lists.join(short.select(F.col("key").alias("k"), "c"), F.expr("key = k and cid = c"), "left")
         more.append(lists.select(*index.columns, F.col("c").isNotNull().alias("asked")))
     if not long.isEmpty():

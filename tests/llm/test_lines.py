@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
@@ -84,3 +85,19 @@ def test_a_text_of_megabytes(spark):
     docs = [(1, "\n".join(long)), (2, near + "\nquite new words here"), (3, "x" * 3_000_000 + "\n" + long[5].upper())]
     got = {r.doc_id: (r._removed, r.text) for r in lines.dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == {1: (0, docs[0][1]), 2: (1, "quite new words here"), 3: (1, "x" * 3_000_000)}
+
+
+def test_lists_are_told_from_what_was_asked_where_they_are_made(spark):
+    """Of the index, only rows that may meet an asked one leave their task, and all of these do."""
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.zipf(1.4, rng.integers(5, 60)) % 500).astype(np.uint32) * np.uint32(8_000_009) for _ in range(300)]
+    schema = "cid long, id long, line int, r long, n int, h binary"
+    classes = spark.createDataFrame([(i, i, 0, i, len(x), x.tobytes()) for i, x in enumerate(sets)], schema)
+    slots = lambda b: (np.frombuffer(b"".join(b.column("h").to_pylist()), np.uint32) >> (32 - lines.SLOT_BITS)).astype(np.int64)
+    counts = spark.sparkContext.broadcast(lines.slot_counts(classes.select("h"), lines.SLOT_BITS, slots))
+    every = {tuple(r) for r in lines._index(classes, 80, counts).collect()}
+    asked = [(r[0], r[5]) for r in sorted(every)[::97]]
+    bits = spark.sparkContext.broadcast(lines._asked_bits(spark.createDataFrame(asked, "key long, n int"), 80))
+    some = {tuple(r) for r in lines._index(classes, 80, counts, bits).collect()}
+    near = {r for r in every if any(r[0] == k and 80 * max(r[5], n) <= 100 * min(r[5], n) for k, n in asked)}
+    assert near and near <= some <= every and len(some) < len(every) / 2
